@@ -86,3 +86,15 @@ def u_from(col, seed: int):
     """A number in (0, 1) from 60 bits of the MD5 of the value's text and ``seed``: the same in every run and engine."""
     digest = F.md5(F.concat(F.coalesce(col.cast("string"), F.lit("null")), F.lit(f":{seed}")))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2**52))
+
+
+def put_file(spark: SparkSession, name: str, content: bytes) -> str:
+    """Write a file into the shared folder, whatever store that is; returns its URI."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+    return fs.makeQualified(path).toString()

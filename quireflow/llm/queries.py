@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op1_bpe_codec
 from .common import table
+from .huffman import op6_huffman_ids
 from .mixing import op10_source_mixing
 from .quality import op9_quality_rules
 from .sharding import op5_extendible_sharding
 from .simhash import op2_simhash_near_dedup
+from .substring import op8_substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +24,11 @@ def _over(name: str, op: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_bpe_codec": _over("documents", op1_bpe_codec),
         "op2_simhash_near_dedup": _over("documents", op2_simhash_near_dedup),
         "op5_extendible_sharding": _over("documents", op5_extendible_sharding),
+        "op6_huffman_ids": _over("documents", op6_huffman_ids),
+        "op8_substring_dedup": _over("documents", op8_substring_dedup),
         "op9_quality_rules": _over("documents", op9_quality_rules),
         "op10_source_mixing": _over("documents", op10_source_mixing),
     }
