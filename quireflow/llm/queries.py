@@ -10,6 +10,7 @@ from .bpe import op1_bpe_codec
 from .common import table
 from .huffman import op6_huffman_ids
 from .mixing import op10_source_mixing
+from .pivots import op4_pivot_near_dedup
 from .quality import op9_quality_rules
 from .sharding import op5_extendible_sharding
 from .simhash import op2_simhash_near_dedup
@@ -26,6 +27,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_bpe_codec": _over("documents", op1_bpe_codec),
         "op2_simhash_near_dedup": _over("documents", op2_simhash_near_dedup),
+        "op4_pivot_near_dedup": _over("embeddings", op4_pivot_near_dedup),
         "op5_extendible_sharding": _over("documents", op5_extendible_sharding),
         "op6_huffman_ids": _over("documents", op6_huffman_ids),
         "op8_substring_dedup": _over("documents", op8_substring_dedup),
