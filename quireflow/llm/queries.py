@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op1_bpe_codec
 from .common import table
+from .edit_counts import op3_edit_aware_counts
 from .huffman import op6_huffman_ids
+from .katz import op7_katz_scoring
 from .mixing import op10_source_mixing
 from .pivots import op4_pivot_near_dedup
 from .quality import op9_quality_rules
@@ -27,9 +29,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_bpe_codec": _over("documents", op1_bpe_codec),
         "op2_simhash_near_dedup": _over("documents", op2_simhash_near_dedup),
+        "op3_edit_aware_counts": _over("documents", op3_edit_aware_counts),
         "op4_pivot_near_dedup": _over("embeddings", op4_pivot_near_dedup),
         "op5_extendible_sharding": _over("documents", op5_extendible_sharding),
         "op6_huffman_ids": _over("documents", op6_huffman_ids),
+        "op7_katz_scoring": _over("documents", op7_katz_scoring),
         "op8_substring_dedup": _over("documents", op8_substring_dedup),
         "op9_quality_rules": _over("documents", op9_quality_rules),
         "op10_source_mixing": _over("documents", op10_source_mixing),
