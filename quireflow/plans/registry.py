@@ -1,4 +1,5 @@
-"""Query registry."""
+"""All registered queries and their SQL."""
 
-QUERIES = {}
-ORACLES = {}
+from .queries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
