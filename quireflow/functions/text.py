@@ -274,7 +274,7 @@ def source_refs(c: Column) -> Column:
 def english_ref(ref: Column) -> Column:
     """``Book 3:4-5`` for a reference struct; null for an unknown book or chapter."""
     book, chapter = lookup(C.BOOKS, trim(F.coalesce(ref["book"], F.lit("")))), letter_sum(ref["chapter"])
-    ends = F.transform(F.split(F.coalesce(ref["verse"], F.lit("")), "[-\\u05BE]"), letter_sum)
+    ends = F.transform(F.split(F.coalesce(ref["verse"], F.lit("")), "[-\\u05BE]"), lambda p: letter_sum(p))
     first, second = ends[0], F.coalesce(F.get(ends, F.lit(1)), F.lit(0))
     verse = F.when(first > 0, F.concat(F.lit(":"), first.cast("string"), F.when(second > 0, F.concat(F.lit("-"), second.cast("string"))).otherwise(""))).otherwise("")
     return F.when(book.isNotNull() & (chapter > 0), F.concat(book, F.lit(" "), chapter.cast("string"), verse))

@@ -239,8 +239,9 @@ def walk(rows: DataFrame, id_col: str, json: str = "json", depth: int = 12) -> D
         out = flat if out is None else out.unionAll(flat)
         inner = level.where(nested)
         if d == depth:
-            too_deep = inner.select(id_col, "path", F.raise_error(F.lit(f"deeper than {depth} levels")).cast("string").alias("value"))
-            return out.unionAll(too_deep)
+            # the test is in the expression: a filter from above may be moved below ``inner``'s own
+            too_deep = F.when(nested, F.raise_error(F.lit(f"deeper than {depth} levels")).cast("string"))
+            return out.unionAll(inner.select(id_col, "path", too_deep.alias("value")))
         level = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("v").outer())).select(
             F.col(id_col), F.concat("path", F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), "key"))).alias("path"), F.col("value").alias("v")
         )
