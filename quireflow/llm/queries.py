@@ -16,6 +16,7 @@ from .pivots import op4_pivot_near_dedup
 from .quality import op9_quality_rules
 from .sharding import op5_extendible_sharding
 from .simhash import op2_simhash_near_dedup
+from .sql import ORACLES
 from .substring import op8_substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,4 +42,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
