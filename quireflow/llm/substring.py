@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import partitions, words_of
 from .exchange import blocks, chunked, cuts, mixed, pack, pack_bits, unpack, unpack_bits
@@ -240,8 +241,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
     asked_again = dealt.groupBy("chunk").cogroup(cells.groupBy("chunk")).applyInArrow(ask_again, REQUEST)
     found = asked_again.groupBy("bucket").applyInArrow(_merge, ANSWER)
     both = cells.unionAll(found)
-    kind = dealt.schema["row"].dataType.simpleString()
-    out = dealt.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(remove, f"row {kind}, n_words bigint, n_removed bigint, kept string")
+    # the row's own type, with what it says about nulls inside
+    result = T.StructType([dealt.schema["row"], *[T.StructField(n, T.LongType()) for n in ("n_words", "n_removed")], T.StructField("kept", T.StringType())])
+    out = dealt.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(remove, result)
     if not keep:
         return out.select(F.col("row").alias("id"), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
     if not others:
