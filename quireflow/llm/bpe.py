@@ -10,7 +10,7 @@ exactly, by rank, leftmost first.
 Splitting follows the tokenizer file: strings of its special tokens are found first, then come
 normalisation and pre-tokens. No pre-token reaches over space or U+0009 to U+000D, so texts are handled
 by the runs between these, and ids of recent runs are remembered (two generations of bounded size). Runs
-of printable ASCII are split here; any other run is normalised and split by the library.
+of printable ASCII and Latin-1 letters are split here; any other run is normalised and split by the library.
 
 Defined results: a null text is empty; an empty text has no ids and decodes to the empty string. Rows
 are handled each for itself, so repeated rows, null ids and other columns change nothing.
@@ -24,24 +24,27 @@ import json
 import mmap
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, put_file, tokenizer_path, words_of
+from .common import map_arrow, put_file, stored, tokenizer_path
 
 #: Words in the lexicon: bounds the driver's work and the compiled file (some MB).
 LEXICON_WORDS = 1 << 17
 #: A word longer than this isn't put into the lexicon.
 LONGEST = 48
 #: Runs in a generation of the memory of a Python worker, and the bytes of the longest one kept.
-REMEMBERED, LONGEST_KEPT = 250_000, 64
+REMEMBERED, LONGEST_KEPT = 180_000, 64
 #: Entries of a task's word counter before it sends what it has.
-COUNTED = 300_000
+COUNTED = 500_000
+#: Ids are under 2^20; a number that no rank reaches stands for a pair that never merges.
+ID_BITS, ID_MASK, NONE = 20, (1 << 20) - 1, 1 << 62
 
 
 def byte_chars() -> list[str]:
@@ -64,6 +67,7 @@ class Vocabulary:
         spec = json.loads(text)
         model = spec["model"]
         vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
+        self.end = end
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         self.tokens = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for t, i in [*vocab.items(), *self.special.items()]:
@@ -72,32 +76,29 @@ class Vocabulary:
         self.inner = [vocab.get(c, -1) for c in chars]
         self.last = [vocab.get(c + end, -1) for c in chars]
         self.byte = {c: b for b, c in enumerate(chars)}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # a pair of ids as one number, to (rank, merged id) as one number
+        self.merges: dict[int, int] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.merges.setdefault(vocab[a] << ID_BITS | vocab[b], rank << ID_BITS | vocab[a + b])
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-token: the pair of lowest rank merges first, leftmost first."""
         inner = self.inner
         ids = [inner[b] for b in word[:-1]] + [self.last[word[-1]]]
-        if len(ids) > 32:
+        n = len(ids)
+        if n > 64:
             return self._merge_long(ids)
         get = self.merges.get
-        while len(ids) > 1:
-            found = [m for p in zip(ids, ids[1:]) if (m := get(p))]
-            if not found:
-                break
-            rank, new = min(found)
-            out, i, n = [], 0, len(ids)
-            while i < n:
-                if i + 1 < n and (m := get((ids[i], ids[i + 1]))) and m[0] == rank:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+        pairs = [get(a << ID_BITS | b, NONE) for a, b in zip(ids, ids[1:])]
+        while pairs and (best := min(pairs)) != NONE:
+            i = pairs.index(best)
+            ids[i : i + 2] = [best & ID_MASK]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(ids[i] << ID_BITS | ids[i + 1], NONE)
+            if i:
+                pairs[i - 1] = get(ids[i - 1] << ID_BITS | ids[i], NONE)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -105,22 +106,21 @@ class Vocabulary:
         n = len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
         get = self.merges.get
-        heap = [(*m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := get((ids[i], ids[i + 1])))]
-        heap = [(rank, i, new, a, b) for rank, new, i, a, b in heap]
+        heap = [(m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := get(ids[i] << ID_BITS | ids[i + 1]))]
         heapq.heapify(heap)
         while heap:
-            _, i, new, a, b = heapq.heappop(heap)
+            best, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = best & ID_MASK, -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for left in (before[i], i):
                 right = after[left] if left >= 0 else -1
-                if right >= 0 and (m := get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (m[0], left, m[1], ids[left], ids[right]))
+                if right >= 0 and (m := get(ids[left] << ID_BITS | ids[right])):
+                    heapq.heappush(heap, (m, left, ids[left], ids[right]))
         out, i = [], 0
         while i >= 0:
             out.append(ids[i])
@@ -128,11 +128,105 @@ class Vocabulary:
         return out
 
 
+class Merger:
+    """``Vocabulary.merge`` for many words at once: each round merges the best pair of every word that has one.
+
+    The merges are an open-addressed hash table; a pair's rank and result are one number, so the least
+    is the pair of lowest rank, and the first of equals is the leftmost.
+    """
+
+    NONE = np.uint64(1 << 63)
+
+    def __init__(self, vocabulary: Vocabulary):
+        pairs = np.fromiter(vocabulary.merges.keys(), np.uint64, len(vocabulary.merges))
+        values = np.fromiter(vocabulary.merges.values(), np.uint64, len(vocabulary.merges))
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, self.NONE)
+        self.values = np.full(1 << self.bits, self.NONE)
+        left = np.arange(len(pairs))
+        slot = self._slot(pairs)
+        while len(left):  # the first at each free slot stays, the others go on to the next
+            free = self.keys[slot] == self.NONE
+            _, first = np.unique(np.where(free, slot, np.arange(len(slot)) + (1 << self.bits)), return_index=True)
+            stay = np.zeros(len(left), bool)
+            stay[first] = True
+            stay &= free
+            self.keys[slot[stay]] = pairs[left[stay]]
+            self.values[slot[stay]] = values[left[stay]]
+            left, slot = left[~stay], (slot[~stay] + 1) & ((1 << self.bits) - 1)
+        self.inner, self.last = np.array(vocabulary.inner, np.int64), np.array(vocabulary.last, np.int64)
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pairs = a.astype(np.uint64) << np.uint64(ID_BITS) | b.astype(np.uint64)
+        out = np.full(len(pairs), self.NONE)
+        left, slot = np.arange(len(pairs)), self._slot(pairs)
+        while len(left):
+            here = self.keys[slot]
+            hit = here == pairs[left]
+            out[left[hit]] = self.values[slot[hit]]
+            on = ~hit & (here != self.NONE)
+            left, slot = left[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(words)
+        if not words:
+            return out
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        text = np.frombuffer(b"".join(words), np.uint8)
+        end = np.cumsum(size)
+        ids = self.inner[text]
+        ids[end - 1] = self.last[text[end - 1]]
+        word = np.arange(len(words))
+        rank = np.full(len(ids), self.NONE)  # of each id with the one after it
+        inside = np.ones(len(ids), bool)
+        inside[end - 1] = False
+        at = np.flatnonzero(inside)
+        rank[at] = self._find(ids[at], ids[at + 1])
+        while len(word):
+            first = end - size
+            best = np.minimum.reduceat(rank, first)
+            going = best != self.NONE
+            if not going.all():  # finished words leave
+                raw, b = ids.astype("<u4").tobytes(), (4 * first).tolist()
+                e = (4 * end).tolist()
+                for i in np.flatnonzero(~going).tolist():
+                    out[word[i]] = raw[b[i] : e[i]]
+                stays = np.repeat(going, size)
+                ids, rank = ids[stays], rank[stays]
+                word, size, best = word[going], size[going], best[going]
+                if not len(word):
+                    break
+                end = np.cumsum(size)
+                first = end - size
+            hits = np.flatnonzero(rank == np.repeat(best, size))
+            owner = np.searchsorted(end, hits, side="right")
+            hits = hits[np.concatenate([[True], owner[1:] != owner[:-1]])]  # the leftmost of each word
+            ids[hits] = (best & np.uint64(ID_MASK)).astype(np.int64)
+            keep = np.ones(len(ids), bool)
+            keep[hits + 1] = False
+            hits -= np.arange(len(hits))  # one id before each went
+            ids, rank = ids[keep], rank[keep]
+            size = size - 1
+            end = np.cumsum(size)
+            final = hits == end - 1
+            rank[hits[final]] = self.NONE
+            a = hits[~final]
+            rank[a] = self._find(ids[a], ids[a + 1])
+            b = hits[hits > end - size] - 1
+            rank[b] = self._find(ids[b], ids[b + 1])
+        return out
+
+
 class Splitter:
     """Pre-tokens of a run of characters without white space, as bytes; special tokens as their id."""
 
-    PLAIN = re.compile(rb"[\x21-\x7e]+")
-    ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    #: Printable ASCII and the letters U+00C0 to U+00FF: normalisation changes only their case.
+    PLAIN = re.compile("[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+    WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
 
     def __init__(self, vocabulary: Vocabulary):
         from tokenizers import Tokenizer
@@ -143,11 +237,10 @@ class Splitter:
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(names) + ")") if names else None
 
-    def __call__(self, run: bytes) -> list[bytes | int]:
-        if self.PLAIN.fullmatch(run) and b"<|" not in run:
-            return self.ASCII.findall(run.lower())
+    def __call__(self, text: str) -> list[bytes | int]:
+        if self.PLAIN.fullmatch(text) and "<|" not in text:
+            return [w.encode() for w in self.WORD.findall(text.lower())]
         out: list[bytes | int] = []
-        text = run.decode("utf-8")
         for piece in self.cut.split(text) if self.cut else [text]:
             if piece in self.special:
                 out.append(self.special[piece])
@@ -247,48 +340,113 @@ class Lexicon:
         return out
 
 
+_KEPT: dict[object, object] = {}
+
+
+def kept(key: object, make):
+    """One object for all tasks of a Python worker, such as an encoder with its memory; a few at most are kept."""
+    if key not in _KEPT:
+        if len(_KEPT) >= 3:
+            _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def runs_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The runs of each text between white space, A-Z lower-cased as normalisation would: (offsets of the texts' runs, runs).
+
+    Texts with a string that may be a special token keep their case, as those are found before
+    normalisation. Empty runs stand for no characters.
+    """
+    texts = pc.fill_null(texts, "")
+    lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+    lists = pc.ascii_split_whitespace(lowered)
+    return lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
+
+
 class RunMemory:
     """Encodes texts run by run, and remembers the ids of recent runs in two generations of bounded size."""
 
     def __init__(self):
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def resolve(self, runs: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of each run."""
+    def resolve(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run, as little-endian unsigned 32-bit integers."""
         raise NotImplementedError
 
-    def encode_batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
-        split = [words_of(t) for t in texts]
-        now = self.young
-        missing = set().union(*split).difference(now) if split else set()
-        for r in [r for r in missing if r in self.old]:
-            now[r] = self.old[r]
-            missing.discard(r)
-        fresh = self.resolve(list(missing))
-        now.update(fresh)
-        for runs in split:
-            yield b"".join([now[r] for r in runs])
-        for r in fresh:
-            if len(r) > LONGEST_KEPT:
-                del now[r]
-        if len(now) > REMEMBERED:
-            self.old, self.young = now, {}
+    def recall(self, runs: list[str]) -> list[bytes]:
+        """The ids of distinct runs, from memory or else resolved."""
+        found = list(map(self.young.get, runs))
+        missing = [i for i, v in enumerate(found) if v is None]
+        unknown = []
+        for i in missing:
+            v = self.old.get(runs[i])
+            if v is None:
+                unknown.append(i)
+            else:
+                found[i] = self.young[runs[i]] = v
+        for i, v in zip(unknown, self.resolve([runs[i] for i in unknown])):
+            found[i] = v
+            if len(runs[i]) <= LONGEST_KEPT:
+                self.young[runs[i]] = v
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, end of each text's ids in them). Null is an empty text."""
+        at, runs = runs_of(texts)
+        ids = self.recall(runs.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        first = np.cumsum(size) - size
+        which = runs.indices.to_numpy()
+        n = size[which]
+        end = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+        place = np.repeat(first[which] - end[:-1], n)
+        place += np.arange(len(place))
+        return flat[place], end[at[1:]]
+
+    def encode_each(self, texts: pa.Array) -> list[np.ndarray]:
+        flat, ends = self.encode(texts)
+        return np.split(flat, ends[:-1]) if len(ends) else []
 
 
 class LibraryEncoder(RunMemory):
-    """ids of runs by the tokenizers library itself."""
+    """ids of runs by the tokenizers library itself.
 
-    def __init__(self, text: str):
-        from tokenizers import Tokenizer
+    The library is given each new word (letters, a number or signs) of a run once; recent words are remembered.
+    """
 
+    def __init__(self, text: str):
         super().__init__()
-        self.library = Tokenizer.from_str(text)
+        vocabulary = Vocabulary(text)
+        self.split = Splitter(vocabulary)
+        self.library = self.split.library
+        self.ends = np.array([bool(vocabulary.end) and t.endswith(vocabulary.end) for t in vocabulary.tokens])
+        self.words: dict[bytes, bytes] = {}
 
-    def resolve(self, runs: list[bytes]) -> dict[bytes, bytes]:
-        out = self.library.encode_batch_fast([r.decode() for r in runs], add_special_tokens=False)
-        return {r: np.array(e.ids, "<u4").tobytes() for r, e in zip(runs, out)}
+    def resolve(self, runs: list[str]) -> list[bytes]:
+        pieces = [self.split(r) for r in runs]
+        if len(self.words) > REMEMBERED // 3:
+            self.words.clear()
+        ids = self.words
+        fresh = [w for w in {w for p in pieces for w in p} if w not in ids and isinstance(w, bytes)]
+        texts = [b" ".join(fresh[i : i + 512]).decode() for i in range(0, len(fresh), 512)]
+        flat = np.array([i for e in self.library.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], "<u4")
+        # the library never merges over a space, and only a word's last token ends a word
+        at = [0, *(4 * (np.flatnonzero(self.ends[flat]) + 1)).tolist()]
+        if len(at) != len(fresh) + 1:
+            raise ValueError("this tokenizer file doesn't mark the ends of words")
+        raw = flat.tobytes()
+        for w, i, j in zip(fresh, at, at[1:]):
+            ids[w] = raw[i:j]
+        out = [b"".join([ids[w] if isinstance(w, bytes) else int(w).to_bytes(4, "little") for w in p]) for p in pieces]
+        for w in fresh:
+            if len(w) > LONGEST_KEPT:
+                del ids[w]
+        return out
 
 
 class Encoder(RunMemory):
@@ -298,19 +456,32 @@ class Encoder(RunMemory):
         super().__init__()
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.split = Splitter(vocabulary)
+        self.merger = Merger(vocabulary)
+        self.words: dict[bytes, bytes] = {}  # of recent pre-tokens
 
-    def resolve(self, runs: list[bytes]) -> dict[bytes, bytes]:
+    def resolve(self, runs: list[str]) -> list[bytes]:
         pieces = [self.split(r) for r in runs]
-        words = list({w for p in pieces for w in p if isinstance(w, bytes)})
+        if len(self.words) > REMEMBERED // 3:
+            self.words.clear()
+        ids = self.words
+        words = [w for w in {w for p in pieces for w in p} if w not in ids and isinstance(w, bytes)]
         numbers = self.lexicon.numbers(words).tolist() if self.lexicon else [-1] * len(words)
-        ids: dict[bytes | int, bytes] = {}
+        unseen = []
         for w, k in zip(words, numbers):
             if k >= 0:
                 lex = self.lexicon
                 ids[w] = lex.ids[lex.offsets[k] : lex.offsets[k + 1]].tobytes()
-            else:
+            elif len(w) > 64:
                 ids[w] = np.array(self.vocabulary.merge(w), "<u4").tobytes()
-        return {r: b"".join([ids[w] if isinstance(w, bytes) else int(w).to_bytes(4, "little") for w in p]) for r, p in zip(runs, pieces)}
+            else:
+                unseen.append(w)
+        for w, x in zip(unseen, self.merger(unseen)):
+            ids[w] = x
+        out = [b"".join([ids[w] if isinstance(w, bytes) else int(w).to_bytes(4, "little") for w in p]) for p in pieces]
+        for w in words:
+            if len(w) > LONGEST_KEPT:
+                del ids[w]
+        return out
 
 
 def decode(ids: Iterable[int], tokens: list[str]) -> str:
@@ -323,7 +494,7 @@ def count_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary.text)
 
     def run(batches):
-        split, counts = Splitter(Vocabulary(shared.value)), Counter()
+        split, counts = kept(("splitter", shared.value), lambda: Splitter(Vocabulary(shared.value))), Counter()
 
         def sent():
             words: Counter = Counter()
@@ -335,52 +506,67 @@ def count_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
             yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()), pa.array(words.values(), pa.int64())], names=["word", "n"])
 
         for b in batches:
-            for t in b.column(0):
-                counts.update(words_of(t.as_py()))
-                if len(counts) > COUNTED:
-                    yield from sent()
+            found = runs_of(b.column(0))[1]
+            for r, n in zip(found.dictionary.to_pylist(), np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary)).tolist()):
+                counts[r] += n
+            if len(counts) > COUNTED:
+                yield from sent()
         yield from sent()
 
     return map_arrow(docs.select(text), run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_WORDS) -> str:
-    """Compile the ``words`` most frequent pre-tokens and hand the file to all executors; returns its name.
+    """Compile the most frequent pre-tokens, at most ``words``, and hand the file to all executors; returns its name.
 
-    At most ``words`` rows come to the driver. Executors that join later fetch the file, too.
+    The least count that gives at most ``words`` is found from a histogram of counts on a logarithmic
+    scale (some hundred rows), so no more than ``words`` rows come to the driver. Executors that join later
+    fetch the file, too.
     """
-    top = count_words(docs, vocabulary).orderBy(F.col("n").desc(), "word").limit(words)
+    counted = stored(count_words(docs, vocabulary), "words")
+    level = F.floor(F.log2("n") * 16).cast("int")
+    least, held = None, 0
+    for at, n in sorted(counted.groupBy(level.alias("level")).agg(F.count("*")).collect(), reverse=True):
+        held += n
+        if held > words:
+            break
+        least = at
+    top = counted.where(level >= least) if least is not None else counted.limit(0)
     compiled = Lexicon.compile(sorted(bytes(r[0]) for r in top.select("word").collect()), vocabulary.merge)
     name = f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}.bin"
     docs.sparkSession.sparkContext.addFile(put_file(docs.sparkSession, name, compiled))
     return name
 
 
-def encoded(docs: DataFrame, path: str | None = None, words: int = LEXICON_WORDS, id_col: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """One row for each row of ``docs``: id, n_tokens, ids_sha256, decoded_sha256; ``with_text`` adds ids (binary) and decoded."""
+def encoded(docs: DataFrame, path: str | None = None, words: int = LEXICON_WORDS, id_col: str = "doc_id", text: str = "text", with_ids: bool = False, with_text: bool = False) -> DataFrame:
+    """One row for each row of ``docs``: id, n_tokens, ids_sha256, decoded_sha256, and as asked for ids (binary) and decoded."""
     spark = docs.sparkSession
     with open(path or tokenizer_path(), encoding="utf-8") as f:
         vocabulary = Vocabulary(f.read())
     name = build_lexicon(docs, vocabulary, words)
     shared = spark.sparkContext.broadcast(vocabulary.text)
-    more = ", ids binary, decoded string" if with_text else ""
+    more = ", ids binary" * with_ids + ", decoded string" * with_text
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids, *["decoded"] * with_text]
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{more}"
 
     def run(batches):
-        own = Vocabulary(shared.value)
-        encoder = Encoder(own, Lexicon.open(SparkFiles.get(name)))
+        encoder = kept(("encoder", name, shared.value), lambda: Encoder(Vocabulary(shared.value), Lexicon.open(SparkFiles.get(name))))
+        own = encoder.vocabulary
         for b in batches:
-            ids = list(encoder.encode_batch(t.as_py() for t in b.column(1)))
-            decoded = [decode(np.frombuffer(x, "<u4").tolist(), own.tokens) for x in ids]
+            each = encoder.encode_each(b.column(1))
+            decoded = [decode(x.tolist(), own.tokens) for x in each]
+            ids = [x.tobytes() for x in each]
             columns = [
                 b.column(0),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
                 pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()),
             ]
+            if with_ids:
+                columns.append(pa.array(ids, pa.binary()))
             if with_text:
-                columns += [pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(columns)])
+                columns.append(pa.array(decoded, pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_arrow(docs.select(id_col, text), run, schema)
 
