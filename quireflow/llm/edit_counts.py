@@ -5,7 +5,7 @@ reaches over white space, so a leaf's tokens depend on nothing outside it. The t
 and tokens. An edit finds its leaves by descending over the character sums, and only the text of these
 leaves is encoded again, with the leaf before them if the edited text no longer starts with white
 space (the boundary context); then the sums on their paths are updated. A leaf that has grown to
-``4 * LEAF`` runs is cut again.
+four times its size is cut again.
 
 An edit is (at, cut, put): from code point ``at`` of the text as the edits before it left it, ``cut`` code points
 go and ``put`` comes. Edits are applied in their order.
@@ -19,35 +19,40 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import LibraryEncoder
+from .bpe import LibraryEncoder, kept, runs_of
 from .common import map_arrow, tokenizer_path, words_of
 
 LEAF = 32
 SPACES = tuple(" \t\n\x0b\x0c\r")
-_CUT = re.compile(r"[ \t-\r]+[^ \t-\r]*")
+_SPACE = re.compile(r"[ \t-\r]")
 EDITS = "array<struct<at:bigint,cut:bigint,put:string>>"
 
 
 def leaves_of(text: str, size: int = LEAF) -> list[str]:
-    """``text`` in pieces of about ``size`` runs, each but the first starting with white space."""
-    starts = [m.start() for m in _CUT.finditer(text)]
-    at = sorted({0, *starts[size - 1 :: size], len(text)})
-    return [text[a:b] for a, b in zip(at, at[1:])] or [""]
+    """``text`` in pieces of about ``size`` runs (six characters each), each but the first starting with white space."""
+    at, n = [0], 6 * size
+    while (m := _SPACE.search(text, at[-1] + n)) is not None:
+        at.append(m.start())
+    return [text[a:b] for a, b in zip(at, [*at[1:], len(text)])]
 
 
 class Tree:
-    """Sums of (characters, tokens) over the leaves of one document."""
+    """Sums of (characters, tokens) over the leaves of one document; ``count`` gives the tokens of a run."""
 
-    def __init__(self, text: str, count, size: int = LEAF):
+    def __init__(self, leaves: list[str], tokens: list[int], count, size: int = LEAF):
         self.count, self.size = count, size
-        self.encoded = 0  # runs encoded, from the start
-        self._build([(x, self._tokens(x)) for x in leaves_of(text, size)])
+        self.encoded = 0  # runs encoded again
+        self._build(list(zip(leaves, tokens)))
+
+    @classmethod
+    def of(cls, text: str, count, size: int = LEAF) -> Tree:
+        leaves = leaves_of(text, size)
+        return cls(leaves, [sum(map(count, words_of(x))) for x in leaves], count, size)
 
     def _tokens(self, text: str) -> int:
         runs = words_of(text)
@@ -115,7 +120,7 @@ class Tree:
 
 
 def edited_counts(docs: DataFrame, edits: Column, path: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, n_tokens, n_edits, n_tokens_after, n_chars_after, n_runs, n_runs_encoded_again.
+    """One row for each row of ``docs``: id, n_tokens, n_edits, n_tokens_after, n_chars_after, n_leaves, n_runs_encoded_again.
 
     ``edits`` is a column of ``EDITS``. Edits that are a table of their own join the documents by
     ``edit_lists`` first.
@@ -123,23 +128,26 @@ def edited_counts(docs: DataFrame, edits: Column, path: str | None = None, id_co
     with open(path or tokenizer_path(), encoding="utf-8") as f:
         spec = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(spec)
-    names = ["id", "n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_runs", "n_runs_encoded_again"]
+    names = ["id", "n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_leaves", "n_runs_encoded_again"]
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter = Counter(shared.value)
+        counter = kept(("counter", shared.value), lambda: Counter(shared.value))
         for b in batches:
-            texts = [t.as_py() or "" for t in b.column(1)]
+            leaves = [leaves_of(t.as_py() or "") for t in b.column(1)]
+            _, ends = counter.encode(pa.array([x for own in leaves for x in own], pa.string()))
+            tokens = np.diff(ends, prepend=0).tolist()
             lists = b.column(2).to_pylist()
-            counter.learn([*texts, *((e or {}).get("put") for x in lists for e in x or [])])
-            rows = []
-            for t, x in zip(texts, lists):
-                tree = Tree(t, counter)
-                before, runs = tree.total, tree.encoded
+            counter.learn([(e or {}).get("put") for x in lists for e in x or []])
+            rows, at = [], 0
+            for own, x in zip(leaves, lists):
+                tree = Tree(own, tokens[at : at + len(own)], counter)
+                at += len(own)
+                before = tree.total
                 for e in x or []:
                     if e is not None:
                         tree.edit(e["at"], e["cut"], e["put"])
-                rows.append((before, len(x or []), tree.total, tree.chars[1], runs, tree.encoded - runs))
+                rows.append((before, len(x or []), tree.total, tree.chars[1], len(own), tree.encoded))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), pa.int64()) for c in zip(*rows))], names=names)
 
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{n} bigint" for n in names[1:])
@@ -149,18 +157,14 @@ def edited_counts(docs: DataFrame, edits: Column, path: str | None = None, id_co
 class Counter(LibraryEncoder):
     """Tokens of a run, by the tokenizers library; recent runs are remembered."""
 
-    def learn(self, texts: Iterable[str | None]) -> None:
-        """Encode all runs of the texts that aren't known, in one call."""
-        for _ in self.encode_batch(texts):
-            pass
+    def learn(self, texts: list[str | None]) -> None:
+        """Encode all runs of the texts that aren't known, together."""
+        self.recall(runs_of(pa.array(texts, pa.string()))[1].dictionary.to_pylist())
 
     def __call__(self, run: bytes) -> int:
-        ids = self.young.get(run)
-        if ids is None:
-            ids = self.old.get(run)
-        if ids is None:
-            ids = self.resolve([run])[run]
-        return len(ids) // 4
+        key = run.decode() if b"<|" in run else run.lower().decode()
+        ids = self.young.get(key)
+        return len(ids if ids is not None else self.recall([key])[0]) // 4
 
 
 def edit_lists(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> DataFrame:
