@@ -27,12 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import LibraryEncoder
+from .bpe import kept
 from .common import map_arrow, partitions, shared_dir, stored, tokenizer_path
+from .run_table import TableEncoder
 
 MAX_BITS = 20
 BLOCK_IDS = 1 << 16
 EVERY = 128
+#: Blocks that are decoded together.
+DECODED = 16
 END_ID = 1
 
 
@@ -103,20 +106,29 @@ class Code:
         return out.astype(">u4").tobytes(), at[::EVERY].astype(np.uint64)
 
     def decode(self, payload: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
-        if not n:
-            return np.empty(0, np.uint32)
+        return self.decode_blocks([(payload, checkpoints, n)])[0]
+
+    def decode_blocks(self, blocks: list[tuple[bytes, np.ndarray, int]]) -> list[np.ndarray]:
+        """The ids of independent blocks (payload, checkpoints, number): the lanes of all of them step together."""
         ids, lengths = self.table()
-        words = np.frombuffer(payload, ">u4").astype(np.uint64)
-        at = checkpoints.astype(np.int64)
-        out = np.zeros((len(at), EVERY), np.uint32)
+        words = np.frombuffer(b"".join(p for p, _, _ in blocks), ">u4").astype(np.uint64)
+        base = np.cumsum([0, *(len(p) * 8 for p, _, _ in blocks)])[:-1]
+        at = np.concatenate([m.astype(np.int64) + b for (_, m, _), b in zip(blocks, base.tolist())])
+        if not len(at):
+            return [np.empty(0, np.uint32) for _ in blocks]
+        out = np.zeros((EVERY, len(at)), np.uint32)
         shift, mask = np.uint64(64 - self.bits), np.uint64((1 << self.bits) - 1)
         last = len(words) - 2
-        for step in range(min(EVERY, n)):
-            w = np.minimum(at >> 5, last)  # only the last lane, past its end, would go further
+        for step in range(EVERY):
+            w = np.minimum(at >> 5, last)  # a block's last lane runs past its end, into bits that nobody reads
             peek = (words[w] << np.uint64(32) | words[w + 1]) << (at & 31).astype(np.uint64) >> shift & mask
-            out[:, step] = ids[peek]
+            out[step] = ids[peek]
             at += lengths[peek]
-        return out.ravel()[:n]
+        flat, lane, result = out.T.ravel(), 0, []
+        for _, m, n in blocks:
+            result.append(flat[lane * EVERY : lane * EVERY + n])
+            lane += len(m)
+        return result
 
 
 def encode_ids(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
@@ -127,14 +139,17 @@ def encode_ids(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
         spec = f.read()
     kind = "<u2" if Tokenizer.from_str(spec).get_vocab_size() <= 1 << 16 else "<u4"
     shared = docs.sparkSession.sparkContext.broadcast(spec)
-    end = int(end_id).to_bytes(4, "little")
+    width = int(kind[2])
+    end = int(end_id).to_bytes(width, "little")
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = LibraryEncoder(shared.value)
+        encoder = kept(("table", shared.value), lambda: TableEncoder(shared.value))
         for b in batches:
-            ids = [np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder.encode_batch(t.as_py() for t in b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array([int(kind[2])] * len(ids), pa.int32())], names=["id", "ids", "width"])
+            flat, ends = encoder.encode(b.column(1))
+            raw, at = flat.astype(kind).tobytes(), [0, *(ends * width).tolist()]
+            ids = [raw[i:j] + end for i, j in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array([width] * len(ids), pa.int32())], names=["id", "ids", "width"])
 
     return map_arrow(docs.select(id_col, text), run, f"id {docs.schema[id_col].dataType.simpleString()}, ids binary, width int")
 
@@ -145,10 +160,11 @@ def id_counts(encoded: DataFrame) -> list[tuple[int, int]]:
     def run(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids, width in zip(b.column(0), b.column(1)):
-                n = np.bincount(np.frombuffer(ids.as_py(), f"<u{width.as_py()}"), minlength=len(total))
-                n[: len(total)] += total
-                total = n
+            if not b.num_rows:
+                continue
+            n = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), f"<u{b.column(1)[0].as_py()}"), minlength=len(total))
+            n[: len(total)] += total
+            total = n
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
 
@@ -214,19 +230,22 @@ def read_ids(spark: SparkSession, at: str, with_ids: bool = False) -> DataFrame:
     def run(batches):
         code = Code(*shared.value)
         for b in batches:
-            for r in range(b.num_rows):
-                part, _, start, docs_, lens, n, payload, marks = (c[r] for c in b.columns)
-                ids = code.decode(payload.as_py(), np.frombuffer(marks.as_py(), "<u8"), n.as_py()).astype("<u4")
-                lens = np.frombuffer(lens.as_py(), "<u4").astype(np.int64)
-                ends = np.cumsum(lens)
-                own = [ids[e - k : e].tobytes() for e, k in zip(ends.tolist(), lens.tolist())]
-                columns = [
-                    pa.array([part.as_py()] * len(own), pa.int32()), docs_.values, pa.array(start.as_py() + ends - lens, pa.int64()),
-                    pa.array(lens, pa.int64()), pa.array([zlib.crc32(x) for x in own], pa.int64()),
-                ]
-                if with_ids:
-                    columns.append(pa.array(own, pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["part", "id", "first", "n_tokens", "ids_crc32", "ids"][: len(columns)])
+            kinds = b.schema.field("doc_ids").type.value_type
+            for k in range(0, b.num_rows, DECODED):
+                rows = b.slice(k, DECODED).to_pylist()
+                decoded = code.decode_blocks([(r["payload"], np.frombuffer(r["checkpoints"], "<u8"), r["n_ids"]) for r in rows])
+                for r, ids in zip(rows, decoded):
+                    ids = ids.astype("<u4")
+                    lens = np.frombuffer(r["lengths"], "<u4").astype(np.int64)
+                    ends = np.cumsum(lens)
+                    own = [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), lens.tolist())]
+                    columns = [
+                        pa.array([r["part"]] * len(own), pa.int32()), pa.array(r["doc_ids"], kinds), pa.array(r["start"] + ends - lens, pa.int64()),
+                        pa.array(lens, pa.int64()), pa.array([zlib.crc32(x) for x in own], pa.int64()),
+                    ]
+                    if with_ids:
+                        columns.append(pa.array(own, pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=["part", "id", "first", "n_tokens", "ids_crc32", "ids"][: len(columns)])
 
     more = ", ids binary" if with_ids else ""
     rows = map_arrow(blocks.select("part", "block", "start", "doc_ids", "lengths", "n_ids", "payload", "checkpoints"), run, f"part int, id {kind}, first bigint, n_tokens bigint, ids_crc32 bigint{more}")
