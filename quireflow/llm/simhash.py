@@ -11,8 +11,8 @@ A segment value shared by more than ``BUCKET`` distinct fingerprints would give
 number. Such buckets, and the probes that reach them, take an exact way whose rows are linear in
 the number of fingerprints: two fingerprints differ in at most r bits if and only if the balls of
 radius ceil(r/2) and floor(r/2) around them share a value, so every fingerprint publishes the values
-of its ball and all that publish one value are tied to the smallest. For even r every such tie is a
-link by itself. This way is for radii up to 2; beyond that such buckets are verified in blocks.
+of its ball and all that publish one value are tied to the smallest. For r = 2 every such tie is a
+link by itself; for r = 1 a value ties only to a fingerprint equal to it. No other radius but 0 is taken.
 """
 
 from __future__ import annotations
@@ -111,7 +111,10 @@ def links(fps: DataFrame, radius: int = 2, m: int = 2, bucket: int = BUCKET) ->
     reach = probes.join(sizes.where(F.col("n") > bucket).select("seg", "val"), ["seg", "val"]).select(F.col("q").alias("fp")).distinct()
     ball = F.transform(_longs(_masks(64, (radius + 1) // 2)), lambda x: F.col("fp").bitwiseXOR(x))
     published = reach.select("fp", F.explode(ball).alias("key"))
-    hub = published.groupBy("key").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    if radius == 1:  # one ball is of radius 0: a value ties to the fingerprint that it is
+        hub = fps.select(F.col("fp").alias("key"), F.col("fp").alias("hub"))
+    else:
+        hub = published.groupBy("key").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     ties = published.join(hub, "key").where("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v"))
     return pairs.unionAll(ties).distinct()
 

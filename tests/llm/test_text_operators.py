@@ -203,8 +203,8 @@ def test_op2(documents, odd, none):
     assert simhash.op2_simhash_near_dedup(none).count() == 0
 
 
-@pytest.mark.parametrize("bucket", [0, 2, 64])
-def test_links_with_heavy_buckets(spark, bucket):
+@pytest.mark.parametrize("bucket, radius", [(0, 2), (2, 2), (64, 2), (0, 1), (64, 1), (0, 0)])
+def test_links_with_heavy_buckets(spark, bucket, radius):
     """Fingerprints in one bucket, over the cap: the exact way gives the same parts."""
     rng = random.Random(bucket)
     fps = {0}
@@ -214,8 +214,8 @@ def test_links_with_heavy_buckets(spark, bucket):
             f ^= 1 << rng.randrange(64)
         fps.add(f)
     signed = {f - (1 << 64) if f >> 63 else f for f in fps}
-    expect = reachable(signed, [(a, b) for a in signed for b in signed if a < b and bin((a ^ b) & (2**64 - 1)).count("1") <= 2])
-    edges = [(r["u"], r["v"]) for r in simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), bucket=bucket).collect()]
+    expect = reachable(signed, [(a, b) for a in signed for b in signed if a < b and bin((a ^ b) & (2**64 - 1)).count("1") <= radius])
+    edges = [(r["u"], r["v"]) for r in simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), radius, bucket=bucket).collect()]
     assert reachable(signed, edges) == expect
 
 
