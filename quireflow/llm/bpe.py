@@ -40,7 +40,7 @@ LEXICON_WORDS = 1 << 17
 #: A word longer than this isn't put into the lexicon.
 LONGEST = 48
 #: Runs in a generation of the memory of a Python worker, and the bytes of the longest one kept.
-REMEMBERED, LONGEST_KEPT = 180_000, 64
+REMEMBERED, LONGEST_KEPT = 120_000, 64
 #: Entries of a task's word counter before it sends what it has.
 COUNTED = 500_000
 #: Ids are under 2^20; a number that no rank reaches stands for a pair that never merges.

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch that a Python operator gets; texts can be long, so few.
-BATCH_ROWS = 1500
+BATCH_ROWS = 1000
 
 
 def words_of(text: str | None) -> list[bytes]:
