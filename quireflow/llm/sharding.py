@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 LIMIT = 8 << 20
 BITS = 60
 CELL_STEP = 12
@@ -39,26 +41,27 @@ def _prefix(h: Column, depth: int) -> Column:
 def directory(rows: DataFrame, limit: int) -> DataFrame:
     """(cell_depth, cell, depth, prefix, fits) for each cell of ``rows`` (h, bytes); a cell is in one bucket.
 
-    ``depth`` is the bucket's. Where ``fits`` is false the cell has used all bits and is over the limit.
+    ``depth`` is the bucket's. Where ``fits`` is false the bucket has one hash only and is over the limit.
     """
     done = None
     left, start = rows.select("h", "bytes"), 0
     while start < BITS:
         end = min(start + CELL_STEP, BITS)
-        cells = left.groupBy(_prefix(F.col("h"), end).alias("cell")).agg(F.sum("bytes").alias("bytes"))
+        sums = [F.sum("bytes").alias("bytes"), F.min("low").alias("low"), F.max("high").alias("high")]
+        cells = left.select(_prefix(F.col("h"), end).alias("cell"), "bytes", F.col("h").alias("low"), F.col("h").alias("high")).groupBy("cell").agg(*sums)
         steps = F.explode(F.sequence(F.lit(start if start == 0 else start + 1), F.lit(end))).alias("depth")
-        ups = cells.select("cell", "bytes", steps).withColumn("prefix", F.expr(f"shiftright(cell, {end} - depth)"))
-        fit = ups.groupBy("depth", "prefix").agg(F.sum("bytes").alias("total")).where(F.col("total") <= limit).select("depth", "prefix")
-        found = ups.join(fit, ["depth", "prefix"]).groupBy("cell").agg(F.min("depth").alias("depth"))
-        all_cells = cells.select("cell").join(found, "cell", "left")
-        part = all_cells.select(F.lit(end).alias("cell_depth"), "cell", F.coalesce("depth", F.lit(end)).alias("depth"), F.col("depth").isNotNull().alias("fits"))
-        part = part.withColumn("prefix", F.expr(f"shiftright(cell, {end} - depth)"))
-        open_cells = part.where(~F.col("fits")).select("cell")
-        if end == BITS or open_cells.isEmpty():
-            return part if done is None else done.unionByName(part)
-        closed = part.where("fits")
+        ups = cells.select("*", steps).withColumn("prefix", F.expr(f"shiftright(cell, {end} - depth)"))
+        # a bucket that holds one hash only can't be split: its rows go to pages
+        done_at = ups.groupBy("depth", "prefix").agg(*sums).where((F.col("bytes") <= limit) | (F.col("low") == F.col("high")))
+        fit = done_at.select("depth", "prefix", (F.col("bytes") <= limit).alias("fits"))
+        found = ups.select("cell", "depth", "prefix").join(fit, ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "prefix", "fits")).alias("f"))
+        part = stored(cells.select("cell").join(found, "cell", "left").select(F.lit(end).alias("cell_depth"), "cell", "f.*"), "directory")
+        closed = part.where("depth is not null")
         done = closed if done is None else done.unionByName(closed)
-        left = left.withColumn("cell", _prefix(F.col("h"), end)).join(open_cells, "cell", "left_semi").drop("cell")
+        open_cells = part.where("depth is null").select("cell")
+        if end == BITS or open_cells.isEmpty():
+            return done
+        left = stored(left.withColumn("cell", _prefix(F.col("h"), end)).join(open_cells, "cell", "left_semi").drop("cell"), "open-rows")
         start = end
     raise AssertionError("unreachable")
 
