@@ -1,17 +1,16 @@
-"""Near-duplicate documents by similarity: multi-index hashing over wide SimHash fingerprints.
+"""Near-duplicate documents by similarity: MinHash bands find candidates, exact Jaccard decides.
 
-``simhash.near_duplicates`` links fingerprints that differ in very few bits. Documents whose five-word
-shingles have a similarity (Jaccard) of 0.8 differ in about 15 % of fingerprint bits, so here a
-fingerprint has 512 bits, whose complete distance tells similarities apart to about 0.04, and the index
-has many segments: in each, the first ``exact`` bits must agree and the others may differ in one
-(the Hamming ball of radius 1). Their width follows the logarithm of the number of documents,
-so that chance matches stay few for each document. At similarity 0.8 one of 25 segments of 20 bits is met
-in 98 % of cases, at 0.9 nearly always.
+The similarity of two documents is the Jaccard of their sets of distinct five-word shingles (A-Z
+lower-cased). A document's signature holds ``BANDS`` bands of ``ROWS`` minima each, and two documents of
+similarity s meet in a band with chance 1 - (1 - s^ROWS)^BANDS: 99.98 % at 0.8, whatever the number of
+documents. Documents that share no shingle don't meet, so no width has to follow the size of the table.
 
-A segment's bucket never sends pairs: it verifies its members' complete distances and ties those within
-the bound to the least of their part. Small buckets compare all pairs; in large ones parts grow from
-a member by comparing with members that belong to none yet, so a bucket of thousands of near copies costs
-few rounds, not the square, and no link is lost.
+Documents joined by bands, directly or through others, form a group. A group's texts meet in one task, or
+a large one's in a task for each two blocks of it. There every two documents that share a band are
+compared by exact Jaccard of their shingles' 64-bit hashes, and only ``similarity`` or more is a link.
+Parts grow from a member by comparing with members that belong to none yet, so thousands of near copies
+cost few rounds, not the square, and no link is lost. Many unlike documents that share bands do cost the
+square of their number in comparisons.
 
 Defined results: texts without a word link only with nothing (equal ones are copies). A null text is empty.
 Equal texts are one class however often they occur. Rows equal in id and text are copies of each other.
@@ -19,8 +18,6 @@ Equal texts are one class however often they occur. Rows equal in id and text ar
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,45 +25,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, map_arrow, stored, words_of
-from .exchange import mixed
+from .exchange import hashes, mixed
 from .graph import components
 
-BITS = 512
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Standard deviations of a distance that are allowed above its mean at the similarity asked for.
-SLACK = 0.5
-#: Buckets up to this size compare all pairs.
+BANDS, ROWS = 36, 7
+#: Distinct shingles that one block of a group may hold, about.
+BLOCK = 2_000_000
+#: Buckets of ``ties`` up to this size compare all pairs.
 SMALL = 32
-#: Distinct documents that one group of the index may hold, about.
-GROUP = 100_000
-
 
-def bound(similarity: float = SIMILARITY, bits: int = BITS, slack: float = SLACK) -> int:
-    """The largest distance taken as ``similarity``: the share of differing bits is the angle between shingle counts over pi."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + slack * math.sqrt(bits * share * (1 - share)))
+_rng = np.random.default_rng(42)
+_FLIP = _rng.integers(0, 1 << 32, (BANDS * ROWS, 1), dtype=np.uint32)
+_TIMES = _rng.integers(0, 1 << 32, (BANDS * ROWS, 1), dtype=np.uint32) | np.uint32(1)
 
 
-def wide_fingerprint(text: str | None, shingle: int = SHINGLE) -> bytes | None:
-    """512 bits over the word shingles (A-Z lower-cased, repeats counted); null for a text without words."""
-    words = [w.lower() for w in words_of(text)]
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """64 bits of each distinct word shingle, sorted; fewer words than a shingle make one of all, no words none."""
+    words = [w.lower() for w in words_of(text)]  # of bytes, lower() changes A-Z only
     if not words:
-        return None
-    digest = xxhash.xxh3_64_digest
-    n = max(1, len(words) - shingle + 1)
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, n, 4080):
-        part = words[at : min(at + 4080, n) + shingle - 1]
-        grams = map(b" ".join, zip(*(part[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
-        h = np.frombuffer(b"".join([digest(g) for g in grams]), np.uint64)
-        wide = np.empty((len(h), BITS // 64), np.uint64)
-        for k in range(BITS // 64):
-            wide[:, k] = mixed(h, k + 1)
-        bits = np.unpackbits(wide.view(np.uint8), axis=1)
-        for i in range(0, len(bits), 255):  # sums of 255 bits fit a byte
-            ones += bits[i : i + 255].sum(axis=0, dtype=np.uint8)
-    return np.packbits(2 * ones > n).tobytes()
+        return np.empty(0, np.uint64)
+    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
+    return np.unique(hashes(grams))
+
+
+def bands_of(own: np.ndarray) -> np.ndarray:
+    """64 bits for each band of the signature of a set that isn't empty."""
+    low = (own ^ (own >> np.uint64(32))).astype(np.uint32)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(low), 2048):
+        np.minimum(least, ((low[at : at + 2048] ^ _FLIP) * _TIMES).min(axis=1), out=least)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, ROWS).T:
+        key = mixed(key ^ column.astype(np.uint64), 1)
+    return key
+
+
+def linked(sets: list[np.ndarray], bands: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """For each set (sorted, distinct, not empty) the least one, by place, that links connect it to.
+
+    A link is an exact Jaccard of ``similarity`` or more between two that share a band.
+    """
+    label, left = np.arange(len(sets)), np.arange(len(sets))
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    begin = np.cumsum(size) - size
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1] if sets else np.empty(0, np.int64)
+    mark = np.zeros(len(number), bool)
+    while len(left):
+        root, left = int(left[0]), left[1:]
+        front = [root]
+        while front and len(left):
+            x = front.pop()
+            near = (bands[left] == bands[x]).any(axis=1) & (np.minimum(size[left], size[x]) / np.maximum(size[left], size[x]) >= similarity)
+            own = number[begin[x] : begin[x] + size[x]]
+            mark[own] = True
+            at = np.flatnonzero(near)
+            for i in range(0, len(at), 1024):
+                some = left[at[i : i + 1024]]
+                n = size[some]
+                first = np.cumsum(n) - n
+                both = np.add.reduceat(mark[number[np.repeat(begin[some] - first, n) + np.arange(int(n.sum()))]], first, dtype=np.int64)
+                near[at[i : i + 1024]] = both / (n + size[x] - both) >= similarity
+            mark[own] = False
+            found, left = left[near], left[~near]
+            label[found] = root
+            front += found.tolist()
+    return label
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -109,7 +134,10 @@ def _runs(value: np.ndarray):
 
 
 def ties(value: np.ndarray, width: int, fp: np.ndarray, most: int) -> np.ndarray:
-    """For each member of a group the least member (by place) that verified links in the group connect it to."""
+    """For each member of a group the least member (by place) that fingerprints in the group connect it to.
+
+    The stage no longer decides by fingerprints and doesn't call this.
+    """
     label = np.arange(len(value))
     for bit in range(-1, width):
         masked = value if bit < 0 else value & ~np.uint64(1 << bit)
@@ -141,41 +169,36 @@ def duplicate_classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float
 
     def run(batches):
         for b in batches:
-            fps = [wide_fingerprint(t.as_py(), shingle) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.binary())], names=["id", "digest", "fp"])
+            own = [shingles(t.as_py(), shingle) for t in b.column(2)]
+            bands = [bands_of(s).view(np.int64) if len(s) else None for s in own]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(bands, pa.list_(pa.int64())), pa.array(list(map(len, own)), pa.int64())], names=["id", "digest", "bands", "size"]
+            )
 
     texts = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"), F.col(text).alias("text"))
-    rows = stored(map_arrow(texts, run, f"id {kind}, digest string, fp binary"), "wide-fingerprints")
-    classes = rows.groupBy("digest").agg(F.first("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id())
-    classes = stored(classes, "wide-classes")
-    usable = classes.where("fp is not null")
-    n = max(2, usable.count())
-    width = min(40, max(12, math.ceil(math.log2(n)) + 2))
-    exact = max(0, math.ceil(math.log2(n / GROUP)))
-    most, ball = bound(similarity), width - exact
-
-    def cut(batches):
-        for b in batches:
-            raw = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, BITS // 8)
-            bits = np.unpackbits(raw, axis=1)
-            for s in range(BITS // width):
-                own = bits[:, s * width : (s + 1) * width].astype(np.uint64)
-                value = own @ (np.uint64(1) << np.arange(width - 1, -1, -1, dtype=np.uint64))
-                key = (np.uint64(s) << np.uint64(exact)) | (value >> np.uint64(ball))
-                low = value & np.uint64((1 << ball) - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(low.astype(np.int64)), b.column(0), b.column(1)], names=["key", "low", "node", "fp"])
+    rows = stored(map_arrow(texts, run, f"id {kind}, digest string, bands array<bigint>, size bigint"), "bands")
+    classes = rows.groupBy("digest").agg(F.first("bands").alias("bands"), F.first("size").alias("size")).withColumn("node", F.monotonically_increasing_id())
+    classes = stored(classes, "band-classes")
+    keys = classes.where("size > 0").select("node", F.explode("bands").alias("key"))
+    hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
+    met = components(keys.join(hubs, "key").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")))
 
     def tie(t: pa.Table) -> pa.Table:
         node = t["node"].to_numpy()
         order = np.argsort(node, kind="stable")
         node = node[order]
-        fp = np.frombuffer(b"".join(t["fp"].to_pylist()), np.uint64).reshape(-1, BITS // 64)[order]
-        label = ties(t["low"].to_numpy().astype(np.uint64)[order], ball, fp, most)
+        bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[order]
+        label = linked([shingles(t["text"][int(i)].as_py(), shingle) for i in order], bands, similarity)
         at = np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"u": pa.array(node[at], pa.int64()), "v": pa.array(node[label[at]], pa.int64())})
 
-    index = map_arrow(usable.select("node", "fp"), cut, "key bigint, low bigint, node bigint, fp binary")
-    comp = components(index.groupBy("key").applyInArrow(tie, "u bigint, v bigint"))
+    members = stored(classes.join(met, "node"), "band-groups")
+    cuts = members.groupBy("component").agg(F.ceil(F.sum("size") / F.lit(BLOCK)).cast("int").alias("cuts"))
+    placed = members.join(cuts, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).where("block <> with or cuts = 1")
+    placed = placed.select("digest", "node", "bands", "component", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    once = texts.join(members.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+    comp = components(placed.join(once, "digest").groupBy("component", "low", "high").applyInArrow(tie, "u bigint, v bigint"))
     of = classes.select("digest", "node").join(comp, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
     known = rows.select("id", "digest").distinct().join(of, "digest")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest"))

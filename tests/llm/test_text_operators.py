@@ -254,6 +254,20 @@ def test_large_buckets_grow_the_same_parts():
     assert got.tolist() == [comp[i] for i in range(200)]
 
 
+def test_similar_candidates_do_not_depend_on_size():
+    """Bands have no parameter that follows the table's size: pairs at 0.8 meet, unlike ones of a million don't."""
+    rng = np.random.default_rng(8)
+    met = 0
+    for _ in range(400):
+        own = rng.integers(0, 2**63, 300, dtype=np.uint64)
+        other = np.concatenate([own[:267], rng.integers(0, 2**63, 33, dtype=np.uint64)])  # Jaccard 267 / 333
+        met += (similar.bands_of(np.sort(own)) == similar.bands_of(np.sort(other))).any()
+    assert met >= 398
+    keys = np.concatenate([similar.bands_of(rng.integers(0, 2**63, 50, dtype=np.uint64)) for _ in range(2000)])
+    assert len(np.unique(keys)) == len(keys)
+
+
+
 # substrings
 
 
