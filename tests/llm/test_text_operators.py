@@ -268,6 +268,18 @@ def test_similar_candidates_do_not_depend_on_size():
 
 
 
+def test_similar_ignores_how_often_a_line_repeats(spark):
+    rng = random.Random(5)
+    line = " ".join(f"line{i}" for i in range(9))
+    own = [[f"{d}x{rng.randrange(9999)}" for _ in range(200)] for d in range(6)]
+    df = spark.createDataFrame([(i, "\n".join([" ".join(w), *[line] * 20])) for i, w in enumerate(own)], "doc_id long, text string")
+    assert {r["doc_id"] for r in similar.without_near_duplicates(df).collect()} == set(range(6))
+    copy = [(10 + i, "\n".join([" ".join(w), *[line] * 3])) for i, w in enumerate(own)]  # the same shingles, counted otherwise
+    both = df.unionAll(spark.createDataFrame(copy, df.schema))
+    assert {r["doc_id"] for r in similar.without_near_duplicates(both).collect()} == set(range(6))
+
+
+
 # substrings
 
 
