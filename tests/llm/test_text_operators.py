@@ -280,6 +280,31 @@ def test_similar_ignores_how_often_a_line_repeats(spark):
 
 
 
+@pytest.mark.parametrize("block", [similar.BLOCK, 300])
+def test_similar_is_brute_force(spark, monkeypatch, block):
+    """Pairs and chains at 0.75 to 0.9, and exactly 0.8, against all pairs."""
+    monkeypatch.setattr(similar, "BLOCK", block)
+    rng = random.Random(9)
+    docs = []
+    for i in range(120):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(204)]  # 200 shingles
+        docs.append(base)
+        for _ in range(rng.choice([1, 1, 1, 4])):  # more copies, each of the one before
+            same = rng.randrange(171, 191)  # shingles of its start that stay: 0.748 to 0.913
+            base = base[: same + 4] + [f"v{rng.randrange(10**6)}" for _ in range(200 - same)]
+            docs.append(base)
+    long = [f"u{i}" for i in range(9)]
+    docs += [long[:8], long, long[:4] + ["end"], long[:4] + ["end", "x"]]  # Jaccard of exactly 4/5, and of 1/2
+    sets = [{tuple(d[i : i + 5]) for i in range(len(d) - 4)} for d in docs]
+    pairs = [(i, j) for j in range(len(docs)) for i in range(max(0, j - 6), j) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    assert len(pairs) > 60 and any(sets[j] and 0.75 < len(sets[j - 1] & sets[j]) / len(sets[j - 1] | sets[j]) < 0.8 for j in range(1, len(docs)))
+    comp = reachable(range(len(docs)), pairs)
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    got = {r["id"]: r["class_id"] for r in similar.duplicate_classes(df).collect()}
+    assert got == {i: comp[i] for i in range(len(docs))}
+
+
+
 # substrings
 
 
