@@ -353,15 +353,18 @@ def kept(key: object, make):
 
 
 def runs_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
-    """The runs of each text between white space, A-Z lower-cased as normalisation would: (offsets of the texts' runs, runs).
+    """The runs of each text between white space: (offsets of the texts' runs, runs). ASCII runs are lower-cased.
 
-    Texts with a string that may be a special token keep their case, as those are found before
+    Others keep their case: normalisation composes letters and marks first, and some compose only in
+    lower case. So do runs with a string that may be a special token, as those are found before
     normalisation. Empty runs stand for no characters.
     """
-    texts = pc.fill_null(texts, "")
-    lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
-    lists = pc.ascii_split_whitespace(lowered)
-    return lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    runs = lists.flatten().dictionary_encode()
+    names = runs.dictionary
+    lower = pc.and_(pc.string_is_ascii(names), pc.invert(pc.match_substring(names, "<|")))
+    merged = pc.if_else(lower, pc.ascii_lower(names), names).dictionary_encode()
+    return lists.offsets.to_numpy(), pa.DictionaryArray.from_arrays(merged.indices.take(runs.indices), merged.dictionary)
 
 
 class RunMemory:

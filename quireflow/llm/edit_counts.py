@@ -162,7 +162,7 @@ class Counter(LibraryEncoder):
         self.recall(runs_of(pa.array(texts, pa.string()))[1].dictionary.to_pylist())
 
     def __call__(self, run: bytes) -> int:
-        key = run.decode() if b"<|" in run else run.lower().decode()
+        key = run.lower().decode() if run.isascii() and b"<|" not in run else run.decode()
         ids = self.young.get(key)
         return len(ids if ids is not None else self.recall([key])[0]) // 4
 

@@ -50,6 +50,16 @@ def test_encoders_agree_with_the_library(library, vocabulary):
                 assert bpe.decode(ids.tolist(), vocabulary.tokens) == library.decode(expect, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("text", ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"])
+def test_capitals_that_compose_only_in_lower_case(library, vocabulary, text):
+    texts = [text, f"Aa {text}ber AA <|endoftext|> {text}"]
+    for encoder in (bpe.Encoder(vocabulary, None), bpe.LibraryEncoder(vocabulary.text)):
+        for t, ids in zip(texts, encoder.encode_each(pa.array(texts))):
+            assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
+    counter = edit_counts.Counter(vocabulary.text)
+    assert counter(text.encode()) == len(library.encode(text, add_special_tokens=False).ids)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.binary(min_size=1, max_size=70).filter(lambda b: not set(b) & set(b" \t\n\r\x0b\x0c")), min_size=1, max_size=20))
 def test_merger_is_merge(vocabulary, ws):
