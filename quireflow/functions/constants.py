@@ -80,13 +80,40 @@ DATI_MARKS = r"mamad|dati|mmd|(^|[_-])md($|[_-]|[0-9])|ממד"
 ANSWER_KEY_HEADING = "תשובון"
 COVER_MINUTES, COVER_SUPERVISOR, COVER_COORDINATOR, COVER_AUTHORS = "זמן הבחינה", 'הממונה על חידוני התנ"ך', "מרכז החידון ועורך החידון", "מחברי? השאלות"
 
-# fixed values: words of the staged booklets
+# fixed values: lines of question pages and answer keys (option, question)
+OPTION_LINE = r"(?U)^([אבגדה])\.\s*(.*)$"
+QUESTION_LINE = r"(?U)^(\d+)\.\s+(.*)$"
+
+# fixed values: lines of the staged booklets
+STAGE_LINE = r"(?U)^\s*שלב\s+([אבגד])\b\s*[:\-–]?\s*(.*)$"
+DATI_LINE = r"(?U)^\s*(?:[^:]*:\s*)?ממלכתי\s*[-–]\s*דתי\s*:?\s*$"
+GENERAL_LINE = r"(?U)^\s*(?:[^:]*:\s*)?ממלכתי\s*:?\s*$"
+ANSWERS_LINE = r"(?U)^\s*תשובות\s*:\s*$"
+ANSWER_LINE = r"(?U)^\s*ה?תשובה\s*:\s*(.*)$"
+CROSSWORD_LINE = r"(?U)^\s*תשבץ\s+(\d+)\s*:\s*$"
+PAIR_LINE = r"(?U)^\s*צמד\s+(\d+)\s*:\s*(.*)$"
+POEM_LINE = r"(?U)^\s*שאלה\s+(\d+)\s*$"
+CLUE_LINE = r"(?U)^\s*(\d+)\.\s*\((מאונך|מאוזן)\)\s*(.*)$"
+ITEM_LINE = r"(?U)^\s*(\d+)\.\s*(.*)$"
+PART_LINE = r"(?U)^\s*([אבגד])\.\s*(.*)$"
+LENGTH_MARK = r"(?U)\(\s*(\d+(?:\s*,\s*\d+)*)\s*\)"
+ALSO_ACCEPTED = r"(?U)תתקבל גם(?:\s+התשובה)?\s*:?\s*(.+)"
+ALTERNATES_CLAUSE = r"(?U)(?:יתקבל(?:ו)? גם|תתקבל גם(?:\s+התשובה)?)\s*:?\s*(.+)"
+BOOK_HINTS = "שמואל|מלכים|דברי הימים|ישעיה|ירמיה"
+
+# fixed values: words and headings of the staged booklets and of answer tables
 STAGE_WORD, PAIR_WORD, CROSSWORD_WORD, QUESTION_WORD = "שלב", "צמד", "תשבץ", "שאלה"
-ANSWERS_WORD, ANSWER_WORD = "תשובות", "תשובה"
-DIRECTIONS = ["מאונך", "מאוזן"]
+LATER_STAGE = r"(?U)שלב\s+[בג]\b"
+THE_ANSWER_MARK, ANSWERS_MARK = "התשובה:", "תשובות:"
 BOOKLET_STAGES = r"ראש\s+בראש|תשבצים|בעקבות\s+(?:קטעי|סרטונים)|המילה המשותפת|מה הקשר"
 SUBTYPES = {"תשבצים": "crossword", "תשבץ": "crossword", "ראש בראש": "head-to-head"}
 TRACK_TITLES = {"mamlachti": "ממלכתי", "mamlachti-dati": "ממלכתי-דתי"}
+TABLE_HEADING = "מקור|תשובה|באות|במילים"
+
+# fixed values: the regulations' numbers (points for an answer, points a hint costs, seconds)
+RULE_POINTS = r"(?U)ב[-־]?\s*(\d+)\s+נקודות"
+RULE_HINT = r"(?U)רמז[^.]{0,40}?(\d+)\s+נקודות"
+RULE_SECONDS = r"(?U)(\d+)\s+שניות"
 
 # fixed values: code points
 POINTS = "\\u0591-\\u05C7"  # points and cantillation

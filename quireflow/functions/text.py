@@ -5,6 +5,7 @@ Java's ``\\s`` and ``\\d`` are ASCII only; patterns that need all white space ca
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -14,6 +15,8 @@ from . import constants as C
 
 SPACE = r"(?U)\s"
 GAP = r"(?U)\s+"
+#: The characters of ``(?U)\s``.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 TAG = r"</?([a-zA-Z][a-zA-Z0-9]*)(?U)\s*>"
 
 
@@ -27,8 +30,18 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit("")) == ""
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``value``, which is evaluated once however often ``f`` has it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def number_of(c: Column) -> Column:
+    """A text of up to nine digits as an int, null for any other text."""
+    return F.when(c.rlike("^[0-9]{1,9}$"), c.cast("int"))
+
+
 def trim(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def collapse(c: Column) -> Column:
@@ -85,11 +98,15 @@ def skeleton(c: Column) -> Column:
     return F.translate(F.regexp_replace(F.coalesce(c, F.lit("")), f"[^{C.LETTERS}]", ""), C.FINAL_LETTERS, C.PLAIN_LETTERS)
 
 
+def bare_name(word: Column) -> Column:
+    """A word without the punctuation that may surround a short form of the Name."""
+    return F.regexp_replace(word, "^[\"“”.,()\\[\\]]+|[\"“”.,()\\[\\]]+$", "")
+
+
 def quote_stream(c: Column) -> Column:
     """The skeleton of a quotation in which the short forms of the Name stand for its letters."""
-    bare = lambda w: F.regexp_replace(w, "^[\"“”.,()\\[\\]]+|[\"“”.,()\\[\\]]+$", "")
     words = F.split(trim(c), GAP)
-    return F.array_join(F.transform(words, lambda w: F.when(bare(w).isin(C.NAME_SHORT), C.NAME_FULL).otherwise(skeleton(w))), "")
+    return F.array_join(F.transform(words, lambda w: F.when(bare_name(w).isin(C.NAME_SHORT), C.NAME_FULL).otherwise(skeleton(w))), "")
 
 
 def is_vocalized(word: Column) -> Column:
@@ -114,6 +131,17 @@ def ends_with_furniture(c: Column) -> Column:
     return matches(trim(c), f"[{C.LETTERS}](?U)\\s+\\d{{1,3}}\\s*$")
 
 
+def turned(c: Column) -> Column:
+    """A line that was drawn from right to left, in reading order: a letter keeps its marks, digits keep their order.
+
+    Null gives null. The result isn't normalised yet (``arrow.logical`` is this in composed form).
+    """
+    clusters = F.regexp_extract_all(c, F.lit(f"(?U)\\s|\\S[{C.POINTS}]*"), 0)
+    back = F.array_join(F.reverse(clusters), "")
+    runs = F.regexp_extract_all(back, F.lit(r"(?U)\d+|\D+"), 0)
+    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike(r"(?U)^\d"), F.reverse(r)).otherwise(r)), "")
+
+
 def clean_points(c: Column) -> Column:
     return collapse(F.regexp_replace(F.coalesce(c, F.lit("")), "[\\u05C3\\u05C0\\u05C6\\u05F3\\u05F4]", ""))
 
@@ -345,7 +373,7 @@ def _run_step(a: Column, vocalized: Column) -> Column:
 def alternates(answer: Column) -> Column:
     """(primary, alternates, note) of an answer with a clause of what is accepted as well, or a remark in parentheses."""
     a = F.coalesce(answer, F.lit(""))
-    clause = r"(?U)(?:יתקבל(?:ו)? גם|תתקבל גם(?:\s+התשובה)?)\s*:?\s*(.+)"
+    clause = C.ALTERNATES_CLAUSE
     found = F.regexp_extract(a, clause, 1)
     body = lambda s: trim(F.regexp_extract(s, r"(?s)^([^(]*)", 1))
     before = trim(F.regexp_replace(trim(F.regexp_replace(a, "(?s)" + clause + ".*$", "")), r"\(+$", ""))
@@ -366,9 +394,9 @@ def live_rules(c: Column) -> Column:
         return F.when(s.rlike(pattern), F.regexp_extract(s, pattern, 1).cast("int"))
 
     rules = F.struct(
-        number(r"(?U)ב[-־]?\s*(\d+)\s+נקודות").alias("points_per_correct"),
-        number(r"(?U)רמז[^.]{0,40}?(\d+)\s+נקודות").alias("points_decay_per_hint"),
-        number(r"(?U)(\d+)\s+שניות").alias("time_limit_seconds"),
+        number(C.RULE_POINTS).alias("points_per_correct"),
+        number(C.RULE_HINT).alias("points_decay_per_hint"),
+        number(C.RULE_SECONDS).alias("time_limit_seconds"),
     )
     any_ = rules["points_per_correct"].isNotNull() | rules["points_decay_per_hint"].isNotNull() | rules["time_limit_seconds"].isNotNull()
     return F.when(any_, rules)
@@ -396,13 +424,13 @@ def cover_page(c: Column) -> Column:
 def looks_staged(pages: Column) -> Column:
     """Pages of a staged booklet: stages after the first, answers in place, and a name of a staged round."""
     t = F.array_join(pages, "\n")
-    return t.rlike(rf"(?U){C.STAGE_WORD}\s+[בג]\b") & (t.contains("תשובה:") & t.contains("התשובה:") | t.contains(f"{C.ANSWERS_WORD}:")) & t.rlike("(?U)" + C.BOOKLET_STAGES)
+    return t.rlike(C.LATER_STAGE) & (t.contains(C.THE_ANSWER_MARK) | t.contains(C.ANSWERS_MARK)) & t.rlike("(?U)" + C.BOOKLET_STAGES)
 
 
 def stage_subtype(name: Column, lines: Column) -> Column:
     named = reduce(lambda rest, kv: F.when(name.contains(kv[0]), kv[1]).otherwise(rest), reversed(list(C.SUBTYPES.items())), F.lit(None).cast("string"))
-    crossword = F.exists(lines, lambda x: x.rlike(rf"(?U)^\s*{C.CROSSWORD_WORD}\s+\d+\s*:\s*$"))
-    pairs = F.exists(lines, lambda x: x.rlike(rf"(?U)^\s*{C.PAIR_WORD}\s+\d+\s*:"))
+    crossword = F.exists(lines, lambda x: x.rlike(C.CROSSWORD_LINE))
+    pairs = F.exists(lines, lambda x: x.rlike(C.PAIR_LINE))
     return F.coalesce(named, F.when(crossword, "crossword").when(pairs, "head-to-head").otherwise("live-rounds"))
 
 

@@ -1,7 +1,15 @@
-"""Joins: diffs, merges, pairing by similarity, quotations, windows around matches, overlaps."""
+"""Joins: diffs, merges, pairing by similarity, quotations, windows around matches, overlaps.
+
+Defined results, unless an operator says otherwise: a null key equals no other key in a join and is one group in
+an aggregate; repeated rows give repeated results; other columns of the inputs may have any names.
+"""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,18 +36,26 @@ def diff(expected: DataFrame, got: DataFrame, key: str, fields: dict[str, Column
     return out.where(F.col("issue").isNotNull() | F.greatest(F.lit(False), *[F.col(f"{f}_differs") for f in named]))
 
 
+def compared(expected: DataFrame, got: DataFrame, key: str, fields: dict[str, Column] | list[str], order: str | None = None) -> DataFrame:
+    """One row: questions_compared (keys that both sides have) and questions_with_diffs (rows of ``diff``)."""
+    both = expected.select(key).distinct().join(got.select(key).distinct(), key).agg(F.count("*").alias("questions_compared"))
+    return both.crossJoin(diff(expected, got, key, fields, order).agg(F.count("*").alias("questions_with_diffs")))  # one row each
+
+
 def sources_of(unit: Column) -> Column:
     """A unit's sources in an order of their own, for comparison."""
     return F.array_sort(F.transform(F.coalesce(unit["primary_sources"], F.array()), lambda s: F.struct(s["book"].alias("book"), s["chapter"].alias("chapter"), s["verse"].alias("verse"))))
 
 
-def merged_review(units: DataFrame, review: DataFrame) -> DataFrame:
+def merged_review(units: DataFrame, review: DataFrame, order: str | None = None) -> DataFrame:
     """Units with a second reading's texts where these are clean, and a list of warnings.
 
     Both have doc_id, display_number, prompt, options. Options are taken over only if both sides have
-    the same four keys; each option's text for itself.
+    the same four keys; each option's text for itself. Of readings with one number the last in ``order``
+    holds, without ``order`` the greatest.
     """
-    r = review.groupBy("doc_id", "display_number").agg(F.last(F.struct("prompt", "options")).alias("r"))
+    read = F.struct("prompt", "options")
+    r = review.groupBy("doc_id", "display_number").agg((F.max_by(read, order) if order else F.max(read)).alias("r"))
     j = units.join(r, ["doc_id", "display_number"], "left")
     p, v, b = F.col("r.prompt"), F.coalesce("r.options", F.array().cast("array<struct<key:string,text:string>>")), F.col("options")
     keys = lambda o: F.transform(o, lambda x: x["key"])
@@ -91,35 +107,71 @@ def first_accepted(candidates: DataFrame) -> DataFrame:
     return ok.groupBy("left_id").agg(best.alias("b")).select("left_id", "b.*")
 
 
-def _word_grams(text: Column, n: int) -> Column:
-    """The distinct runs of ``n`` words between single spaces: shifted copies of the words side by side."""
-    words = F.split(text, " ")
-    shifted = F.arrays_zip(*[F.slice(words, k + 1, F.greatest(F.size(words) - n + 1, F.lit(0))).alias(f"w{k}") for k in range(n)])
-    return F.array_distinct(F.transform(shifted, lambda x: F.concat_ws(" ", *[x.getField(f"w{k}") for k in range(n)])))
+#: Needles that one pass over the hays looks for, and the characters of each that the automaton holds.
+NEEDLES, PREFIX = 100_000, 24
+
+
+def _finder(texts: list[str]):
+    """``texts`` as an automaton over their first ``PREFIX`` characters; each prefix has the numbers of the texts it begins."""
+    import ahocorasick
 
+    begins: dict[str, list[int]] = {}
+    for i, x in enumerate(texts):
+        begins.setdefault(x[:PREFIX], []).append(i)
+    out = ahocorasick.Automaton()
+    for prefix, numbers in begins.items():
+        out.add_word(prefix, (len(prefix), numbers))
+    out.make_automaton()
+    return out
+
+
+def _first_places(hay: str, texts: list[str], finder) -> dict[int, int]:
+    """The number of each text that ``hay`` contains, with its first place (1 is the start)."""
+    found: dict[int, int] = {}
+    for end, (n, numbers) in finder.iter(hay):
+        at = end + 1 - n
+        for i in numbers:
+            if i not in found and hay.startswith(texts[i], at):
+                found[i] = at + 1
+    return found
 
-def contained(needles: DataFrame, hays: DataFrame, needle_id: str, hay_id: str, text: str = "text", gram: int = 4) -> DataFrame:
+
+def contained(needles: DataFrame, hays: DataFrame, needle_id: str, hay_id: str, text: str = "text", most: int = NEEDLES) -> DataFrame:
     """needle_id, hay_id, at: where a needle's text stands in a hay's text first (1 is the start).
 
-    An inverted index in place of a nested loop: hays are cut into grams of words between single spaces and
-    joined on one inner gram of each needle (its second to fifth word, which stand whole in any hay that
-    contains it), then checked. Needles of under ``gram`` + 2 words have none and meet the hays with their
-    first character.
+    One Arrow pass over the hays looks for all distinct needles with an automaton and sends only what it
+    finds; nothing else is shuffled. At most ``most`` needles go to the executors at once: their number is
+    counted first, and more of them take several passes, dealt by a hash.
+
+    Every needle row meets every hay row that contains it, repeated and null ids included. Null texts
+    and empty needles find nothing.
     """
-    n = needles.select(F.col(needle_id), F.col(text).alias("_n"))
-    words = F.split("_n", " ")
-    long = n.where(F.size(words) >= gram + 2).withColumn("_gram", F.array_join(F.slice(words, 2, gram), " "))
-    h = hays.select(F.col(hay_id), F.col(text).alias("_h"))
-    grams = h.select(hay_id, F.explode(_word_grams(F.col("_h"), gram)).alias("_gram"))
-    wanted = long.select("_gram").distinct()
-    found = grams.join(wanted, "_gram", "left_semi").join(long, "_gram").select(needle_id, hay_id, "_n").distinct().join(h, hay_id)
-    rest = n.where(F.size(words) < gram + 2).where("_n <> ''")
-    out = found.select(needle_id, hay_id, F.instr(F.col("_h"), F.col("_n")).alias("at")).where("at > 0")
-    # a short needle meets the hays that have its first character
-    letters = h.select(hay_id, "_h", F.explode(F.array_distinct(F.split("_h", ""))).alias("_first"))
-    small = letters.join(rest.withColumn("_first", F.substring("_n", 1, 1)), "_first")
-    out = out.unionAll(small.select(needle_id, hay_id, F.instr(F.col("_h"), F.col("_n")).alias("at")).where("at > 0"))
-    return out
+    n = needles.select(F.col(needle_id).alias("_needle"), F.col(text).alias("_text")).where("_text <> ''")
+    h = hays.select(F.col(hay_id).alias("_hay"), F.col(text).alias("_in")).where("_in is not null")
+    texts = n.select("_text").distinct()
+    passes = max(1, math.ceil(texts.count() / most))
+    kind = h.schema["_hay"].dataType.simpleString()
+    context = needles.sparkSession.sparkContext
+    found = None
+    for i in range(passes):
+        part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(passes)) == i) if passes > 1 else texts
+        wanted = context.broadcast(sorted(r[0] for r in part.collect()))
+
+        def run(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
+            own = wanted.value
+            finder = _finder(own) if own else None
+            for b in batches if own else ():
+                rows, which, at = [], [], []
+                for k, hay in enumerate(b.column(1)):
+                    for no, place in _first_places(hay.as_py(), own, finder).items():
+                        rows.append(k)
+                        which.append(own[no])
+                        at.append(place)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(which, pa.string()), pa.array(at, pa.int32())], names=["_hay", "_text", "at"])
+
+        one = h.mapInArrow(run, f"_hay {kind}, _text string, at int")
+        found = one if found is None else found.unionAll(one)
+    return found.join(n, "_text").select(F.col("_needle").alias(needle_id), F.col("_hay").alias(hay_id), "at")
 
 
 def window_context(rows: DataFrame, doc: str, pos: str, matched: Column, text: str, before: int = 1, after: int = 1) -> DataFrame:

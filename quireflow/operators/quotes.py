@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrow as A
+from ..functions import constants as C
 from ..functions import text as T
 
 GRAM = 6
@@ -81,6 +82,50 @@ def vocalized_quote(text: Column) -> Column:
     return F.array_max(F.filter(spans, lambda s: T.is_vocalized(s["text"])))["text"]
 
 
+ELLIPSIS = r"(?U)\s*(?:…|\.\s*\.\s*\.+|\.{2,})\s*"
+#: Letters under which a part of a quotation isn't looked for, and words that its place may have beyond those quoted.
+LEAST_LETTERS, SLACK = 4, 2
+#: Stands between the parts while they are normalised together.
+BETWEEN = "\x01"
+
+
+def with_alignment(rows: DataFrame, quote: str = "quote", source: str = "text", out: str = "aligned") -> DataFrame:
+    """``rows`` with ``out``: the words of the clean ``source`` that ``quote`` has, its gaps kept.
+
+    The source is an array of words with the number of letters up to each word's end. The parts of the
+    quotation between ellipses become streams of letters, their places in the source's letters are found
+    together (``arrow.places``), and what a place takes in is read off the ends: first and last word. Null if a part
+    isn't found or takes in over ``SLACK`` words more than were quoted, or if no part has ``LEAST_LETTERS``. A
+    short form of the Name in the quotation stays one.
+    """
+    words = lambda c: F.filter(F.split(T.trim(c), T.GAP), lambda w: w != "")
+    step = rows.withColumn("_words", words(F.col(source))).withColumn("_raw", F.split(F.col(quote), ELLIPSIS))
+    step = step.withColumn("_letters", A.letter_lists(F.col("_words"))).withColumn("_plain", F.split(A.nfkc(F.array_join("_raw", BETWEEN)), BETWEEN))
+    ends = F.transform("_letters", lambda _, i: F.length(F.array_join(F.slice("_letters", F.lit(1), i + 1), "")))
+
+    def part(raw: Column, plain: Column) -> Column:
+        n = F.size(F.filter(words(raw), lambda w: w.rlike(f"[{C.LETTERS}]")))
+        named = F.exists(words(plain), lambda w: T.bare_name(w).isin(C.NAME_SHORT))
+        return F.struct(T.quote_stream(plain).alias("needle"), n.alias("n"), named.alias("named"))
+
+    parts = F.filter(F.zip_with("_raw", "_plain", part), lambda p: F.length(p["needle"]) >= LEAST_LETTERS)
+    step = step.withColumn("_ends", ends).withColumn("_parts", parts)
+    step = step.withColumn("_places", A.quote_places(F.transform("_parts", lambda p: p["needle"]), F.array_join("_letters", "")))
+
+    def word_at(letter: Column) -> Column:
+        return F.size(F.filter("_ends", lambda e: e <= letter))
+
+    found = F.zip_with("_parts", "_places", lambda p, x: F.struct(p["n"].alias("n"), p["named"].alias("named"), word_at(x["start"]).alias("first"), word_at(x["start"] + x["length"] - 1).alias("last"), x.isNotNull().alias("there")))
+    fits = F.forall(found, lambda f: f["there"] & (f["last"] - f["first"] + 1 <= f["n"] + SLACK)) & (F.size(found) > 0)
+
+    def told(f: Column) -> Column:
+        span = lambda a: F.slice(a, f["first"] + 1, f["last"] - f["first"] + 1)
+        return F.array_join(F.zip_with(span(F.col("_words")), span(F.col("_letters")), lambda w, x: F.when(f["named"] & (x == C.NAME_FULL), C.NAME_SHORT[0]).otherwise(w)), " ")
+
+    text = F.array_join(F.transform(F.filter(found, lambda f: f["there"]), told), " … ")
+    return step.withColumn(out, F.when(F.coalesce(fits, F.lit(False)), text)).drop("_words", "_raw", "_parts", "_letters", "_plain", "_ends", "_places")
+
+
 def cleaned_inline(rows: DataFrame, verses: DataFrame, id_col: str = "id", text: str = "text", refs: str | None = None) -> DataFrame:
     """``rows`` with ``cleaned``: the vocalised quotation inside the text replaced by the corpus's words for it, and ``is_cleaned``.
 
@@ -91,7 +136,7 @@ def cleaned_inline(rows: DataFrame, verses: DataFrame, id_col: str = "id", text:
     q = q.where("quote is not null")
 
     def aligned_to(open_: DataFrame, texts: DataFrame) -> DataFrame:
-        return open_.join(texts, "quote_id").withColumn("aligned", A.aligned(F.col("quote"), F.col("text"))).where("aligned is not null").select("quote_id", "aligned")
+        return with_alignment(open_.join(texts, "quote_id")).where("aligned is not null").select("quote_id", "aligned")
 
     done = aligned_to(q, resolved(q, verses).select("quote_id", "text"))
     if refs:

@@ -1,7 +1,15 @@
-"""Operators over nested documents: flattening, predicates, quality, validation, summaries, reports."""
+"""Operators over nested documents: flattening, predicates, quality, validation, summaries, reports.
+
+Defined results: null sections, units, options and sources are empty lists; null and empty texts are alike blank;
+each row is one document, repeated or not, so nothing is lost or joined by an id unless an operator says so.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from json import loads
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +24,7 @@ def units_of(sections: Column) -> Column:
 
 def exploded_units(docs: DataFrame) -> DataFrame:
     """doc_id, pos, unit for every unit."""
-    rows = docs.select(F.col("questionnaire_id").alias("doc_id"), F.flatten(F.transform("sections", lambda s: s["question_units"])).alias("units"))
+    rows = docs.select(F.col("questionnaire_id").alias("doc_id"), units_of(F.col("sections")).alias("units"))
     return rows.select("doc_id", F.posexplode("units").alias("pos", "unit"))
 
 
@@ -124,8 +132,8 @@ def furniture(unit: Column) -> Column:
     return F.filter(fields, lambda f: T.ends_with_furniture(f["text"]))
 
 
-def stats(docs: DataFrame) -> DataFrame:
-    """The report's counts for each document."""
+def stats(docs: DataFrame, *more: Column) -> DataFrame:
+    """The report's counts for each document, and ``more`` columns."""
     u = units_of(F.col("sections"))
 
     def n(test) -> Column:
@@ -143,13 +151,29 @@ def stats(docs: DataFrame) -> DataFrame:
         F.size(leaked).alias("page_furniture_contamination"),
         leaked.alias("page_furniture_fields"),
         n(lambda x: F.exists(texts_of(x), T.has_tags)).alias("with_html_formatting"),
+        *more,
     )
 
 
+def is_answered(subquestion: Column) -> Column:
+    return F.exists(F.coalesce(subquestion["acceptable_answers"], F.array()), lambda a: ~T.blank(a["answer_text"]))
+
+
+def stage_letters(sections: Column) -> Column:
+    """The letters of a staged booklet's stages, each once, in order."""
+    letters = F.transform(F.coalesce(sections, F.array()), lambda s: F.regexp_extract(s["section_id"], "^stage_([^_]*)_", 1))
+    return F.array_distinct(F.filter(letters, lambda x: x != ""))
+
+
+def first_few(found: Column, n: int = 3) -> Column:
+    """The first ``n`` entries of an array, for display."""
+    return F.slice(found, 1, n)
+
+
 def answered(docs: DataFrame) -> DataFrame:
     """Subquestions, and how many of them have an answer, for each document."""
     subs = F.flatten(F.transform(units_of(F.col("sections")), lambda u: F.coalesce(u["subquestions"], F.array())))
-    has = F.filter(subs, lambda s: F.exists(F.coalesce(s["acceptable_answers"], F.array()), lambda a: ~T.blank(a["answer_text"])))
+    has = F.filter(subs, is_answered)
     return docs.select("questionnaire_id", F.size(subs).alias("total"), F.size(has).alias("answered"))
 
 
@@ -225,27 +249,37 @@ def audit(docs: DataFrame, doc: Column, id_col: str) -> DataFrame:
     return walked.where(T.detached_or_lost(F.col("value"))).select(id_col, "path", F.substring("value", 1, 60).alias("snippet"))
 
 
-def walk(rows: DataFrame, id_col: str, json: str = "json", depth: int = 12) -> DataFrame:
-    """id, path, value of every scalar of a JSON column, ``.key`` and ``[i]`` steps in the path; down to ``depth`` levels.
+def _scalars(json: str | None) -> Iterator[tuple[str, str | None]]:
+    """(path, value) of every scalar, in order; numbers as they are written."""
+    if json is None:
+        return
+    todo = [("", loads(json, parse_int=str, parse_float=str, parse_constant=str))]
+    while todo:
+        path, x = todo.pop()
+        if isinstance(x, dict):
+            todo += reversed([(f"{path}.{k}", v) for k, v in x.items()])
+        elif isinstance(x, list):
+            todo += reversed([(f"{path}[{i}]", v) for i, v in enumerate(x)])
+        else:
+            yield path, x if x is None or isinstance(x, str) else str(x).lower()
+
+
+def walk(rows: DataFrame, id_col: str, json: str = "json") -> DataFrame:
+    """id, path, value of every scalar of a JSON column, ``.key`` and ``[i]`` steps in the path, however deep.
 
-    Values are unfolded level by level with ``variant_explode``; a document that is deeper fails loudly.
+    One Arrow pass: a level has no branch of its own, so the plan doesn't grow with the depth. A null document
+    has no scalars, a null inside one has a null value; numbers keep their digits as written; of keys that
+    repeat in one object the last holds. Text that isn't JSON fails.
     """
-    level = rows.select(F.col(id_col), F.lit("").alias("path"), F.parse_json(F.col(json)).alias("v"))
-    out = None
-    for d in range(depth + 1):
-        kind = F.schema_of_variant("v")
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        flat = level.where(~nested).select(id_col, "path", F.col("v").cast("string").alias("value"))
-        out = flat if out is None else out.unionAll(flat)
-        inner = level.where(nested)
-        if d == depth:
-            # the test is in the expression: a filter from above may be moved below ``inner``'s own
-            too_deep = F.when(nested, F.raise_error(F.lit(f"deeper than {depth} levels")).cast("string"))
-            return out.unionAll(inner.select(id_col, "path", too_deep.alias("value")))
-        level = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("v").outer())).select(
-            F.col(id_col), F.concat("path", F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), "key"))).alias("path"), F.col("value").alias("v")
-        )
-    return out
+    kind = rows.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(i, *x) for i, text in enumerate(b.column(1)) for x in _scalars(text.as_py())]
+            at, path, value = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(path, pa.string()), pa.array(value, pa.string())], names=[id_col, "path", "value"])
+
+    return rows.select(id_col, json).mapInArrow(run, f"`{id_col}` {kind}, path string, value string")
 
 
 def batch_summary(reports: DataFrame) -> DataFrame:
@@ -253,7 +287,7 @@ def batch_summary(reports: DataFrame) -> DataFrame:
     return reports.groupBy("extraction_quality").agg(F.count("*").alias("n"), F.sum("questions_detected").alias("questions"), F.sum(F.size("errors")).alias("errors")).orderBy("extraction_quality")
 
 
-def stub(ids: DataFrame, quality_: str, notes: str, fetch_date: str) -> DataFrame:
+def stub(ids: DataFrame, quality_: str, notes: str | Column, fetch_date: str) -> DataFrame:
     """Documents without sections for (base, url) rows: what the id tells, a quality and a note."""
     from .. import schema
 
@@ -266,7 +300,7 @@ def stub(ids: DataFrame, quality_: str, notes: str, fetch_date: str) -> DataFram
         F.array().alias("syllabus"), none.alias("time_limit_minutes"), none.alias("instructions_text"), none.alias("source_text_edition"),
         F.struct(none.alias("points_per_question"), none.alias("max_points"), F.lit(False).alias("scoring_is_tiered")).alias("scoring_summary"),
     )
-    origin = F.struct(F.col("url").alias("fetched_from"), F.lit(fetch_date).alias("fetch_date"), F.lit(quality_).alias("extraction_quality"), F.lit(notes).alias("extraction_notes"))
+    origin = F.struct(F.col("url").alias("fetched_from"), F.lit(fetch_date).alias("fetch_date"), F.lit(quality_).alias("extraction_quality"), (notes if isinstance(notes, Column) else F.lit(notes)).alias("extraction_notes"))
     return ids.select(
         F.col("base").alias("questionnaire_id"), F.col("url").alias("source_url"), filled.cast(schema.METADATA).alias("metadata"),
         F.array().cast(f"array<{schema.SECTION}>").alias("sections"), F.lit(False).alias("answer_key_present"), F.lit("none").alias("answer_key_location"),

@@ -1,391 +1,6 @@
-"""The queries over the driver's tables: each applies operators of the library; where SQL can say the same, it stands beside."""
+"""All registered queries: importing the modules registers them."""
 
-from __future__ import annotations
+from . import documents, rows, texts
+from .base import ORACLES, QUERIES
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-from ..functions import arrow as A
-from ..functions import constants as C
-from ..functions import text as T
-from ..operators import folds, matching, segments, units
-from ..sources import files
-from ..streaming.incremental import process_new
-
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-_LINES = "select l_orderkey, count(*) n, count(*) filter (where l_returnflag = 'R') keyed from lineitem group by l_orderkey"
-_QUALITY = "case when coalesce(n, 0) = 0 or coalesce(keyed, 0) = 0 then 'manual_review_needed' when keyed < n then 'partial' else 'clean' end"
-
-
-def _order_documents(spark: SparkSession, d: str) -> DataFrame:
-    lines = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("keyed"))
-    orders = t(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    n, keyed = F.coalesce("n", F.lit(0)), F.coalesce("keyed", F.lit(0))
-    return orders.withColumn("question_count", n).withColumn("n_keyed", keyed).withColumn("extraction_quality", units.quality(n, keyed))
-
-
-@query(f"""select o_orderkey id, o_orderstatus track, coalesce(n, 0) question_count, {_QUALITY} extraction_quality, coalesce(keyed, 0) > 0 has_answer_key
-from orders left join ({_LINES}) on o_orderkey = l_orderkey""")
-def manifest(spark, d):
-    docs = _order_documents(spark, d)
-    return docs.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("track"), "question_count", "extraction_quality", (F.col("n_keyed") > 0).alias("has_answer_key"))
-
-
-@query(f"""select o_orderstatus track, extraction_quality, count(*) n, sum(question_count) questions from (
-select o_orderstatus, {_QUALITY} extraction_quality, coalesce(n, 0) question_count from orders left join ({_LINES}) on o_orderkey = l_orderkey) group by all""")
-def quality_rollup(spark, d):
-    return _order_documents(spark, d).groupBy(F.col("o_orderstatus").alias("track"), "extraction_quality").agg(F.count("*").alias("n"), F.sum("question_count").alias("questions"))
-
-
-@query("""select o_orderkey, concat_ws('; ', case when c_custkey is null then 'missing customer' end,
-case when not o_totalprice between 1000 and 400000 then 'total out of range' end,
-case when o_orderstatus not in ('F', 'O') then 'bad status ' || o_orderstatus end,
-case when c_acctbal < 0 then 'no balance' end) errors from orders left join customer on o_custkey = c_custkey""")
-def validate_orders(spark, d):
-    j = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-    errors = F.array_compact(
-        F.array(
-            F.when(F.col("c_custkey").isNull(), "missing customer"),
-            F.when(~F.col("o_totalprice").between(1000, 400000), "total out of range"),
-            F.when(~F.col("o_orderstatus").isin("F", "O"), F.concat(F.lit("bad status "), "o_orderstatus")),
-            F.when(F.col("c_acctbal") < 0, "no balance"),
-        )
-    )
-    return j.select("o_orderkey", F.array_join(errors, "; ").alias("errors"))
-
-
-@query("""select count(*) total_files, count(*) filter (where event_type = 'purchase') processed, count(*) filter (where event_type = 'view') skipped_existing,
-count(*) filter (where event_type = 'error') failed, cast(coalesce(sum(coalesce(user_id, 0)), 0) as bigint) suspicious_hebrew_total from events""")
-def run_log(spark, d):
-    status = F.when(F.col("event_type") == "purchase", "success").when(F.col("event_type") == "view", "skipped_existing").when(F.col("event_type") == "error", "fetch_failed")
-    return units.run_log(t(spark, d, "events").select(status.alias("status"), F.col("user_id").alias("suspicious_hebrew")))
-
-
-@query("""select lang, count(*) questions_detected, count(quality) labelled, count(*) filter (where quality = 1) with_correct_answer,
-count(*) filter (where toxic = 1) suspected, cast(sum(n_chars) as bigint) chars from documents left join labels using (doc_id) group by lang""")
-def doc_stats(spark, d):
-    j = t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left")
-    return j.groupBy("lang").agg(
-        F.count("*").alias("questions_detected"), F.count("quality").alias("labelled"), F.count_if(F.col("quality") == 1).alias("with_correct_answer"),
-        F.count_if(F.col("toxic") == 1).alias("suspected"), F.sum("n_chars").alias("chars"),
-    )
-
-
-@query("""select doc_id, cast(i - 1 as bigint) line_no, l[i] as line from (select doc_id, string_split(text, chr(10)) l from documents), lateral (select unnest(range(1, len(l) + 1)) i)""")
-def line_explode(spark, d):
-    return segments.exploded_lines(t(spark, d, "documents"), ("doc_id",)).select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line")
-
-
-@query("select doc_id, length(regexp_replace(text, '[^a-z]', '', 'g')) n_letters, length(regexp_replace(text, '[^a-z]', '', 'g')) >= 40 readable from documents")
-def letter_count_gate(spark, d):
-    n = T.count_chars(F.col("text"), "a-z")
-    return t(spark, d, "documents").select("doc_id", n.cast("long").alias("n_letters"), (n >= 40).alias("readable"))
-
-
-@query("""select conv_id, turn, case when regexp_matches(text, '^[0-9]+$') then 'numeric' when regexp_matches(text, '(Que |Was |What |Who )') then 'speaker_id'
-when regexp_matches(text, '(^| )(not|nicht|pas|no)( |$)') and regexp_matches(text, '^(The|Der|Die|Le|La|El|Un)') then 'negative_exclusion' else 'multiple_choice' end kind from conversations""")
-def classify_turns(spark, d):
-    x = F.col("text")
-    kind = F.when(x.rlike("^[0-9]+$"), "numeric").when(x.rlike("(Que |Was |What |Who )"), "speaker_id")
-    kind = kind.when(x.rlike("(^| )(not|nicht|pas|no)( |$)") & x.rlike("^(The|Der|Die|Le|La|El|Un)"), "negative_exclusion").otherwise("multiple_choice")
-    return t(spark, d, "conversations").select("conv_id", "turn", kind.alias("kind"))
-
-
-_ACCENTS, _PLAIN = "àáâäçèéêëìíîïñòóôöùúûüß", "aaaaceeeeiiiinoooouuuus"
-
-
-@query(f"select doc_id, md5(regexp_replace(translate(lower(text), '{_ACCENTS}', '{_PLAIN}'), '[^a-z]', '', 'g')) skeleton from documents")
-def skeleton(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.md5(F.regexp_replace(F.translate(F.lower("text"), _ACCENTS, _PLAIN), "[^a-z]", "")).alias("skeleton"))
-
-
-_ALPHABET = "abcdefghijklmnopqrstuvwxyz"
-
-
-@query(f"select p_partkey, cast(coalesce(list_sum(list_transform(string_split(p_name, ''), lambda c: strpos('{_ALPHABET}', c))), 0) as bigint) total from part")
-def gematria_name(spark, d):
-    return t(spark, d, "part").select("p_partkey", T.letter_sum(F.col("p_name"), {c: i + 1 for i, c in enumerate(_ALPHABET)}).cast("long").alias("total"))
-
-
-_ONES, _TENS = list("אבגדהוזחט"), list("יכלמנסעפצ")
-
-
-@query(f"""select p_partkey, case when p_size <= 0 then '' when p_size % 100 in (15, 16) then 'ט' || {_ONES}[p_size % 100 - 9]
-else coalesce({_TENS}[(p_size % 100) // 10], '') || coalesce({_ONES}[p_size % 10], '') end numeral from part""")
-def numeral_format(spark, d):
-    return t(spark, d, "part").select("p_partkey", T.numeral(F.col("p_size")).alias("numeral"))
-
-
-_TAG = "</?([a-zA-Z][a-zA-Z0-9]*)\\s*>"
-
-
-@query(f"select page_id, md5(regexp_replace(html, '{_TAG}', '', 'g')) stripped, md5(trim(regexp_replace(regexp_replace(html, '{_TAG}', '', 'g'), '\\s+', ' ', 'g'))) comparable from pages")
-def strip_tags(spark, d):
-    return t(spark, d, "pages").select("page_id", F.md5(T.strip_tags(F.col("html"))).alias("stripped"), F.md5(T.comparable(F.col("html"))).alias("comparable"))
-
-
-@query(f"select page_id, regexp_matches(html, '{_TAG}') has_html, len(regexp_extract_all(html, '{_TAG}')) n_tags from pages")
-def has_html(spark, d):
-    return t(spark, d, "pages").select("page_id", T.has_tags(F.col("html")).alias("has_html"), F.size(F.regexp_extract_all("html", F.lit(T.TAG), 0)).cast("long").alias("n_tags"))
-
-
-@query()
-def tag_balance(spark, d):
-    errors = T.tag_errors(F.col("html"))
-    return t(spark, d, "pages").select("page_id", F.size(errors).alias("n_errors"), (F.size(errors) == 0).alias("valid"))
-
-
-@query("""with l as (select page_id, i, regexp_extract(h, '"/([^"/?#]+)"', 1) base from (select page_id, regexp_extract_all(html, '<a href="[^"]*"') a from pages),
-lateral (select unnest(range(1, len(a) + 1)) i), lateral (select a[i] h)) select base, arg_min(page_id, page_id * 1000000 + i) page_id, count(*) n from l where base <> '' group by base""")
-def link_discovery(spark, d):
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="[^"]*"'), 0)
-    links = t(spark, d, "pages").select("page_id", F.posexplode(hrefs).alias("pos", "h")).withColumn("base", F.regexp_extract("h", '"/([^"/?#]+)"', 1))
-    first = F.min_by("page_id", F.struct("page_id", "pos"))
-    return links.where("base <> ''").groupBy("base").agg(first.alias("page_id"), F.count("*").alias("n"))
-
-
-@query("""select page_id, nullif(regexp_extract(url, '/(de|en|fr|es)/', 1), '') track, try_cast(nullif(regexp_extract(url, '/([0-9]+)', 1), '') as int) year_civil,
-case when url like 'https://%' then 'secure' when url like 'http://m.%' then 'mobile' else 'plain' end stage, nullif(regexp_extract(url, '^https?://([^/]+)', 1), '') host from pages""")
-def url_decode(spark, d):
-    u = F.col("url")
-    some = lambda p: F.nullif(F.regexp_extract(u, p, 1), F.lit(""))
-    stage = F.when(u.startswith("https://"), "secure").when(u.startswith("http://m."), "mobile").otherwise("plain")
-    return t(spark, d, "pages").select("page_id", some("/(de|en|fr|es)/").alias("track"), some("/([0-9]+)").cast("int").alias("year_civil"), stage.alias("stage"), some("^https?://([^/]+)").alias("host"))
-
-
-@query("""select conv_id, turn, last_value(case when length(text) > 300 then turn end ignore nulls) over (partition by conv_id order by turn) book from conversations""")
-def locf_role(spark, d):
-    rows = t(spark, d, "conversations")
-    return segments.carried_forward(rows, "conv_id", "turn", F.when(F.length("text") > 300, F.col("turn")), "book").select("conv_id", "turn", "book")
-
-
-@query("""select conv_id, container, count(*) n, min(turn) first_turn, count(*) filter (where role = 'assistant') answers from (
-select *, cast(sum(case when role = 'user' then 1 else 0 end) over (partition by conv_id order by turn) as bigint) container from conversations) where container > 0 group by all""")
-def containers(spark, d):
-    rows = segments.containers(t(spark, d, "conversations"), "conv_id", "turn", F.col("role") == "user")
-    return rows.groupBy("conv_id", "container").agg(F.count("*").alias("n"), F.min("turn").alias("first_turn"), F.count_if(F.col("role") == "assistant").alias("answers"))
-
-
-@query("""with p as (select user_id, event_id, event_type, row_number() over (partition by user_id order by ts, event_id) rn from events),
-v as (select user_id, rn, rn - row_number() over (partition by user_id order by rn) g from p where event_type in ('click', 'view')),
-r as (select user_id, g, count(*) n, min(rn) start from v group by all having count(*) >= 3),
-o as (select *, row_number() over (partition by user_id order by n desc, start) k from r) select user_id, start, n from o where k = 1""")
-def islands(spark, d):
-    return segments.longest_runs(t(spark, d, "events"), ("user_id",), ("ts", "event_id"), F.col("event_type").isin("click", "view")).select("user_id", F.col("start").cast("long").alias("start"), "n")
-
-
-@query()
-def question_fold(spark, d):
-    """The question fold over documents whose lines are numbered by place: odd lines ask, even lines are options."""
-    docs = t(spark, d, "documents")
-    lines = F.transform(F.split("text", "\n"), lambda x, i: F.when(i % 3 == 0, F.concat((F.floor(i / 3) + 1).cast("string"), F.lit(". "), x)).otherwise(F.concat(F.lit("א. "), x)))
-    u = folds.questions(lines)
-    return docs.select("doc_id", F.size(u).alias("n_questions"), F.aggregate(u, F.lit(0), lambda a, x: a + F.size(x["options"])).alias("n_options"))
-
-
-@query("""with k as (select l_orderkey, l_linenumber, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc, l_quantity desc, l_returnflag desc) r,
-l_partkey, l_returnflag from lineitem) select o_orderkey, l_linenumber qnum, l_partkey answer, l_returnflag correct_option from orders left join (select * from k where r = 1) on o_orderkey = l_orderkey""")
-def answer_last_wins(spark, d):
-    order = F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag")
-    last = t(spark, d, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("qnum")).agg(F.max_by(F.struct("l_partkey", "l_returnflag"), order).alias("a"))
-    j = t(spark, d, "orders").join(last, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return j.select("o_orderkey", "qnum", F.col("a.l_partkey").alias("answer"), F.col("a.l_returnflag").alias("correct_option"))
-
-
-@query("""with g as (select doc_id, quality, toxic from labels), o as (select doc_id, cast(case when n_chars >= 400 then 1 else 0 end as int) quality, cast(case when text like '%!!%' then 1 else 0 end as int) toxic from documents)
-select * from (select coalesce(g.doc_id, o.doc_id) doc_id, case when g.doc_id is null then 'extra' when o.doc_id is null then 'missing' end issue,
-g.doc_id is not null and o.doc_id is not null and g.quality is distinct from o.quality quality_differs, g.doc_id is not null and o.doc_id is not null and g.toxic is distinct from o.toxic toxic_differs
-from g full join o on g.doc_id = o.doc_id) where issue is not null or quality_differs or toxic_differs""")
-def evaluate_diff(spark, d):
-    got = t(spark, d, "documents").select("doc_id", (F.col("n_chars") >= 400).cast("int").alias("quality"), F.col("text").contains("!!").cast("int").alias("toxic"))
-    return matching.diff(t(spark, d, "labels"), got, "doc_id", ["quality", "toxic"])
-
-
-@query("""select documents.doc_id, case when quality = 1 then 'reviewed ' || lang else lang end prompt,
-case when labels.doc_id is null then 'no vision data' when quality = 0 then 'rejected' end warning from documents left join labels on documents.doc_id = labels.doc_id""")
-def merge_baseline(spark, d):
-    j = t(spark, d, "documents").join(t(spark, d, "labels").withColumn("_there", F.lit(True)), "doc_id", "left")
-    prompt = F.when(F.col("quality") == 1, F.concat(F.lit("reviewed "), "lang")).otherwise(F.col("lang"))
-    warning = F.when(F.col("_there").isNull(), "no vision data").when(F.col("quality") == 0, "rejected")
-    return j.select("doc_id", prompt.alias("prompt"), warning.alias("warning"))
-
-
-@query('select item_id, doc_id, strpos(d.text, b.text) as "at" from benchmark b join documents d on contains(d.text, b.text)')
-def quote_locate(spark, d):
-    return matching.contained(t(spark, d, "benchmark"), t(spark, d, "documents"), "item_id", "doc_id").select("item_id", "doc_id", F.col("at").cast("long").alias("at"))
-
-
-@query("""select m.conv_id, m.turn, md5(string_agg(n.text, ' ' order by n.turn)) context from conversations m join conversations n on n.conv_id = m.conv_id and n.turn between m.turn - 1 and m.turn + 1
-where m.role = 'assistant' group by all""")
-def window_context(spark, d):
-    return matching.window_context(t(spark, d, "conversations"), "conv_id", "turn", F.col("role") == "assistant", "text").select("conv_id", "turn", F.md5("context").alias("context"))
-
-
-@query(f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce({_ONES}[greatest(1, l_linenumber - 2)], '') || '-' || coalesce({_ONES}[l_linenumber + 1], '') verse from lineitem""")
-def widen_range(spark, d):
-    ref = F.struct(F.lit("x").alias("book"), F.lit("א").alias("chapter"), T.numeral(F.col("l_linenumber")).alias("verse"))
-    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", T.widened(ref)["verse"].alias("verse"))
-
-
-@query("""with k as (select conv_id, turn, list_distinct(list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '')) s from conversations)
-select a.conv_id, a.turn, len(list_intersect(a.s, b.s)) both_have, len(list_distinct(list_concat(a.s, b.s))) either_has, 2 * len(list_intersect(a.s, b.s)) >= len(list_distinct(list_concat(a.s, b.s))) alike
-from k a join k b on a.conv_id = b.conv_id and b.turn = a.turn + 1""")
-def token_jaccard(spark, d):
-    """A turn and the next: their word sets."""
-    k = t(spark, d, "conversations").select("conv_id", "turn", F.array_distinct(matching.tokens(F.lower("text"))).alias("s"))
-    nxt = k.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("s").alias("s2"))
-    j = k.join(nxt, ["conv_id", "turn"])
-    both, either = F.size(F.array_intersect("s", "s2")).cast("long"), F.size(F.array_union("s", "s2")).cast("long")
-    return j.select("conv_id", "turn", both.alias("both_have"), either.alias("either_has"), (matching.jaccard(F.col("s"), F.col("s2")) >= 0.5).alias("alike"))
-
-
-@query("""with c as (select n_nationkey, r_regionkey, lower(n_name) a, lower(r_name) b from nation, region),
-s as (select n_nationkey, r_regionkey, coalesce((select max(n) from (select unnest(range(1, length(b) + 1)) n) , lateral (select unnest(range(1, length(b) + 1)) i)
-where i + n - 1 <= length(b) and contains(a, substr(b, i, n))), 0) score from c)
-select n_nationkey left_id, r_regionkey right_id, cast(score as int) score, cast(row_number() over (partition by n_nationkey order by score desc, r_regionkey) as int) place from s where score >= 1""")
-def lcs_pairing(spark, d):
-    n = t(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.lower("n_name").alias("core"), F.lit(0).alias("block"), F.lit(None).cast("int").alias("year"), F.col("n_nationkey").alias("pos"))
-    r = t(spark, d, "region").select(F.col("r_regionkey").alias("id"), F.lower("r_name").alias("core"), F.lit(0).alias("block"), F.lit(None).cast("int").alias("year"), F.col("r_regionkey").alias("pos"))
-    return matching.paired(n, r, least=1, share=0.0, gram=1)
-
-
-@query("""select o_orderkey, coalesce(n, 0) n, cast(floor(o_totalprice / 50000) as int) + 1 expected,
-coalesce(n, 0) > 0 and abs(coalesce(n, 0) - (cast(floor(o_totalprice / 50000) as int) + 1)) <= greatest(2, cast(round_even((cast(floor(o_totalprice / 50000) as int) + 1) * 0.15::double, 0) as int)) accepted
-from orders left join (select l_orderkey, count(*) n from lineitem group by 1) on o_orderkey = l_orderkey""")
-def count_guard(spark, d):
-    n = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    j = t(spark, d, "orders").join(n, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    j = j.withColumn("expected", F.floor(F.col("o_totalprice") / 50000).cast("int") + 1)
-    return j.select("o_orderkey", "n", "expected", matching.count_guard(F.col("n"), F.col("expected")).alias("accepted"))
-
-
-@query("""with a as (select l_orderkey, list(l_partkey order by l_partkey, l_suppkey) filter (where l_returnflag = 'A') x, list(l_suppkey order by l_suppkey, l_partkey) filter (where l_returnflag <> 'A') y from lineitem group by 1)
-select l_orderkey, i as pos, x[i] as left_part, y[i] as right_supp from a, lateral (select unnest(range(1, least(coalesce(len(x), 0), coalesce(len(y), 0)) + 1)) i)""")
-def zip_truncate(spark, d):
-    is_a = F.col("l_returnflag") == "A"
-    a = t(spark, d, "lineitem").groupBy("l_orderkey").agg(
-        F.transform(F.array_sort(F.collect_list(F.when(is_a, F.struct("l_partkey", "l_suppkey")))), lambda x: x["l_partkey"]).alias("x"),
-        F.transform(F.array_sort(F.collect_list(F.when(~is_a, F.struct("l_suppkey", "l_partkey")))), lambda x: x["l_suppkey"]).alias("y"),
-    )
-    z = a.select("l_orderkey", F.posexplode(matching.zipped(F.col("x"), F.col("y"))).alias("pos", "p"))
-    return z.select("l_orderkey", (F.col("pos") + 1).cast("long").alias("pos"), F.col("p.left").alias("left_part"), F.col("p.right").alias("right_supp"))
-
-
-@query("""select n_nationkey, case n_name when 'NATION_3' then 'national' when 'NATION_7' then 'world' else case when n_regionkey in (0, 2) then 'school' when n_regionkey = 4 then 'district' end end stage from nation""")
-def override_map(spark, d):
-    fixed = {"NATION_3": "national", "NATION_7": "world"}
-    told = F.when(F.col("n_regionkey").isin(0, 2), "school").when(F.col("n_regionkey") == 4, "district")
-    return t(spark, d, "nation").select("n_nationkey", F.coalesce(T.lookup(fixed, F.col("n_name")), told).alias("stage"))
-
-
-@query("select doc_id, lang, source from documents where doc_id not in (select doc_id from labels where doc_id is not null)")
-def skip_existing(spark, d):
-    return matching.not_yet_done(t(spark, d, "documents"), t(spark, d, "labels"), "doc_id").select("doc_id", "lang", "source")
-
-
-@query("select page_id, regexp_replace(url, '[/?#&=]', ' ', 'g') text from pages where regexp_matches(regexp_replace(url, '[/?#&=]', ' ', 'g'), '[a-z]\\s+[0-9]{1,3}\\s*$')")
-def furniture(spark, d):
-    text = F.regexp_replace("url", "[/?#&=]", " ")
-    return t(spark, d, "pages").select("page_id", text.alias("text")).where(F.col("text").rlike("[a-z]\\s+[0-9]{1,3}\\s*$"))
-
-
-@query("""select l_orderkey, l_linenumber, count(*) n from lineitem group by all having count(*) > 1""")
-def duplicate_ids(spark, d):
-    return t(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1")
-
-
-@query("select event_id, '.' || j.key path, json_extract_string(j.\"value\", '$') as \"value\" from events, json_each(props) j")
-def json_walk(spark, d):
-    return units.walk(t(spark, d, "events"), "event_id", "props", depth=3).select("event_id", "path", "value")
-
-
-@query("""with s as (select page_id, i, q[i] x from (select page_id, regexp_extract_all(html, '"([^"]+)"', 1) q from pages), lateral (select unnest(range(1, len(q) + 1)) i)),
-o as (select *, row_number() over (partition by page_id order by length(x) desc, i) k from s) select pages.page_id, x quoted from pages left join (select * from o where k = 1) o on pages.page_id = o.page_id""")
-def longest_quoted(spark, d):
-    return t(spark, d, "pages").select("page_id", T.longest_quoted(F.col("html")).alias("quoted"))
-
-
-@query("select p_brand, arg_max(p_partkey, p_retailprice * 1000000 - p_partkey) p_partkey, max(p_retailprice) p_retailprice from part group by p_brand")
-def top_candidate(spark, d):
-    best = F.max_by(F.struct("p_partkey", "p_retailprice"), F.struct("p_retailprice", -F.col("p_partkey")))
-    return t(spark, d, "part").groupBy("p_brand").agg(best.alias("b")).select("p_brand", "b.*")
-
-
-@query("""with s as (select doc_id, i, trim(p[i], ' ' || chr(10)) seg from (select doc_id, string_split(text, '.') p from documents), lateral (select unnest(range(1, len(p) + 1)) i)),
-k as (select doc_id, i, seg, last_value(case when regexp_matches(seg, '^[A-Z]') then regexp_extract(seg, '^([A-Za-z]+)', 1) end ignore nulls) over (partition by doc_id order by i) book from s where seg <> '')
-select doc_id, count(*) n_refs, count(distinct book) n_books, max(book) last_book from k where book is not null group by doc_id""")
-def segment_refs(spark, d):
-    segs = t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", r"\.")).alias("i", "s"))
-    segs = segs.select("doc_id", "i", F.regexp_replace("s", "^[ \\n]+|[ \\n]+$", "").alias("seg")).where("seg <> ''")
-    book = F.when(F.col("seg").rlike("^[A-Z]"), F.regexp_extract("seg", "^([A-Za-z]+)", 1))
-    k = segments.carried_forward(segs, "doc_id", "i", book, "book").where("book is not null")
-    return k.groupBy("doc_id").agg(F.count("*").alias("n_refs"), F.countDistinct("book").alias("n_books"), F.max("book").alias("last_book"))
-
-
-@query("""select doc_id, coalesce(n, 0) n_lines, coalesce(blank, 0) blank_lines, coalesce(longest, 0) longest from documents left join (
-select doc_id d, count(*) n, count(*) filter (where trim(l) = '') blank, max(length(l)) longest from (select doc_id, unnest(string_split(text, chr(10))) l from documents) group by 1) on d = doc_id""")
-def line_stats(spark, d):
-    lines = F.split("text", "\n")
-    return t(spark, d, "documents").select(
-        "doc_id", F.size(lines).cast("long").alias("n_lines"), F.size(F.filter(lines, lambda x: F.trim(x) == "")).cast("long").alias("blank_lines"),
-        F.array_max(F.transform(lines, F.length)).cast("long").alias("longest"),
-    )
-
-
-@query("""select extraction_quality, count(*) n, cast(sum(n_chars) as bigint) questions, count(*) filter (where quality is null) errors from (
-select n_chars, quality, case when n_chars < 200 then 'unreadable' when quality is null then 'manual_review_needed' when quality = 1 then 'clean' else 'partial' end extraction_quality from documents left join labels using (doc_id)) group by 1""")
-def batch_summary(spark, d):
-    j = t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left")
-    q = F.when(F.col("n_chars") < 200, "unreadable").when(F.col("quality").isNull(), "manual_review_needed").when(F.col("quality") == 1, "clean").otherwise("partial")
-    errors = F.when(F.col("quality").isNull(), F.array(F.lit("no label"))).otherwise(F.array().cast("array<string>"))
-    return units.batch_summary(j.select(q.alias("extraction_quality"), F.col("n_chars").alias("questions_detected"), errors.alias("errors")))
-
-
-@query("select doc_id, case when lang in ('en', 'de') and n_chars > 500 then 'known' else 'stub' end status, coalesce(source, 'none') source from documents")
-def dispatch(spark, d):
-    known = F.col("lang").isin("en", "de") & (F.col("n_chars") > 500)
-    return t(spark, d, "documents").select("doc_id", F.when(known, "known").otherwise("stub").alias("status"), F.coalesce("source", F.lit("none")).alias("source"))
-
-
-@query()
-def repaired_text(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.md5(A.repaired(F.col("text"))).alias("repaired"), F.md5(A.nfkc(F.col("text"))).alias("nfkc"))
-
-
-@query()
-def narrative_split(spark, d):
-    s = T.narrative_split(F.col("text"))
-    return t(spark, d, "conversations").select("conv_id", "turn", s["narrative"].alias("narrative"), F.md5(s["question"]).alias("question"))
-
-
-@query()
-def incremental_stream(spark, d):
-    """New files of the events table, those not written yet, by a stream that ends when it has all."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file:///tmp/quireflow-{uuid.uuid4().hex}"
-    to = f"{base}/incremental-{uuid.uuid4().hex}"
-    schema = t(spark, d, "events").schema
-    step = lambda rows: rows.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    source = f"{d}/events.parquet"
-    name = source.rpartition("/")
-    folder, pattern = (name[0], name[2])
-    process_new(spark, folder, schema, f"{to}/out", f"{to}/checkpoint", "event_id", step, pattern)
-    return spark.read.parquet(f"{to}/out")
+__all__ = ["ORACLES", "QUERIES", "documents", "rows", "texts"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +20,20 @@ def session(app: str = "quireflow", **conf: str) -> SparkSession:
     for k, v in conf.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    A local session without one gets one here. On a cluster a machine's own folder would lose rows, so there
+    the setting must be made.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = "file://" + tempfile.mkdtemp(prefix="quireflow-shared-")
+    spark.sparkContext.setCheckpointDir(path)
+    return path

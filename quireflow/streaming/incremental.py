@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.matching import not_yet_done
+from ..sources.files import exists
 
 
 def process_new(
@@ -21,22 +23,21 @@ def process_new(
     pattern: str = "*.parquet",
     force: bool = False,
 ) -> None:
-    """Run ``step`` over what is new under ``source`` and append its rows to ``to``, then stop.
+    """Run ``step`` over what is new under ``source`` and add its rows to ``to``, then stop.
 
-    The checkpoint remembers files; beyond that, rows whose key was written before are left out (with
-    ``force`` they are written again). A batch that is run again after a failure finds its keys done.
+    The checkpoint remembers files; beyond that, rows whose key an earlier batch wrote are left out (with
+    ``force`` they are written again). Of rows with one key in a batch one is taken. A row with a null key
+    can't be known again by its key, only by its file. Each batch has its own folder ``batch=N`` under ``to`` and replaces
+    it, so a batch that is run again after a failure leaves its rows once; keys are compared with the batches before it.
     """
     stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(source)
 
-    def write(batch: DataFrame, _: int) -> None:
-        rows = batch
-        if not force:
-            try:
-                rows = not_yet_done(batch, spark.read.parquet(to), key)
-            except Exception as e:  # nothing was written yet
-                if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                    raise
-        step(rows).write.mode("append").parquet(to)
+    def write(batch: DataFrame, number: int) -> None:
+        named, unnamed = batch.where(F.col(key).isNotNull()), batch.where(F.col(key).isNull())
+        before = [f"{to}/batch={i}" for i in range(number) if exists(spark, f"{to}/batch={i}")]
+        if before and not force:
+            named = not_yet_done(named, spark.read.parquet(*before).select(key), key)
+        step(named.dropDuplicates([key]).unionByName(unnamed)).write.mode("overwrite").parquet(f"{to}/batch={number}")
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

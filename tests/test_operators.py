@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from quireflow import schema
-from quireflow.operators import booklets, folds, matching, quotes, segments, units
+from quireflow.operators import booklets, emphasis, folds, matching, processing, quotes, segments, units
 from quireflow.sources import files
 
 
@@ -239,3 +239,144 @@ def test_files(spark, tmp_path):
     page = spark.createDataFrame([(1, '<a href="/files/x_ans.pdf">1</a><a href="http://h/files/y.docx">2</a><a href="/z.pdf">'), (2, '<a href="/files/y.pdf">')], "page_id int, html string")
     links = {r["base"]: r for r in files.discovered(page, base_url="http://b/").collect()}
     assert set(links) == {"x_ans", "y"} and links["x_ans"]["is_answer_key"] and links["x_ans"]["url"] == "http://b/x_ans.pdf" and links["y"]["page"] == 1
+
+
+def test_contained_repeats_and_nulls(spark):
+    """Every needle row meets every hay row that has it, as a nested loop would; nulls and empty needles find nothing."""
+    hays = spark.createDataFrame([(1, "one two three four five six seven"), (1, "one two three four five six seven"), (None, "two three"), (3, None), (4, ""), (5, "é" * 70_000 + " two")], "h int, text string")
+    needles = spark.createDataFrame([(1, "two three"), (1, "two three"), (None, "two"), (3, "one two three four five six seven"), (4, ""), (5, None), (6, "o")], "n int, text string")
+    got = sorted(((r["n"], r["h"], r["at"]) for r in matching.contained(needles, hays, "n", "h").collect()), key=repr)
+    want = [(n, h, ht.find(nt) + 1) for n, nt in [tuple(r) for r in needles.collect()] for h, ht in [tuple(r) for r in hays.collect()] if nt and ht and nt in ht]
+    assert got == sorted(want, key=repr) and len(got) > 12
+    assert sorted(((r["n"], r["h"], r["at"]) for r in matching.contained(needles, hays, "n", "h", most=2).collect()), key=repr) == got  # in several passes
+    assert matching.contained(needles.where("false"), hays, "n", "h").count() == matching.contained(needles, hays.where("false"), "n", "h").count() == 0
+
+
+def test_long_document_is_folded(spark):
+    lines = F.transform(F.sequence(F.lit(0), F.lit(29_999)), lambda i: F.when(i % 3 == 0, F.concat((F.floor(i / 3) + 1).cast("string"), F.lit(". q"))).otherwise(F.concat(F.lit("א. o"), i.cast("string"))))
+    u = spark.range(1).select(folds.questions(lines).alias("u")).select(F.size("u").alias("n"), F.col("u")[9_999]["options"].alias("o")).first()
+    assert u["n"] == 10_000 and [x["text"] for x in u["o"]] == ["o29998", "o29999"]
+    rows = spark.createDataFrame([("d", 0, 1_000_000, "last"), ("d", 1, 0, "next"), ("d", 0, 0, None)], "doc_id string, page_no int, line_no int, line string")
+    assert folds.lines_of(rows).first()["lines"] == ["", "last", "next"]
+    odd = spark.createDataFrame([(None,), ([],), ([None, "1. a", "99999999999999999999. b"],)], "l array<string>").select(folds.questions(F.col("l")).alias("u")).collect()
+    assert [None if r["u"] is None else [(x["number"], x["prompt"]) for x in r["u"]] for r in odd] == [None, [], [(1, "a 99999999999999999999. b")]]
+
+
+def test_review_is_deterministic(spark):
+    kind = "doc_id string, display_number string, prompt string, options array<struct<key:string,text:string>>"
+    units_ = spark.createDataFrame([("d", "1", "p", None), (None, "1", "p", [])], kind)
+    review = spark.createDataFrame([("d", "1", "a", None, 2), ("d", "1", "b", None, 1), ("d", "1", None, None, 0)], kind + ", seq int")
+    assert {r["doc_id"]: r["prompt"] for r in matching.merged_review(units_, review).collect()} == {"d": "b", None: "p"}
+    assert {r["doc_id"]: r["prompt"] for r in matching.merged_review(units_, review, "seq").collect()} == {"d": "a", None: "p"}
+
+
+def test_walk(spark):
+    deep = "[" * 60 + "1.50" + "]" * 60
+    rows = spark.createDataFrame([(1, '{"a":[true,null,{"b":"x"}],"c":1e3}'), (2, None), (3, deep), (4, "{}"), (5, '"t"')], "i int, json string")
+    got = {(r["i"], r["path"], r["value"]) for r in units.walk(rows, "i").collect()}
+    assert got == {(1, ".a[0]", "true"), (1, ".a[1]", None), (1, ".a[2].b", "x"), (1, ".c", "1e3"), (3, "[0]" * 60, "1.50"), (5, "", "t")}
+
+
+def test_emphasis_stays_off_options(spark):
+    unit = UNIT | {"prompt": "מי לא היה", "options": [{"key": k, "text": "מי לא היה"} for k in "אבגד"]}
+    docs = document(spark, [unit, unit | {"prompt": None}]).unionAll(document(spark, [unit], name="other")).unionAll(document(spark, None, name="none"))
+    docs = docs.unionAll(docs.where("questionnaire_id = 'other'"))
+    lines = spark.createDataFrame([("mehozi_mm2024", 0, 0, "מי לא היה", [("לא", True, True)])], "doc_id string, page_no int, line_no int, line string, spans array<struct<text:string,bold:boolean,underline:boolean>>")
+    out = emphasis.emphasized(docs, lines).collect()
+    got = [(r["questionnaire_id"], [(u["prompt"], {o["text"] for o in u["options"]}) for s in r["sections"] for u in s["question_units"] or []]) for r in out]
+    plain = ("מי לא היה", {"מי לא היה"})
+    assert sorted(got) == sorted([("mehozi_mm2024", [("מי <b><u>לא</u></b> היה", {"מי לא היה"}), (None, {"מי לא היה"})]), ("other", [plain]), ("other", [plain]), ("none", [])])
+
+
+def test_lines_are_anchored_to_their_first_character(spark):
+    rows = [("d", 0, i, c, 10.0 * i, 10.0 * i + 9, top, top + 10, "Arial-BoldMT" if c in "ab" else None) for i, (c, top) in enumerate(zip("abcd", [100.0, 102.0, 104.0, 106.0]))]
+    rows += [("d", 0, 9, None, 1.0, 2.0, 1.0, 2.0, "f"), ("d", 0, 10, " ", 20.0, 21.0, 100.0, 110.0, "f")]
+    chars = spark.createDataFrame(rows, "doc_id string, page_no int, char_no int, text string, x0 double, x1 double, top double, bottom double, fontname string")
+    lines = emphasis.lines_of_chars(chars)
+    assert sorted((r["text"], r["line_no"]) for r in lines.collect()) == [(" ", 0), ("a", 0), ("b", 0), ("c", 1), ("d", 1)]
+    words = {r["text"]: r["bold"] for r in emphasis.words_of_chars(lines).collect()}
+    assert words == {"ba": True, "dc": False}
+    assert emphasis.detected(chars.where("false"), chars.select("doc_id", "page_no", "x0", "x1", "top", "bottom").where("false")).count() == 0
+
+
+def test_process_files(spark, tmp_path):
+    """A batch of files: parsed, unreadable and broken ones; a second run skips what is there."""
+    import zipfile
+
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    (tmp_path / "in").mkdir()
+    body = "".join(f"<w:p><w:r><w:t>{x}</w:t></w:r></w:p>" for x in ["שער", "עוד שורה של שער עם הרבה אותיות כדי שיהיה מה לקרוא בקובץ הזה"])
+    with zipfile.ZipFile(tmp_path / "in" / "mehozi_mm2024.docx", "w") as z:
+        z.writestr("word/document.xml", f"<w:document {w}><w:body>{body}</w:body></w:document>")
+    (tmp_path / "in" / "old.doc").write_bytes(b"\xd0\xcf")
+    (tmp_path / "in" / "scan.pdf").write_bytes(b"x")
+    (tmp_path / "in" / "broken.pdf").write_bytes(b"y")
+
+    def pdf(content):
+        if content == b"y":
+            raise ValueError("no pdf")
+        return [""]
+
+    to = str(tmp_path / "out")
+    first = {r["id"]: r for r in processing.process(spark, str(tmp_path / "in"), to, "2026-01-01", readers={"pdf": pdf}, second={"pdf": lambda c: ["ab"]}).collect()}
+    assert {k: r["status"] for k, r in first.items()} == dict.fromkeys(["mehozi_mm2024", "old", "scan", "broken"], "success")
+    assert {k: r["extraction_quality"] for k, r in first.items()} == {"mehozi_mm2024": "manual_review_needed", "old": "unreadable", "scan": "unreadable", "broken": "unreadable"}
+    docs = spark.read.parquet(to)
+    notes = {r["questionnaire_id"]: r["n"] for r in docs.select("questionnaire_id", F.col("import_provenance.extraction_notes").alias("n")).collect()}
+    assert notes["broken"] == "extraction error: no pdf" and notes["scan"] == "image-based PDF -- text layer empty"
+    assert notes["mehozi_mm2024"] == "no question units parsed; validation: no question units"
+    (tmp_path / "in" / "new.doc").write_bytes(b"z")
+    again = {r["id"]: r["status"] for r in processing.process(spark, str(tmp_path / "in"), to, "2026-01-01", readers={"pdf": pdf}).collect()}
+    assert again == dict.fromkeys(["mehozi_mm2024", "old", "scan", "broken"], "skipped_existing") | {"new": "success"}
+    assert spark.read.parquet(to).count() == 5
+    log = units.run_log(processing.results(spark.createDataFrame([("x",)], "base string"), docs)).first()
+    assert (log["total_files"], log["failed"]) == (1, 1)
+
+
+def test_pilot(spark):
+    docs = document(spark, [UNIT | {"prompt": "<b>x"}])
+    review = spark.createDataFrame([("mehozi_mm2024", "1", "חדש", [(k, "חדש") for k in "אבגד"])], "doc_id string, display_number string, prompt string, options array<struct<key:string,text:string>>")
+    out = processing.pilot(docs, review=review, expected=None)
+    unit = out.first()["sections"][0]["question_units"][0]
+    assert unit["prompt"] == "חדש" and [o["text"] for o in unit["options"]] == ["חדש"] * 4
+    r = processing.report(out).first()
+    assert r["questions_detected"] == 1 and r["errors"] == [] and r["extraction_quality"] == "clean"
+    assert units.batch_summary(processing.report(out)).first()["questions"] == 1
+
+
+def test_incremental_rows_once(spark, tmp_path):
+    from quireflow.streaming.incremental import process_new
+
+    src, kind = str(tmp_path / "src"), "k int, v string"
+    spark.createDataFrame([(1, "a"), (1, "a"), (None, "n"), (2, "b")], kind).coalesce(1).write.parquet(src)
+    schema_ = spark.read.parquet(src).schema
+    run = lambda: process_new(spark, src, schema_, str(tmp_path / "out"), str(tmp_path / "cp"), "k", lambda x: x)
+    read = lambda: sorted(((r["k"], r["v"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()), key=repr)
+    run()
+    assert read() == [(1, "a"), (2, "b"), (None, "n")]
+    spark.createDataFrame([(2, "again"), (3, "c")], kind).coalesce(1).write.mode("append").parquet(src)
+    run()
+    run()
+    assert read() == [(1, "a"), (2, "b"), (3, "c"), (None, "n")]
+
+
+def test_verses_are_numbered_over_files(spark, tmp_path):
+    d = tmp_path / "v"
+    d.mkdir()
+    for f in "ab":
+        (d / f"{f}.jsonl").write_text("\n".join(f'{{"book":"{f}","chapter":1,"verse":{i},"niqqud":"x"}}' for i in range(50)) + "\n\n", encoding="utf-8")
+    rows = files.read_verses(spark, str(d)).orderBy("idx").collect()
+    assert [(r["idx"], r["book"], r["verse"]) for r in rows] == [(50 * k + i, f, i) for k, f in enumerate("ab") for i in range(50)]
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from quireflow import session
+
+    class Other:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"getCheckpointDir": staticmethod(lambda: None), "master": "spark://host:7077"})
+
+    import pytest
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Other)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quireflow.functions import arrow as A
 from quireflow.functions import text as T
+from quireflow.operators import quotes
 
 
 def one(spark, column, **values):
@@ -127,15 +128,44 @@ def test_common_substring(a, b):
     assert A.common_substring(a, b) == expect
 
 
-def test_visual_order():
-    assert A.visual_to_logical("םולש 21") == "21 שלום"
+def test_visual_order(spark):
+    assert many(spark, A.logical(F.col("v")), ["םולש 21", "", None]) == ["21 שלום", "", None]
 
 
-def test_align_quote():
+def test_alignment(spark):
     verse = "וַיֹּאמֶר יְהוָה אֶל מֹשֶׁה לֵּאמֹר"
-    assert A.align_quote("ויאמר ה' אל משה", verse) == "וַיֹּאמֶר ה' אֶל מֹשֶׁה"
-    assert A.align_quote("אל משה לאמר", verse) == "אֶל מֹשֶׁה לֵּאמֹר"
-    assert A.align_quote("דברים אחרים לגמרי", verse) is None
+    rows = spark.createDataFrame(
+        [(0, "ויאמר ה' אל משה", verse), (1, "אל משה לאמר", verse), (2, "דברים אחרים לגמרי", verse), (3, "ויאמר יהוה ... משה לאמר", verse), (4, "אל", verse), (5, None, verse), (6, "אל משה", None), (7, "", "")],
+        "i int, quote string, text string",
+    )
+    got = {r["i"]: r["aligned"] for r in quotes.with_alignment(rows).collect()}
+    assert got[0] == "וַיֹּאמֶר ה' אֶל מֹשֶׁה" and got[1] == "אֶל מֹשֶׁה לֵּאמֹר"
+    assert got[3] == "וַיֹּאמֶר יְהוָה … מֹשֶׁה לֵּאמֹר"
+    assert got[2] is got[4] is got[5] is got[6] is got[7] is None
+
+
+def place_by_trial(part, hay, after):
+    """Every start followed to its earliest end."""
+    found = []
+    for start in range(len(hay)):
+        at = start - 1
+        for c in part:
+            at = hay.find(c, at + 1)
+            if at < 0:
+                break
+        if at >= 0 and hay[start] == part[0] and at + 1 - start <= 2 * len(part) + 6:
+            found.append((start < after, at + 1 - start, start))
+    return (min(found)[2], min(found)[1]) if found else None
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("אבג", min_size=1, max_size=4), max_size=3), st.text("אבגד", max_size=25))
+def test_places(parts, hay):
+    after, expect = 0, []
+    for p in parts:
+        expect.append(place_by_trial(p, hay, after))
+        after = sum(expect[-1]) if expect[-1] else after
+    assert A.places(parts, hay) == expect
 
 
 def test_emphasis():
