@@ -8,7 +8,7 @@ word's path is its number, which gives its ids. The compiled file goes to the ex
 exactly, by rank, leftmost first.
 
 Splitting follows the tokenizer file: strings of its special tokens are found first, then come
-normalisation and pre-tokens. No pre-token reaches over space or U+0009 to U+000D, so texts are handled
+normalisation and pre-tokens. A file that splits or merges in another way is refused. No pre-token reaches over space or U+0009 to U+000D, so texts are handled
 by the runs between these, and ids of recent runs are remembered (two generations of bounded size). Runs
 of printable ASCII and Latin-1 letters are split here; any other run is normalised and split by the library.
 
@@ -30,10 +30,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, put_file, stored, tokenizer_path
+from .common import dropped, map_arrow, put_file, stored, tokenizer_path
 
 #: Words in the lexicon: bounds the driver's work and the compiled file (some MB).
 LEXICON_WORDS = 1 << 17
@@ -59,12 +59,37 @@ def byte_chars() -> list[str]:
     return out
 
 
+#: fixed values: what a tokenizer file must say for ``Splitter`` and ``Vocabulary`` to give the library's ids
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+PLAIN_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+
+
+def check_spec(spec: dict) -> None:
+    """Refuse a tokenizer file whose splitting or merging isn't the one that is written out here: ids would be wrong."""
+    wrong = [k for k, v in (("normalizer", NORMALIZER), ("pre_tokenizer", PRE_TOKENIZER), ("decoder", None)) if spec.get(k) != v]
+    wrong += [f"model.{k}" for k, v in PLAIN_MODEL.items() if spec["model"].get(k) != v]
+    for t in spec.get("added_tokens") or []:
+        if t.get("single_word") or t.get("lstrip") or t.get("rstrip") or t.get("normalized") or not t["content"].startswith("<|") or re.search("\\s", t["content"]):
+            wrong.append(f"added token {t['content']!r}")
+    if wrong:
+        raise ValueError(f"this tokenizer file can't be used here, other than supported: {', '.join(wrong)}")
+
+
 class Vocabulary:
     """What the tokenizer file says, ready for merging: made on the driver, broadcast (its size is the file's)."""
 
     def __init__(self, text: str):
         self.text = text
         spec = json.loads(text)
+        check_spec(spec)
         model = spec["model"]
         vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
         self.end = end
@@ -519,23 +544,49 @@ def count_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
     return map_arrow(docs.select(text), run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counted: DataFrame, words: int) -> list[bytes]:
+    """The ``words`` most frequent of (word, n), ties in the order of their bytes.
+
+    A histogram of counts on a logarithmic scale (some hundred rows) finds the level that the last one is in,
+    then the level's counts and, of the last count, the words' first bytes are counted in the same way, so never more than
+    ``words`` rows come to the driver, and no task sorts all words.
+    """
+    out: list[bytes] = []
+
+    def take(rows: DataFrame) -> None:
+        out.extend(bytes(r[0]) for r in rows.select("word").collect())
+
+    def narrowed(rows: DataFrame, key: Column, descending: bool) -> DataFrame | None:
+        """Takes the groups of ``key`` that fit whole; returns the first that doesn't."""
+        sizes = sorted(((r[0], r[1]) for r in rows.groupBy(key.alias("k")).agg(F.count("*")).collect()), reverse=descending)
+        room, fit = words - len(out), 0
+        for i, (k, n) in enumerate(sizes):
+            if n > room - fit:
+                if i:
+                    take(rows.where(key > F.lit(k) if descending else key < F.lit(k)))
+                return rows.where(key == F.lit(k)) if len(out) < words else None
+            fit += n
+        take(rows)
+        return None
+
+    left = narrowed(counted, F.floor(F.log2("n") * 16).cast("int"), True)
+    left = None if left is None else narrowed(left, F.col("n"), True)
+    at = 1
+    while left is not None:  # a round for each byte that the words of one count share
+        left = narrowed(left, F.hex(F.substring("word", at, 1)), False)
+        at += 1
+    return out
+
+
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_WORDS) -> str:
     """Compile the most frequent pre-tokens, at most ``words``, and hand the file to all executors; returns its name.
 
-    The least count that gives at most ``words`` is found from a histogram of counts on a logarithmic
-    scale (some hundred rows), so no more than ``words`` rows come to the driver. Executors that join later
-    fetch the file, too.
+    Exactly the ``words`` most frequent are taken, ties in the order of their bytes. Executors that join
+    later fetch the file, too.
     """
     counted = stored(count_words(docs, vocabulary), "words")
-    level = F.floor(F.log2("n") * 16).cast("int")
-    least, held = None, 0
-    for at, n in sorted(counted.groupBy(level.alias("level")).agg(F.count("*")).collect(), reverse=True):
-        held += n
-        if held > words:
-            break
-        least = at
-    top = counted.where(level >= least) if least is not None else counted.limit(0)
-    compiled = Lexicon.compile(sorted(bytes(r[0]) for r in top.select("word").collect()), vocabulary.merge)
+    compiled = Lexicon.compile(sorted(most_frequent(counted, words)), vocabulary.merge)
+    dropped(counted)
     name = f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}.bin"
     docs.sparkSession.sparkContext.addFile(put_file(docs.sparkSession, name, compiled))
     return name

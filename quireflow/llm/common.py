@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 #: Rows in an Arrow batch that a Python operator gets; texts can be long, so few.
 BATCH_ROWS = 1000
 
@@ -24,27 +24,27 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one set here if unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="quireflow-shared-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: the lineage ends there.
 
-    The files survive lost executors; they are removed with the shared folder.
+    The files survive lost executors. They go when the application ends, or before by ``dropped``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_in = path
+    return out
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that no result needs any more."""
+    spark = table.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(table._stored_in)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
@@ -74,12 +74,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """Where the box keeps a public vocabulary; operators take the path as a parameter."""
-    try:
-        import public_tokenizers
+    import public_tokenizers
 
-        return public_tokenizers.path(name)
-    except ImportError:
-        return os.path.join("/opt/tokenizers", name)
+    return public_tokenizers.path(name)
 
 
 def u_from(col, seed: int):

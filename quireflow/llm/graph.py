@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dropped, stored
 
 
 def _minima(pairs: DataFrame) -> DataFrame:
@@ -32,5 +32,6 @@ def components(edges: DataFrame) -> DataFrame:
         # small-star: u and its neighbours below go to the smallest of them
         joined = large.join(_minima(large), "u")
         small = joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(joined.select("u", F.col("m").alias("v")))
-        now = stored(small.distinct(), "edges")
+        now, before = stored(small.distinct(), "edges"), now
+        dropped(before)
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionAll(now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component")))
