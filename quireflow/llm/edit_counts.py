@@ -1,4 +1,4 @@
-"""Token counts that follow edits: a segment tree over each document's pre-tokens.
+"""Token counts that follow edits: a stored segment tree over each document's pre-tokens.
 
 A document is cut before white space into leaves of about ``LEAF`` runs; no pre-token of the tokenizer file
 reaches over white space, so a leaf's tokens depend on nothing outside it. The tree sums characters
@@ -7,6 +7,11 @@ leaves is encoded again, with the leaf before them if the edited text no longer
 space (the boundary context); then the sums on their paths are updated. A leaf that has grown to
 four times its size is cut again.
 
+``build_trees`` encodes a corpus once and gives its trees as a table: the leaves' texts, and the sums of all
+nodes, root first. ``apply_edits`` reads only such a table and gives the edited one, which the next round
+of edits reads in turn; documents without edits aren't encoded at all. Trees of one document are one row, as
+large as the document itself.
+
 An edit is (at, cut, put): from code point ``at`` of the text as the edits before it left it, ``cut`` code points
 go and ``put`` comes. Edits are applied in their order.
 
@@ -19,13 +24,15 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import LibraryEncoder, kept, runs_of
-from .common import map_arrow, tokenizer_path, words_of
+from .common import free_name, map_arrow, stored, tokenizer_path, words_of
 
 LEAF = 32
 SPACES = tuple(" \t\n\x0b\x0c\r")
@@ -44,11 +51,19 @@ def leaves_of(text: str, size: int = LEAF) -> list[str]:
 class Tree:
     """Sums of (characters, tokens) over the leaves of one document; ``count`` gives the tokens of a run."""
 
-    def __init__(self, leaves: list[str], tokens: list[int], count, size: int = LEAF):
+    def __init__(self, leaves: list[str], tokens: list[int], count=None, size: int = LEAF):
         self.count, self.size = count, size
         self.encoded = 0  # runs encoded again
         self._build(list(zip(leaves, tokens)))
 
+    @classmethod
+    def stored(cls, leaves: list[str], chars: list[int], tokens: list[int], count, size: int = LEAF) -> Tree:
+        """A tree as its table row has it: nothing is summed or encoded again."""
+        out = cls.__new__(cls)
+        out.count, out.size, out.encoded = count, size, 0
+        out.text, out.chars, out.tokens, out.width = leaves, chars, tokens, len(chars) // 2
+        return out
+
     @classmethod
     def of(cls, text: str, count, size: int = LEAF) -> Tree:
         leaves = leaves_of(text, size)
@@ -119,39 +134,77 @@ class Tree:
             self._build(known[:first] + fresh + [k for k in known[first + 1 :] if k[0]])
 
 
-def edited_counts(docs: DataFrame, edits: Column, path: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, n_tokens, n_edits, n_tokens_after, n_chars_after, n_leaves, n_runs_encoded_again.
+_ROW = [("leaves", pa.list_(pa.string())), ("chars", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))]
+_TREE = "leaves array<string>, chars array<bigint>, tokens array<bigint>"
+_COUNTS = ["n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_leaves", "n_runs_encoded_again"]
 
-    ``edits`` is a column of ``EDITS``. Edits that are a table of their own join the documents by
-    ``edit_lists`` first.
-    """
+
+def _tokenizer(docs: DataFrame, path: str | None):
     with open(path or tokenizer_path(), encoding="utf-8") as f:
-        spec = f.read()
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
-    names = ["id", "n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_leaves", "n_runs_encoded_again"]
+        return docs.sparkSession.sparkContext.broadcast(f.read())
+
+
+def _counter(shared) -> Counter:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return kept(("counter", shared.value), lambda: Counter(shared.value))
+
+
+def build_trees(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, leaves, chars, tokens) for each row of ``docs``: the leaves' texts, and both sums of every node, from place 1, the root, on."""
+    shared = _tokenizer(docs, path)
 
     def run(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter = kept(("counter", shared.value), lambda: Counter(shared.value))
+        counter = _counter(shared)
         for b in batches:
             leaves = [leaves_of(t.as_py() or "") for t in b.column(1)]
             _, ends = counter.encode(pa.array([x for own in leaves for x in own], pa.string()))
-            tokens = np.diff(ends, prepend=0).tolist()
-            lists = b.column(2).to_pylist()
-            counter.learn([(e or {}).get("put") for x in lists for e in x or []])
-            rows, at = [], 0
-            for own, x in zip(leaves, lists):
-                tree = Tree(own, tokens[at : at + len(own)], counter)
+            tokens, at, rows = np.diff(ends, prepend=0).tolist(), 0, []
+            for own in leaves:
+                tree = Tree(own, tokens[at : at + len(own)])
                 at += len(own)
+                rows.append((tree.text, tree.chars, tree.tokens))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), t) for c, (_, t) in zip(zip(*rows), _ROW))], names=["id", *[n for n, _ in _ROW]])
+
+    return map_arrow(docs.select(id_col, text), run, f"id {docs.schema[id_col].dataType.simpleString()}, {_TREE}")
+
+
+def apply_edits(trees: DataFrame, edits: Column, path: str | None = None) -> DataFrame:
+    """The rows of ``trees`` (``build_trees``, or what this gave and was stored) after ``edits``, a column of ``EDITS`` over them.
+
+    Beside the new tree: n_tokens and n_tokens_after (before and after), n_edits, n_chars_after, n_leaves (before), and
+    n_runs_encoded_again. No text is read but the leaves, and none is encoded but those that edits touch.
+    """
+    shared = _tokenizer(trees, path)
+    names = ["id", *[n for n, _ in _ROW], *_COUNTS]
+
+    def run(batches):
+        counter = _counter(shared)
+        for b in batches:
+            lists = b.column(4).to_pylist()
+            counter.learn([(e or {}).get("put") for x in lists for e in x or []])
+            rows = []
+            for leaves, chars, tokens, x in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), lists):
+                tree, n = Tree.stored(leaves, chars, tokens, counter), len(leaves)
                 before = tree.total
                 for e in x or []:
                     if e is not None:
                         tree.edit(e["at"], e["cut"], e["put"])
-                rows.append((before, len(x or []), tree.total, tree.chars[1], len(own), tree.encoded))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), pa.int64()) for c in zip(*rows))], names=names)
+                rows.append((tree.text, tree.chars, tree.tokens, before, len(x or []), tree.total, tree.chars[1], n, tree.encoded))
+            kinds = [t for _, t in _ROW] + [pa.int64()] * len(_COUNTS)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), t) for c, t in zip(zip(*rows), kinds))], names=names)
 
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{n} bigint" for n in names[1:])
-    return map_arrow(docs.select(F.col(id_col), F.col(text), edits.cast(EDITS).alias("edits")), run, schema)
+    schema = f"id {trees.schema['id'].dataType.simpleString()}, {_TREE}, " + ", ".join(f"{n} bigint" for n in _COUNTS)
+    return map_arrow(trees.select("id", "leaves", "chars", "tokens", edits.cast(EDITS).alias("_edits")), run, schema)
+
+
+def edited_counts(docs: DataFrame, edits: Callable[[Column, Column], Column], path: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: id and the counts of ``apply_edits``. The trees are built and stored first.
+
+    ``edits`` makes a column of ``EDITS`` from the columns of a document's id and length. Edits that are a table
+    of their own join the trees by ``edit_lists``.
+    """
+    trees = stored(build_trees(docs, path, id_col, text), "trees")
+    return apply_edits(trees, edits(F.col("id"), F.col("chars")[1]), path).select("id", *_COUNTS)
 
 
 class Counter(LibraryEncoder):
@@ -167,16 +220,20 @@ class Counter(LibraryEncoder):
         return len(ids if ids is not None else self.recall([key])[0]) // 4
 
 
-def edit_lists(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with a column ``edits`` from the rows (id, seq, at, cut, put) of ``edits``, in order of seq."""
-    of = edits.groupBy(F.col(id_col).alias("_of")).agg(F.array_sort(F.collect_list(F.struct("seq", "at", "cut", "put"))).alias("edits"))
-    of = of.withColumn("edits", F.transform("edits", lambda e: F.struct(e["at"].alias("at"), e["cut"].alias("cut"), e["put"].alias("put"))))
-    return docs.join(of, F.col(id_col).eqNullSafe(F.col("_of")), "left").drop("_of")
+def edit_lists(trees: DataFrame, edits: DataFrame, edit_id: str = "doc_id") -> tuple[DataFrame, Column]:
+    """``trees`` joined with the rows (id, seq, at, cut, put) of ``edits``, and the column of their edits in order of seq.
+
+    The column has a name that ``trees`` doesn't. Edits of a null id go to the trees of null ids.
+    """
+    name = free_name(trees, "edits")
+    of = edits.groupBy(F.col(edit_id).alias("_of")).agg(F.array_sort(F.collect_list(F.struct("seq", "at", "cut", "put"))).alias("_list"))
+    of = of.select("_of", F.transform("_list", lambda e: F.struct(e["at"].alias("at"), e["cut"].alias("cut"), e["put"].alias("put"))).alias(name))
+    return trees.join(of, trees["id"].eqNullSafe(of["_of"]), "left").drop("_of"), F.col(name)
 
 
-def scripted(id_col: Column, text: Column) -> Column:
+def scripted(id_col: Column, length: Column) -> Column:
     """The edits of the registered query: an insertion, a deletion, a replacement that may join words, and an addition."""
-    n = F.coalesce(F.length(text), F.lit(0)).cast("long")
+    n = length.cast("long")
     name = F.coalesce(id_col.cast("string"), F.lit("null"))
     at = F.pmod(F.crc32(name.cast("binary")), n + 1)
 
@@ -192,4 +249,4 @@ def scripted(id_col: Column, text: Column) -> Column:
 
 
 def op3_edit_aware_counts(docs: DataFrame) -> DataFrame:
-    return edited_counts(docs, scripted(F.col("doc_id"), F.col("text"))).withColumnRenamed("id", "doc_id")
+    return edited_counts(docs, scripted).withColumnRenamed("id", "doc_id")
