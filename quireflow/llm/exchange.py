@@ -1,7 +1,8 @@
 """Chunks that ask keyed tables: packed requests and answers in place of a row for each occurrence.
 
 Documents are dealt into chunks by a hash, with the input partition as salt, so that equal rows
-spread. A chunk sends each of its distinct keys once to the key's bucket, as sorted packed arrays;
+spread. The number of chunks and of buckets follows the size of the input: each holds about a documented number of
+bytes, so a task's memory doesn't grow with the corpus. A chunk sends each of its distinct keys once to the key's bucket, as sorted packed arrays;
 the bucket answers with packed values in the order asked. So a key that half the corpus uses is one
 entry for each chunk, and no task holds the occurrences of a key.
 """
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import partitions, words_of
@@ -22,11 +23,15 @@ from .common import partitions, words_of
 BLOCK_WORDS = 200_000
 
 
-def chunked(docs: DataFrame, columns: dict[str, Column], id_col: str = "doc_id") -> DataFrame:
+def chunked(docs: DataFrame, columns: dict[str, Column], chunks: int, id_col: str = "doc_id") -> DataFrame:
     """``columns`` of ``docs`` and ``chunk``, dealt by chunk; exchanged once for all who read it."""
-    n = partitions(docs.sparkSession)
-    chunk = F.pmod(F.xxhash64(F.col(id_col), F.spark_partition_id()), F.lit(n)).cast("int")
-    return docs.select(chunk.alias("chunk"), *[c.alias(k) for k, c in columns.items()]).repartition(n, "chunk")
+    chunk = F.pmod(F.xxhash64(F.col(id_col), F.spark_partition_id()), F.lit(chunks)).cast("int")
+    return docs.select(chunk.alias("chunk"), *[c.alias(k) for k, c in columns.items()]).repartition(partitions(docs.sparkSession), "chunk")
+
+
+def parts_for(spark: SparkSession, total: int, each: int) -> int:
+    """How many parts of about ``each`` bytes ``total`` bytes make, some for each shuffle partition at least."""
+    return max(2 * partitions(spark), -(-total // each))
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -47,6 +52,22 @@ def unpack(b: bytes) -> np.ndarray:
     return np.cumsum(raw.view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def pack_ints(a: np.ndarray) -> bytes:
+    """Numbers that aren't negative, as many bytes each as the largest needs."""
+    if not len(a):
+        return b""
+    width = max(1, (int(a.max()).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(a, dtype=np.int64).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack_ints(b: bytes) -> np.ndarray:
+    if not b:
+        return np.empty(0, np.int64)
+    raw = np.zeros(((len(b) - 1) // b[0], 8), np.uint8)
+    raw[:, : b[0]] = np.frombuffer(b, np.uint8, offset=1).reshape(-1, b[0])
+    return raw.view(np.int64).ravel()
+
+
 def pack_bits(a: np.ndarray) -> bytes:
     return np.packbits(a).tobytes()
 
@@ -80,14 +101,19 @@ def hashes(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([digest(w) for w in words]), dtype=np.uint64)
 
 
-def blocks(texts: pa.ChunkedArray, lower: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(words in each document, word hashes of all of them) for runs of documents in order."""
+def wide_hashes(words: list[bytes]) -> np.ndarray:
+    """128 bits for each word, as two columns."""
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(w) for w in words]), dtype=np.uint64).reshape(-1, 2)
+
+
+def blocks(texts: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words in each document, wide hashes of all of them) for runs of documents in order."""
     lens: list[int] = []
     parts: list[np.ndarray] = []
     total = 0
     for t in texts:
-        words = words_of(t.as_py())
-        h = hashes([w.lower() for w in words] if lower else words)
+        h = wide_hashes(words_of(t.as_py()))
         lens.append(len(h))
         parts.append(h)
         total += len(h)

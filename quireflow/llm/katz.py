@@ -1,27 +1,29 @@
-"""Katz backoff language model over word pairs, learned and applied at corpus scale.
+"""Katz backoff language model of any order (``ORDER`` words by default), learned and applied at corpus scale.
 
-Tokens are a text's words, A-Z lower-cased, and one end. Pair counts and word counts are discounted by
-Good-Turing (counts up to ``K``; above, none). With c the training count, r = c(h, w) and d the
-discount of r:
+Tokens are a text's words, A-Z lower-cased, and one end; a text's first tokens have starts before them. Counts
+are discounted by Good-Turing (counts up to ``K``; above, none), each order with its own counts of counts. With
+h the words before w, h' without its earliest, r = c(h, w), C(h) what was seen after h, d the discounts:
 
-    P(w | h) = d_r r / C(h)              if r > 0
-             = alpha(h) P(w)             if C(h) > 0, evaluated recursively on the shorter history
-             = P(w)                      if h was never a history
+    P(w | h) = d_r r / C'(h)               if r > 0
+             = alpha(h) P(w | h')          if C(h) > 0
+             = P(w | h')                   if h was never a history
 
-    P(w) = d_c c(w) / N for known words; what the discounts leave is the one type "unknown".
+down to P(w) = d_c c(w) / N for known words; what the discounts leave there is the one type "unknown". C'(h) is
+C(h), and one more for a history seen over ``K`` times: such a one may have no discounted count, and so it leaves
+something all the same. alpha(h) is the mass left at h over the mass that P(. | h') gives to words not seen after
+h, summed exactly, so every history's distribution over the V known tokens and "unknown" sums to 1, at each order.
 
-``alpha(h)`` is the mass that the discounts of h leave over the mass that P gives to words not seen after h,
-summed exactly, so every history's distribution over the V known tokens and "unknown" sums to 1. A
-history (or the whole corpus) none of whose counts is discounted takes one more in its denominator,
-so it leaves something as well.
+Where the counts of counts of an order don't allow Good-Turing (a zero, or a discount outside 0 to 1), that order
+takes the absolute discount D = (n1 + 1) / (n1 + 2 n2 + 2), d_r = 1 - D / r; the column ``discounts`` says which was used.
 
-Layout. Texts become chunks of some millions of tokens (a stored table: sorted word hashes, tokens
-as numbers into them). A chunk asks for each distinct word once, and for each distinct pair once; the
-requests go to buckets by the hash of the (second) word and the answers come back in the order asked
-(see ``exchange``). Words with over 1 / ``HOT`` of all tokens (so at most ``HOT`` of them) are parted
-by their histories. The word, pair and history tables are stored, parted by bucket.
-
-Words and pairs are told apart by 64-bit hashes of words (pairs by both).
+Layout. Texts become chunks of ``CHUNK_TOKENS`` tokens, about (a stored table: sorted word hashes, tokens as
+numbers into them). A gram's key is 64 bits made of its words' hashes. A chunk asks for each of its distinct
+grams once, all orders in one pass; requests go to buckets by key, whose number follows the size of the corpus
+(``BUCKET_BYTES``); a bucket's task adds the counts and answers in the order asked, with two bits: whether this chunk is
+the one of all that speaks for the gram, and whether a held-out text has it. These answers are the count tables,
+stored. The speakers then add up, for histories that a held-out text has, the discounted and the lower-order
+mass; the sums meet at the histories' buckets, and held-out chunks get those they need. A gram that half the
+corpus has is one entry for each chunk, so hot keys neither skew a task nor grow with their occurrences.
 
 Defined results: a null or empty text is one end token. A null id is never held out. Repeated rows count
 each. With no training text all words are unknown and score and base are still defined. Empty table:
@@ -36,69 +38,74 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, partitions, stored, words_of
-from .exchange import cuts, hashes, pack, pack_bits, unpack, unpack_bits
+from .common import map_arrow, stored, words_of
+from .exchange import cuts, hashes, mixed, pack, pack_bits, pack_ints, parts_for, unpack, unpack_bits, unpack_ints
 
 K = 5
-CHUNK_TOKENS = 3_000_000
-HOT = 4096
+ORDER = 3
+CHUNK_TOKENS = 1_500_000
+#: Packed requests that a bucket should hold, and about how many bytes a gram's request takes.
+BUCKET_BYTES, REQUEST_BYTES = 24 << 20, 8
 END, START = hashes([b"\n", b" "])  # no word has these
 
-_MESSAGE = "kind int, bucket int, chunk bigint, a binary, b binary, c binary, d binary, stats array<bigint>"
-_FIELDS = [("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary()), ("stats", pa.list_(pa.int64()))]
-WORDS, COUNTS, PAIRS, HOT_PAIRS, PAIR_COUNTS, HOT_COUNTS, HISTORIES, PAIR_STATS, ALPHAS = range(9)
+_MESSAGE = "kind int, bucket int, chunk bigint, a binary, b binary, c binary, stats array<bigint>"
+_FIELDS = [("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("stats", pa.list_(pa.int64()))]
+#: Added to an order: requests for sums of its histories, and their answers.
+ASKED, SUMMED = 100, 200
 
 
-def _messages(rows: list[tuple], batch: bool = True):
+def _messages(rows: list[tuple]) -> pa.RecordBatch:
     rows = [r + (None,) * (len(_FIELDS) - len(r)) for r in rows]
     columns = [pa.array(list(c), t) for c, (_, t) in zip(zip(*rows) if rows else [[]] * len(_FIELDS), _FIELDS)]
-    names = [n for n, _ in _FIELDS]
-    return pa.RecordBatch.from_arrays(columns, names=names) if batch else pa.table(columns, names=names)
+    return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in _FIELDS])
 
 
-def _u8(b: bytes | None) -> np.ndarray:
-    return np.frombuffer(b or b"", np.uint64)
+def _table(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([_messages(rows)])
 
 
-def discounts(n: list[int], k: int = K) -> list[float]:
-    """d_0 .. d_k from the numbers n_1 .. n_(k+1) of things seen so often; 1 where Good-Turing can't be applied."""
-    out = [1.0] * (k + 1)
-    if n[0] and n[k]:
+def discounts(n: list[int], k: int = K) -> tuple[list[float], str]:
+    """(d_0 .. d_k, how) from the numbers n_1 .. n_(k+1) of things seen so often."""
+    if all(n[: k + 1]):
         common = (k + 1) * n[k] / n[0]
-        for r in range(1, k + 1):
-            if n[r - 1] and common < 1:
-                d = ((r + 1) * n[r] / (r * n[r - 1]) - common) / (1 - common)
-                out[r] = d if 0 < d < 1 else 1.0
-    if out[1] == 1.0 and n[0]:
-        # too few counts of counts: the least that still leaves mass (Good-Turing of singletons, bounded)
-        out[1] = min(max(2 * n[1] / n[0], 0.1), 0.9)
-    return out
-
-
-class Words:
-    """P of a word from its training count."""
-
-    def __init__(self, total: int, types: int, n: list[int]):
-        self.total, self.types = total, types
-        self.d = np.array(discounts(n))
-        left = sum((1 - self.d[r]) * r * n[r - 1] for r in range(1, K + 1))
+        if common < 1:
+            d = [((r + 1) * n[r] / (r * n[r - 1]) - common) / (1 - common) for r in range(1, k + 1)]
+            if all(0 < x < 1 for x in d):
+                return [1.0, *d], "good-turing"
+    absolute = (n[0] + 1) / (n[0] + 2 * n[1] + 2)
+    return [1.0] + [1 - absolute / r for r in range(1, k + 1)], "absolute"
+
+
+class Model:
+    """What all chunks share: the totals and the discounts of each order."""
+
+    def __init__(self, total: int, types: int, starts: int, counts: list[list[int]]):
+        self.total, self.types, self.starts = total, types, starts
+        found = [discounts(n) for n in counts]
+        self.d = [np.array(d) for d, _ in found]
+        self.how = ",".join(how for _, how in found)
+        n = counts[0]
+        left = sum((1 - self.d[0][r]) * r * n[r - 1] for r in range(1, K + 1))
         self.denominator = float(total) if left > 0 else total + 1.0
         self.unknown = (left if left > 0 else 1.0) / self.denominator
 
-    def p(self, c: np.ndarray) -> np.ndarray:
-        c = c.astype(np.int64)
-        return np.where(c > 0, c * self.d[np.where(c <= K, c, 0)] / self.denominator, self.unknown)
+    def discounted(self, order: int, r: np.ndarray) -> np.ndarray:
+        return r * self.d[order - 1][np.where(r <= K, r, 0)]
+
+    def word(self, c: np.ndarray) -> np.ndarray:
+        return np.where(c > 0, self.discounted(1, c) / self.denominator, self.unknown)
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c.astype(np.float64) + 1) / (self.total + self.types + 1))
 
 
-def _counts_of_counts(c: np.ndarray) -> list[int]:
-    return np.bincount(np.minimum(c, K + 2).astype(np.int64), minlength=K + 3)[1 : K + 2].tolist()
+def whole(c: np.ndarray) -> np.ndarray:
+    """C'(h) from C(h)."""
+    return (c + (c > K)).astype(np.float64)
 
 
 def chunks(docs: DataFrame, held: str, id_col: str, text: str) -> DataFrame:
-    """The chunk table: chunk, ids, held, lens (tokens with end), words (packed), counts (training), tokens."""
+    """The chunk table: chunk, ids, held, lens (tokens with end), words (packed), tokens."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -112,13 +119,11 @@ def chunks(docs: DataFrame, held: str, id_col: str, text: str) -> DataFrame:
             words, place = np.unique(h, return_inverse=True)
             flat = np.concatenate(tokens)
             flat = place[np.where(flat < 0, len(number), flat)].astype(np.uint32)
-            train = np.repeat(~np.array(out), lens)
-            counts = np.bincount(flat[train], minlength=len(words)).astype(np.uint64)
-            row = [part << 32 | n, ids, out, lens, pack(words), counts.tobytes(), flat.tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["chunk", "ids", "held", "lens", "words", "counts", "tokens"])
+            row = [part << 32 | n, ids, out, lens, pack(words), flat.tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["chunk", "ids", "held", "lens", "words", "tokens"])
 
         for b in batches:
-            types = types or [pa.int64(), pa.list_(b.schema.field(0).type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+            types = types or [pa.int64(), pa.list_(b.schema.field(0).type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             for i, t, x in zip(b.column(0), b.column(1), b.column(2)):
                 words = words_of(t.as_py())
                 own = np.fromiter((number.setdefault(w.lower(), len(number)) for w in words), np.int32, len(words))
@@ -135,261 +140,219 @@ def chunks(docs: DataFrame, held: str, id_col: str, text: str) -> DataFrame:
         if ids:
             yield flush()
 
-    schema = f"chunk bigint, ids array<{kind}>, held array<boolean>, lens array<bigint>, words binary, counts binary, tokens binary"
+    schema = f"chunk bigint, ids array<{kind}>, held array<boolean>, lens array<bigint>, words binary, tokens binary"
     return stored(map_arrow(docs.select(id_col, text, F.expr(held).alias("held")), run, schema), "chunks")
 
 
-def _asks_words(b: pa.RecordBatch, buckets: int):
-    """Requests for all words of each chunk, with their training counts there and whether a held-out text has them."""
-    for chunk, words, counts, held in zip(*(b.column(i) for i in range(4))):
-        keys, c, x = unpack(words.as_py()), _u8(counts.as_py()), np.frombuffer(held.as_py(), np.uint8) if held.as_py() else None
-        rows = []
+class Grams:
+    """The distinct grams of each order k of a chunk, at place k - 1 of each list, sorted by key.
+
+    ``place``: each token's gram. ``lower``, ``history``: of each gram, the gram of order k - 1 that ends as it does, and
+    the one before its last word. ``train``: how often training texts have it; ``held``: whether a held-out one does.
+    ``start``: the place of the gram of starts alone, which is a history only.
+    """
+
+    def __init__(self, row: dict, order: int):
+        words, tokens = unpack(row["words"]), np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
+        self.lens, self.out = np.array(row["lens"], np.int64), np.array(row["held"], bool)
+        text, pad = np.repeat(np.arange(len(self.lens)), self.lens), order - 1
+        real = np.arange(len(tokens)) + pad * (text + 1)
+        run = START  # the key of starts alone
+        h = np.full(len(tokens) + pad * len(self.lens), START, np.uint64)
+        h[real] = words[tokens]
+        learns = ~self.out[text]
+        self.keys, self.place, self.train, self.held = [words], [tokens], [], []
+        self.lower, self.history, self.start = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [int(np.searchsorted(words, START))]
+        g = h
+        for k in range(2, order + 1):
+            before = g
+            g = np.zeros(len(h), np.uint64)
+            g[k - 1 :] = mixed(before[k - 1 :] ^ mixed(h[: len(h) - k + 1], 50 + k), k)
+            run = mixed(np.array([run]) ^ mixed(np.array([START]), 50 + k), k)[0]
+            keys, place = np.unique(np.append(g[real], run), return_inverse=True)
+            self.start.append(int(place[-1]))
+            place = place[:-1]
+            lower, history = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            lower[place] = self.place[-1]
+            history[place] = np.searchsorted(self.keys[-1], before[real - 1])
+            self.keys.append(keys)
+            self.place.append(place)
+            self.lower.append(lower)
+            self.history.append(history)
+        for keys, place in zip(self.keys, self.place):
+            self.train.append(np.bincount(place[learns], minlength=len(keys)))
+            held = np.zeros(len(keys), bool)
+            held[place[~learns]] = True
+            self.held.append(held)
+
+
+def _asked(row: dict, order: int, buckets: int):
+    """A chunk's requests for the counts of all its grams."""
+    grams, rows = Grams(row, order), []
+    for k in range(1, order + 1):
+        keys, train, held = grams.keys[k - 1], grams.train[k - 1], grams.held[k - 1]
         for bucket, (i, j) in enumerate(cuts(keys, buckets)):
             if j > i:
-                rows.append((WORDS, bucket, chunk.as_py(), pack(keys[i:j]), c[i:j].tobytes(), None if x is None else x[i:j].tobytes()))
+                rows.append((k, bucket, row["chunk"], pack(keys[i:j]), pack_ints(train[i:j]), pack_bits(held[i:j])))
+            if len(rows) == 256:
+                yield _messages(rows)
+                rows = []
+    if rows:
         yield _messages(rows)
 
 
-def _merge_words(t: pa.Table) -> pa.Table:
-    """One bucket: the word table's part, and each chunk's answer."""
-    rows = t.select(["chunk", "bucket", "a", "b"]).to_pylist()
-    keys = [unpack(r["a"]) for r in rows]
-    all_, place = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.zeros(len(all_), np.uint64)
-    np.add.at(counts, place, np.concatenate([_u8(r["b"]) for r in rows]))
+def _merge_counts(t: pa.Table) -> pa.Table:
+    """One bucket of one order: each chunk's answer, and what goes into the totals."""
+    rows = sorted(t.to_pylist(), key=lambda r: r["chunk"])
+    parts = [unpack(r["a"]) for r in rows]
+    train = np.concatenate([unpack_ints(r["b"]) for r in rows])
+    held = np.concatenate([unpack_bits(r["c"], len(p)) for r, p in zip(rows, parts)])
+    keys, place = np.unique(np.concatenate(parts), return_inverse=True)
+    counts = np.bincount(place, train, len(keys)).astype(np.int64)
+    asked = np.zeros(len(keys), bool)
+    asked[place[held]] = True
+    speaks = np.zeros(len(train), bool)
+    has = np.flatnonzero(train)[::-1]
+    first = np.full(len(keys), -1, np.int64)
+    first[place[has]] = has  # the earliest stays
+    speaks[first[first >= 0]] = True
     out, at = [], 0
-    for r, k in zip(rows, keys):
-        out.append((COUNTS, r["bucket"], r["chunk"], counts[place[at : at + len(k)]].tobytes()))
-        at += len(k)
-    known = counts > 0
-    stats = [int(counts.sum()), int(known.sum()), *_counts_of_counts(counts)]
-    out.append((WORDS, rows[0]["bucket"], -1, pack(all_[known]), counts[known].tobytes(), None, None, stats))
-    return _messages(out, False)
-
-
-def _pairs(row: dict):
-    """Distinct (w, h) of a chunk, by w then h, as numbers into its words; their training counts; and each token's pair."""
-    words, tokens, lens = unpack(row["words"]), np.frombuffer(row["tokens"], np.uint32), np.array(row["lens"])
-    start = np.searchsorted(words, START)
-    history = np.empty(len(tokens), np.uint64)
-    history[1:] = tokens[:-1]
-    history[np.cumsum(lens) - lens] = start
-    pair, place = np.unique(tokens.astype(np.uint64) << np.uint64(32) | history, return_inverse=True)
-    train = np.repeat(~np.array(row["held"]), lens)
-    counts = np.bincount(place[train], minlength=len(pair)).astype(np.uint64)
-    return words, (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64), counts, place
-
-
-def _parted(words: np.ndarray, w: np.ndarray, h: np.ndarray, hot: np.ndarray, buckets: int):
-    """(kind, bucket, positions of pairs) in the one order that requests and answers share."""
-    is_hot = np.isin(words, hot)
-    of_hot = is_hot[w]
-    normal = np.flatnonzero(~of_hot)
-    edges = [i for i, _ in cuts(words, buckets)] + [len(words)]
-    at = np.searchsorted(w[normal], edges)
-    for bucket in range(buckets):
-        if at[bucket + 1] > at[bucket]:
-            yield PAIRS, bucket, normal[at[bucket] : at[bucket + 1]]
-    rest = np.flatnonzero(of_hot)
-    rest = rest[np.argsort(h[rest], kind="stable")]
-    at = np.searchsorted(h[rest], edges)
-    for bucket in range(buckets):
-        if at[bucket + 1] > at[bucket]:
-            yield HOT_PAIRS, bucket, rest[at[bucket] : at[bucket + 1]]
-
-
-def _merge_pairs(t: pa.Table, model: Words, buckets: int) -> pa.Table:
-    """One bucket: pair counts for each chunk, parts of the history sums, counts of counts."""
-    rows = t.to_pylist()
-    table = next((r for r in rows if r["kind"] == WORDS), None)
-    keys, key_counts = (unpack(table["a"]), _u8(table["b"])) if table else (np.empty(0, np.uint64), np.empty(0, np.uint64))
-    out, stats = [], np.zeros(K + 1, np.int64)
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for kind, answer in ((PAIRS, PAIR_COUNTS), (HOT_PAIRS, HOT_COUNTS)):
-        own = [r for r in rows if r["kind"] == kind]
-        if not own:
-            continue
-        w, h, c = (np.concatenate([_u8(r[x]) for r in own]) for x in "abc")
-        order = np.lexsort((h, w))
-        new = np.ones(len(w), bool)
-        new[1:] = (w[order[1:]] != w[order[:-1]]) | (h[order[1:]] != h[order[:-1]])
-        first = np.flatnonzero(new)
-        total = np.add.reduceat(c[order], first)
-        each = np.empty(len(w), np.uint64)
-        each[order] = total[np.cumsum(new) - 1]
-        at = 0
-        for r in own:
-            n = len(r["a"]) // 8
-            out.append((answer, r["bucket"], r["chunk"], each[at : at + n].tobytes()))
-            at += n
-        seen = total > 0
-        w, h, c = w[order[first]][seen], h[order[first]][seen], total[seen]
-        stats += _counts_of_counts(c)
-        if kind == PAIRS:
-            p = model.p(key_counts[np.searchsorted(keys, w)]) if len(w) else np.empty(0)
-        else:  # the counts of hot words come along with the requests
-            hot = {k: n for r in own for k, n in zip(_u8(r["d"])[0::2].tolist(), _u8(r["d"])[1::2].tolist())}
-            names, place = np.unique(w, return_inverse=True)
-            p = model.p(np.array([hot[k] for k in names.tolist()], np.int64))[place] if len(w) else np.empty(0)
-        parts.append((h, p, c))
-    if parts:
-        h, p, c = (np.concatenate([x[i] for x in parts]) for i in range(3))
-        names, place = np.unique(h, return_inverse=True)
-        mass = np.bincount(place, p, len(names))
-        few = np.minimum(c, K + 1).astype(np.int64)
-        times = np.zeros((len(names), K), np.uint32)
-        for r in range(1, K + 1):
-            times[:, r - 1] = np.bincount(place[few == r], minlength=len(names))
-        for bucket, (i, j) in enumerate(cuts(names, buckets)):
-            if j > i:
-                out.append((HISTORIES, bucket, -1, pack(names[i:j]), mass[i:j].tobytes(), times[i:j].tobytes()))
-    out.append((PAIR_STATS, rows[0]["bucket"], -1, None, None, None, None, stats.tolist()))
-    return _messages(out, False)
-
-
-def _merge_histories(t: pa.Table, d: list[float], starts: int) -> pa.Table:
-    """One bucket: log10 alpha of each history, and whether its denominator takes one more, as asked."""
-    rows = t.to_pylist()
-    table = next((r for r in rows if r["kind"] == WORDS and r["chunk"] < 0), None)
-    sums = [r for r in rows if r["kind"] == HISTORIES]
-    names, place = np.unique(np.concatenate([unpack(r["a"]) for r in sums]) if sums else np.empty(0, np.uint64), return_inverse=True)
-    mass = np.bincount(place, np.concatenate([np.frombuffer(r["b"], np.float64) for r in sums]), len(names)) if sums else np.empty(0)
-    times = np.zeros((len(names), K))
-    if sums:
-        np.add.at(times, place, np.concatenate([np.frombuffer(r["c"], np.uint32).reshape(-1, K) for r in sums]))
-    count = np.zeros(len(names))
-    if table and len(names):
-        keys, counts = unpack(table["a"]), _u8(table["b"])
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, names), len(keys) - 1)
-            count = np.where(keys[at] == names, counts[at], 0).astype(np.float64)
-    count[names == START] = starts
-    left = times @ np.array([(1 - d[r]) * r for r in range(1, K + 1)])
-    full = left <= 0
-    left, denominator = np.where(full, 1.0, left), count + full
-    with np.errstate(divide="ignore"):
-        alpha = np.log10(left / denominator) - np.log10(np.maximum(1.0 - mass, 1e-300))
+    for r, p in zip(rows, parts):
+        own = slice(at, at + len(p))
+        out.append((r["kind"], r["bucket"], r["chunk"], pack_ints(counts[place[own]]), pack_bits(speaks[own]), pack_bits(asked[place[own]])))
+        at += len(p)
+    few = np.bincount(np.minimum(counts, K + 2), minlength=K + 3)[1 : K + 2].tolist()
+    out.append((rows[0]["kind"], rows[0]["bucket"], -1, None, None, None, [int(counts.sum()), int((counts > 0).sum()), *few]))
+    return _table(out)
+
+
+class Scored:
+    """A chunk's grams with the counts of the whole corpus."""
+
+    def __init__(self, row: dict, answers: pa.Table, order: int, buckets: int, model: Model):
+        self.grams, self.model, self.order = Grams(row, order), model, order
+        got = {(k, b): i for i, (k, b) in enumerate(zip(answers["kind"].to_pylist(), answers["bucket"].to_pylist()))}
+        a, b, c = (answers[x] for x in "abc")
+        self.count, self.speaks, self.asked, self.got = [], [], [], got
+        for k in range(1, order + 1):
+            shares = [(got[k, bucket], j - i) for bucket, (i, j) in enumerate(cuts(self.grams.keys[k - 1], buckets)) if j > i]
+            count = np.concatenate([unpack_ints(a[i].as_py()) for i, _ in shares])
+            count[self.grams.start[k - 1]] = model.starts
+            asked = np.concatenate([unpack_bits(c[i].as_py(), n) for i, n in shares])
+            asked[self.grams.start[k - 1]] = True
+            self.count.append(count)
+            self.speaks.append(np.concatenate([unpack_bits(b[i].as_py(), n) for i, n in shares]))
+            self.asked.append(asked)
+
+    def seen(self, k: int) -> np.ndarray:
+        """P of each gram of order k that was seen in training, by its own counts."""
+        if k == 1:
+            return self.model.word(self.count[0])
+        of = np.maximum(whole(self.count[k - 2][self.grams.history[k - 1]]), 1.0)
+        return self.model.discounted(k, self.count[k - 1]) / of
+
+    def needs(self, k: int) -> np.ndarray:
+        """The histories of order k - 1 whose sums a held-out text of this chunk needs, in order."""
+        g = self.grams
+        history = g.history[k - 1]
+        unseen = g.held[k - 1] & (self.count[k - 1] == 0) & (self.count[k - 2][history] > 0)
+        return np.unique(history[unseen])
+
+
+def _merge_sums(t: pa.Table) -> pa.Table:
+    """One bucket of the histories of one order: the sums, as asked."""
+    rows = sorted(t.to_pylist(), key=lambda r: r["chunk"])
+    given = [r for r in rows if r["kind"] < ASKED]
+    keys, place = np.unique(np.concatenate([unpack(r["a"]) for r in given]) if given else np.empty(0, np.uint64), return_inverse=True)
+    sums = [np.bincount(place, np.concatenate([np.frombuffer(r[x], np.float64) for r in given]), len(keys)) if given else np.empty(0) for x in "bc"]
     out = []
     for r in rows:
-        if r["kind"] == WORDS and r["chunk"] >= 0:
-            keys = unpack(r["a"])
-            at = np.minimum(np.searchsorted(names, keys), max(len(names) - 1, 0))
-            there = names[at] == keys if len(names) else np.zeros(len(keys), bool)
-            held = np.frombuffer(r["c"], np.uint8) > 0
-            value = np.where(there, alpha[at] if len(names) else 0.0, np.nan)[held]
-            out.append((ALPHAS, r["bucket"], r["chunk"], pack_bits(there & (full[at] if len(names) else False)), value.tobytes()))
-    return _messages(out, False)
+        if r["kind"] >= ASKED:
+            at = np.searchsorted(keys, unpack(r["a"]))  # each was given by the chunk that speaks for one of its grams
+            out.append((r["kind"] - ASKED + SUMMED, r["bucket"], r["chunk"], sums[0][at].tobytes(), sums[1][at].tobytes()))
+    return _table(out)
 
 
-def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+    """One row for each row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score, discounts.
 
     ``held`` is SQL over the columns of ``docs``: true where a text isn't learned from.
     """
+    if order < 1:
+        raise ValueError("order: 1 or more")
     spark = docs.sparkSession
-    buckets = partitions(spark)
     table = chunks(docs, f"coalesce({held}, false)", id_col, text)
+    sizes = table.select(F.sum(F.expr("aggregate(lens, 0L, (a, x) -> a + x)")), F.sum(F.expr("size(filter(held, x -> not x))"))).first()
+    buckets = parts_for(spark, (sizes[0] or 0) * order * REQUEST_BYTES, BUCKET_BYTES)
 
-    def held_words(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                row = {k: b.column(k)[r].as_py() for k in b.schema.names}
-                n = len(unpack(row["words"]))
-                flag = np.zeros(n, np.uint8)
-                flag[np.frombuffer(row["tokens"], np.uint32)[np.repeat(np.array(row["held"], bool), row["lens"])]] = 1
-                if any(row["held"]):
-                    flag[np.searchsorted(unpack(row["words"]), START)] = 1
-                one = pa.RecordBatch.from_arrays([pa.array([row["chunk"]]), pa.array([row["words"]]), pa.array([row["counts"]]), pa.array([flag.tobytes()])], names=list("abcd"))
-                yield from _asks_words(one, buckets)
-
-    def plain_words(batches):
-        for b in batches:
-            yield from _asks_words(pa.RecordBatch.from_arrays([*b.columns, pa.array([None] * b.num_rows, pa.binary())], names=list("abcd")), buckets)
-
-    asked = map_arrow(table.select("chunk", "words", "counts"), plain_words, _MESSAGE)
-    words = stored(asked.groupBy("bucket").applyInArrow(_merge_words, _MESSAGE), "words", "kind").select(*[n for n, _ in _FIELDS])
-    word_table = words.where(F.col("kind") == WORDS)
-    sums = word_table.agg(*[F.sum(F.col("stats")[i]) for i in range(K + 3)]).first()
-    total, types, *n = [int(x or 0) for x in sums]
-    model = Words(total, types, n)
-    starts = table.select(F.sum(F.expr("size(filter(held, x -> not x))"))).first()[0] or 0
-
-    def frequent(batches):
-        for b in batches:
-            for a, c in zip(b.column(0), b.column(1)):
-                keys, counts = unpack(a.as_py()), _u8(c.as_py())
-                big = counts.astype(np.int64) * HOT >= max(total, 1)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[big].view(np.int64)), pa.array(counts[big].astype(np.int64))], names=["k", "n"])
-
-    found = map_arrow(word_table.select("a", "b"), frequent, "k bigint, n bigint").collect()  # at most HOT rows
-    hot = np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
-    hot_counts = dict(zip(np.array([r[0] for r in found], np.int64).view(np.uint64).tolist(), [r[1] for r in found]))
-
-    def ask_pairs(batches):
+    def ask(batches):
         for b in batches:
             for r in range(b.num_rows):
-                row = {k: b.column(k)[r].as_py() for k in b.schema.names}
-                ws, w, h, c, _ = _pairs(row)
-                rows = []
-                for kind, bucket, at in _parted(ws, w, h, hot, buckets):
-                    extra = None
-                    if kind == HOT_PAIRS:
-                        extra = np.array([x for k in np.unique(ws[w[at]]).tolist() for x in (k, hot_counts[k])], np.uint64).tobytes()
-                    rows.append((kind, bucket, row["chunk"], ws[w[at]].tobytes(), ws[h[at]].tobytes(), c[at].tobytes(), extra))
-                    if len(rows) == 64:
-                        yield _messages(rows)
-                        rows = []
-                if rows:
-                    yield _messages(rows)
-
-    pair_asks = map_arrow(table.select("chunk", "held", "lens", "words", "tokens"), ask_pairs, _MESSAGE)
-    merged = pair_asks.unionAll(word_table).groupBy("bucket").applyInArrow(lambda t: _merge_pairs(t, model, buckets), _MESSAGE)
-    pairs = stored(merged, "pairs", "kind").select(*[n for n, _ in _FIELDS])
-    sums = pairs.where(F.col("kind") == PAIR_STATS).agg(*[F.sum(F.col("stats")[i]) for i in range(K + 1)]).first()
-    d = discounts([int(x or 0) for x in sums])
-
-    history_asks = map_arrow(table.select("chunk", "held", "lens", "words", "counts", "tokens"), held_words, _MESSAGE)
-    sent = history_asks.unionAll(word_table).unionAll(pairs.where(F.col("kind") == HISTORIES))
-    alphas = sent.groupBy("bucket").applyInArrow(lambda t: _merge_histories(t, d, starts), _MESSAGE)
+                yield from _asked({k: b.column(k)[r].as_py() for k in b.schema.names}, order, buckets)
+
+    plain = table.select("chunk", "held", "lens", "words", "tokens")
+    counted = stored(map_arrow(plain, ask, _MESSAGE).groupBy("kind", "bucket").applyInArrow(_merge_counts, _MESSAGE), "gram-counts")
+    spark._jvm.System.gc()  # the requests' shuffle files aren't needed any more; the cleaner drops them
+    totals = counted.where("chunk < 0").groupBy("kind").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3)]).collect()  # a row for each order
+    by = {r["kind"]: [int(x or 0) for x in r[1:]] for r in totals}
+    each = [by.get(k, [0] * (K + 3)) for k in range(1, order + 1)]
+    model = Model(each[0][0], each[0][1], int(sizes[1] or 0), [x[2:] for x in each])
+    answers = counted.where("chunk >= 0").select(*[n for n, _ in _FIELDS])
+
+    def sums(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _table([])
+        row, out = left.to_pylist()[0], []
+        s = Scored(row, right, order, buckets, model)
+        for k in range(2, order + 1):
+            history, r, keys = s.grams.history[k - 1], s.count[k - 1], s.grams.keys[k - 2]
+            own = np.flatnonzero(s.speaks[k - 1] & s.asked[k - 2][history])
+            at, place = np.unique(history[own], return_inverse=True)
+            left_ = np.bincount(place, r[own] - model.discounted(k, r[own]), len(at))
+            lower = np.bincount(place, s.seen(k - 1)[s.grams.lower[k - 1][own]], len(at))
+            for bucket, (i, j) in enumerate(cuts(keys[at], buckets)):
+                if j > i:
+                    out.append((k, bucket, row["chunk"], pack(keys[at[i:j]]), left_[i:j].tobytes(), lower[i:j].tobytes()))
+            wanted = keys[s.needs(k)]
+            for bucket, (i, j) in enumerate(cuts(wanted, buckets)):
+                if j > i:
+                    out.append((k + ASKED, bucket, row["chunk"], pack(wanted[i:j])))
+        return _table(out)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    d_ = np.array(d)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        ws, w, h, _, place = _pairs(row)
-        got = {(k, b): (x, y) for k, b, x, y in zip(*(right[c].to_pylist() for c in ("kind", "bucket", "a", "b")))}
-        shares = [(b, j - i) for b, (i, j) in enumerate(cuts(ws, buckets)) if j > i]
-        count = np.concatenate([_u8(got[COUNTS, b][0]) for b, _ in shares])
-        full = np.concatenate([unpack_bits(got[ALPHAS, b][0], n) for b, n in shares])
-        tokens, lens, out = np.frombuffer(row["tokens"], np.uint32), np.array(row["lens"]), np.array(row["held"])
-        used = np.zeros(len(ws), bool)
-        used[tokens[np.repeat(out, lens)]] = True
-        start = np.searchsorted(ws, START)
-        used[start] = out.any()
-        alpha = np.full(len(ws), np.nan)
-        alpha[used] = np.concatenate([np.frombuffer(got[ALPHAS, b][1] or b"", np.float64) for b, _ in shares])
-        times = np.zeros(len(w), np.uint64)
-        for k, b, at in _parted(ws, w, h, hot, buckets):
-            times[at] = _u8(got[PAIR_COUNTS if k == PAIRS else HOT_COUNTS, b][0])
-        r = times.astype(np.int64)
-        histories = count.astype(np.float64)
-        histories[start] = starts
-        p = np.log10(model.p(count))[w]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen = np.log10(r * d_[np.where(r <= K, r, 0)]) - np.log10(histories + full)[h]
-        value = np.where(r > 0, seen, p + np.where(np.isnan(alpha), 0.0, alpha)[h])
-        first = np.cumsum(lens) - lens
+        s = Scored(row, right, order, buckets, model)
+        g, tokens = s.grams, s.grams.place[0]
+        value = np.log10(s.seen(1))
+        for k in range(2, order + 1):
+            history, r = g.history[k - 1], s.count[k - 1]
+            of = s.count[k - 2]
+            alpha = np.zeros(len(of))
+            need = s.needs(k)
+            if len(need):
+                shares = [s.got[k + SUMMED, bucket] for bucket, (i, j) in enumerate(cuts(g.keys[k - 2][need], buckets)) if j > i]
+                rest, lower = (np.concatenate([np.frombuffer(right[x][i].as_py(), np.float64) for i in shares]) for x in "ab")
+                c = of[need]
+                alpha[need] = np.log10((rest + (c > K)) / whole(c)) - np.log10(np.maximum(1.0 - lower, 1e-300))
+            backed = value[g.lower[k - 1]] + alpha[history]
+            with np.errstate(divide="ignore"):
+                value = np.where(r > 0, np.log10(s.seen(k)), backed)
+        first = np.cumsum(g.lens) - g.lens
+        ids = left["ids"]
         columns = [
-            left["ids"].combine_chunks().flatten() if not isinstance(left["ids"], pa.Array) else left["ids"].flatten(),
-            pa.array(out), pa.array(lens), pa.array(np.add.reduceat((count[tokens] > 0).astype(np.int64), first)), pa.array(np.full(len(lens), total, np.int64)),
-            pa.array(np.add.reduceat(model.base(count)[tokens], first)), pa.array(np.add.reduceat(value[place], first)),
+            ids.combine_chunks().flatten() if not isinstance(ids, pa.Array) else ids.flatten(),
+            pa.array(g.out), pa.array(g.lens), pa.array(np.add.reduceat((s.count[0][tokens] > 0).astype(np.int64), first)), pa.array(np.full(len(first), model.total, np.int64)),
+            pa.array(np.add.reduceat(model.base(s.count[0])[tokens], first)), pa.array(np.add.reduceat(value[g.place[-1]], first)), pa.array([model.how] * len(first)),
         ]
-        return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "discounts"])
 
-    answers = words.where(F.col("kind") == COUNTS).unionAll(pairs.where(F.col("kind").isin(PAIR_COUNTS, HOT_COUNTS))).unionAll(alphas)
-    joined = table.select("chunk", "ids", "held", "lens", "words", "tokens").groupBy("chunk").cogroup(answers.select("kind", "bucket", "chunk", "a", "b").groupBy("chunk"))
-    return joined.applyInArrow(finish, f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    by_chunk = table.groupBy("chunk")
+    given = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(sums, _MESSAGE)
+    histories = given.withColumn("order", F.col("kind") % ASKED).groupBy("order", "bucket").applyInArrow(lambda t: _merge_sums(t.drop(["order"])), _MESSAGE)
+    result = f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, discounts string"
+    return by_chunk.cogroup(answers.unionAll(histories).groupBy("chunk")).applyInArrow(finish, result)
 
 
 HELD_OUT = "pmod(crc32(cast(cast({id} as string) as binary)), 7) = 2"

@@ -3,15 +3,19 @@
 A count-min prefilter comes first. A window's key is the least hash among its 8-word grams (its
 minimiser), so equal windows have equal keys at equal offsets, and the number of places where a key is
 the least of some window is never under the number of places where any window with that key starts.
-Each chunk of documents sketches its keys' places in ``DEPTH`` rows of ``WIDTH`` counters, kept sparse
-and saturating at 2; the sketches are merged range by range, and a chunk learns which of its cells
-reached 2. A window is estimated repeated if its cell did in every row: estimates are only ever
-too high, so none is lost. The second pass groups exactly these windows, by 128-bit hashes of their
-word sequences: a chunk asks once for each distinct window, so a passage in half of all documents is one
-entry for each chunk, never a group of all its places.
-
-The sketch has no dense array that grows with the corpus, nothing is broadcast, and the documents are
-exchanged once: the three stages that read them share that exchange.
+So counting keys' places overestimates, never underestimates, how often a window occurs. Each chunk of
+documents sketches its keys' places in ``DEPTH`` rows of ``width`` counters saturating at 2; the sketches of all
+chunks are merged, each range of counters in one task, and a chunk learns which of its counters reached 2. A
+window is estimated repeated if its counter did in every row: none that repeats is lost. The second pass
+groups exactly these windows, by 128-bit hashes of their word sequences over 128-bit hashes of words (two
+independent halves of XXH3-128, each rolled for itself): a chunk asks once for each distinct window, so a
+passage in half of all documents is one entry for each chunk, never a group of all its places.
+
+Sizes. The width is chosen from the input: the power of two from ``COUNTERS`` counters for each key that its
+bytes should give, so a key that doesn't repeat is taken for one that does with a chance of about
+``COUNTERS ** -DEPTH``. A counter takes a byte while its range is merged; a range has ``RANGE`` of them at most. Chunks have about
+``CHUNK_BYTES`` of text, and buckets about ``BUCKET_BYTES`` of requests, whatever the size of the corpus.
+Nothing is broadcast, and the documents are exchanged once: the three stages that read them share that exchange.
 
 Defined results: a null or empty text has no words. A document of under 35 words has no window and
 keeps all. Equal documents of 35 words or more lose all words, each of them. Repeated rows count as
@@ -29,14 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, words_of
-from .exchange import blocks, chunked, cuts, mixed, pack, pack_bits, unpack, unpack_bits
+from .common import words_of
+from .exchange import blocks, chunked, cuts, mixed, pack, pack_bits, parts_for, unpack, unpack_bits
 
 WINDOW = 35
 GRAM = 8
 DEPTH = 2
-#: Counters in a row of the sketch: cells are the top 40 bits of a hash.
-WIDTH_BITS = 40
+#: Counters in a row of the sketch for each key; bytes of text that give a key, about (14 words).
+COUNTERS, KEY_BYTES = 16, 84
+#: Counters of a range (a byte each while merged); text in a chunk; requests in a bucket.
+RANGE, CHUNK_BYTES, BUCKET_BYTES = 1 << 26, 32 << 20, 64 << 20
 P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -69,8 +75,9 @@ def _slide(a: np.ndarray, k: int, f) -> np.ndarray:
 class Block:
     """The windows of a run of documents: ``start`` (place in the run), ``key``, and keys' places."""
 
-    def __init__(self, lens: np.ndarray, h: np.ndarray, window: int):
-        self.lens, self.h, self.window = lens, h, window
+    def __init__(self, lens: np.ndarray, wide: np.ndarray, window: int):
+        self.lens, self.wide, self.window = lens, wide, window
+        h = np.ascontiguousarray(wide[:, 0])
         gram = min(GRAM, window)
         n = len(h) - window + 1
         if n <= 0:
@@ -87,30 +94,39 @@ class Block:
         self.key = least[valid]
 
     def digests(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hi, lo = rolling(self.h, self.window, P1), rolling(mixed(self.h, 7), self.window, P2)
+        if not len(at):
+            return np.empty(0, np.uint64), np.empty(0, np.uint64)
+        hi, lo = (rolling(np.ascontiguousarray(self.wide[:, i]), self.window, p) for i, p in ((0, P1), (1, P2)))
         return mixed(hi[at], 2), mixed(lo[at], 3)
 
 
-def _cells(keys: np.ndarray, row: int) -> np.ndarray:
-    return mixed(keys, 11 + row) & ~np.uint64((1 << (64 - WIDTH_BITS)) - 1)
+def _cells(keys: np.ndarray, row: int, bits: int) -> np.ndarray:
+    """The counter of each key in a row of 2^bits counters, as the top bits of a number."""
+    return mixed(keys, 11 + row) & ~np.uint64((1 << (64 - bits)) - 1)
+
+
+def width_bits(text_bytes: int) -> int:
+    """log2 of the counters in a row for texts of so many bytes."""
+    return max(16, (COUNTERS * text_bytes // KEY_BYTES).bit_length())
 
 
 class Chunk:
     """All blocks of a chunk; they are made anew by each stage, in the same way."""
 
-    def __init__(self, texts: pa.ChunkedArray, window: int, buckets: int):
+    def __init__(self, texts: pa.ChunkedArray, window: int, buckets: int, bits: int):
         self.blocks = [Block(lens, h, window) for lens, h in blocks(texts)]
-        self.buckets = buckets
+        self.buckets, self.bits = buckets, bits
         self.window = window
         places = np.concatenate([b.places for b in self.blocks]) if self.blocks else np.empty(0, np.uint64)
-        self.rows = [np.unique(_cells(places, r), return_counts=True) for r in range(DEPTH)]
+        self.rows = [np.unique(_cells(places, r, bits), return_counts=True) for r in range(DEPTH)]
 
     def sketch(self) -> Iterator[tuple[int, int, bytes, bytes]]:
         """(bucket, row, cells, which of them count 2 or more here)."""
         for r, (cells, counts) in enumerate(self.rows):
             for bucket, (i, j) in enumerate(cuts(cells, self.buckets)):
                 if j > i:
-                    yield bucket, r, pack(cells[i:j]), pack_bits(counts[i:j] > 1)
+                    # numbers of counters, so few bytes each
+                    yield bucket, r, pack(cells[i:j] >> np.uint64(64 - self.bits)), pack_bits(counts[i:j] > 1)
 
     def estimated(self, answers: dict[tuple[int, int], bytes]) -> list[np.ndarray]:
         """For each block the windows (numbers of its ``start``) estimated repeated."""
@@ -123,7 +139,7 @@ class Chunk:
             ok = np.ones(len(b.key), bool)
             for r, (cells, _) in enumerate(self.rows):
                 if len(b.key):
-                    ok &= full[r][np.searchsorted(cells, _cells(b.key, r))]
+                    ok &= full[r][np.searchsorted(cells, _cells(b.key, r, self.bits))]
             out.append(np.flatnonzero(ok))
         return out
 
@@ -161,22 +177,37 @@ def _rows(names: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.Table:
     return _table(names, [list(c) for c in zip(*rows)] if rows else [[] for _ in names])
 
 
-def _merge(t: pa.Table) -> pa.Table:
-    """One bucket: sums what all chunks sent, tells each chunk which of its entries reach 2."""
-    rows = t.to_pylist()
+def _merge_counters(t: pa.Table) -> pa.Table:
+    """One range of counters: adds what all chunks sent to an array of it, tells each chunk which of its counters reach 2."""
     out = []
+    rows = t.select(["chunk", "bucket", "row"]).to_pylist()
     for row in sorted({r["row"] for r in rows}):
-        own = [r for r in rows if r["row"] == row]
-        hi = [unpack(r["a"]) for r in own]
-        many = np.concatenate([unpack_bits(r["b"], len(h)) for r, h in zip(own, hi)])
-        lo = np.concatenate([np.frombuffer(r["c"], np.uint64) if r["c"] else np.zeros(len(h), np.uint64) for r, h in zip(own, hi)])
-        _, _, counts, number = distinct(np.concatenate(hi), lo)
-        reached = counts > 1
-        reached[number[many]] = True
-        bits, at = reached[number], 0
-        for r, h in zip(own, hi):
-            out.append((r["chunk"], r["bucket"], row, pack_bits(bits[at : at + len(h)])))
-            at += len(h)
+        own = [i for i, r in enumerate(rows) if r["row"] == row]
+        cells = {i: unpack(t["a"][i].as_py()) for i in own}
+        first = min(int(c[0]) for c in cells.values())
+        counters = np.zeros(max(int(c[-1]) for c in cells.values()) + 1 - first, np.uint8)
+        for i, c in cells.items():
+            at = (c - np.uint64(first)).astype(np.int64)  # a chunk has a counter once
+            counters[at] = np.minimum(counters[at] + 1 + unpack_bits(t["b"][i].as_py(), len(c)), 2)
+        for i, c in cells.items():
+            bits = counters[(c - np.uint64(first)).astype(np.int64)] > 1
+            out.append((rows[i]["chunk"], rows[i]["bucket"], row, pack_bits(bits)))
+    return _rows(_ANSWER, out)
+
+
+def _merge_windows(t: pa.Table) -> pa.Table:
+    """One bucket of windows: tells each chunk which of its windows start twice or more."""
+    rows = t.to_pylist()
+    hi = [unpack(r["a"]) for r in rows]
+    many = np.concatenate([unpack_bits(r["b"], len(h)) for r, h in zip(rows, hi)])
+    lo = np.concatenate([np.frombuffer(r["c"], np.uint64) for r in rows])
+    _, _, counts, number = distinct(np.concatenate(hi), lo)
+    reached = counts > 1
+    reached[number[many]] = True
+    bits, at, out = reached[number], 0, []
+    for r, h in zip(rows, hi):
+        out.append((r["chunk"], r["bucket"], DEPTH, pack_bits(bits[at : at + len(h)])))
+        at += len(h)
     return _rows(_ANSWER, out)
 
 
@@ -189,19 +220,24 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
 
     With ``keep`` the result has the columns of ``docs`` with the kept words, joined by one space, in ``text``.
     """
-    buckets = partitions(docs.sparkSession)
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    width = width_bits(size)
+    chunks = parts_for(spark, size, CHUNK_BYTES)
+    # requests are under half the text: 16 bytes for a window estimated repeated, some bits for a counter
+    buckets = max(parts_for(spark, size // 2, BUCKET_BYTES), (1 << width) // RANGE)
     others = [F.col(c) for c in docs.columns if c != text]
     own = F.struct(*others) if keep and others else F.col(id_col)
-    dealt = chunked(docs, {"row": own, "text": F.col(text)}, id_col)
+    dealt = chunked(docs, {"row": own, "text": F.col(text)}, chunks, id_col)
 
     def ask(t: pa.Table) -> pa.Table:
         chunk = t["chunk"][0].as_py()
-        return _rows(_REQUEST, [(b, chunk, r, cells, many, None) for b, r, cells, many in Chunk(t["text"], window, buckets).sketch()])
+        return _rows(_REQUEST, [(b, chunk, r, cells, many, None) for b, r, cells, many in Chunk(t["text"], window, buckets, width).sketch()])
 
     def ask_again(t: pa.Table, answers: pa.Table) -> pa.Table:
         if not t.num_rows:
             return _rows(_REQUEST, [])
-        c = Chunk(t["text"], window, buckets)
+        c = Chunk(t["text"], window, buckets, width)
         hi, lo, counts, _ = c.windows(c.estimated(_answers(answers, True)))
         chunk = t["chunk"][0].as_py()
         rows = [(b, chunk, DEPTH, pack(hi[i:j]), pack_bits(counts[i:j] > 1), lo[i:j].tobytes()) for b, (i, j) in enumerate(cuts(hi, buckets)) if j > i]
@@ -210,7 +246,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
     def remove(t: pa.Table, answers: pa.Table) -> pa.Table:
         if not t.num_rows:
             return pa.table({"row": t["row"], "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string())})
-        c = Chunk(t["text"], window, buckets)
+        c = Chunk(t["text"], window, buckets, width)
         estimated = c.estimated(_answers(answers, True))
         hi, _, _, number = c.windows(estimated)
         bits = _answers(answers, False)
@@ -218,7 +254,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
         repeated = np.concatenate(parts)[number] if parts else np.empty(0, bool)
         n_words, n_removed, kept, doc, seen = [], [], [], 0, 0
         for block, windows in zip(c.blocks, estimated):
-            edge = np.zeros(len(block.h) + 1, np.int64)
+            edge = np.zeros(len(block.wide) + 1, np.int64)
             starts = block.start[windows[repeated[seen : seen + len(windows)]]]
             seen += len(windows)
             np.add.at(edge, starts, 1)
@@ -237,9 +273,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
         return pa.table({"row": t["row"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.string())})
 
     asked = dealt.groupBy("chunk").applyInArrow(ask, REQUEST)
-    cells = asked.groupBy("bucket").applyInArrow(_merge, ANSWER)
+    cells = asked.groupBy("bucket").applyInArrow(_merge_counters, ANSWER)
     asked_again = dealt.groupBy("chunk").cogroup(cells.groupBy("chunk")).applyInArrow(ask_again, REQUEST)
-    found = asked_again.groupBy("bucket").applyInArrow(_merge, ANSWER)
+    found = asked_again.groupBy("bucket").applyInArrow(_merge_windows, ANSWER)
     both = cells.unionAll(found)
     # the row's own type, with what it says about nulls inside
     result = T.StructType([dealt.schema["row"], *[T.StructField(n, T.LongType()) for n in ("n_words", "n_removed")], T.StructField("kept", T.StringType())])
