@@ -1,17 +1,21 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
-A document's key is ``-ln(u) / quality weight`` with ``u`` from a hash of its id and the seed, so
-reruns agree; the smallest keys come first. A source's target is met by whole epochs first (every
-document once more each), then by documents in key order while the running sum of sizes stays within
-the rest; the document that crosses it is taken if that brings the sum nearer.
-
-The running sum doesn't need a source in one task: keys map to 4,096 ranges by the exponential
-distribution function, sizes are summed by (source, range), and only these sums (at most 4,096
-rows for each source) are accumulated in order; within a range a window orders the documents.
+A document's key is ``-ln(u) / weight`` with ``u`` from a hash of its id, its text and the seed, so reruns
+agree; the smallest keys come first. The weight is the document's quality: ``2 ** -k`` for a document that
+fails k rules of the quality ledger (``quality.RULES``), so each failure halves it; another expression can
+be given. A source's target is met by whole epochs first (every document once more each), then by
+documents in key order while the running sum of sizes stays within the rest; the document that crosses it is
+taken if that brings the sum nearer.
+
+Each document is measured once and what the rest needs is stored. The running sum doesn't need a source in
+one task: keys map to ranges by the exponential distribution function, about ``RANGE_ROWS`` rows each
+whatever the size of the table; sizes are summed by (source, range), and only these sums are
+accumulated in order; within a range a window orders the documents. The sources' targets are found by
+windows over one row for each source, with nothing collected to the driver.
 
 Defined results: a null or empty text has size 0 and is never taken. A null source is a source of
-its own, last in order. Equal keys are ordered by id, then text. Rows that agree in both are
-interchangeable. An empty table gives an empty result.
+its own, last in order. Rows with one id and different texts have keys of their own; rows that agree in id and text are
+interchangeable and meet in one range. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,72 +23,73 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, u_from
+from . import quality
+from .common import free_name, stored, u_from
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_EPOCHS = 2.0
 SEED = 20
-RANGES = 4096
-
+#: Rows that a range of keys should hold, and the fewest ranges.
+RANGE_ROWS, FEWEST_RANGES = 4096, 256
 
-def size_of(text: Column) -> Column:
-    """Words of the text: the space-to-word edges, counted in the JVM."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
+def quality_weight(bits: Column) -> Column:
+    """The default document weight: halved for each rule that the document fails."""
+    return F.pow(F.lit(0.5), F.bit_count(bits))
 
-def quality_weight(size: Column) -> Column:
-    """The default document weight: 1 for short documents, up to 2 with length (log scale)."""
-    return F.lit(1.0) + F.least(F.lit(1.0), F.log1p(size.cast("double")) / F.lit(10.0))
 
-
-def targets(sizes: list[tuple[object, int]], share: float = SHARE, weights: tuple[float, ...] = WEIGHTS, most: float = MOST_EPOCHS) -> dict[object, float]:
-    """Each source's target. Sources in code point order, null last, take the weights in turn.
+def targets(sizes: DataFrame, share: float = SHARE, weights: tuple[float, ...] = WEIGHTS, most: float = MOST_EPOCHS) -> DataFrame:
+    """source, n, target for the rows (source, n) of ``sizes``: sources in code point order, null last, take the weights in turn.
 
     A target above ``most`` times its source's size is cut to that and the excess shared anew by
     weight among the others, until none is above. The sources cut are those with the least size for
-    their weight, so one pass in that order finds the level at which the rest share.
+    their weight: in that order, the first at which the rest's share fits gives the level for it and all after it.
     """
-    order = sorted(sizes, key=lambda x: (x[0] is None, (x[0] or "").encode("utf-8", "surrogatepass")))
-    rows = sorted((most * n / weights[i % len(weights)], i, s, n, weights[i % len(weights)]) for i, (s, n) in enumerate(order))
-    total, cut, open_weight = share * sum(n for _, n in order), 0.0, sum(r[4] for r in rows)
-    level = 0.0
-    for ratio, _, _, n, w in rows:
-        level = (total - cut) / open_weight
-        if level <= ratio:
-            break
-        cut, open_weight = cut + most * n, open_weight - w
-    return {s: min(most * n, level * w) if level <= ratio else most * n for ratio, _, s, n, w in rows}
-
-
-def mix(docs: DataFrame, seed: int = SEED, weight: Column | None = None, keep: bool = False) -> DataFrame:
+    placed = sizes.withColumn("i", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.col("i") - 1) % len(weights) + 1).cast("int"))
+    rows = placed.withColumn("w", w).withColumn("cap", F.lit(most) * F.col("n")).withColumn("ratio", F.col("cap") / F.col("w"))
+    order = Window.orderBy("ratio", "i")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cut = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    open_ = F.sum("w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = rows.withColumn("share", (F.lit(share) * F.sum("n").over(whole) - cut) / open_)
+    level = F.first(F.when(F.col("share") <= F.col("ratio"), F.col("share")), True).over(whole)
+    rows = rows.withColumn("level", level)
+    return rows.select("source", "n", F.when(F.col("level") <= F.col("ratio"), F.least("cap", F.col("level") * F.col("w"))).otherwise(F.col("cap")).alias("target"))
+
+
+def _measured(docs: DataFrame, seed: int, weight: Column | None, keep: bool, lang: str | None) -> DataFrame:
+    """_id, _src, _size, _key, _row of each row, stored: the texts are read once."""
+    own = F.struct("*") if keep else F.lit(None).cast("string")
+    m = docs.select(F.col("doc_id").alias("_id"), F.col("source").cast("string").alias("_src"), F.md5(F.coalesce("text", F.lit(""))).alias("_tie"), quality._measures(docs, "text", lang).alias("_m"), own.alias("_row"))
+    m = m.withColumn("_size", F.col("_m.n_words")).withColumn("_bits", quality._bits("_m"))
+    w = quality_weight(F.col("_bits")) if weight is None else weight
+    u = u_from(F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.lit(":"), F.col("_tie")), seed)
+    return stored(m.select("_id", "_src", "_size", (-F.log(u) / w).alias("_key"), "_row"), "mix")
+
+
+def mix(docs: DataFrame, seed: int = SEED, weight: Column | None = None, keep: bool = False, lang: str | None = "lang") -> DataFrame:
     """One row for each row of ``docs``: id, source, size, source_size, target, taken, copies.
 
     ``copies`` says how often the mix holds the document; ``taken`` is ``copies * size``. With
     ``keep`` the columns of ``docs`` come along and only a column of copies, named last, is added.
-    The sources with their sizes go to the driver, which finds the targets; all that grows with
-    the documents stays distributed. ``weight`` is an expression over the column ``_size``.
+    ``weight`` is an expression over the columns ``_size`` and ``_bits`` (failed rules).
     """
-    spark = docs.sparkSession
-    own = F.struct("*") if keep else F.lit(None).cast("string")
-    base = docs.select(
-        F.col("doc_id").alias("_id"), F.col("source").cast("string").alias("_src"), size_of(F.col("text")).alias("_size"),
-        F.xxhash64(F.col("text")).alias("_tie"), own.alias("_row"),
-    )
-    per_source = [(r[0], r[1]) for r in base.groupBy("_src").agg(F.sum("_size")).collect()]
-    goal = targets(per_source)
-    rows = [(s, int(n), float(goal[s]), min(int(goal[s] // n), int(MOST_EPOCHS)) if n else 0) for s, n in per_source]
-    plan = spark.createDataFrame(rows, "_s string, _source_size long, _target double, _epochs int")
-    w = quality_weight(F.col("_size")) if weight is None else weight
-    key = -F.log(u_from(F.col("_id"), seed)) / w
-    # exp(-x) ranges the keys evenly; a source's ranges hold about 1/4096 of its rows each
-    keyed = base.withColumn("_key", key).withColumn("_range", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * RANGES).cast("int"))
+    base = _measured(docs, seed, weight, keep, lang)
+    ranges = max(FEWEST_RANGES, 1 << (base.count() // RANGE_ROWS).bit_length())
+    sizes = base.groupBy("_src").agg(F.sum("_size").alias("n")).withColumnRenamed("_src", "source")
+    plan = targets(sizes).select(F.col("source").alias("_s"), F.col("n").alias("_source_size"), F.col("target").alias("_target"))
+    epochs = F.when(F.col("_source_size") > 0, F.least(F.floor(F.col("_target") / F.col("_source_size")), F.lit(int(MOST_EPOCHS)))).otherwise(0)
+    plan = plan.withColumn("_epochs", epochs.cast("int"))
+    # exp(-x) ranges the keys of weight 1 evenly
+    keyed = base.withColumn("_range", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * ranges).cast("long"))
     sums = keyed.groupBy("_src", "_range").agg(F.sum("_size").alias("_sum"))
     before = Window.partitionBy("_src").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(F.col("_src"), F.col("_range").alias("_r"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     offsets = offsets.join(plan, offsets["_src"].eqNullSafe(plan["_s"])).select("_s", "_r", "_before", "_source_size", "_target", "_epochs")
     joined = keyed.join(offsets, F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
-    within = Window.partitionBy("_src", "_range").orderBy("_key", F.col("_id").asc_nulls_last(), "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("_src", "_range").orderBy("_key", F.col("_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.col("_before") + F.sum("_size").over(within)
     rest = F.col("_target") - F.col("_epochs") * F.col("_source_size")
     partly = (end - F.col("_size") / 2.0 <= rest) & (F.col("_epochs") < MOST_EPOCHS)

@@ -1,36 +1,65 @@
 """Quality rules as a ledger of failure bits: every rule is evaluated once for a document.
 
-``ledger`` measures a document once and stores the measurements and one bit for each rule that it
-fails. ``POLICIES`` are versioned masks over these bits: a policy's verdict, and what each rule
-alone adds to it (``ablations``), come from the stored bits with no second look at the texts.
+``ledger`` measures a document once and has the measurements and one bit for each rule that it fails;
+``write_ledger`` stores it under the version of the rules. ``POLICIES`` are versioned masks over these bits: a
+policy's verdict (``judged``), and what each rule alone adds to it (``ablations``), come from the stored bits
+with no second look at the texts.
 
-Defined results: a null or empty text has no words and fails ``few_words``. Texts are measured
-whole. Repeated rows are measured each for itself. Other columns of the input pass through
-``apply_policy`` untouched, whatever their names.
+Rules beyond the base are of the kinds known from public web corpora: shape of words and characters,
+shape of lines, repetition, and stop words by language. All thresholds are in ``RULES``.
+
+Defined results: a null or empty text has no words and fails ``few_words``. Texts are measured whole. A
+language without a list of stop words (or null) measures -1 of them and never fails that rule. Repeated rows are
+measured each for itself. Other columns pass through ``apply_policy`` untouched, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, words_of
+from .common import free_name, shared_dir
 
 SYMBOLS = "#*$%&|<>"
-MEASURES = "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_lines:bigint,n_dup_lines:bigint,n_repeat_words:bigint>"
 SPACES = " \t\n\x0b\x0c\r"
+_UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
+_SYMBOL_BYTES, _SPACE_BYTES = SYMBOLS.encode(), SPACES.encode()
+_LETTER = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
+#: Frequent words that a text of a language has.
+STOP_WORDS = {
+    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "ist"],
+    "en": ["the", "be", "to", "of", "and", "that", "have", "with", "in", "is"],
+    "es": ["de", "la", "que", "el", "en", "y", "los", "un", "por", "con"],
+    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "que", "une"],
+}
+_STOP = {lang: {w.encode() for w in words} for lang, words in STOP_WORDS.items()}
+
+MEASURES = [
+    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_bare_words", "n_digits", "n_upper", "n_ellipsis_lines", "n_bullet_lines", "longest_word", "n_top_pair", "n_stop_words",
+]
 
-#: (name, a document fails where this holds over its measurements); a rule's bit is its position.
+#: The version of the rules and measurements below; a stored ledger is kept under it.
+RULE_SET = 2
+#: (name, a document fails where this holds over its measurements); a rule's bit is its position, so rules are only added at the end.
 RULES: list[tuple[str, str]] = [
     ("few_words", "n_words < 50"),
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     ("symbols", "10 * n_symbols > n_words"),
     ("word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
     ("duplicate_lines", "n_lines >= 4 and 10 * n_dup_lines > 5 * n_lines"),
+    ("bare_words", "n_words >= 50 and 100 * n_bare_words > 20 * n_words"),
+    ("digits", "n_words >= 50 and 100 * n_digits > 20 * word_chars"),
+    ("capitals", "n_words >= 50 and 100 * n_upper > 40 * word_chars"),
+    ("ellipsis_lines", "n_lines >= 4 and 100 * n_ellipsis_lines > 30 * n_lines"),
+    ("bullet_lines", "n_lines >= 4 and 100 * n_bullet_lines > 90 * n_lines"),
+    ("longest_word", "longest_word > 1000"),
+    ("top_pair", "n_words >= 50 and 100 * n_top_pair > 20 * n_words"),
+    ("stop_words", "n_words >= 50 and n_stop_words >= 0 and n_stop_words < 2"),
 ]
 BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
 BASE = BIT["few_words"] | BIT["repeated_windows"]
@@ -38,79 +67,110 @@ BASE = BIT["few_words"] | BIT["repeated_windows"]
 POLICIES: dict[str, int] = {
     "v1": BASE,
     "v2": BASE | BIT["symbols"] | BIT["word_length"] | BIT["duplicate_lines"],
+    "v3": (1 << len(RULES)) - 1,
 }
-PRODUCTION = "v2"
+PRODUCTION = "v3"
 
 
-def measure(text: str | None) -> tuple[int, int, int, int, int, int]:
-    words = words_of(text)
+def measure(text: str | None, lang: str | None = None) -> tuple[int, ...]:
+    """The values of ``MEASURES``."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    words = raw.split()
+    less = lambda of: len(raw) - len(raw.translate(None, of))
+    symbols, stop = less(_SYMBOL_BYTES), _STOP.get(lang) if lang else None
     if not words:
-        return 0, 0, sum(map((text or "").count, SYMBOLS)), 0, 0, 0
-    windows = list(zip(words, words[1:], words[2:]))
+        return (0, 0, symbols, *[0] * (len(MEASURES) - 4), -1 if stop is None else 0)
+    pairs = list(zip(words, words[1:]))
+    top = Counter(pairs).most_common(1)[0][1] if pairs else 0
     repeated = 0
-    if len(set(windows)) < len(windows):
+    if top > 1:  # a window of three that stands twice has pairs that do
+        windows = list(zip(words, words[1:], words[2:]))
         seen, end = Counter(windows), 0
-        for i, w in enumerate(windows):
-            if seen[w] > 1:
-                repeated += i + 3 - max(i, end)
-                end = i + 3
-    lines = [x for x in text.split("\n") if x.strip(SPACES)]
+        if len(seen) < len(windows):
+            for i, w in enumerate(windows):
+                if seen[w] > 1:
+                    repeated += i + 3 - max(i, end)
+                    end = i + 3
+    lines = [x for x in (y.strip(SPACES) for y in text.split("\n")) if x]
+    whole = [x for x in text.split("\n") if x.strip(SPACES)]
+    lowered = raw.lower().split() if stop else []
+    longest = max(words, key=len)
     return (
         len(words),
         len(text) - sum(map(text.count, SPACES)),
-        sum(map(text.count, SYMBOLS)),
+        symbols,
         len(lines),
-        len(lines) - len(set(lines)),
+        len(whole) - len(set(whole)),
         repeated,
+        sum(len(w.translate(None, _LETTER)) == len(w) for w in words),
+        less(_DIGITS),
+        less(_UPPER),
+        sum(x.endswith(("...", "…")) for x in lines),
+        sum(x.startswith(("-", "*", "•", "|")) for x in lines),
+        len(longest) if longest.isascii() and raw.isascii() else max(map(len, text.translate(_BLANKS).split(" "))),
+        2 * top if top > 1 else 0,
+        -1 if stop is None else sum(w in stop for w in lowered),
     )
 
 
-def _measure_all(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(
-        [measure(t) for t in texts],
-        columns=["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"],
-    )
+_BLANKS = str.maketrans(SPACES, " " * len(SPACES))
+
 
+def _measure_all(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([measure(t, x) for t, x in zip(texts, langs)], columns=MEASURES)
 
-def _measures(text: Column) -> Column:
-    return F.pandas_udf(_measure_all, MEASURES)(text)
+
+def _measures(docs: DataFrame, text: str, lang: str | None) -> Column:
+    of = F.col(lang).cast("string") if lang and lang in docs.columns else F.lit(None).cast("string")
+    return F.pandas_udf(_measure_all, "struct<" + ",".join(f"{m}:bigint" for m in MEASURES) + ">")(F.col(text), of)
 
 
 def _bits(of: str) -> Column:
     """The failure bits from the measurements in the struct column ``of``."""
     out = F.lit(0)
     for name, fails in RULES:
-        for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"):
-            fails = _qualified(fails, m, of)
+        for m in MEASURES:
+            fails = re.sub(rf"(?<![\w.]){m}(?!\w)", f"`{of}`.{m}", fails)
         out = out.bitwiseOR(F.when(F.expr(fails), BIT[name]).otherwise(0))
     return out
 
 
-def _qualified(text: str, name: str, of: str) -> str:
-    return re.sub(rf"(?<![\w.]){name}(?!\w)", f"`{of}`.{name}", text)
+def ledger(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text", lang: str | None = "lang") -> DataFrame:
+    """One row for each row of ``docs``: keys, measurements and ``fail_bits``. ``lang`` is used if ``docs`` has it."""
+    measured = docs.select(*keys, _measures(docs, text, lang).alias("_m")).withColumn("fail_bits", _bits("_m"))
+    return measured.select(*keys, "_m.*", "fail_bits")
+
 
+def write_ledger(docs: DataFrame, to: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text", lang: str | None = "lang") -> None:
+    """Evaluate the rules and store the ledger in ``to`` under the version of the rules; ledgers of other versions stay."""
+    ledger(docs, keys, text, lang).write.mode("overwrite").parquet(f"{to}/rules={RULE_SET}")
 
-def ledger(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: keys, measurements and ``fail_bits``."""
-    measured = docs.select(*keys, _measures(F.col(text)).alias("_m")).withColumn("fail_bits", _bits("_m"))
-    return measured.select(*keys, "_m.*", "fail_bits")
+
+def read_ledger(spark: SparkSession, to: str, version: int = RULE_SET) -> DataFrame:
+    return spark.read.parquet(f"{to}/rules={version}")
 
 
 def verdict(bits: Column, policy: str) -> Column:
     return bits.bitwiseAND(POLICIES[policy]) == 0
 
 
-def apply_policy(docs: DataFrame, policy: str = PRODUCTION, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``policy`` keeps, with their columns."""
+def judged(rows: DataFrame, policy: str = PRODUCTION) -> DataFrame:
+    """A stored ledger's rows with ``base_failed`` and ``kept``."""
+    bits = F.col("fail_bits")
+    return rows.withColumn("base_failed", bits.bitwiseAND(BASE) != 0).withColumn("kept", verdict(bits, policy))
+
+
+def apply_policy(docs: DataFrame, policy: str = PRODUCTION, text: str = "text", lang: str | None = "lang") -> DataFrame:
+    """The rows of ``docs`` that ``policy`` keeps, with their columns. The first look at the texts, so nothing is stored."""
     m, b = free_name(docs, "_measures"), free_name(docs, "_bits")
-    out = docs.withColumn(m, _measures(F.col(text))).withColumn(b, _bits(m))
+    out = docs.withColumn(m, _measures(docs, text, lang)).withColumn(b, _bits(m))
     return out.where(verdict(F.col(b), policy)).drop(m, b)
 
 
 def ablations(ledger_rows: DataFrame, policy: str = PRODUCTION) -> DataFrame:
     """For each rule of ``policy``: documents failing it, failing it alone, and kept without it.
 
-    The ledger is first summed by bit pattern (at most 2^rules rows), so no text is read again.
+    The ledger is first summed by bit pattern (at most 2^rules rows), so no text is read again. An empty ledger has no row.
     """
     mask = POLICIES[policy]
     patterns = ledger_rows.groupBy(F.col("fail_bits").bitwiseAND(mask).alias("b")).agg(F.count("*").alias("n"))
@@ -124,13 +184,18 @@ def ablations(ledger_rows: DataFrame, policy: str = PRODUCTION) -> DataFrame:
     )
 
 
+def _stored_ledger(docs: DataFrame) -> DataFrame:
+    to = f"{shared_dir(docs.sparkSession)}/ledger-{uuid.uuid4().hex}"
+    write_ledger(docs, to)
+    return read_ledger(docs.sparkSession, to)
+
+
 def op9_quality_rules(docs: DataFrame) -> DataFrame:
-    rows = ledger(docs)
-    bits = F.col("fail_bits")
-    return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (bits.bitwiseAND(BASE) != 0).alias("base_failed"),
-        verdict(bits, PRODUCTION).alias("kept"),
-        "n_lines",
-        "fail_bits",
-    )
+    rows = judged(_stored_ledger(docs))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return rows.select(*first, *[m for m in MEASURES if m not in first], "fail_bits")
+
+
+def quality_ablations(docs: DataFrame) -> DataFrame:
+    """What each rule of the production policy adds, from the stored ledger."""
+    return ablations(_stored_ledger(docs))

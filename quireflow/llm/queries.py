@@ -13,7 +13,7 @@ from .huffman import op6_huffman_ids
 from .katz import op7_katz_scoring
 from .mixing import op10_source_mixing
 from .pivots import op4_pivot_near_dedup
-from .quality import op9_quality_rules
+from .quality import op9_quality_rules, quality_ablations
 from .sharding import op5_extendible_sharding
 from .simhash import op2_simhash_near_dedup
 from .sql import ORACLES
@@ -38,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": _over("documents", op8_substring_dedup),
         "op9_quality_rules": _over("documents", op9_quality_rules),
         "op10_source_mixing": _over("documents", op10_source_mixing),
+        "quality_ablations": _over("documents", quality_ablations),
     }
 
 

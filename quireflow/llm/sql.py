@@ -12,22 +12,37 @@ def _bits() -> str:
     return " + ".join(cases)
 
 
-OP9 = rf"""
-with d as (select row_number() over () rid, doc_id, coalesce(text, '') t, {_WORDS} w from documents),
+_STOP = " ".join(f"when '{lang}' then len(list_filter(w, lambda x: lower(x) in {tuple(words)}))" for lang, words in quality.STOP_WORDS.items())
+_COUNT = "cast(length(t) - length(regexp_replace(t, '{0}', '', 'g')) as bigint)"
+
+#: b: a row for each document with the measurements and the failure bits
+LEDGER = rf"""d as (select row_number() over () rid, doc_id, lang, source, text, coalesce(text, '') t, {_WORDS} w from documents),
 lines as (select rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l from d),
+trimmed as (select rid, l, list_transform(l, lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) k from lines),
 grams as (select rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] g from d, lateral (select unnest(range(1, len(w) - 1)) i)),
 twice as (select rid, i, count(*) over (partition by rid, g) n from grams),
 hit as (select rid, count(distinct p) n from (select rid, unnest([i, i + 1, i + 2]) p from twice where n > 1) group by rid),
-m as (select d.rid, doc_id, cast(len(w) as bigint) n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) word_chars,
-  cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) n_symbols, cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines,
-  cast(coalesce(hit.n, 0) as bigint) n_repeat_words, cast(len(l) as bigint) n_lines from d join lines using (rid) left join hit using (rid)),
-b as (select *, {_bits()} fail_bits from m)
+pairs as (select rid, max(n) n from (select rid, w[i] || ' ' || w[i + 1] g, count(*) n from d, lateral (select unnest(range(1, len(w))) i) group by all) group by rid),
+m as (select d.rid, doc_id, source, text, cast(len(w) as bigint) n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) word_chars,
+  {_COUNT.format("[#*$%&|<>]")} n_symbols, cast(len(l) as bigint) n_lines, cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines, cast(coalesce(hit.n, 0) as bigint) n_repeat_words,
+  cast(len(list_filter(w, lambda x: not regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) as bigint) n_bare_words, case when len(w) = 0 then 0 else {_COUNT.format("[0-9]")} end n_digits, case when len(w) = 0 then 0 else {_COUNT.format("[A-Z]")} end n_upper,
+  cast(len(list_filter(k, lambda x: x like '%...' or x like '%…')) as bigint) n_ellipsis_lines, cast(len(list_filter(k, lambda x: regexp_matches(x, '^[-*•|]'))) as bigint) n_bullet_lines,
+  cast(coalesce(list_max(list_transform(w, lambda x: length(x))), 0) as bigint) longest_word, cast(case when pairs.n > 1 then 2 * pairs.n else 0 end as bigint) n_top_pair,
+  cast(case lang {_STOP} else -1 end as bigint) n_stop_words
+  from d join trimmed using (rid) left join hit using (rid) left join pairs using (rid)),
+b as (select *, {_bits()} fail_bits from m)"""
+
+OP9 = rf"""with {LEDGER}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & {quality.BASE} <> 0 base_failed, fail_bits & {quality.POLICIES[quality.PRODUCTION]} = 0 kept,
-  n_lines, cast(fail_bits as int) fail_bits from b"""
+  n_lines, n_bare_words, n_digits, n_upper, n_ellipsis_lines, n_bullet_lines, longest_word, n_top_pair, n_stop_words, cast(fail_bits as int) fail_bits from b"""
+
+ABLATIONS = rf"""with {LEDGER}, r as (select unnest({[{"rule": k, "bit": v} for k, v in quality.BIT.items()]}, recursive := true))
+select rule, cast(count(*) filter (where fail_bits & "bit" <> 0) as bigint) n_failing, cast(count(*) filter (where fail_bits = "bit") as bigint) n_failing_alone,
+  cast(count(*) filter (where fail_bits & ~"bit" = 0) as bigint) n_kept_without from b, r group by rule"""
 
 OP10 = rf"""
-with d as (select doc_id, source, cast(len({_WORDS}) as bigint) size from documents),
-s as (select source, cast(sum(size) as bigint) n, row_number() over (order by source nulls last) i from d group by source),
+with {LEDGER}, e0 as (select rid, doc_id, source, text, n_words size, fail_bits from b),
+s as (select source, cast(sum(size) as bigint) n, row_number() over (order by source nulls last) i from e0 group by source),
 w as (select *, list_extract({list(mixing.WEIGHTS)}, (i - 1) % {len(mixing.WEIGHTS)} + 1)::double w from s),
 r as (select *, {mixing.MOST_EPOCHS}::double * n / w ratio from w),
 l as (select *, ({mixing.SHARE}::double * (select sum(n) from r) - coalesce(sum({mixing.MOST_EPOCHS}::double * n) over (order by ratio, i rows between unbounded preceding and 1 preceding), 0))
@@ -35,8 +50,8 @@ l as (select *, ({mixing.SHARE}::double * (select sum(n) from r) - coalesce(sum(
 v as (select coalesce((select lev from l where lev <= ratio order by ratio, i limit 1), 1e300) lev),
 t as (select source, n, case when v.lev <= ratio then least({mixing.MOST_EPOCHS}::double * n, v.lev * w) else {mixing.MOST_EPOCHS}::double * n end target from l, v),
 e as (select *, case when n > 0 then least(floor(target / n), {mixing.MOST_EPOCHS}) else 0 end epochs from t),
-k as (select d.*, n, target, epochs, -ln((cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), 'null') || ':{mixing.SEED}'), 1, 13)) as bigint) + 0.5::double) / 4503599627370496::double)
-  / (1 + least(1, ln(1 + size::double) / 10)) key from d join e on d.source is not distinct from e.source),
+k as (select e0.*, n, target, epochs, -ln((cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), 'null') || ':' || md5(coalesce(text, '')) || ':{mixing.SEED}'), 1, 13)) as bigint) + 0.5::double) / 4503599627370496::double)
+  * (1 << bit_count(fail_bits)) key from e0 join e on e0.source is not distinct from e.source),
 p as (select *, sum(size) over (partition by source order by key, doc_id nulls last rows unbounded preceding) ends from k),
 c as (select *, cast(case when size = 0 then 0 else epochs + case when ends - size / 2.0::double <= target - epochs * n and epochs < {mixing.MOST_EPOCHS} then 1 else 0 end end as int) copies from p)
 select doc_id, size, n source_size, target, copies * size taken, copies from c"""
@@ -64,4 +79,5 @@ ORACLES = {
     "op8_substring_dedup": OP8,
     "op9_quality_rules": OP9,
     "op10_source_mixing": OP10,
+    "quality_ablations": ABLATIONS,
 }
