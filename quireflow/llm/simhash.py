@@ -130,7 +130,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
     if not 0 <= radius <= 2:
         raise ValueError("radius: 0, 1 or 2")
     rows = stored(fingerprints(docs, shingle, id_col, text), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("id").alias("least"))
+    classes = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
     comp = components(links(classes, radius))
     tied = classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     names = tied.groupBy("component").agg(F.min("least").alias("component_id"))
