@@ -78,6 +78,31 @@ def test_lexicon_is_minimal_and_exact(ws, others):
     assert len(lexicon.final) <= len(right) + 1  # one state for each set of suffixes, and the start
 
 
+def test_lexicon_has_exactly_the_most_frequent_words(spark):
+    """Ties in the order of their bytes, however many words one count has."""
+    rng = random.Random(6)
+    counts = {f"w{rng.randrange(10**6)}".encode(): rng.choice([1, 1, 1, 2, 7, 900]) for _ in range(520)} | {b"a": 1, b"ab": 1, b"abc": 1, bytes([255]): 1}
+    df = spark.createDataFrame([(bytearray(w), n) for w, n in counts.items()], "word binary, n long")
+    for words in (0, 1, 3, 100, 300, len(counts), 10**6):
+        want = sorted(counts, key=lambda w: (-counts[w], w))[:words]
+        assert sorted(bpe.most_frequent(df, words)) == sorted(want)
+    assert bpe.most_frequent(df.where("false"), 5) == []
+
+
+def test_other_vocabularies_are_refused():
+    import json
+
+    for name in ("byte_bpe_50k.json",):
+        with open(common.tokenizer_path(name), encoding="utf-8") as f, pytest.raises(ValueError, match="normalizer"):
+            bpe.Vocabulary(f.read())
+    with open(common.tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    bpe.check_spec(spec)
+    spec["added_tokens"][0]["lstrip"] = True
+    with pytest.raises(ValueError, match="added token"):
+        bpe.check_spec(spec)
+
+
 def test_op1(spark, documents, odd, none, library):
     for df in (documents, odd):
         got = Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in bpe.op1_bpe_codec(df).collect())
@@ -150,28 +175,61 @@ def test_edit_trees(library, vocabulary):
             assert "".join(tree.text) == text and tree.total == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def edited(text, edits):
+    for e in edits:
+        at = min(max(e["at"] or 0, 0), len(text))
+        text = text[:at] + (e["put"] or "") + text[at + max(e["cut"] or 0, 0) :]
+    return text
+
+
 def test_op3(documents, odd, none, library):
     from pyspark.sql import functions as F
 
+    size = lambda x: len(library.encode(x, add_special_tokens=False).ids)
     for df in (documents, odd):
         got = Counter((r["doc_id"], r["n_tokens"], r["n_tokens_after"], r["n_chars_after"]) for r in edit_counts.op3_edit_aware_counts(df).collect())
         expect = Counter()
-        for r in df.select("doc_id", "text", edit_counts.scripted(F.col("doc_id"), F.col("text")).alias("e")).collect():
-            text = after = r["text"] or ""
-            for e in r["e"]:
-                at = min(e["at"], len(after))
-                after = after[:at] + e["put"] + after[at + e["cut"] :]
-            n = [len(library.encode(x, add_special_tokens=False).ids) for x in (text, after)]
-            expect[r["doc_id"], *n, len(after)] += 1
+        for r in df.select("doc_id", "text", edit_counts.scripted(F.col("doc_id"), F.coalesce(F.length("text"), F.lit(0))).alias("e")).collect():
+            text = r["text"] or ""
+            after = edited(text, r["e"])
+            expect[r["doc_id"], size(text), size(after), len(after)] += 1
         assert got == expect
     assert edit_counts.op3_edit_aware_counts(none).count() == 0
 
 
+def test_trees_are_kept(spark, library):
+    """Two rounds of edits, each from the stored trees alone: only touched leaves are encoded, the totals are the library's."""
+    rng = random.Random(4)
+    texts = {i: " ".join(f"word{rng.randrange(500)}" for _ in range(n)) for i, n in enumerate([0, 1, 5, 400, 3000])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    trees = common.stored(edit_counts.build_trees(docs), "trees")
+    rows = 0
+    for turn in range(2):
+        edits = [(i, k, rng.randrange(0, len(t) + 1), rng.randrange(0, 9), rng.choice([" x y", "", "Zz"])) for i, t in texts.items() if i % 2 or turn for k in range(2)]
+        table = spark.createDataFrame([*edits, (None, 0, 0, 1, "q")], "doc_id long, seq int, at long, cut long, put string")
+        joined, column = edit_counts.edit_lists(trees, table)
+        out = common.stored(edit_counts.apply_edits(joined, column), "trees")
+        for i, *_ in edits[::2]:
+            texts[i] = edited(texts[i], [{"at": e[2], "cut": e[3], "put": e[4]} for e in edits if e[0] == i])
+        for r in out.collect():
+            rows += 1
+            assert "".join(r["leaves"]) == texts[r["id"]] and r["n_chars_after"] == len(texts[r["id"]]) == r["chars"][1]
+            assert r["n_tokens_after"] == r["tokens"][1] == len(library.encode(texts[r["id"]], add_special_tokens=False).ids)
+            assert r["n_runs_encoded_again"] <= r["n_edits"] * 4 * edit_counts.LEAF
+            if not r["n_edits"]:
+                assert r["n_runs_encoded_again"] == 0
+        trees = out.select("id", "leaves", "chars", "tokens")
+    assert rows == 10
+
+
 def test_edits_as_a_table(spark, library):
-    docs = spark.createDataFrame([(1, "one two"), (2, "x")], "doc_id long, text string")
-    edits = spark.createDataFrame([(1, 2, 0, 3, "1"), (1, 1, 7, 0, " three")], "doc_id long, seq int, at long, cut long, put string")
-    out = {r["id"]: r for r in edit_counts.edited_counts(edit_counts.edit_lists(docs, edits), edit_counts.F.col("edits")).collect()}
-    assert out[1]["n_tokens_after"] == len(library.encode("1 two three", add_special_tokens=False).ids) and out[2]["n_edits"] == 0
+    docs = spark.createDataFrame([(1, "one two"), (2, "x"), (None, "y")], "doc_id long, text string")
+    edits = spark.createDataFrame([(1, 2, 0, 3, "1"), (1, 1, 7, 0, " three"), (None, 1, None, None, None)], "doc_id long, seq int, at long, cut long, put string")
+    trees = edit_counts.build_trees(docs).selectExpr("*", "'clash' as edits")
+    joined, column = edit_counts.edit_lists(trees, edits)
+    assert len(set(joined.columns)) == len(joined.columns)
+    out = {r["id"]: r for r in edit_counts.apply_edits(joined, column).collect()}
+    assert out[1]["n_tokens_after"] == len(library.encode("1 two three", add_special_tokens=False).ids) and out[2]["n_edits"] == 0 and out[None]["n_edits"] == 1
 
 
 # SimHash
@@ -250,18 +308,12 @@ def test_similar_documents(spark, odd, none):
     assert similar.without_near_duplicates(none).count() == 0
 
 
-def test_large_buckets_grow_the_same_parts():
-    rng = np.random.default_rng(2)
-    centre = rng.integers(0, 2**63, (3, 8), dtype=np.uint64)
-    fp = centre[rng.integers(0, 3, 200)].copy()
-    for i in range(200):
-        for b in rng.integers(0, 512, 20):
-            fp[i, b // 64] ^= np.uint64(1 << int(b % 64))
-    value = np.zeros(200, np.uint64)
-    got = similar.ties(value, 4, fp, 60)
-    d = np.bitwise_count(fp[:, None] ^ fp[None]).sum(axis=2)
-    comp = reachable(range(200), [(int(a), int(b)) for a, b in zip(*np.nonzero(d <= 60)) if a < b])
-    assert got.tolist() == [comp[i] for i in range(200)]
+def test_similar_takes_any_column_names(spark):
+    """Columns named like the stage's own, and words kept apart by fingerprints alone."""
+    rows = [(1, "a b c d e f g h", 1, "x", "k"), (2, "a b c d e f g h", 2, "y", "k"), (None, None, 3, "z", None), (None, "", 4, "z", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id long, _digest string, _text_digest string")
+    out = similar.without_near_duplicates(df)
+    assert out.columns == df.columns and {(r["doc_id"], r["text"] or "") for r in out.collect()} == {(1, rows[0][1]), (None, "")}
 
 
 def test_similar_candidates_do_not_depend_on_size():
@@ -344,6 +396,17 @@ def test_op8(documents, odd, none):
     assert substring.repeats(odd, keep=True).columns == odd.columns
 
 
+@pytest.mark.parametrize("bits, each", [(2, 1 << 20), (8, 2000)])
+def test_sketch_loses_none(spark, documents, monkeypatch, bits, each):
+    """Counters that all windows share only estimate too many as repeated; many small chunks and buckets change nothing."""
+    monkeypatch.setattr(substring, "width_bits", lambda n: bits)
+    monkeypatch.setattr(substring, "CHUNK_BYTES", each)
+    monkeypatch.setattr(substring, "BUCKET_BYTES", each)
+    got = Counter(tuple(r) for r in substring.op8_substring_dedup(documents).collect())
+    r = rows(documents)
+    assert got == Counter((x["doc_id"], *y) for x, y in zip(r, removed([x["text"] for x in r], 35)))
+
+
 @pytest.mark.parametrize("window", [1, 3, 9])
 def test_short_windows(spark, window):
     rng = random.Random(window)
@@ -356,29 +419,54 @@ def test_short_windows(spark, window):
 # quality
 
 
-def plain_measures(text):
+def plain_measures(text, lang=None):
     text = text or ""
     w = words(text)
     grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
     n = Counter(grams)
     hit = {i + j for i, g in enumerate(grams) if n[g] > 1 for j in range(3)}
     lines = [x for x in text.split("\n") if words(x)]
-    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit)
+    trimmed = [x.strip(" \t\n\x0b\x0c\r") for x in lines]
+    top = max(Counter(zip(w, w[1:])).values(), default=0)
+    stop = quality.STOP_WORDS.get(lang)
+    low = lambda x: "".join(c.lower() if c.isascii() else c for c in x)
+    return {
+        "n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(c in "#*$%&|<>" for c in text), "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(hit),
+        "n_bare_words": sum(not any(c.isalpha() and c.isascii() or ord(c) > 127 for c in x) for x in w), "n_digits": sum(c in "0123456789" for c in text), "n_upper": sum("A" <= c <= "Z" for c in text),
+        "n_ellipsis_lines": sum(x.endswith("...") or x.endswith("…") for x in trimmed), "n_bullet_lines": sum(x[0] in "-*•|" for x in trimmed), "longest_word": max(map(len, w), default=0),
+        "n_top_pair": 2 * top if top > 1 else 0, "n_stop_words": -1 if stop is None else sum(low(x) in stop for x in w),
+    }
 
 
 def test_op9(documents, odd, none):
-    for df in (documents, odd):
-        got = Counter(tuple(r)[:7] for r in quality.op9_quality_rules(df).collect())
+    from pyspark.sql import functions as F
+
+    for df in (documents, odd, odd.withColumn("lang", F.when(F.col("source") == "a", "EN").otherwise("en"))):
+        got = Counter(tuple(r[m] for m in ["doc_id", *quality.MEASURES, "base_failed"]) for r in quality.op9_quality_rules(df).collect())
         expect = Counter()
-        for r in rows(df):
-            m = plain_measures(r["text"])
-            expect[r["doc_id"], *m, m[0] < 50 or 100 * m[4] > 50 * m[0]] += 1
+        for r in df.collect():
+            m = plain_measures(r["text"], r["lang"] if "lang" in df.columns else None)
+            expect[r["doc_id"], *[m[x] for x in quality.MEASURES], m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"]] += 1
         assert got == expect
     assert all(not r["kept"] for r in quality.op9_quality_rules(documents).collect() if r["base_failed"])
     assert quality.op9_quality_rules(none).count() == 0
     assert quality.apply_policy(odd).columns == odd.columns
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aB1- .…•\n\té#", max_size=60), st.sampled_from([None, "en", "xx"]))
+def test_measures(text, lang):
+    assert dict(zip(quality.MEASURES, quality.measure(text, lang))) == plain_measures(text, lang)
+
+
+def test_ledger_is_stored_by_version(spark, documents, tmp_path):
+    quality.write_ledger(documents, str(tmp_path))
+    led = quality.read_ledger(spark, str(tmp_path))
+    assert led.count() == documents.count()
+    kept = {p: quality.judged(led, p).where("kept").count() for p in quality.POLICIES}
+    assert kept["v1"] >= kept["v2"] >= kept["v3"] > 0
+
+
 def test_ablations(documents):
     led = quality.ledger(documents)
     bits = [r["fail_bits"] for r in led.collect()]
