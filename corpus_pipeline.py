@@ -53,7 +53,7 @@ STAGES = [
     ("bpe_codec", bpe_codec),
 ]
 
-#: SimHash candidates and BPE ids can't be expressed in SQL; the tests compare with brute force.
+#: Jaccard classes and BPE ids can't be expressed in SQL; tests/llm holds run() against the five stages in plain Python.
 ORACLE_SQL = None
 
 
