@@ -35,20 +35,21 @@ def parts_for(spark: SparkSession, total: int, each: int) -> int:
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Sorted uint64 values as differences of as many bytes as the largest needs."""
+    """Sorted uint64 values: the first, and differences of as many bytes as the largest needs."""
     if not len(a):
         return b""
-    d = np.diff(a, prepend=a.dtype.type(0))
-    width = max(1, (int(d.max()).bit_length() + 7) // 8)
-    return bytes([width]) + np.ascontiguousarray(d).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    d = np.diff(a)
+    width = max(1, (int(d.max()).bit_length() + 7) // 8) if len(d) else 1
+    return bytes([width]) + int(a[0]).to_bytes(8, "little") + np.ascontiguousarray(d).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def unpack(b: bytes) -> np.ndarray:
     if not b:
         return np.empty(0, np.uint64)
-    width = b[0]
-    raw = np.zeros(((len(b) - 1) // width, 8), np.uint8)
-    raw[:, :width] = np.frombuffer(b, np.uint8, offset=1).reshape(-1, width)
+    width, n = b[0], (len(b) - 9) // b[0]
+    raw = np.zeros((n + 1, 8), np.uint8)
+    raw[0] = np.frombuffer(b, np.uint8, 8, 1)
+    raw[1:, :width] = np.frombuffer(b, np.uint8, offset=9).reshape(-1, width)
     return np.cumsum(raw.view(np.uint64).ravel(), dtype=np.uint64)
 
 
