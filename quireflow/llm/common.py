@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -47,6 +48,12 @@ def dropped(table: DataFrame) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let the cleaner drop the shuffle files of plans that are done: it acts when the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted`` or a longer name that no column of ``df`` has (names compare without case)."""
     taken = {c.lower() for c in df.columns}

@@ -69,6 +69,40 @@ def unpack_ints(b: bytes) -> np.ndarray:
     return raw.view(np.int64).ravel()
 
 
+def pack_few(a: np.ndarray) -> bytes:
+    """Numbers that are mostly 0 or 1: two bits each, and the larger ones apart."""
+    return pack_bits(a > 0) + pack_bits(a > 1) + pack_ints(a[a > 1])
+
+
+def unpack_few(b: bytes, n: int) -> np.ndarray:
+    plane = (n + 7) // 8
+    out = unpack_bits(b[:plane], n).astype(np.int64)
+    out[unpack_bits(b[plane : 2 * plane], n)] = unpack_ints(b[2 * plane :])
+    return out
+
+
+def pack_ranks(a: np.ndarray) -> bytes:
+    """Numbers under 2^28, small ones most often: seven bits to a byte, the top bit set where one more follows."""
+    a = a.astype(np.int64)
+    size = 1 + (a >= 1 << 7) + (a >= 1 << 14) + (a >= 1 << 21)
+    end = np.cumsum(size)
+    out = np.zeros(int(end[-1]) if len(a) else 0, np.uint8)
+    for k in range(4):
+        has = size > k
+        out[(end - size)[has] + k] = (a[has] >> 7 * k & 127) | np.where(size[has] > k + 1, 128, 0)
+    return out.tobytes()
+
+
+def unpack_ranks(b: bytes) -> np.ndarray:
+    raw = np.frombuffer(b, np.uint8)
+    last = raw < 128
+    first = np.concatenate([np.zeros(1, np.int64), np.flatnonzero(last)[:-1] + 1]) if len(raw) else np.empty(0, np.int64)
+    if not len(first):
+        return first
+    at = np.arange(len(raw)) - np.repeat(first, np.diff(np.append(first, len(raw))))
+    return np.add.reduceat((raw & 127).astype(np.int64) << 7 * at, first)
+
+
 def pack_bits(a: np.ndarray) -> bytes:
     return np.packbits(a).tobytes()
 

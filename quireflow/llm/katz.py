@@ -16,14 +16,18 @@ h, summed exactly, so every history's distribution over the V known tokens and "
 Where the counts of counts of an order don't allow Good-Turing (a zero, or a discount outside 0 to 1), that order
 takes the absolute discount D = (n1 + 1) / (n1 + 2 n2 + 2), d_r = 1 - D / r; the column ``discounts`` says which was used.
 
-Layout. Texts become chunks of ``CHUNK_TOKENS`` tokens, about (a stored table: sorted word hashes, tokens as
+Layout. Texts become chunks of ``CHUNK_TOKENS`` tokens, about (a stored table: word hashes by frequency, tokens as
 numbers into them). A gram's key is 64 bits made of its words' hashes. A chunk asks for each of its distinct
-grams once, all orders in one pass; requests go to buckets by key, whose number follows the size of the corpus
-(``BUCKET_BYTES``); a bucket's task adds the counts and answers in the order asked, with two bits: whether this chunk is
-the one of all that speaks for the gram, and whether a held-out text has it. These answers are the count tables,
-stored. The speakers then add up, for histories that a held-out text has, the discounted and the lower-order
-mass; the sums meet at the histories' buckets, and held-out chunks get those they need. A gram that half the
-corpus has is one entry for each chunk, so hot keys neither skew a task nor grow with their occurrences.
+grams once, words and pairs first, then order by order; requests go to buckets by key, whose number follows the size
+of the corpus (``BUCKET_BYTES``); a bucket's task adds the counts and answers in the order asked, with two bits: whether
+this chunk is the one of all that speaks for the gram, and whether a held-out text has it. These answers are the
+count tables, stored. Of three words and more, a gram isn't sent whose count is known: a learned one whose history or
+lower gram was seen once was seen once itself, and if no held-out text has both, nobody asks for it.
+
+The speakers then add up, for histories that a held-out text has, the discounted and the lower-order
+mass; the sums meet at the histories' buckets, and held-out chunks get those they need. Learned texts need no sums.
+A gram that half the corpus has is one entry for each chunk, so hot keys neither skew a task nor grow with their
+occurrences. Tables and shuffle files that the next step doesn't need are dropped.
 
 Defined results: a null or empty text is one end token. A null id is never held out. Repeated rows count
 each. With no training text all words are unknown and score and base are still defined. Empty table:
@@ -32,14 +36,16 @@ empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored, words_of
-from .exchange import cuts, hashes, mixed, pack, pack_bits, pack_ints, parts_for, unpack, unpack_bits, unpack_ints
+from .common import dropped, map_arrow, released, stored, words_of
+from .exchange import cuts, hashes, mixed, pack, pack_bits, pack_few, pack_ranks, parts_for, unpack, unpack_bits, unpack_few, unpack_ranks
 
 K = 5
 ORDER = 3
@@ -105,7 +111,7 @@ def whole(c: np.ndarray) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, held: str, id_col: str, text: str) -> DataFrame:
-    """The chunk table: chunk, ids, held, lens (tokens with end), words (packed), tokens."""
+    """The chunk table: chunk, ids, held, lens (tokens with end), words (their hashes, frequent ones first), tokens (packed ranks)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -115,11 +121,13 @@ def chunks(docs: DataFrame, held: str, id_col: str, text: str) -> DataFrame:
         types = None
 
         def flush():
-            h = np.concatenate([hashes(list(number)), np.array([END, START])])
-            words, place = np.unique(h, return_inverse=True)
+            words = np.concatenate([hashes(list(number)), np.array([END, START])])
             flat = np.concatenate(tokens)
-            flat = place[np.where(flat < 0, len(number), flat)].astype(np.uint32)
-            row = [part << 32 | n, ids, out, lens, pack(words), flat.tobytes()]
+            flat = np.where(flat < 0, len(number), flat)
+            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            row = [part << 32 | n, ids, out, lens, words[order].tobytes(), pack_ranks(rank[flat])]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["chunk", "ids", "held", "lens", "words", "tokens"])
 
         for b in batches:
@@ -153,7 +161,8 @@ class Grams:
     """
 
     def __init__(self, row: dict, order: int):
-        words, tokens = unpack(row["words"]), np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
+        words, number = np.unique(np.frombuffer(row["words"], np.uint64), return_inverse=True)
+        tokens = number[unpack_ranks(row["tokens"])]
         self.lens, self.out = np.array(row["lens"], np.int64), np.array(row["held"], bool)
         text, pad = np.repeat(np.arange(len(self.lens)), self.lens), order - 1
         real = np.arange(len(tokens)) + pad * (text + 1)
@@ -186,26 +195,23 @@ class Grams:
             self.held.append(held)
 
 
-def _asked(row: dict, order: int, buckets: int):
-    """A chunk's requests for the counts of all its grams."""
-    grams, rows = Grams(row, order), []
-    for k in range(1, order + 1):
-        keys, train, held = grams.keys[k - 1], grams.train[k - 1], grams.held[k - 1]
-        for bucket, (i, j) in enumerate(cuts(keys, buckets)):
-            if j > i:
-                rows.append((k, bucket, row["chunk"], pack(keys[i:j]), pack_ints(train[i:j]), pack_bits(held[i:j])))
-            if len(rows) == 256:
-                yield _messages(rows)
-                rows = []
-    if rows:
-        yield _messages(rows)
+def _requests(row: dict, grams: Grams, k: int, sent: np.ndarray, buckets: int):
+    """A chunk's requests for the counts of the grams ``sent`` of order k."""
+    at, rows = np.flatnonzero(sent), []
+    keys, train, held = grams.keys[k - 1][at], grams.train[k - 1][at], grams.held[k - 1][at]
+    for bucket, (i, j) in enumerate(cuts(keys, buckets)):
+        if j > i:
+            rows.append((k, bucket, row["chunk"], pack(keys[i:j]), pack_few(train[i:j]), pack_bits(held[i:j])))
+    return rows
 
 
 def _merge_counts(t: pa.Table) -> pa.Table:
     """One bucket of one order: each chunk's answer, and what goes into the totals."""
     rows = sorted(t.to_pylist(), key=lambda r: r["chunk"])
+    if rows[0]["bucket"] < 0:  # grams that weren't sent, as counts only
+        return _table([(rows[0]["kind"], -1, -1, None, None, None, np.sum([r["stats"] for r in rows], axis=0).tolist())])
     parts = [unpack(r["a"]) for r in rows]
-    train = np.concatenate([unpack_ints(r["b"]) for r in rows])
+    train = np.concatenate([unpack_few(r["b"], len(p)) for r, p in zip(rows, parts)])
     held = np.concatenate([unpack_bits(r["c"], len(p)) for r, p in zip(rows, parts)])
     keys, place = np.unique(np.concatenate(parts), return_inverse=True)
     counts = np.bincount(place, train, len(keys)).astype(np.int64)
@@ -219,7 +225,7 @@ def _merge_counts(t: pa.Table) -> pa.Table:
     out, at = [], 0
     for r, p in zip(rows, parts):
         own = slice(at, at + len(p))
-        out.append((r["kind"], r["bucket"], r["chunk"], pack_ints(counts[place[own]]), pack_bits(speaks[own]), pack_bits(asked[place[own]])))
+        out.append((r["kind"], r["bucket"], r["chunk"], pack_few(counts[place[own]]), pack_bits(speaks[own]), pack_bits(asked[place[own]])))
         at += len(p)
     few = np.bincount(np.minimum(counts, K + 2), minlength=K + 3)[1 : K + 2].tolist()
     out.append((rows[0]["kind"], rows[0]["bucket"], -1, None, None, None, [int(counts.sum()), int((counts > 0).sum()), *few]))
@@ -227,23 +233,37 @@ def _merge_counts(t: pa.Table) -> pa.Table:
 
 
 class Scored:
-    """A chunk's grams with the counts of the whole corpus."""
+    """A chunk's grams with the counts of the whole corpus, up to the order that ``answers`` reach."""
 
-    def __init__(self, row: dict, answers: pa.Table, order: int, buckets: int, model: Model):
-        self.grams, self.model, self.order = Grams(row, order), model, order
+    def __init__(self, row: dict, answers: pa.Table, order: int, reached: int, buckets: int, starts: int, model: Model | None = None):
+        self.grams, self.model = Grams(row, order), model
         got = {(k, b): i for i, (k, b) in enumerate(zip(answers["kind"].to_pylist(), answers["bucket"].to_pylist()))}
-        a, b, c = (answers[x] for x in "abc")
-        self.count, self.speaks, self.asked, self.got = [], [], [], got
-        for k in range(1, order + 1):
-            shares = [(got[k, bucket], j - i) for bucket, (i, j) in enumerate(cuts(self.grams.keys[k - 1], buckets)) if j > i]
-            count = np.concatenate([unpack_ints(a[i].as_py()) for i, _ in shares])
-            count[self.grams.start[k - 1]] = model.starts
-            asked = np.concatenate([unpack_bits(c[i].as_py(), n) for i, n in shares])
-            asked[self.grams.start[k - 1]] = True
+        self.starts = starts
+        self.count, self.speaks, self.asked = [], [], []
+        for k in range(1, reached + 1):
+            sent, count, speaks, asked = self.known(k)
+            at = np.flatnonzero(sent)
+            for bucket, (i, j) in enumerate(cuts(self.grams.keys[k - 1][at], buckets)):
+                if j > i:
+                    a, b, c = (answers[x][got[k, bucket]].as_py() for x in "abc")
+                    count[at[i:j]], speaks[at[i:j]], asked[at[i:j]] = unpack_few(a, j - i), unpack_bits(b, j - i), unpack_bits(c, j - i)
+            count[self.grams.start[k - 1]], asked[self.grams.start[k - 1]] = starts, True
             self.count.append(count)
-            self.speaks.append(np.concatenate([unpack_bits(b[i].as_py(), n) for i, n in shares]))
+            self.speaks.append(speaks)
             self.asked.append(asked)
 
+    def known(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(sent, count, speaks, asked) of the grams of order k: which are sent, and what is known of those that aren't."""
+        g = self.grams
+        learned, held = g.train[k - 1] > 0, g.held[k - 1].copy()
+        if k < 3:
+            return np.ones(len(learned), bool), np.zeros(len(learned), np.int64), np.zeros(len(learned), bool), held
+        history, lower = g.history[k - 1], g.lower[k - 1]
+        least = np.minimum(self.count[k - 2][history], self.count[k - 2][lower])
+        both = self.asked[k - 2][history] & self.asked[k - 2][lower]
+        sent = np.where(learned, (least >= 2) | both, least >= 1)
+        return sent, (learned & ~sent).astype(np.int64), learned & ~sent, held
+
     def seen(self, k: int) -> np.ndarray:
         """P of each gram of order k that was seen in training, by its own counts."""
         if k == 1:
@@ -283,76 +303,129 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     table = chunks(docs, f"coalesce({held}, false)", id_col, text)
     sizes = table.select(F.sum(F.expr("aggregate(lens, 0L, (a, x) -> a + x)")), F.sum(F.expr("size(filter(held, x -> not x))"))).first()
-    buckets = parts_for(spark, (sizes[0] or 0) * order * REQUEST_BYTES, BUCKET_BYTES)
+    starts = int(sizes[1] or 0)
+    buckets = parts_for(spark, (sizes[0] or 0) * REQUEST_BYTES, BUCKET_BYTES)
+    plain = table.select("chunk", "held", "lens", "words", "tokens")
 
-    def ask(batches):
+    def first(batches):
         for b in batches:
             for r in range(b.num_rows):
-                yield from _asked({k: b.column(k)[r].as_py() for k in b.schema.names}, order, buckets)
-
-    plain = table.select("chunk", "held", "lens", "words", "tokens")
-    counted = stored(map_arrow(plain, ask, _MESSAGE).groupBy("kind", "bucket").applyInArrow(_merge_counts, _MESSAGE), "gram-counts")
-    spark._jvm.System.gc()  # the requests' shuffle files aren't needed any more; the cleaner drops them
-    totals = counted.where("chunk < 0").groupBy("kind").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3)]).collect()  # a row for each order
+                row = {k: b.column(k)[r].as_py() for k in b.schema.names}
+                grams = Grams(row, min(order, 2))
+                for k in range(1, min(order, 2) + 1):
+                    rows = _requests(row, grams, k, np.ones(len(grams.keys[k - 1]), bool), buckets)
+                    for i in range(0, len(rows), 256):
+                        yield _messages(rows[i : i + 256])
+
+    def further(k: int):
+        def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not left.num_rows:
+                return _table([])
+            row = left.to_pylist()[0]
+            s = Scored(row, right, k, k - 1, buckets, starts)
+            sent, count, _, _ = s.known(k)
+            once = int(count.sum())
+            rows = _requests(row, s.grams, k, sent, buckets)
+            return _table([*rows, (k, -1 - row["chunk"] % 64, row["chunk"], None, None, None, [once, once, once, *[0] * K])])
+
+        return ask
+
+    def counted(asked: DataFrame) -> DataFrame:
+        return stored(asked.groupBy("kind", "bucket").applyInArrow(_merge_counts, _MESSAGE), "gram-counts")
+
+    tables = [counted(map_arrow(plain, first, _MESSAGE))]
+    for k in range(3, order + 1):
+        released(spark)
+        known = reduce(DataFrame.unionAll, tables).where("chunk >= 0")
+        tables.append(counted(plain.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(further(k), _MESSAGE)))
+    released(spark)
+    all_ = reduce(DataFrame.unionAll, tables)
+    totals = all_.where("chunk < 0").groupBy("kind").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3)]).collect()  # a row for each order
     by = {r["kind"]: [int(x or 0) for x in r[1:]] for r in totals}
     each = [by.get(k, [0] * (K + 3)) for k in range(1, order + 1)]
-    model = Model(each[0][0], each[0][1], int(sizes[1] or 0), [x[2:] for x in each])
-    answers = counted.where("chunk >= 0").select(*[n for n, _ in _FIELDS])
+    model = Model(each[0][0], each[0][1], starts, [x[2:] for x in each])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    state = "ids array<{0}>, held array<boolean>, lens array<bigint>, known array<bigint>, base array<double>, part array<double>".format(kind)
+    fields = ["ids", "held", "lens", "known", "base", "part"]
 
-    def sums(left: pa.Table, right: pa.Table) -> pa.Table:
+    def weigh(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Sums for histories, what this chunk needs of them, and its texts' scores without what those will add."""
+        types = {f: left.schema.field(f).type for f in ("ids", "held", "lens")} | {"known": pa.list_(pa.int64()), "base": pa.list_(pa.float64()), "part": pa.list_(pa.float64())}
         if not left.num_rows:
-            return _table([])
+            empty = _table([]).drop(["stats"])
+            for f in fields:
+                empty = empty.append_column(f, pa.array([], types[f]))
+            return empty
         row, out = left.to_pylist()[0], []
-        s = Scored(row, right, order, buckets, model)
+        s = Scored(row, right, order, order, buckets, starts, model)
+        g = s.grams
+        needs = [np.empty(0, np.int64)] * 2
         for k in range(2, order + 1):
-            history, r, keys = s.grams.history[k - 1], s.count[k - 1], s.grams.keys[k - 2]
+            history, r, keys = g.history[k - 1], s.count[k - 1], g.keys[k - 2]
             own = np.flatnonzero(s.speaks[k - 1] & s.asked[k - 2][history])
             at, place = np.unique(history[own], return_inverse=True)
-            left_ = np.bincount(place, r[own] - model.discounted(k, r[own]), len(at))
-            lower = np.bincount(place, s.seen(k - 1)[s.grams.lower[k - 1][own]], len(at))
+            rest = np.bincount(place, r[own] - model.discounted(k, r[own]), len(at))
+            lower = np.bincount(place, s.seen(k - 1)[g.lower[k - 1][own]], len(at))
             for bucket, (i, j) in enumerate(cuts(keys[at], buckets)):
                 if j > i:
-                    out.append((k, bucket, row["chunk"], pack(keys[at[i:j]]), left_[i:j].tobytes(), lower[i:j].tobytes()))
-            wanted = keys[s.needs(k)]
+                    out.append((k, bucket, row["chunk"], pack(keys[at[i:j]]), rest[i:j].tobytes(), lower[i:j].tobytes()))
+            needs.append(s.needs(k))
+            wanted = keys[needs[k]]
             for bucket, (i, j) in enumerate(cuts(wanted, buckets)):
                 if j > i:
                     out.append((k + ASKED, bucket, row["chunk"], pack(wanted[i:j])))
-        return _table(out)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        s = Scored(row, right, order, buckets, model)
-        g, tokens = s.grams, s.grams.place[0]
         value = np.log10(s.seen(1))
         for k in range(2, order + 1):
-            history, r = g.history[k - 1], s.count[k - 1]
-            of = s.count[k - 2]
-            alpha = np.zeros(len(of))
-            need = s.needs(k)
-            if len(need):
-                shares = [s.got[k + SUMMED, bucket] for bucket, (i, j) in enumerate(cuts(g.keys[k - 2][need], buckets)) if j > i]
-                rest, lower = (np.concatenate([np.frombuffer(right[x][i].as_py(), np.float64) for i in shares]) for x in "ab")
-                c = of[need]
-                alpha[need] = np.log10((rest + (c > K)) / whole(c)) - np.log10(np.maximum(1.0 - lower, 1e-300))
-            backed = value[g.lower[k - 1]] + alpha[history]
             with np.errstate(divide="ignore"):
-                value = np.where(r > 0, np.log10(s.seen(k)), backed)
-        first = np.cumsum(g.lens) - g.lens
+                value = np.where(s.count[k - 1] > 0, np.log10(s.seen(k)), value[g.lower[k - 1]])
+        first_ = np.cumsum(g.lens) - g.lens
+        # the backed-off tokens of held-out texts: which text, which history
+        texts, which, offset = [], [], np.cumsum([len(x) for x in needs])
+        open_ = np.flatnonzero(np.repeat(g.out, g.lens))
+        text = np.repeat(np.arange(len(g.lens)), g.lens)
+        for k in range(order, 1, -1):
+            open_ = open_[s.count[k - 1][g.place[k - 1][open_]] == 0]
+            history = g.history[k - 1][g.place[k - 1][open_]]
+            was = s.count[k - 2][history] > 0
+            texts.append(text[open_[was]])
+            which.append(np.searchsorted(needs[k], history[was]) + offset[k] - len(needs[k]))
+        seen = np.concatenate([s.count[k - 2][needs[k]] for k in range(2, order + 1)] or [np.empty(0, np.int64)])
+        entries = [np.concatenate(x or [np.empty(0, np.int64)]).astype(np.int32).tobytes() for x in (texts, which)]
+        out.append((0, -1, row["chunk"], *entries, seen.astype(np.int64).tobytes()))
+        tokens = g.place[0]
+        own = [row["ids"], row["held"], row["lens"], np.add.reduceat((s.count[0][tokens] > 0).astype(np.int64), first_), np.add.reduceat(model.base(s.count[0])[tokens], first_), np.add.reduceat(value[g.place[-1]], first_)]
+        done = _table(out).drop(["stats"])
+        for f, x in zip(fields, own):
+            done = done.append_column(f, pa.array([None] * (len(out) - 1) + [x], types[f]))
+        return done
+
+    weighed = table.groupBy("chunk").cogroup(all_.where("chunk >= 0").groupBy("chunk")).applyInArrow(weigh, f"{_MESSAGE.removesuffix(', stats array<bigint>')}, {state}")
+    weighed = stored(weighed, "katz-sums")
+    del all_
+    released(spark)
+    for done in (table, *tables):
+        dropped(done)
+    summed = weighed.where("kind > 0").select("kind", "bucket", "chunk", "a", "b", "c", F.lit(None).cast("array<bigint>").alias("stats"))
+    histories = summed.withColumn("order", F.col("kind") % ASKED).groupBy("order", "bucket").applyInArrow(lambda t: _merge_sums(t.drop(["order"])), _MESSAGE)
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        texts, which, c = np.frombuffer(row["a"], np.int32), np.frombuffer(row["b"], np.int32), np.frombuffer(row["c"], np.int64)
+        got = sorted(right.select(["kind", "bucket", "a", "b"]).to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
+        rest, lower = (np.concatenate([np.frombuffer(r[x], np.float64) for r in got] or [np.empty(0)]) for x in "ab")
+        alpha = np.log10((rest + (c > K)) / whole(c)) - np.log10(np.maximum(1.0 - lower, 1e-300))
+        n = len(row["lens"])
+        score = np.array(row["part"]) + np.bincount(texts, alpha[which], n)
         ids = left["ids"]
         columns = [
             ids.combine_chunks().flatten() if not isinstance(ids, pa.Array) else ids.flatten(),
-            pa.array(g.out), pa.array(g.lens), pa.array(np.add.reduceat((s.count[0][tokens] > 0).astype(np.int64), first)), pa.array(np.full(len(first), model.total, np.int64)),
-            pa.array(np.add.reduceat(model.base(s.count[0])[tokens], first)), pa.array(np.add.reduceat(value[g.place[-1]], first)), pa.array([model.how] * len(first)),
+            pa.array(row["held"], pa.bool_()), pa.array(row["lens"], pa.int64()), pa.array(row["known"], pa.int64()), pa.array(np.full(n, model.total, np.int64)), pa.array(row["base"], pa.float64()), pa.array(score), pa.array([model.how] * n),
         ]
         return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "discounts"])
 
-    by_chunk = table.groupBy("chunk")
-    given = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(sums, _MESSAGE)
-    histories = given.withColumn("order", F.col("kind") % ASKED).groupBy("order", "bucket").applyInArrow(lambda t: _merge_sums(t.drop(["order"])), _MESSAGE)
     result = f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, discounts string"
-    return by_chunk.cogroup(answers.unionAll(histories).groupBy("chunk")).applyInArrow(finish, result)
+    return weighed.where("kind = 0").select("chunk", "a", "b", "c", *fields).groupBy("chunk").cogroup(histories.groupBy("chunk")).applyInArrow(finish, result)
 
 
 HELD_OUT = "pmod(crc32(cast(cast({id} as string) as binary)), 7) = 2"
