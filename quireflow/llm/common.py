@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -14,6 +13,7 @@ from ..session import shared_dir
 
 #: Rows in an Arrow batch that a Python operator gets; texts can be long, so few.
 BATCH_ROWS = 1000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -33,7 +33,12 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # this write's shuffle files go with its end: nothing else reads them
+    try:
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)
@@ -48,12 +53,6 @@ def dropped(table: DataFrame) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def released(spark: SparkSession) -> None:
-    """Let the cleaner drop the shuffle files of plans that are done: it acts when the driver's garbage is collected."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted`` or a longer name that no column of ``df`` has (names compare without case)."""
     taken = {c.lower() for c in df.columns}

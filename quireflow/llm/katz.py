@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, map_arrow, released, stored, words_of
+from .common import dropped, map_arrow, stored, words_of
 from .exchange import cuts, hashes, mixed, pack, pack_bits, pack_few, pack_ranks, parts_for, unpack, unpack_bits, unpack_few, unpack_ranks
 
 K = 5
@@ -183,7 +183,9 @@ class Grams:
             place = place[:-1]
             lower, history = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
             lower[place] = self.place[-1]
-            history[place] = np.searchsorted(self.keys[-1], before[real - 1])
+            ending = np.full(len(h), self.start[-2], np.int64)  # the gram of order k - 1 that ends at each place
+            ending[real] = self.place[-1]
+            history[place] = ending[real - 1]
             self.keys.append(keys)
             self.place.append(place)
             self.lower.append(lower)
@@ -335,10 +337,8 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text"
 
     tables = [counted(map_arrow(plain, first, _MESSAGE))]
     for k in range(3, order + 1):
-        released(spark)
         known = reduce(DataFrame.unionAll, tables).where("chunk >= 0")
         tables.append(counted(plain.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(further(k), _MESSAGE)))
-    released(spark)
     all_ = reduce(DataFrame.unionAll, tables)
     totals = all_.where("chunk < 0").groupBy("kind").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3)]).collect()  # a row for each order
     by = {r["kind"]: [int(x or 0) for x in r[1:]] for r in totals}
@@ -402,8 +402,6 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text"
 
     weighed = table.groupBy("chunk").cogroup(all_.where("chunk >= 0").groupBy("chunk")).applyInArrow(weigh, f"{_MESSAGE.removesuffix(', stats array<bigint>')}, {state}")
     weighed = stored(weighed, "katz-sums")
-    del all_
-    released(spark)
     for done in (table, *tables):
         dropped(done)
     summed = weighed.where("kind > 0").select("kind", "bucket", "chunk", "a", "b", "c", F.lit(None).cast("array<bigint>").alias("stats"))
