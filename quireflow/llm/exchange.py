@@ -23,10 +23,10 @@ from .common import partitions, words_of
 BLOCK_WORDS = 200_000
 
 
-def chunked(docs: DataFrame, columns: dict[str, Column], chunks: int, id_col: str = "doc_id") -> DataFrame:
+def chunked(docs: DataFrame, columns: dict[str, Column], chunks: int, tasks: int, id_col: str = "doc_id") -> DataFrame:
     """``columns`` of ``docs`` and ``chunk``, dealt by chunk; exchanged once for all who read it."""
     chunk = F.pmod(F.xxhash64(F.col(id_col), F.spark_partition_id()), F.lit(chunks)).cast("int")
-    return docs.select(chunk.alias("chunk"), *[c.alias(k) for k, c in columns.items()]).repartition(partitions(docs.sparkSession), "chunk")
+    return docs.select(chunk.alias("chunk"), *[c.alias(k) for k, c in columns.items()]).repartition(tasks, "chunk")
 
 
 def parts_for(spark: SparkSession, total: int, each: int) -> int:
@@ -34,6 +34,11 @@ def parts_for(spark: SparkSession, total: int, each: int) -> int:
     return max(2 * partitions(spark), -(-total // each))
 
 
+def spread(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many tasks, if that is more than the session's shuffle partitions."""
+    return df.repartition(tasks, *keys) if tasks > partitions(df.sparkSession) else df
+
+
 def pack(a: np.ndarray) -> bytes:
     """Sorted uint64 values: the first, and differences of as many bytes as the largest needs."""
     if not len(a):

@@ -45,13 +45,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import dropped, map_arrow, stored, words_of
-from .exchange import cuts, hashes, mixed, pack, pack_bits, pack_few, pack_ranks, parts_for, unpack, unpack_bits, unpack_few, unpack_ranks
+from .exchange import cuts, hashes, mixed, pack, pack_bits, pack_few, pack_ranks, parts_for, spread, unpack, unpack_bits, unpack_few, unpack_ranks
 
 K = 5
 ORDER = 3
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_250_000
 #: Packed requests that a bucket should hold, and about how many bytes a gram's request takes.
 BUCKET_BYTES, REQUEST_BYTES = 24 << 20, 8
+#: What a task should read, if the session's shuffle partitions would give it more.
+TASK_BYTES = 256 << 20
 END, START = hashes([b"\n", b" "])  # no word has these
 
 _MESSAGE = "kind int, bucket int, chunk bigint, a binary, b binary, c binary, stats array<bigint>"
@@ -162,7 +164,7 @@ class Grams:
 
     def __init__(self, row: dict, order: int):
         words, number = np.unique(np.frombuffer(row["words"], np.uint64), return_inverse=True)
-        tokens = number[unpack_ranks(row["tokens"])]
+        tokens = number.astype(np.int32)[unpack_ranks(row["tokens"])]
         self.lens, self.out = np.array(row["lens"], np.int64), np.array(row["held"], bool)
         text, pad = np.repeat(np.arange(len(self.lens)), self.lens), order - 1
         real = np.arange(len(tokens)) + pad * (text + 1)
@@ -180,10 +182,10 @@ class Grams:
             run = mixed(np.array([run]) ^ mixed(np.array([START]), 50 + k), k)[0]
             keys, place = np.unique(np.append(g[real], run), return_inverse=True)
             self.start.append(int(place[-1]))
-            place = place[:-1]
-            lower, history = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            place = place[:-1].astype(np.int32)
+            lower, history = np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int32)
             lower[place] = self.place[-1]
-            ending = np.full(len(h), self.start[-2], np.int64)  # the gram of order k - 1 that ends at each place
+            ending = np.full(len(h), self.start[-2], np.int32)  # the gram of order k - 1 that ends at each place
             ending[real] = self.place[-1]
             history[place] = ending[real - 1]
             self.keys.append(keys)
@@ -191,7 +193,7 @@ class Grams:
             self.lower.append(lower)
             self.history.append(history)
         for keys, place in zip(self.keys, self.place):
-            self.train.append(np.bincount(place[learns], minlength=len(keys)))
+            self.train.append(np.bincount(place[learns], minlength=len(keys)).astype(np.int32))
             held = np.zeros(len(keys), bool)
             held[place[~learns]] = True
             self.held.append(held)
@@ -306,7 +308,8 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text"
     table = chunks(docs, f"coalesce({held}, false)", id_col, text)
     sizes = table.select(F.sum(F.expr("aggregate(lens, 0L, (a, x) -> a + x)")), F.sum(F.expr("size(filter(held, x -> not x))"))).first()
     starts = int(sizes[1] or 0)
-    buckets = parts_for(spark, (sizes[0] or 0) * REQUEST_BYTES, BUCKET_BYTES)
+    total = (sizes[0] or 0) * REQUEST_BYTES
+    buckets, tasks = parts_for(spark, total, BUCKET_BYTES), total // TASK_BYTES
     plain = table.select("chunk", "held", "lens", "words", "tokens")
 
     def first(batches):
@@ -332,13 +335,17 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text"
 
         return ask
 
+    def met(left: DataFrame, right: DataFrame):
+        """Both sides by chunk."""
+        return spread(left, tasks, "chunk").groupBy("chunk").cogroup(spread(right, tasks, "chunk").groupBy("chunk"))
+
     def counted(asked: DataFrame) -> DataFrame:
-        return stored(asked.groupBy("kind", "bucket").applyInArrow(_merge_counts, _MESSAGE), "gram-counts")
+        return stored(spread(asked, tasks, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(_merge_counts, _MESSAGE), "gram-counts")
 
     tables = [counted(map_arrow(plain, first, _MESSAGE))]
     for k in range(3, order + 1):
         known = reduce(DataFrame.unionAll, tables).where("chunk >= 0")
-        tables.append(counted(plain.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(further(k), _MESSAGE)))
+        tables.append(counted(met(plain, known).applyInArrow(further(k), _MESSAGE)))
     all_ = reduce(DataFrame.unionAll, tables)
     totals = all_.where("chunk < 0").groupBy("kind").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3)]).collect()  # a row for each order
     by = {r["kind"]: [int(x or 0) for x in r[1:]] for r in totals}
@@ -400,12 +407,12 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text"
             done = done.append_column(f, pa.array([None] * (len(out) - 1) + [x], types[f]))
         return done
 
-    weighed = table.groupBy("chunk").cogroup(all_.where("chunk >= 0").groupBy("chunk")).applyInArrow(weigh, f"{_MESSAGE.removesuffix(', stats array<bigint>')}, {state}")
+    weighed = met(table, all_.where("chunk >= 0")).applyInArrow(weigh, f"{_MESSAGE.removesuffix(', stats array<bigint>')}, {state}")
     weighed = stored(weighed, "katz-sums")
     for done in (table, *tables):
         dropped(done)
     summed = weighed.where("kind > 0").select("kind", "bucket", "chunk", "a", "b", "c", F.lit(None).cast("array<bigint>").alias("stats"))
-    histories = summed.withColumn("order", F.col("kind") % ASKED).groupBy("order", "bucket").applyInArrow(lambda t: _merge_sums(t.drop(["order"])), _MESSAGE)
+    histories = spread(summed.withColumn("order", F.col("kind") % ASKED), tasks, "order", "bucket").groupBy("order", "bucket").applyInArrow(lambda t: _merge_sums(t.drop(["order"])), _MESSAGE)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
@@ -423,7 +430,7 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text"
         return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "discounts"])
 
     result = f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, discounts string"
-    return weighed.where("kind = 0").select("chunk", "a", "b", "c", *fields).groupBy("chunk").cogroup(histories.groupBy("chunk")).applyInArrow(finish, result)
+    return met(weighed.where("kind = 0").select("chunk", "a", "b", "c", *fields), histories).applyInArrow(finish, result)
 
 
 HELD_OUT = "pmod(crc32(cast(cast({id} as string) as binary)), 7) = 2"

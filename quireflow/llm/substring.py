@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import words_of
-from .exchange import blocks, chunked, cuts, mixed, pack, pack_bits, parts_for, unpack, unpack_bits
+from .common import partitions, words_of
+from .exchange import blocks, chunked, cuts, mixed, pack, pack_bits, parts_for, spread, unpack, unpack_bits
 
 WINDOW = 35
 GRAM = 8
@@ -43,6 +43,8 @@ DEPTH = 2
 COUNTERS, KEY_BYTES = 16, 84
 #: Counters of a range (a byte each while merged); text in a chunk; requests in a bucket.
 RANGE, CHUNK_BYTES, BUCKET_BYTES = 1 << 26, 32 << 20, 64 << 20
+#: What a task should read, if the session's shuffle partitions would give it more.
+TASK_BYTES = 256 << 20
 P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -228,7 +230,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
     buckets = max(parts_for(spark, size // 2, BUCKET_BYTES), (1 << width) // RANGE)
     others = [F.col(c) for c in docs.columns if c != text]
     own = F.struct(*others) if keep and others else F.col(id_col)
-    dealt = chunked(docs, {"row": own, "text": F.col(text)}, chunks, id_col)
+    tasks = max(partitions(spark), size // TASK_BYTES)
+    dealt = chunked(docs, {"row": own, "text": F.col(text)}, chunks, tasks, id_col)
 
     def ask(t: pa.Table) -> pa.Table:
         chunk = t["chunk"][0].as_py()
@@ -273,13 +276,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
         return pa.table({"row": t["row"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.string())})
 
     asked = dealt.groupBy("chunk").applyInArrow(ask, REQUEST)
-    cells = asked.groupBy("bucket").applyInArrow(_merge_counters, ANSWER)
-    asked_again = dealt.groupBy("chunk").cogroup(cells.groupBy("chunk")).applyInArrow(ask_again, REQUEST)
-    found = asked_again.groupBy("bucket").applyInArrow(_merge_windows, ANSWER)
+    cells = spread(asked, tasks, "bucket").groupBy("bucket").applyInArrow(_merge_counters, ANSWER)
+    asked_again = dealt.groupBy("chunk").cogroup(cells.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(ask_again, REQUEST)
+    found = spread(asked_again, tasks, "bucket").groupBy("bucket").applyInArrow(_merge_windows, ANSWER)
     both = cells.unionAll(found)
     # the row's own type, with what it says about nulls inside
     result = T.StructType([dealt.schema["row"], *[T.StructField(n, T.LongType()) for n in ("n_words", "n_removed")], T.StructField("kept", T.StringType())])
-    out = dealt.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(remove, result)
+    out = dealt.groupBy("chunk").cogroup(both.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(remove, result)
     if not keep:
         return out.select(F.col("row").alias("id"), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
     if not others:
