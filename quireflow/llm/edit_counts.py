@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import LibraryEncoder, kept, runs_of
-from .common import free_name, map_arrow, stored, tokenizer_path, words_of
+from .common import free_name, map_arrow, stored, tokenizer_path
 
 LEAF = 32
 SPACES = tuple(" \t\n\x0b\x0c\r")
@@ -49,7 +49,7 @@ def leaves_of(text: str, size: int = LEAF) -> list[str]:
 
 
 class Tree:
-    """Sums of (characters, tokens) over the leaves of one document; ``count`` gives the tokens of a run."""
+    """Sums of (characters, tokens) over the leaves of one document; ``count`` gives the runs and tokens of a text."""
 
     def __init__(self, leaves: list[str], tokens: list[int], count=None, size: int = LEAF):
         self.count, self.size = count, size
@@ -67,12 +67,12 @@ class Tree:
     @classmethod
     def of(cls, text: str, count, size: int = LEAF) -> Tree:
         leaves = leaves_of(text, size)
-        return cls(leaves, [sum(map(count, words_of(x))) for x in leaves], count, size)
+        return cls(leaves, [count(x)[1] for x in leaves], count, size)
 
     def _tokens(self, text: str) -> int:
-        runs = words_of(text)
-        self.encoded += len(runs)
-        return sum(map(self.count, runs))
+        runs, tokens = self.count(text)
+        self.encoded += runs
+        return tokens
 
     def _build(self, leaves: list[tuple[str, int]]) -> None:
         self.text = [x for x, _ in leaves]
@@ -168,14 +168,16 @@ def build_trees(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
     return map_arrow(docs.select(id_col, text), run, f"id {docs.schema[id_col].dataType.simpleString()}, {_TREE}")
 
 
-def apply_edits(trees: DataFrame, edits: Column, path: str | None = None) -> DataFrame:
+def apply_edits(trees: DataFrame, edits: Column, path: str | None = None, with_trees: bool = True) -> DataFrame:
     """The rows of ``trees`` (``build_trees``, or what this gave and was stored) after ``edits``, a column of ``EDITS`` over them.
 
     Beside the new tree: n_tokens and n_tokens_after (before and after), n_edits, n_chars_after, n_leaves (before), and
-    n_runs_encoded_again. No text is read but the leaves, and none is encoded but those that edits touch.
+    n_runs_encoded_again. No text is read but the leaves, and none is encoded but those that edits touch. Without
+    ``with_trees`` only the id and the counts come out.
     """
     shared = _tokenizer(trees, path)
-    names = ["id", *[n for n, _ in _ROW], *_COUNTS]
+    new = _ROW if with_trees else []
+    names = ["id", *[n for n, _ in new], *_COUNTS]
 
     def run(batches):
         counter = _counter(shared)
@@ -183,17 +185,18 @@ def apply_edits(trees: DataFrame, edits: Column, path: str | None = None) -> Dat
             lists = b.column(4).to_pylist()
             counter.learn([(e or {}).get("put") for x in lists for e in x or []])
             rows = []
-            for leaves, chars, tokens, x in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), lists):
-                tree, n = Tree.stored(leaves, chars, tokens, counter), len(leaves)
+            for i, x in enumerate(lists):
+                leaves, chars, tokens = (b.column(k)[i].values for k in (1, 2, 3))
+                tree, n = Tree.stored(leaves.to_pylist(), chars.to_numpy().tolist(), tokens.to_numpy().tolist(), counter), len(leaves)
                 before = tree.total
                 for e in x or []:
                     if e is not None:
                         tree.edit(e["at"], e["cut"], e["put"])
-                rows.append((tree.text, tree.chars, tree.tokens, before, len(x or []), tree.total, tree.chars[1], n, tree.encoded))
-            kinds = [t for _, t in _ROW] + [pa.int64()] * len(_COUNTS)
+                rows.append((*((tree.text, tree.chars, tree.tokens) if with_trees else ()), before, len(x or []), tree.total, tree.chars[1], n, tree.encoded))
+            kinds = [t for _, t in new] + [pa.int64()] * len(_COUNTS)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), t) for c, t in zip(zip(*rows), kinds))], names=names)
 
-    schema = f"id {trees.schema['id'].dataType.simpleString()}, {_TREE}, " + ", ".join(f"{n} bigint" for n in _COUNTS)
+    schema = f"id {trees.schema['id'].dataType.simpleString()}, {_TREE + ', ' if with_trees else ''}" + ", ".join(f"{n} bigint" for n in _COUNTS)
     return map_arrow(trees.select("id", "leaves", "chars", "tokens", edits.cast(EDITS).alias("_edits")), run, schema)
 
 
@@ -204,20 +207,30 @@ def edited_counts(docs: DataFrame, edits: Callable[[Column, Column], Column], pa
     of their own join the trees by ``edit_lists``.
     """
     trees = stored(build_trees(docs, path, id_col, text), "trees")
-    return apply_edits(trees, edits(F.col("id"), F.col("chars")[1]), path).select("id", *_COUNTS)
+    return apply_edits(trees, edits(F.col("id"), F.col("chars")[1]), path, with_trees=False)
 
 
 class Counter(LibraryEncoder):
-    """Tokens of a run, by the tokenizers library; recent runs are remembered."""
+    """Tokens of texts, by the tokenizers library; recent runs are remembered."""
 
     def learn(self, texts: list[str | None]) -> None:
         """Encode all runs of the texts that aren't known, together."""
         self.recall(runs_of(pa.array(texts, pa.string()))[1].dictionary.to_pylist())
 
-    def __call__(self, run: bytes) -> int:
-        key = run.lower().decode() if run.isascii() and b"<|" not in run else run.decode()
-        ids = self.young.get(key)
-        return len(ids if ids is not None else self.recall([key])[0]) // 4
+    def __call__(self, text: str) -> tuple[int, int]:
+        """(runs, tokens) of a text."""
+        raw = text.encode("utf-8", "surrogatepass")
+        runs = raw.split()
+        if not runs:
+            return 0, 0
+        if raw.isascii() and b"<|" not in raw:
+            keys = b" ".join(runs).lower().decode().split(" ")
+        else:
+            keys = [r.lower().decode() if r.isascii() and b"<|" not in r else r.decode() for r in runs]
+        found = list(map(self.young.get, keys))
+        if None in found:
+            found = self.recall(keys)
+        return len(runs), sum(map(len, found)) // 4
 
 
 def edit_lists(trees: DataFrame, edits: DataFrame, edit_id: str = "doc_id") -> tuple[DataFrame, Column]:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions, words_of
@@ -29,9 +29,13 @@ def chunked(docs: DataFrame, columns: dict[str, Column], chunks: int, tasks: int
     return docs.select(chunk.alias("chunk"), *[c.alias(k) for k, c in columns.items()]).repartition(tasks, "chunk")
 
 
-def parts_for(spark: SparkSession, total: int, each: int) -> int:
-    """How many parts of about ``each`` bytes ``total`` bytes make, some for each shuffle partition at least."""
-    return max(2 * partitions(spark), -(-total // each))
+#: The fewest parts, so that a small input has some work for many tasks.
+FEWEST_PARTS = 64
+
+
+def parts_for(total: int, each: int) -> int:
+    """How many parts of about ``each`` bytes ``total`` bytes make."""
+    return max(FEWEST_PARTS, -(-total // each))
 
 
 def spread(df: DataFrame, tasks: int, *keys: str) -> DataFrame:

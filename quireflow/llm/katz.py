@@ -309,7 +309,7 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text: str = "text"
     sizes = table.select(F.sum(F.expr("aggregate(lens, 0L, (a, x) -> a + x)")), F.sum(F.expr("size(filter(held, x -> not x))"))).first()
     starts = int(sizes[1] or 0)
     total = (sizes[0] or 0) * REQUEST_BYTES
-    buckets, tasks = parts_for(spark, total, BUCKET_BYTES), total // TASK_BYTES
+    buckets, tasks = parts_for(total, BUCKET_BYTES), total // TASK_BYTES
     plain = table.select("chunk", "held", "lens", "words", "tokens")
 
     def first(batches):

@@ -225,9 +225,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     width = width_bits(size)
-    chunks = parts_for(spark, size, CHUNK_BYTES)
+    chunks = max(partitions(spark), parts_for(size, CHUNK_BYTES))
     # requests are under half the text: 16 bytes for a window estimated repeated, some bits for a counter
-    buckets = max(parts_for(spark, size // 2, BUCKET_BYTES), (1 << width) // RANGE)
+    buckets = max(parts_for(size // 2, BUCKET_BYTES), (1 << width) // RANGE)
     others = [F.col(c) for c in docs.columns if c != text]
     own = F.struct(*others) if keep and others else F.col(id_col)
     tasks = max(partitions(spark), size // TASK_BYTES)
