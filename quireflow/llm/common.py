@@ -39,13 +39,18 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    gone_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_in = path
     return out
 
 
+def gone_at_exit(spark: SparkSession, path: str) -> None:
+    """A folder that is there goes when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def dropped(table: DataFrame) -> None:
     """Delete the files of a ``stored`` table that no result needs any more."""
     spark = table.sparkSession

@@ -24,11 +24,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import kept
-from .common import map_arrow, partitions, shared_dir, stored, tokenizer_path
+from .common import gone_at_exit, map_arrow, partitions, shared_dir, stored, tokenizer_path
 from .run_table import TableEncoder
 
 MAX_BITS = 20
@@ -220,11 +220,10 @@ def read_ids(spark: SparkSession, at: str, with_ids: bool = False) -> DataFrame:
     book = spark.read.parquet(f"{at}/codebook").collect()  # at most one row for each id of the vocabulary
     shared = spark.sparkContext.broadcast((np.array([r[0] for r in book], np.int64), np.array([r[1] for r in book], np.int64)))
     blocks = spark.read.parquet(f"{at}/blocks")
-    sizes = dict(blocks.groupBy("part").agg(F.sum("n_ids")).collect())  # one number for each partition written
-    before, offsets = 0, []
-    for part in sorted(sizes):
-        offsets.append((part, before))
-        before += sizes[part]
+    # one row for each partition written
+    sizes = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = sizes.select("part", before.alias("before"))
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches):
@@ -249,8 +248,7 @@ def read_ids(spark: SparkSession, at: str, with_ids: bool = False) -> DataFrame:
 
     more = ", ids binary" if with_ids else ""
     rows = map_arrow(blocks.select("part", "block", "start", "doc_ids", "lengths", "n_ids", "payload", "checkpoints"), run, f"part int, id {kind}, first bigint, n_tokens bigint, ids_crc32 bigint{more}")
-    shift = spark.createDataFrame(offsets, "part int, before bigint")
-    out = rows.join(F.broadcast(shift), "part")
+    out = rows.join(shift, "part")
     return out.select("id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 
@@ -258,4 +256,5 @@ def op6_huffman_ids(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     to = f"{shared_dir(spark)}/huffman-{uuid.uuid4().hex}"
     write_ids(docs, to)
+    gone_at_exit(spark, to)
     return read_ids(spark, to).withColumnRenamed("id", "doc_id")

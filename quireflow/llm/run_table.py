@@ -1,4 +1,4 @@
-"""A compact memory of encoded runs: an open-addressed table of 128-bit hashes with places in one array of ids."""
+"""A compact memory of encoded runs: an open-addressed table of 127 bits of hashes with places in one array of ids."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from .bpe import LibraryEncoder, runs_of
 class TableEncoder(LibraryEncoder):
     """``LibraryEncoder`` whose runs are remembered in numpy arrays, some 25 bytes each in place of 200.
 
-    Runs are told apart by 128 bits of XXH3. The table starts anew when it is half full, so its size is fixed.
+    Runs are told apart by 127 of the 128 bits of XXH3 (one marks a used place). The table starts anew when it is half full, so its size is fixed.
     """
 
     def __init__(self, text: str, bits: int = 22):

@@ -5,7 +5,7 @@ a prefix of ``depth`` bits. The directory starts with one bucket of depth 0; a b
 limit splits on its next bit, and only such buckets do. The shard of a row is the shortest prefix of
 its bits whose bucket fits the limit.
 
-How it runs: rows are summed into cells of ``CELL_STEP`` bits, every cell gives its sum to each of
+How it runs: each row's hash and size are stored once, numbered, so no later step reads a text. Rows are summed into cells of ``CELL_STEP`` bits, every cell gives its sum to each of
 its prefixes, and the shortest fitting prefix of each cell is found by one aggregation. Rows in
 cells that are still over the limit take the next ``CELL_STEP`` bits in another round. Rows of the
 directory are never collected; the driver sees one number a round, how many cells stay open.
@@ -18,10 +18,10 @@ own with ``oversize`` true. An empty table gives no shard.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_name, stored
 
 LIMIT = 8 << 20
 BITS = 60
@@ -66,11 +66,14 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
     raise AssertionError("unreachable")
 
 
-def shards(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, bytes, depth, prefix, page, oversize."""
+def shards(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
+    """One row for each row of ``docs``: id, bytes, depth, prefix, page, oversize, and with ``keep`` the row as a struct ``row``."""
+    whole = F.struct("*") if keep else F.lit(None).cast("string")
     rows = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("bytes"), hash_bits(F.col(id_col), F.col(text)).alias("h")
-    )
+        F.col(id_col).alias("id"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("bytes"), hash_bits(F.col(id_col), F.col(text)).alias("h"),
+        F.monotonically_increasing_id().alias("_row"), whole.alias("row"),
+    )
+    rows = stored(rows, "hashed-rows")
     tree = directory(rows, limit)
     depths = sorted({r[0] for r in tree.select("cell_depth").distinct().collect()})  # at most BITS / CELL_STEP numbers
     parts = []
@@ -80,21 +83,27 @@ def shards(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text: st
     out = parts[0] if parts else rows.join(tree.select("depth", "prefix", "fits"), F.lit(False))
     for p in parts[1:]:
         out = out.unionByName(p)
-    # Rows that share all bits are alike: they are counted by input partition, so that no task holds them all.
-    at = out.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+    # Rows that share all bits are alike: they are counted by the part of the input they came from, so that no task holds them all.
+    at = out.withColumn("_part", F.shiftright("_row", 33))
     alike = at.where("not fits")
-    counts = alike.groupBy("h", "_part").agg(F.count("*").alias("n"), F.min("_row").alias("first"))
-    from pyspark.sql import Window
-
+    counts = alike.groupBy("h", "_part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("h").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offset = counts.select("h", "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     nth = F.row_number().over(Window.partitionBy("h", "_part").orderBy("_row")) - 1 + F.col("before")
     paged = alike.join(offset, ["h", "_part"]).withColumn("page", F.floor(nth / F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("bytes"), F.lit(1))))))
     one = at.where("fits").withColumn("page", F.lit(0).cast("long"))
-    cols = ["id", "bytes", "depth", "prefix", F.col("page").cast("long").alias("page"), (F.col("bytes") > limit).alias("oversize")]
+    cols = ["id", "bytes", "depth", "prefix", F.col("page").cast("long").alias("page"), (F.col("bytes") > limit).alias("oversize"), *(["row"] if keep else [])]
     return one.select(*cols).unionByName(paged.select(*cols))
 
 
+def write_shards(docs: DataFrame, to: str, limit: int = LIMIT, id_col: str = "doc_id", text: str = "text") -> None:
+    """Write each shard of ``docs`` as the file of a folder ``shard=<name>`` under ``to``, with the columns of ``docs``."""
+    name = free_name(docs, "shard")
+    out = shards(docs, limit, id_col, text, keep=True)
+    rows = out.select("row.*", shard_name(F.col("depth"), F.col("prefix"), F.col("page")).alias(name))
+    rows.repartition(name).write.partitionBy(name).mode("overwrite").parquet(to)
+
+
 def shard_name(depth: Column, prefix: Column, page: Column) -> Column:
     return F.concat(F.lit("d"), depth.cast("string"), F.lit("-"), prefix.cast("string"), F.lit("-"), page.cast("string"))
 

@@ -501,3 +501,19 @@ def test_equal_rows_go_to_pages(spark):
     df = spark.createDataFrame([(1, "x" * 100)] * 50 + [(2, "y")], "doc_id long, text string").repartition(3)
     pages = Counter((r["prefix"], r["page"]) for r in sharding.shards(df, 1000).collect())
     assert max(pages.values()) == 10 and len(pages) == 6
+
+
+def test_written_shards(spark, odd, documents, tmp_path):
+    """Each shard is one file whose texts are within the limit, but for a single row over it; no row is lost."""
+    for name, df, limit in (("a", documents, 20_000), ("b", odd, 100)):
+        to = str(tmp_path / name)
+        sharding.write_shards(df, to, limit)
+        back = spark.read.parquet(to)
+        assert sorted(map(str, back.select(*df.columns).collect())) == sorted(map(str, df.collect()))
+        sizes = Counter()
+        for r in back.collect():
+            sizes[r["shard"]] += len((r["text"] or "").encode())
+        alone = Counter(r["shard"] for r in back.collect())
+        assert all(n <= limit or alone[s] == 1 for s, n in sizes.items())
+        files = Counter(p.parent.name for p in (tmp_path / name).rglob("*.parquet"))
+        assert set(files.values()) == {1} and len(files) == len(sizes)
