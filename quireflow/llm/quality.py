@@ -29,7 +29,8 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 _SYMBOL_BYTES, _SPACE_BYTES = SYMBOLS.encode(), SPACES.encode()
-_LETTER = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
+#: A word without a letter: no A-Z, a-z, or byte of another script.
+_BARE = re.compile(rb"(?<![^ \t-\r])[^A-Za-z\x80-\xff \t-\r]+(?![^ \t-\r])")
 #: Frequent words that a text of a language has.
 STOP_WORDS = {
     "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "ist"],
@@ -80,21 +81,19 @@ def measure(text: str | None, lang: str | None = None) -> tuple[int, ...]:
     symbols, stop = less(_SYMBOL_BYTES), _STOP.get(lang) if lang else None
     if not words:
         return (0, 0, symbols, *[0] * (len(MEASURES) - 4), -1 if stop is None else 0)
-    pairs = list(zip(words, words[1:]))
-    top = Counter(pairs).most_common(1)[0][1] if pairs else 0
+    top = max(Counter(zip(words, words[1:])).values(), default=0)
     repeated = 0
     if top > 1:  # a window of three that stands twice has pairs that do
         windows = list(zip(words, words[1:], words[2:]))
-        seen, end = Counter(windows), 0
-        if len(seen) < len(windows):
+        if len(set(windows)) < len(windows):
+            seen, end = Counter(windows), 0
             for i, w in enumerate(windows):
                 if seen[w] > 1:
                     repeated += i + 3 - max(i, end)
                     end = i + 3
     lines = [x for x in (y.strip(SPACES) for y in text.split("\n")) if x]
     whole = [x for x in text.split("\n") if x.strip(SPACES)]
-    lowered = raw.lower().split() if stop else []
-    longest = max(words, key=len)
+    longest = max(map(len, words)) if raw.isascii() else max(map(len, text.translate(_BLANKS).split(" ")))
     return (
         len(words),
         len(text) - sum(map(text.count, SPACES)),
@@ -102,14 +101,14 @@ def measure(text: str | None, lang: str | None = None) -> tuple[int, ...]:
         len(lines),
         len(whole) - len(set(whole)),
         repeated,
-        sum(len(w.translate(None, _LETTER)) == len(w) for w in words),
+        len(_BARE.findall(raw)),
         less(_DIGITS),
         less(_UPPER),
         sum(x.endswith(("...", "…")) for x in lines),
         sum(x.startswith(("-", "*", "•", "|")) for x in lines),
-        len(longest) if longest.isascii() and raw.isascii() else max(map(len, text.translate(_BLANKS).split(" "))),
+        longest,
         2 * top if top > 1 else 0,
-        -1 if stop is None else sum(w in stop for w in lowered),
+        -1 if stop is None else sum(map(stop.__contains__, raw.lower().split())),
     )
 
 

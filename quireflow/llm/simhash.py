@@ -103,19 +103,20 @@ def links(fps: DataFrame, radius: int = 2, m: int = 2, bucket: int = BUCKET) ->
 
     probes = fps.select(F.col("fp").alias("q"), F.explode(F.concat(*[probed(*p) for p in parts])).alias("k")).select("q", "k.seg", "k.val")
     sizes = table.groupBy("seg", "val").agg(F.count("*").alias("n"))
-    light = table.join(sizes.where(F.col("n") <= bucket), ["seg", "val"])
+    # both sides are unfolded many times over, which size estimates don't see: no side may be broadcast
+    light = table.hint("merge").join(sizes.where(F.col("n") <= bucket), ["seg", "val"])
     near = F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius
-    found = probes.join(light, ["seg", "val"]).where((F.col("q") != F.col("fp")) & near)
+    found = probes.hint("merge").join(light, ["seg", "val"]).where((F.col("q") != F.col("fp")) & near)
     pairs = found.select(F.greatest("q", "fp").alias("u"), F.least("q", "fp").alias("v"))
     # whoever reaches a heavy bucket, its own included
-    reach = probes.join(sizes.where(F.col("n") > bucket).select("seg", "val"), ["seg", "val"]).select(F.col("q").alias("fp")).distinct()
+    reach = probes.hint("merge").join(sizes.where(F.col("n") > bucket).select("seg", "val"), ["seg", "val"]).select(F.col("q").alias("fp")).distinct()
     ball = F.transform(_longs(_masks(64, (radius + 1) // 2)), lambda x: F.col("fp").bitwiseXOR(x))
     published = reach.select("fp", F.explode(ball).alias("key"))
     if radius == 1:  # one ball is of radius 0: a value ties to the fingerprint that it is
         hub = fps.select(F.col("fp").alias("key"), F.col("fp").alias("hub"))
     else:
         hub = published.groupBy("key").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    ties = published.join(hub, "key").where("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v"))
+    ties = published.hint("merge").join(hub, "key").where("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v"))
     return pairs.unionAll(ties).distinct()
 
 

@@ -128,7 +128,7 @@ def duplicate_classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     classes = stored(classes, "band-classes")
     keys = classes.where("size > 0").select("node", F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = keys.join(hubs, "key").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    shared = keys.hint("merge").join(hubs, "key").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
     first = stored(classes.where("size > 0").groupBy("fp").agg(F.min("node").alias("hub")), "fingerprints")
     alike = classes.where("size > 0").join(first, "fp").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
     near = links(first, RADIUS).join(first.select(F.col("fp").alias("u"), F.col("hub").alias("hu")), "u").join(first.select(F.col("fp").alias("v"), F.col("hub").alias("hv")), "v")
