@@ -13,11 +13,14 @@ from .huffman import op6_huffman_ids
 from .katz import op7_katz_scoring
 from .mixing import op10_source_mixing
 from .pivots import op4_pivot_near_dedup
+from .prefix_trie import op13_conversation_trie
 from .quality import op9_quality_rules, quality_ablations
+from .resampling import op11_importance_resampling
 from .sharding import op5_extendible_sharding
 from .simhash import op2_simhash_near_dedup
 from .sql import ORACLES
 from .substring import op8_substring_dedup
+from .transducer import op12_byte_bpe_transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +41,9 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": _over("documents", op8_substring_dedup),
         "op9_quality_rules": _over("documents", op9_quality_rules),
         "op10_source_mixing": _over("documents", op10_source_mixing),
+        "op11_importance_resampling": lambda spark, sf_dir: op11_importance_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+        "op12_byte_bpe_transducer": _over("documents", op12_byte_bpe_transducer),
+        "op13_conversation_trie": _over("conversations", op13_conversation_trie),
         "quality_ablations": _over("documents", quality_ablations),
     }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, sharding, substring
+from . import mixing, quality, resampling, sharding, substring
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -74,10 +74,55 @@ k as (select *, max(starts) over (partition by rid order by i rows between {subs
 a as (select rid, count(*) n_words, cast(sum(gone) as bigint) n_removed, coalesce(string_agg(word, ' ' order by i) filter (where gone = 0), '') kept from k group by rid)
 select doc_id, coalesce(n_words, 0) n_words, coalesce(n_removed, 0) n_removed, sha256(coalesce(kept, '')) kept_sha256 from d left join a using (rid)"""
 
+#: crcs(s, crc): the unsigned CRC-32 of each s of a table texts(s), byte by byte over all of them
+_CRCS = r"""bits as (select i::bigint b, i::bigint c, 0 k from range(256) r(i) union all select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8),
+lut as (select b, c from bits where k = 8),
+steps as (select s, 1::bigint i, 4294967295::bigint c, hex(encode(s)) x from texts union all
+  select s, i + 1, xor(steps.c >> 8, lut.c), x from steps join lut on lut.b = xor(steps.c & 255, cast('0x' || substr(x, 2 * i - 1, 2) as bigint)) where 2 * i <= length(x)),
+crcs as (select s, xor(c, 4294967295) crc from steps where 2 * i > length(x))"""
+
+OP11 = rf"""
+with recursive d as (select row_number() over () rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{resampling.WORD}') w from documents),
+t as (select regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{resampling.WORD}') w from benchmark),
+f as (select rid, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) s from d),
+g as (select unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) s from t),
+texts as (select s from f union select s from g),
+{_CRCS},
+ds as (select crc % {resampling.BUCKETS} b, count(*) n from f join crcs using (s) group by 1),
+ts as (select crc % {resampling.BUCKETS} b, count(*) n from g join crcs using (s) group by 1),
+gain as (select ds.b, cast(floor(1000 * ln(((coalesce(ts.n, 0) + 1)::double * ((select sum(n) from ds)::double + {resampling.BUCKETS})) / ((ds.n + 1)::double * (coalesce((select sum(n) from ts), 0)::double + {resampling.BUCKETS})))) as bigint) gain
+  from ds left join ts using (b)),
+m as (select rid, count(*) n, cast(sum(gain) as bigint) total from f join crcs using (s) join gain on b = crc % {resampling.BUCKETS} group by rid),
+s as (select d.rid, doc_id, len(w) words, coalesce(n, 0) n_features, coalesce(cast((total - ((total % n) + n) % n) // n as bigint), 0) weight,
+  cast(floor(-1000 * ln(-ln((cast('0x' || substr(sha256('{resampling.SEED}:' || coalesce(cast(doc_id as varchar), 'null')), 1, 8) as bigint) + 0.5::double) / 4294967296::double))) as bigint) noise from d left join m using (rid)),
+r as (select rid, row_number() over (order by weight + noise desc, doc_id nulls last, rid) k, count(*) over () n from s where words >= {resampling.FEWEST_WORDS})
+select doc_id, n_features, weight, weight + noise score, case when k <= {resampling.DRAWN} * n // 100 then k end "rank" from s left join r using (rid)"""
+
+OP13 = rf"""
+with recursive e as (select conv_id c, turn, coalesce("role", '') r, coalesce(text, '') t from conversations where conv_id is not null),
+turns as (select c, row_number() over (partition by c order by turn nulls first, dg) i, dg, n from
+  (select c, turn, substr(sha256(cast(length(r) as varchar) || ':' || r || t), 1, 32) dg, cast(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) as bigint) n from e)),
+texts as (select distinct cast(c as varchar) s from e),
+{_CRCS},
+convs as (select cast(s as bigint) c, crc % 4 h, (select count(*) from turns b where b.c = cast(s as bigint) - cast(s as bigint) % 20 and b.i <= crc % 4) k from crcs),
+built as (select v.c, b.i p, dg, n from convs v join turns b on b.c = v.c - v.c % 20 and b.i <= h union all select v.c, k + i - h, dg, n from convs v join turns o on o.c = v.c and o.i > h),
+m as (select c, 0 d, '' key, 0 n from convs union all select c, p, string_agg(dg, '') over (partition by c order by p), n from built),
+deep as (select c, max(d) d from m group by c),
+node as (select key, d, min(c) c, count(*) n_convs, max(n) n from m group by key, d),
+up as (select x.key, x.d, x.c, x.n_convs, x.n, a.key pkey from node x left join m a on a.c = x.c and a.d = x.d - 1),
+kids as (select pkey key, count(*) n_children from up where pkey is not null group by 1),
+own as (select up.*, coalesce(n_children, 0) n_children from up left join kids using (key)),
+sums as (select a.key, cast(sum(case when n_children = 0 then 1 else 0 end) as bigint) n_leaves, cast(sum((n_convs - 1) * own.n) as bigint) saved_tokens from own join m a on a.c = own.c and a.d <= own.d group by a.key),
+ends as (select key, string_agg(cast(c as varchar), ',' order by c) ids from m join deep using (c, d) group by key)
+select own.c conv_id, cast(own.d as bigint) "depth", p.c parent_conv_id, own.n_convs, own.n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) ends_sha256
+from own join sums using (key) left join node p on p.key = own.pkey left join ends on ends.key = own.key"""
+
 ORACLES = {
     "op5_extendible_sharding": OP5,
     "op8_substring_dedup": OP8,
     "op9_quality_rules": OP9,
     "op10_source_mixing": OP10,
+    "op11_importance_resampling": OP11,
+    "op13_conversation_trie": OP13,
     "quality_ablations": ABLATIONS,
 }
