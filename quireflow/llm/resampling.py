@@ -1,11 +1,11 @@
 """Target-distribution importance resampling over hashed n-grams, in DataFrame functions only.
 
-Words of the raw documents and of the target texts make n-grams; the arrays of n-grams are exploded, each
-falls into a bucket by its CRC-32, and the buckets of both corpora are counted (partial sums first, so a shuffle
-carries at most a row for each bucket and task). A bucket's gain is the log of its smoothed share in the target
-over that in the raw corpus, in thousandths. The gain table has one row for each bucket, which bounds its
-broadcast. A second pass over the texts joins the gains to the exploded n-grams and sums them by document,
-again summed in the task first. Scores are the floored mean gain plus Gumbel noise from a hash of the id, so
+Words of the raw documents and of the target texts make n-grams, and each falls into a bucket by its CRC-32. The
+arrays of these, one for each document, are stored once, so texts are split once; they are exploded, and the buckets of
+both corpora are counted (partial sums first, so a shuffle carries at most a row for each bucket and task). A
+bucket's gain is the log of its smoothed share in the target over that in the raw corpus, in thousandths. The gain
+table has one row for each bucket, which bounds its broadcast. It joins the arrays, exploded again, and gains
+are summed by document, again in the task first. Scores are the floored mean gain plus Gumbel noise from a hash of the id, so
 the highest scores are a sample without replacement in proportion to the weights, and reruns agree.
 
 Ranks need no task that sees all rows: one distributed sort is stored with the partition and the place of each
@@ -27,14 +27,23 @@ from pyspark.sql import functions as F
 from .common import dropped, free_name, stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same with capitals, before they are lower-cased.
+ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BUCKETS, LONGEST, SEED = 10_000, 2, 7
 #: The share drawn, in hundredths, of the documents with at least so many words.
 DRAWN, FEWEST_WORDS = 25, 20
 
 
 def words(text: Column) -> Column:
-    """The words of a text, A-Z lower-cased."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase), F.lit(WORD), F.lit(0))
+    """The words of a text, A-Z lower-cased.
+
+    ``lower`` does that for texts and words of ASCII only, and is much cheaper than ``translate``, which is left for others that have a capital.
+    """
+    t = F.coalesce(text, F.lit(""))
+    ascii_only = lambda c: F.length(c) == F.octet_length(c)
+    folded = lambda w: F.when(ascii_only(w), F.lower(w)).when(w.rlike("[A-Z]"), F.translate(w, string.ascii_uppercase, string.ascii_lowercase)).otherwise(w)
+    plain = F.regexp_extract_all(F.lower(t), F.lit(WORD), F.lit(0))
+    return F.when(ascii_only(t), plain).otherwise(F.transform(F.regexp_extract_all(t, F.lit(ANY_WORD), F.lit(0)), folded))
 
 
 def grams(w: Column, longest: int = LONGEST) -> Column:
@@ -46,15 +55,16 @@ def grams(w: Column, longest: int = LONGEST) -> Column:
     return F.concat(*runs)
 
 
-def _bucket(gram: Column, buckets: int) -> Column:
-    return (F.crc32(gram.cast("binary")) % buckets).cast("int")
+def featured(texts: DataFrame, id_col: str | None, text: str = "text", longest: int = LONGEST, buckets: int = BUCKETS, row: str | None = None) -> DataFrame:
+    """(row, id, n_words, features), stored: the buckets of all n-grams of each text, repeats included."""
+    named = texts.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), (F.col(id_col) if id_col else F.lit(0)).alias("id"), words(F.col(text)).alias("w"))
+    bucket = lambda g: (F.crc32(g.cast("binary")) % buckets).cast("int")
+    return stored(named.select("row", "id", F.size("w").alias("n_words"), F.transform(grams(F.col("w"), longest), bucket).alias("features")), "features")
 
 
-def bucket_counts(texts: DataFrame, text: str = "text", longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
+def bucket_counts(features: DataFrame) -> DataFrame:
     """(bucket, n): how many n-grams of all texts fall into each bucket that has any."""
-    w = texts.select(words(F.col(text)).alias("w"))
-    each = w.select(F.explode(grams(F.col("w"), longest)).alias("gram"))
-    return each.select(_bucket(F.col("gram"), buckets).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    return features.select(F.explode("features").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
 
 
 def gains(raw: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -79,12 +89,11 @@ def _floored(a: Column, b: Column) -> Column:
     return F.call_function("div", a - F.pmod(a, b), b)
 
 
-def weighed(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text: str = "text", longest: int = LONGEST, buckets: int = BUCKETS, row: str | None = None) -> DataFrame:
-    """(row, id, n_words, n_features, weight) for each row of ``docs``, by a gain table."""
-    w = docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("id"), words(F.col(text)).alias("w"))
-    each = w.select("row", "id", F.size("w").alias("n_words"), F.explode_outer(grams(F.col("w"), longest)).alias("gram"))
-    found = each.withColumn("bucket", _bucket(F.col("gram"), buckets)).join(F.broadcast(table), "bucket", "left")
-    sums = found.groupBy("row", "id", "n_words").agg(F.count("gram").alias("n_features"), F.coalesce(F.sum("gain"), F.lit(0)).alias("sum"))
+def weighed(features: DataFrame, table: DataFrame) -> DataFrame:
+    """(row, id, n_words, n_features, weight) for each row of ``featured``, by a gain table."""
+    each = features.select("row", "id", "n_words", F.explode_outer("features").alias("bucket"))
+    found = each.join(F.broadcast(table), "bucket", "left")
+    sums = found.groupBy("row", "id", "n_words").agg(F.count("bucket").alias("n_features"), F.coalesce(F.sum("gain"), F.lit(0)).alias("sum"))
     return sums.select("row", "id", "n_words", "n_features", F.when(F.col("n_features") > 0, _floored(F.col("sum"), F.col("n_features"))).otherwise(F.lit(0)).cast("long").alias("weight"))
 
 
@@ -112,10 +121,11 @@ def ranked(scored: DataFrame, drawn: int = DRAWN, fewest: int = FEWEST_WORDS) ->
 
 def resampled(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text: str = "text", target_text: str = "text", longest: int = LONGEST, buckets: int = BUCKETS, drawn: int = DRAWN, fewest: int = FEWEST_WORDS, seed: int = SEED, row: str | None = None) -> DataFrame:
     """One row for each row of ``docs``: row, id, n_words, n_features, weight, score, rank."""
-    table = stored(gains(bucket_counts(docs, text, longest, buckets), bucket_counts(target, target_text, longest, buckets), buckets), "gains")
-    scored = weighed(docs, table, id_col, text, longest, buckets, row).withColumn("score", F.col("weight") + noise(F.col("id"), seed))
-    out = ranked(scored, drawn, fewest)
-    dropped(table)
+    own, other = featured(docs, id_col, text, longest, buckets, row), featured(target, None, target_text, longest, buckets)
+    table = stored(gains(bucket_counts(own), bucket_counts(other), buckets), "gains")
+    out = ranked(weighed(own, table).withColumn("score", F.col("weight") + noise(F.col("id"), seed)), drawn, fewest)
+    for t in (own, other, table):
+        dropped(t)
     return out
 
 
