@@ -34,10 +34,10 @@ from .common import dropped, map_arrow, stored
 
 SIZE = 16
 #: Rows and bytes of sequences in a run, and in a range: bounds of a task's memory.
-RUN_ROWS, RUN_BYTES = 50_000, 16 << 20
-RANGE_ROWS, RANGE_BYTES = 100_000, 32 << 20
+RUN_ROWS, RUN_BYTES = 20_000, 16 << 20
+RANGE_ROWS, RANGE_BYTES = 20_000, 32 << 20
 #: Ids in a chunk of a shared node's members, and rows of a batch that goes out.
-CHUNK, OUT_ROWS = 50_000, 20_000
+CHUNK, OUT_ROWS = 50_000, 10_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
