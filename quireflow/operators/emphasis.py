@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrow as A
 from ..functions import text as T
+from ..names import free_name
 from . import matching
 
 #: Points between the tops of a line's first and any other character, and between two characters of a word.
@@ -99,18 +100,19 @@ def emphasized(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """
     order = F.array_sort(F.collect_list(F.struct("page_no", "line_no", "line", "spans")))
     of = lines.groupBy(F.col("doc_id").alias("questionnaire_id")).agg(F.transform(order, lambda x: F.struct(x["line"].alias("line"), x["spans"].alias("spans"))).alias("_lines"))
-    named = docs.withColumn("_key", F.struct("questionnaire_id", F.xxhash64(F.to_json("sections")).alias("hash")))
-    touched = named.select("_key", "questionnaire_id", "sections").join(of, "questionnaire_id").dropDuplicates(["_key"])
+    key, told = free_name(docs, "key"), free_name(docs, "new")
+    named = docs.withColumn(key, F.struct("questionnaire_id", F.xxhash64(F.to_json("sections")).alias("hash")))
+    touched = named.select(F.col(key).alias("_key"), "questionnaire_id", "sections").join(of, "questionnaire_id").dropDuplicates(["_key"])
     units = touched.select("_key", "_lines", F.posexplode("sections").alias("s", "section")).select("_key", "_lines", "s", F.posexplode("section.question_units").alias("u", "unit"))
     marked = units.select("_key", "s", "u", A.emphasized(F.col("unit.prompt"), F.col("_lines")).alias("prompt"), A.emphasized(F.col("unit.narrative_context"), F.col("_lines")).alias("narrative"))
-    new = marked.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("s", "u"), F.struct("prompt", "narrative")))).alias("_new"))
+    new = marked.groupBy(F.col("_key").alias(key)).agg(F.map_from_entries(F.collect_list(F.struct(F.struct("s", "u"), F.struct("prompt", "narrative")))).alias(told))
 
-    def unit(u: Column, key: Column) -> Column:
-        told = F.element_at("_new", key)
-        return u.withField("prompt", told["prompt"]).withField("narrative_context", told["narrative"])
+    def unit(u: Column, place: Column) -> Column:
+        text = F.element_at(told, place)
+        return u.withField("prompt", text["prompt"]).withField("narrative_context", text["narrative"])
 
     def section(s: Column, i: Column) -> Column:
         return s.withField("question_units", F.transform(s["question_units"], lambda u, k: unit(u, F.struct(i.alias("s"), k.alias("u")))))
 
-    j = named.join(new, "_key", "left")
-    return j.withColumn("sections", F.when(F.col("_new").isNotNull(), F.transform("sections", section)).otherwise(F.col("sections"))).select(*docs.columns)
+    j = named.join(new, key, "left")
+    return j.withColumn("sections", F.when(F.col(told).isNotNull(), F.transform("sections", section)).otherwise(F.col("sections"))).select(*docs.columns)

@@ -6,7 +6,6 @@ an aggregate; repeated rows give repeated results; other columns of the inputs m
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import arrow as A
 from ..functions import text as T
+from ..names import free_name
+from . import containment
 
 
 def diff(expected: DataFrame, got: DataFrame, key: str, fields: dict[str, Column] | list[str], order: str | None = None) -> DataFrame:
@@ -26,13 +27,13 @@ def diff(expected: DataFrame, got: DataFrame, key: str, fields: dict[str, Column
     named = {f: F.col(f) for f in fields} if isinstance(fields, list) else fields
 
     def side(rows: DataFrame, name: str) -> DataFrame:
-        own = rows.select(F.col(key), F.struct(*[c.alias(f) for f, c in named.items()]).alias(name), *([order] if order else []))
-        return own.groupBy(key).agg(F.max_by(name, order).alias(name)) if order else own
+        own = rows.select(F.col(key).alias("k"), F.struct(*[c.alias(f) for f, c in named.items()]).alias(name), *([F.col(order).alias("o")] if order else []))
+        return own.groupBy("k").agg(F.max_by(name, "o").alias(name)) if order else own
 
-    both = side(expected, "_e").withColumn("_in_e", F.lit(True)).join(side(got, "_g").withColumn("_in_g", F.lit(True)), key, "full_outer")
-    issue = F.when(F.col("_in_e").isNull(), "extra").when(F.col("_in_g").isNull(), "missing")
-    changed = [(F.col("_in_e").isNotNull() & F.col("_in_g").isNotNull() & ~F.col(f"_e.{f}").eqNullSafe(F.col(f"_g.{f}"))).alias(f"{f}_differs") for f in named]
-    out = both.select(key, issue.alias("issue"), *changed)
+    both = side(expected, "e").withColumn("in_e", F.lit(True)).join(side(got, "g").withColumn("in_g", F.lit(True)), "k", "full_outer")
+    issue = F.when(F.col("in_e").isNull(), "extra").when(F.col("in_g").isNull(), "missing")
+    changed = [(F.col("in_e").isNotNull() & F.col("in_g").isNotNull() & ~F.col(f"e.{f}").eqNullSafe(F.col(f"g.{f}"))).alias(f"{f}_differs") for f in named]
+    out = both.select(F.col("k").alias(key), issue.alias("issue"), *changed)
     return out.where(F.col("issue").isNotNull() | F.greatest(F.lit(False), *[F.col(f"{f}_differs") for f in named]))
 
 
@@ -42,7 +43,7 @@ def compared(expected: DataFrame, got: DataFrame, key: str, fields: dict[str, Co
     return both.crossJoin(diff(expected, got, key, fields, order).agg(F.count("*").alias("questions_with_diffs")))  # one row each
 
 
-def sources_of(unit: Column) -> Column:
+def sources_of(unit: Column | dict[str, Column]) -> Column:
     """A unit's sources in an order of their own, for comparison."""
     return F.array_sort(F.transform(F.coalesce(unit["primary_sources"], F.array()), lambda s: F.struct(s["book"].alias("book"), s["chapter"].alias("chapter"), s["verse"].alias("verse"))))
 
@@ -52,47 +53,73 @@ def merged_review(units: DataFrame, review: DataFrame, order: str | None = None)
 
     Both have doc_id, display_number, prompt, options. Options are taken over only if both sides have
     the same four keys; each option's text for itself. Of readings with one number the last in ``order``
-    holds, without ``order`` the greatest.
+    holds, without ``order`` the greatest. The list is the last column, ``warnings`` or a longer name that is free.
     """
-    read = F.struct("prompt", "options")
-    r = review.groupBy("doc_id", "display_number").agg((F.max_by(read, order) if order else F.max(read)).alias("r"))
+    read, own = F.struct("prompt", "options"), free_name(units, "r")
+    r = review.groupBy("doc_id", "display_number").agg((F.max_by(read, order) if order else F.max(read)).alias(own))
     j = units.join(r, ["doc_id", "display_number"], "left")
-    p, v, b = F.col("r.prompt"), F.coalesce("r.options", F.array().cast("array<struct<key:string,text:string>>")), F.col("options")
+    p, v, b = F.col(f"{own}.prompt"), F.coalesce(f"{own}.options", F.array().cast("array<struct<key:string,text:string>>")), F.col("options")
     keys = lambda o: F.transform(o, lambda x: x["key"])
     same = (F.size(v) == 4) & (F.coalesce(F.size(b), F.lit(0)) == 4) & F.coalesce(keys(v) == keys(b), F.lit(False))
     options = F.when(same, F.zip_with(b, v, lambda x, y: x.withField("text", F.when(T.is_clean(y["text"]), y["text"]).otherwise(x["text"])))).otherwise(b)
     rejected = F.transform(F.filter(v, lambda x: ~T.blank(x["text"]) & ~T.is_clean(x["text"])), lambda x: F.concat(F.lit("vision option "), x["key"], F.lit(" rejected")))
     none = F.array().cast("array<string>")
-    warnings = F.when(F.col("r").isNull(), F.array(F.lit("no vision data for this question"))).otherwise(
+    warnings = F.when(F.col(own).isNull(), F.array(F.lit("no vision data for this question"))).otherwise(
         F.concat(
             F.when(~T.blank(p) & ~T.is_clean(p), F.array(F.lit("vision prompt rejected (unclean text)"))).otherwise(none),
             F.when(same, rejected).otherwise(F.array(F.lit("vision option shape mismatch; kept baseline"))),
         )
     )
-    return j.withColumns({"prompt": F.when(T.is_clean(p), p).otherwise(F.col("prompt")), "options": options, "warnings": warnings}).drop("r")
+    return j.withColumns({"prompt": F.when(T.is_clean(p), p).otherwise(F.col("prompt")), "options": options, free_name(units, "warnings"): warnings}).drop(own)
 
 
-def paired(left: DataFrame, right: DataFrame, least: int = 4, share: float = 0.4, gram: int = 4) -> DataFrame:
-    """left_id, right_id, score, place: right ids ranked for each left one by their longest common substring.
+def paired(left: DataFrame, right: DataFrame, least: int = 4, share: float = 0.4, gram: int = 4, most: int | None = None) -> DataFrame:
+    """left_id, right_id, score, place, n_candidates: right ids ranked for each left one by their longest common substring.
 
-    Both sides have id, core, block (never crossed) and year; years that are both known must agree. A score
-    under ``least``, or under ``share`` of the shorter core, doesn't count. Pairs are met by an equi-join
-    on the block and a ``gram`` of letters they share, which any pair with a score of ``gram`` or more
-    does, so no cross join is made; ``gram`` may not be over ``least``.
+    Both sides have id, core, block (never crossed), year and pos; years that are both known must agree. A score
+    under ``least``, or under ``share`` of the shorter core, doesn't count. With ``most`` only so many places are given.
+    ``n_candidates`` says how many right ids were compared with the left one.
+
+    A join by prefixes. If the shorter core has m letters, a good pair shares a run of t = max(least, share m) letters,
+    hence t - n + 1 of the m - n + 1 places of n-grams in the shorter core; any m - t + 1 of these places have one of the run.
+    So the shorter side asks by its m - t + 1 places with the rarest grams only, and the longer answers with all
+    its grams; frequent grams are asked for only by cores that have hardly any other. No cross join is made; ``gram``
+    may not be over ``least``.
     """
     n = min(gram, least)
 
-    def grams(rows: DataFrame, side: str) -> DataFrame:
-        g = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("core") - n + 1)), lambda i: F.substring(F.col("core"), i, F.lit(n))))
-        return rows.where(F.length("core") >= n).select("block", F.explode(g).alias("gram"), F.struct("id", "core", "year", "pos").alias(side))
+    def side(rows: DataFrame) -> DataFrame:
+        own = rows.select("id", "core", "block", "year", "pos").where(F.length("core") >= least).distinct()
+        return own.withColumn("k", F.md5(F.to_json(F.struct("*")))).withColumn("m", F.length("core"))
+
+    def grams(rows: DataFrame) -> DataFrame:
+        places = F.transform(F.sequence(F.lit(1), F.col("m") - n + 1), lambda i: F.substring(F.col("core"), i, F.lit(n)))
+        return rows.select("block", "k", "m", F.posexplode(places).alias("i", "gram"))
+
+    l, r = side(left), side(right)  # noqa: E741
+    often = grams(l).unionAll(grams(r)).groupBy("block", "gram").agg(F.count("*").alias("often"))
+
+    def asked(rows: DataFrame) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("block", "k").orderBy("often", "i"))
+        t = F.greatest(F.lit(least), F.ceil(F.lit(float(share)) * F.col("m")))
+        rare = grams(rows).join(often, ["block", "gram"]).withColumn("rank", rank).where(F.col("rank") <= F.col("m") - t + 1)
+        return rare.select("block", "gram", "k", "m").distinct()
+
+    def met(short: DataFrame, long: DataFrame, names: list[str], equal: bool) -> DataFrame:
+        other = grams(long).select("block", "gram", F.col("k").alias("k2"), F.col("m").alias("m2")).distinct()
+        fits = F.col("m") <= F.col("m2") if equal else F.col("m") < F.col("m2")
+        return asked(short).join(other, ["block", "gram"]).where(fits).select(F.col("k").alias(names[0]), F.col("k2").alias(names[1]))
 
-    met = grams(left, "l").join(grams(right, "r"), ["block", "gram"]).select("l", "r").distinct()
+    pairs = met(l, r, ["lk", "rk"], True).unionByName(met(r, l, ["rk", "lk"], False)).distinct()
+    own = lambda rows, name: rows.select(F.col("k").alias(f"{name}k"), F.struct("id", "core", "year", "pos").alias(name))
+    both = pairs.join(own(l, "l"), "lk").join(own(r, "r"), "rk")
     years = F.col("l.year").isNull() | F.col("r.year").isNull() | (F.col("l.year") == F.col("r.year"))
-    scored = met.where(years).withColumn("score", A.lcs(F.col("l.core"), F.col("r.core")))
-    shorter = F.least(F.length("l.core"), F.length("r.core"))
-    good = scored.where((F.col("score") >= least) & (F.col("score") >= share * shorter))
-    w = Window.partitionBy("l.id").orderBy(F.col("score").desc(), F.col("r.pos"))
-    return good.select(F.col("l.id").alias("left_id"), F.col("r.id").alias("right_id"), "score", F.row_number().over(w).alias("place"))
+    scored = both.where(years).withColumn("score", A.lcs(F.col("l.core"), F.col("r.core")))
+    good = (F.col("score") >= least) & (F.col("score") >= share * F.least(F.length("l.core"), F.length("r.core")))
+    seen = scored.withColumn("n_candidates", F.count("*").over(Window.partitionBy("l.id"))).where(good)
+    place = F.row_number().over(Window.partitionBy("l.id").orderBy(F.col("score").desc(), F.col("r.pos")))
+    out = seen.select(F.col("l.id").alias("left_id"), F.col("r.id").alias("right_id"), "score", place.alias("place"), "n_candidates")
+    return out if most is None else out.where(F.col("place") <= most)
 
 
 def count_guard(n: Column, expected: Column) -> Column:
@@ -107,8 +134,8 @@ def first_accepted(candidates: DataFrame) -> DataFrame:
     return ok.groupBy("left_id").agg(best.alias("b")).select("left_id", "b.*")
 
 
-#: Needles that one pass over the hays looks for, and the characters of each that the automaton holds.
-NEEDLES, PREFIX = 100_000, 24
+#: Needles and their characters that an automaton takes, beyond which the index does; characters of each that the automaton holds.
+NEEDLES, CHARACTERS, PREFIX = 100_000, 16 << 20, 24
 
 
 def _finder(texts: list[str]):
@@ -136,12 +163,12 @@ def _first_places(hay: str, texts: list[str], finder) -> dict[int, int]:
     return found
 
 
-def contained(needles: DataFrame, hays: DataFrame, needle_id: str, hay_id: str, text: str = "text", most: int = NEEDLES) -> DataFrame:
+def contained(needles: DataFrame, hays: DataFrame, needle_id: str, hay_id: str, text: str = "text", most: int = NEEDLES, characters: int = CHARACTERS) -> DataFrame:
     """needle_id, hay_id, at: where a needle's text stands in a hay's text first (1 is the start).
 
-    One Arrow pass over the hays looks for all distinct needles with an automaton and sends only what it
-    finds; nothing else is shuffled. At most ``most`` needles go to the executors at once: their number is
-    counted first, and more of them take several passes, dealt by a hash.
+    Distinct needles are counted first. Up to ``most`` of them with up to ``characters`` in all, one Arrow pass over
+    the hays looks for them with an automaton, which all executors get, and sends only what it finds. Beyond either bound,
+    needles are a table like the hays (``containment.located``).
 
     Every needle row meets every hay row that contains it, repeated and null ids included. Null texts
     and empty needles find nothing.
@@ -149,38 +176,41 @@ def contained(needles: DataFrame, hays: DataFrame, needle_id: str, hay_id: str,
     n = needles.select(F.col(needle_id).alias("_needle"), F.col(text).alias("_text")).where("_text <> ''")
     h = hays.select(F.col(hay_id).alias("_hay"), F.col(text).alias("_in")).where("_in is not null")
     texts = n.select("_text").distinct()
-    passes = max(1, math.ceil(texts.count() / most))
-    kind = h.schema["_hay"].dataType.simpleString()
-    context = needles.sparkSession.sparkContext
-    found = None
-    for i in range(passes):
-        part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(passes)) == i) if passes > 1 else texts
-        wanted = context.broadcast(sorted(r[0] for r in part.collect()))
-
-        def run(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
-            own = wanted.value
-            finder = _finder(own) if own else None
-            for b in batches if own else ():
-                rows, which, at = [], [], []
-                for k, hay in enumerate(b.column(1)):
-                    for no, place in _first_places(hay.as_py(), own, finder).items():
-                        rows.append(k)
-                        which.append(own[no])
-                        at.append(place)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(which, pa.string()), pa.array(at, pa.int32())], names=["_hay", "_text", "at"])
-
-        one = h.mapInArrow(run, f"_hay {kind}, _text string, at int")
-        found = one if found is None else found.unionAll(one)
+    count, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.length("_text")), F.lit(0))).first()
+    if count > most or size > characters:
+        met = containment.located(texts.select(F.col("_text").alias("needle")), h.select(F.col("_hay").alias("hay"), F.col("_in").alias("text")))
+        found = met.select(F.col("hay").alias("_hay"), F.col("needle").alias("_text"), "at")
+    else:
+        found = _by_automaton(texts, h)
     return found.join(n, "_text").select(F.col("_needle").alias(needle_id), F.col("_hay").alias(hay_id), "at")
 
 
+def _by_automaton(texts: DataFrame, hays: DataFrame) -> DataFrame:
+    """(_hay, _text, at) for few texts."""
+    wanted = texts.sparkSession.sparkContext.broadcast(sorted(r[0] for r in texts.collect()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = wanted.value
+        finder = _finder(own) if own else None
+        for b in batches if own else ():
+            rows, which, at = [], [], []
+            for k, hay in enumerate(b.column(1)):
+                for no, place in _first_places(hay.as_py(), own, finder).items():
+                    rows.append(k)
+                    which.append(own[no])
+                    at.append(place)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(which, pa.string()), pa.array(at, pa.int32())], names=["_hay", "_text", "at"])
+
+    return hays.mapInArrow(run, f"_hay {hays.schema['_hay'].dataType.simpleString()}, _text string, at int")
+
+
 def window_context(rows: DataFrame, doc: str, pos: str, matched: Column, text: str, before: int = 1, after: int = 1) -> DataFrame:
     """doc, pos, context: the texts of a match and its neighbours, joined by a space. An equi-join on exploded places."""
-    m = rows.where(matched).select(F.col(doc), F.col(pos), F.explode(F.sequence(F.col(pos) - before, F.col(pos) + after)).alias("_near"))
-    n = rows.select(F.col(doc).alias("_d"), F.col(pos).alias("_p"), F.col(text).alias("_t"))
-    j = m.join(n, (F.col(doc) == F.col("_d")) & (F.col("_near") == F.col("_p")))
-    parts = F.array_sort(F.collect_list(F.struct("_p", "_t")))
-    return j.groupBy(doc, pos).agg(F.array_join(F.transform(parts, lambda x: x["_t"]), " ").alias("context"))
+    m = rows.where(matched).select(F.col(doc).alias("doc"), F.col(pos).alias("pos"), F.explode(F.sequence(F.col(pos) - before, F.col(pos) + after)).alias("near"))
+    n = rows.select(F.col(doc).alias("doc"), F.col(pos).alias("near"), F.col(text).alias("text"))
+    parts = F.array_sort(F.collect_list(F.struct("near", "text")))
+    j = m.join(n, ["doc", "near"]).groupBy("doc", "pos").agg(F.array_join(F.transform(parts, lambda x: x["text"]), " ").alias("context"))
+    return j.select(F.col("doc").alias(doc), F.col("pos").alias(pos), "context")
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -228,12 +258,14 @@ def underlined(words: DataFrame, rules: DataFrame, cell: float = 20.0) -> DataFr
 
     An interval join: both sides go to cells of the height and meet there, not pair by pair.
     """
+    at = ["doc_id", "page_no"]
     low, high = F.floor((F.col("top") - 3) / cell), F.floor((F.col("bottom") + 5) / cell)
-    w = words.withColumn("_cell", F.explode(F.sequence(low, high)))
-    r = rules.select("doc_id", "page_no", F.col("x0").alias("_x0"), F.col("x1").alias("_x1"), F.col("top").alias("_top"), F.floor(F.col("top") / cell).alias("_cell"))
-    under = (F.col("_x0") <= F.col("x1") + 1) & (F.col("_x1") >= F.col("x0") - 1) & F.col("_top").between(F.col("top") - 3, F.col("bottom") + 5)
-    hit = w.join(r, ["doc_id", "page_no", "_cell"]).where(under).select("doc_id", "page_no", "word_no").distinct().withColumn("_hit", F.lit(True))
-    return words.join(hit, ["doc_id", "page_no", "word_no"], "left").withColumn("underline", F.coalesce("_hit", F.lit(False))).drop("_hit")
+    w = words.select(*at, "word_no", F.struct("x0", "x1", "top", "bottom").alias("w"), F.explode(F.sequence(low, high)).alias("cell"))
+    r = rules.select(*at, F.struct("x0", "x1", "top").alias("r"), F.floor(F.col("top") / cell).alias("cell"))
+    under = (F.col("r.x0") <= F.col("w.x1") + 1) & (F.col("r.x1") >= F.col("w.x0") - 1) & F.col("r.top").between(F.col("w.top") - 3, F.col("w.bottom") + 5)
+    hit = free_name(words, "hit")
+    found = w.join(r, [*at, "cell"]).where(under).select(*at, "word_no").distinct().withColumn(hit, F.lit(True))
+    return words.join(found, [*at, "word_no"], "left").withColumn(free_name(words, "underline"), F.coalesce(hit, F.lit(False))).drop(hit)
 
 
 def thin_rules(shapes: DataFrame) -> DataFrame:
@@ -243,9 +275,10 @@ def thin_rules(shapes: DataFrame) -> DataFrame:
 
 def without_page_numbers(chars: DataFrame, words: DataFrame, pages: DataFrame) -> DataFrame:
     """Characters whose middle isn't inside a bare number of up to three digits in the top 7 % or bottom 8 % of its page."""
-    sized = words.join(pages.select("doc_id", "page_no", "height"), ["doc_id", "page_no"])
+    sized = words.select("doc_id", "page_no", "text", "x0", "x1", "top", "bottom").join(pages.select("doc_id", "page_no", "height"), ["doc_id", "page_no"])
     band = (F.col("bottom") > F.col("height") * 0.92) | (F.col("top") < F.col("height") * 0.07)
-    boxes = sized.where(F.col("text").rlike(r"(?U)^\d{1,3}$") & band).select("doc_id", "page_no", *[F.col(c).alias(f"_{c}") for c in ("x0", "x1", "top", "bottom")])
-    cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("top") + F.col("bottom")) / 2
-    on = (chars["doc_id"] == boxes["doc_id"]) & (chars["page_no"] == boxes["page_no"]) & cx.between(F.col("_x0"), F.col("_x1")) & cy.between(F.col("_top"), F.col("_bottom"))
-    return chars.join(boxes, on, "left_anti")
+    boxes = sized.where(F.col("text").rlike(r"(?U)^\d{1,3}$") & band).select("doc_id", "page_no", "x0", "x1", "top", "bottom")
+    c, b = chars.alias("c"), boxes.alias("b")
+    cx, cy = (F.col("c.x0") + F.col("c.x1")) / 2, (F.col("c.top") + F.col("c.bottom")) / 2
+    on = (F.col("c.doc_id") == F.col("b.doc_id")) & (F.col("c.page_no") == F.col("b.page_no")) & cx.between(F.col("b.x0"), F.col("b.x1")) & cy.between(F.col("b.top"), F.col("b.bottom"))
+    return c.join(b, on, "left_anti")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..functions import text as T
-from ..sources import files
+from ..names import free_name
+from ..sources import drawn, files, store
 from . import booklets, emphasis, matching, units
 
 _DOCUMENT = ["questionnaire_id", "source_url", "metadata", "sections", "answer_key_present", "answer_key_location", "answer_key_source", "import_provenance"]
@@ -31,10 +32,10 @@ def unreadable(kind: Column, pages: Column, error: Column, second_letters: Colum
 
 def with_failures(docs: DataFrame) -> DataFrame:
     """Documents whose validation errors, if any, lower the quality and go to the notes."""
-    errors, prov = units.document_errors(docs), F.col("import_provenance")
-    note = F.concat(F.lit("validation: "), F.array_join("_errors", "; "))
+    errors, prov, own = units.document_errors(docs), F.col("import_provenance"), free_name(docs, "errors")
+    note = F.concat(F.lit("validation: "), F.array_join(own, "; "))
     failed = prov.withField("extraction_quality", F.lit("manual_review_needed")).withField("extraction_notes", F.concat_ws("; ", prov["extraction_notes"], note))
-    return docs.withColumn("_errors", errors).withColumn("import_provenance", F.when(F.size("_errors") > 0, failed).otherwise(prov)).drop("_errors")
+    return docs.withColumn(own, errors).withColumn("import_provenance", F.when(F.size(own) > 0, failed).otherwise(prov)).drop(own)
 
 
 def parsed(texts: DataFrame, fetch_date: str, answers: DataFrame | None = None, urls: DataFrame | None = None) -> DataFrame:
@@ -56,6 +57,14 @@ def parsed(texts: DataFrame, fetch_date: str, answers: DataFrame | None = None,
     return j.withColumn("source_url", F.coalesce("_url", "source_url")).withColumn("import_provenance", F.col("import_provenance").withField("fetched_from", F.col("_url"))).select(*_DOCUMENT)
 
 
+def drawn_texts(objects: DataFrame) -> DataFrame:
+    """The rows of ``files.read_texts`` for documents that ``drawn.read_drawn`` read: page numbers off, lines in reading order."""
+    chars, words, pages = (drawn.part_of(objects, k) for k in ("char", "word", "page"))
+    told = emphasis.page_texts(chars, words, pages).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]).alias("pages"))
+    files_ = objects.groupBy("doc_id").agg(F.min("file_kind").alias("kind"), F.min(F.when(F.col("kind") == "error", F.col("text"))).alias("error"))
+    return files_.join(told, "doc_id", "left").select("doc_id", "kind", "pages", "error", F.lit(0).alias("second_letters"))
+
+
 def results(entries: DataFrame, docs: DataFrame, done: DataFrame | None = None, force: bool = False) -> DataFrame:
     """id, status, extraction_quality, question_count, suspicious_hebrew for each entry (``base``): what became of it.
 
@@ -74,26 +83,51 @@ def results(entries: DataFrame, docs: DataFrame, done: DataFrame | None = None,
     )
 
 
-def process(spark: SparkSession, path: str, to: str, fetch_date: str, entries: DataFrame | None = None, readers: dict[str, files.Reader] | None = None, second: dict[str, files.Reader] | None = None, force: bool = False) -> DataFrame:
-    """Read the files under ``path``, write the documents that aren't in ``to`` yet, and return ``results``.
+def process(spark: SparkSession, path: str, to: str, fetch_date: str, entries: DataFrame | None = None, readers: dict[str, files.Reader] | None = None, second: dict[str, files.Reader] | None = None, force: bool = False, parsers: dict[str, drawn.Parser] | None = None) -> DataFrame:
+    """Read the files under ``path``, put the documents that aren't in the store ``to`` yet into it, and return ``results``.
 
-    ``entries`` (base, url) says which files are wanted; without it all are. Documents are appended as one
-    Parquet table with their file names, so ``units.manifest`` and ``units.run_log`` can follow. A batch is
-    written beside it first, so a run that ends early is simply run again.
+    ``entries`` (base, url) says which files are wanted; without it all are. With ``force`` documents that are there
+    are made again and replace the old ones, so the store (``store.read``) has one row for each id. Files are read once, and a batch
+    is written beside the store before it goes in; the log is written last. A run that ends early is simply run again.
+
+    Kinds in ``parsers`` are read as they are drawn (``drawn.read_drawn``): their texts come without page numbers, and bold
+    and underlined words are marked in their documents.
     """
-    texts = files.read_texts(spark, path, readers, second)
+    batch, log = f"{to}-batch", f"{to}-log"
+    plain, marked = files.read_texts(spark, path, readers, second), None
+    if parsers:
+        drawn.read_drawn(spark, path, parsers).write.mode("overwrite").parquet(f"{batch}/objects")
+        objects = spark.read.parquet(f"{batch}/objects")
+        marked = emphasis.detected(drawn.part_of(objects, "char"), drawn.part_of(objects, "shape"))
+        plain = files.read_texts(spark, path, readers, second, without=tuple(parsers)).unionByName(drawn_texts(objects))
+    plain.write.mode("overwrite").parquet(f"{batch}/texts")
+    texts = spark.read.parquet(f"{batch}/texts")
     wanted = texts.select(F.col("doc_id").alias("base"), F.lit(None).cast("string").alias("url")).distinct() if entries is None else entries
-    done = spark.read.parquet(to).select(F.col("questionnaire_id").alias("base")) if files.exists(spark, to) else None
+    done = store.read(spark, to).select(F.col("questionnaire_id").alias("base")) if store.exists(spark, to) else None
     todo = wanted if done is None or force else wanted.join(done, "base", "left_anti")
     mine = texts.join(todo.select(F.col("base").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    docs = parsed(mine, fetch_date, urls=todo.select(F.col("base").alias("doc_id"), "url")).withColumn("json_path", F.concat("questionnaire_id", F.lit(".json")))
-    batch = f"{to}-batch"
-    docs.write.mode("overwrite").parquet(batch)
-    made = spark.read.parquet(batch)
-    out = results(wanted, made, done, force)
-    out.write.mode("overwrite").parquet(f"{to}-log")
-    made.write.mode("append").parquet(to)
-    return spark.read.parquet(f"{to}-log")
+    docs = parsed(mine, fetch_date, urls=todo.select(F.col("base").alias("doc_id"), "url"))
+    docs = (docs if marked is None else emphasis.emphasized(docs, marked)).withColumn("json_path", F.concat("questionnaire_id", F.lit(".json")))
+    docs.write.mode("overwrite").parquet(f"{batch}/docs")
+    made = spark.read.parquet(f"{batch}/docs")
+    results(wanted, made, done, force).write.mode("overwrite").parquet(f"{batch}/log")
+    store.upsert(made, to, "questionnaire_id")
+    spark.read.parquet(f"{batch}/log").write.mode("overwrite").parquet(log)
+    return spark.read.parquet(log)
+
+
+def reclassify(spark: SparkSession, to: str, key: str = "questionnaire_id") -> DataFrame:
+    """Give the documents of the store ``to`` what their ids tell and their quality anew; returns the ids changed.
+
+    Only documents that differ from what is there go back, so a second run changes nothing.
+    """
+    docs = store.read(spark, to)
+    was = free_name(docs, "was")
+    both = units.reclassified(docs.withColumn(was, F.struct("metadata", "import_provenance")))
+    changed = both.where(F.to_json(F.struct("metadata", "import_provenance")) != F.to_json(was)).drop(was)
+    version = store.upsert(changed, to, key)
+    told = lambda n, name: store.read(spark, to, n).select(key, F.to_json(F.struct("metadata", "import_provenance")).alias(name))
+    return told(version, "now").join(told(version - 1, "was"), key).where("now <> was").select(key)
 
 
 def answers_from(keys: DataFrame, candidates: DataFrame, counts: DataFrame) -> DataFrame:

@@ -8,50 +8,30 @@ from pyspark.sql import functions as F
 from ..functions import arrow as A
 from ..functions import constants as C
 from ..functions import text as T
+from ..names import free_name
+from ..session import scratch
+from .verse_index import VerseIndex, kept_index, places
 
-GRAM = 6
-#: Verses from the first on that an anchor may reach over.
-REACH = 12
 #: Steps between first and last verse of a match that is trusted.
 SPAN = 3
 
 
-def _streams(verses: DataFrame) -> DataFrame:
-    """idx, own, stream, ends: a verse's letters, those of it and the verses after it, and where each of these ends in them."""
-    skel = verses.select("idx", T.skeleton(A.nfkc(F.col("niqqud"))).alias("own"))
-    reach = skel.select("idx", "own", F.explode(F.sequence(F.col("idx"), F.col("idx") + REACH - 1)).alias("at"))
-    near = skel.select(F.col("idx").alias("at"), F.col("own").alias("next"))
-    j = reach.join(near, "at").groupBy("idx", "own").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "next"))), lambda x: x["next"]).alias("parts"))
-    return j.select("idx", "own", F.array_join("parts", "").alias("stream"), "parts")
-
-
-def located(quotes: DataFrame, verses: DataFrame, quote_id: str = "quote_id", quote: str = "quote") -> DataFrame:
+def located(quotes: DataFrame, verses: DataFrame, quote_id: str = "quote_id", quote: str = "quote", index: VerseIndex | None = None) -> DataFrame:
     """quote_id, first, last: the verses of the best anchor's first place in the corpus.
 
-    Anchors (``arrow.anchors``) are tried in their order. An inverted index of six-letter grams finds the places where
-    one may start; the rest of it is compared there. A best anchor over more than ``SPAN`` steps is not trusted, and
-    no other is tried in its place.
+    Anchors (``arrow.anchors``) are tried in their order; ``verse_index.places`` finds them. A best anchor over
+    more than ``SPAN`` steps is not trusted, and no other is tried in its place. Without an ``index`` one is made for this call.
     """
-    a = quotes.select(quote_id, F.posexplode(A.quote_anchors(F.col(quote))).alias("rank", "anchor")).withColumn("gram", F.substring("anchor", 1, GRAM))
-    s = _streams(verses)
-    starts = F.transform(F.sequence(F.lit(1), F.length("own")), lambda i: F.struct(i.alias("at"), F.substring(F.col("stream"), i, F.lit(GRAM)).alias("gram")))
-    index = s.where("own <> ''").select("idx", "stream", "parts", F.explode(starts).alias("g")).select("idx", "stream", "parts", "g.*")
-    hits = a.join(index, "gram").where(F.substring(F.col("stream"), F.col("at"), F.length("anchor")) == F.col("anchor"))
-    end = F.col("at") + F.length("anchor") - 1
-    steps = F.aggregate(
-        "parts",
-        F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n")),
-        lambda x, p: F.struct((x["sum"] + F.length(p)).cast("int").alias("sum"), F.when(x["sum"] + F.length(p) < end, x["n"] + 1).otherwise(x["n"]).cast("int").alias("n")),
-        lambda x: x["n"],
-    )
-    best = F.min_by(F.struct(F.col("idx").alias("first"), (F.col("idx") + steps).alias("last")), F.struct("rank", "idx", "at"))
-    out = hits.groupBy(quote_id).agg(best.alias("b")).select(quote_id, "b.*")
+    index = index or kept_index(verses, scratch(verses.sparkSession, "verse-index"))
+    a = quotes.select(F.col(quote_id).alias("id"), F.posexplode(A.quote_anchors(F.col(quote))).alias("rank", "anchor"))
+    best = F.min_by(F.struct("first", "last"), F.struct("rank", "at"))
+    out = places(a, index, ["id", "rank"]).groupBy("id").agg(best.alias("b")).select(F.col("id").alias(quote_id), "b.*")
     return out.where(F.col("last") - F.col("first") <= SPAN)
 
 
-def resolved(quotes: DataFrame, verses: DataFrame, quote_id: str = "quote_id", quote: str = "quote") -> DataFrame:
+def resolved(quotes: DataFrame, verses: DataFrame, quote_id: str = "quote_id", quote: str = "quote", index: VerseIndex | None = None) -> DataFrame:
     """quote_id, text, book, chapter, verse: the clean verses of a quotation with one more on either side in the same book."""
-    found = located(quotes, verses, quote_id, quote)
+    found = located(quotes, verses, quote_id, quote, index)
     head = verses.select(F.col("idx").alias("first"), "book", "chapter", "verse")
     wide = found.join(head, "first").withColumn("at", F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)))
     near = verses.select(F.col("idx").alias("at"), F.col("book").alias("_book"), "niqqud")
@@ -90,7 +70,7 @@ BETWEEN = "\x01"
 
 
 def with_alignment(rows: DataFrame, quote: str = "quote", source: str = "text", out: str = "aligned") -> DataFrame:
-    """``rows`` with ``out``: the words of the clean ``source`` that ``quote`` has, its gaps kept.
+    """``rows`` with a last column ``out`` (or a longer name that is free): the words of the clean ``source`` that ``quote`` has, its gaps kept.
 
     The source is an array of words with the number of letters up to each word's end. The parts of the
     quotation between ellipses become streams of letters, their places in the source's letters are found
@@ -99,9 +79,8 @@ def with_alignment(rows: DataFrame, quote: str = "quote", source: str = "text",
     short form of the Name in the quotation stays one.
     """
     words = lambda c: F.filter(F.split(T.trim(c), T.GAP), lambda w: w != "")
-    step = rows.withColumn("_words", words(F.col(source))).withColumn("_raw", F.split(F.col(quote), ELLIPSIS))
+    step = rows.select(F.struct("*").alias("_row"), words(F.col(source)).alias("_words"), F.split(F.col(quote), ELLIPSIS).alias("_raw"))
     step = step.withColumn("_letters", A.letter_lists(F.col("_words"))).withColumn("_plain", F.split(A.nfkc(F.array_join("_raw", BETWEEN)), BETWEEN))
-    ends = F.transform("_letters", lambda _, i: F.length(F.array_join(F.slice("_letters", F.lit(1), i + 1), "")))
 
     def part(raw: Column, plain: Column) -> Column:
         n = F.size(F.filter(words(raw), lambda w: w.rlike(f"[{C.LETTERS}]")))
@@ -109,7 +88,7 @@ def with_alignment(rows: DataFrame, quote: str = "quote", source: str = "text",
         return F.struct(T.quote_stream(plain).alias("needle"), n.alias("n"), named.alias("named"))
 
     parts = F.filter(F.zip_with("_raw", "_plain", part), lambda p: F.length(p["needle"]) >= LEAST_LETTERS)
-    step = step.withColumn("_ends", ends).withColumn("_parts", parts)
+    step = step.withColumn("_ends", A.letter_ends(F.col("_letters"))).withColumn("_parts", parts)
     step = step.withColumn("_places", A.quote_places(F.transform("_parts", lambda p: p["needle"]), F.array_join("_letters", "")))
 
     def word_at(letter: Column) -> Column:
@@ -123,11 +102,11 @@ def with_alignment(rows: DataFrame, quote: str = "quote", source: str = "text",
         return F.array_join(F.zip_with(span(F.col("_words")), span(F.col("_letters")), lambda w, x: F.when(f["named"] & (x == C.NAME_FULL), C.NAME_SHORT[0]).otherwise(w)), " ")
 
     text = F.array_join(F.transform(F.filter(found, lambda f: f["there"]), told), " … ")
-    return step.withColumn(out, F.when(F.coalesce(fits, F.lit(False)), text)).drop("_words", "_raw", "_parts", "_letters", "_plain", "_ends", "_places")
+    return step.select("_row.*", F.when(F.coalesce(fits, F.lit(False)), text).alias(free_name(rows, out)))
 
 
 def cleaned_inline(rows: DataFrame, verses: DataFrame, id_col: str = "id", text: str = "text", refs: str | None = None) -> DataFrame:
-    """``rows`` with ``cleaned``: the vocalised quotation inside the text replaced by the corpus's words for it, and ``is_cleaned``.
+    """``rows`` with two last columns, ``cleaned`` and ``is_cleaned`` or longer names that are free: the vocalised quotation inside the text replaced by the corpus's words for it.
 
     First the corpus is searched for the quotation itself; what that leaves open is aligned to the verses of the
     references in ``refs``, then to a window around these. Each step sees only rows that the step before left open.
@@ -146,5 +125,7 @@ def cleaned_inline(rows: DataFrame, verses: DataFrame, id_col: str = "id", text:
             r = r.withColumn("r", T.widened(F.col("r"))) if widen else r
             texts = verse_texts(r.select("id", "pos", "r.*"), verses).where("text is not null").select(F.col("id").alias("quote_id"), "text")
             done = done.unionAll(aligned_to(left, texts))
-    j = rows.join(q.join(done, "quote_id").select(F.col("quote_id").alias(id_col), "quote", "aligned"), id_col, "left")
-    return j.withColumn("cleaned", A.spliced(F.col(text), F.col("quote"), F.col("aligned"))).withColumn("is_cleaned", F.col("aligned").isNotNull()).drop("quote", "aligned")
+    said, new = free_name(rows, "quote"), free_name(rows, "aligned")
+    j = rows.join(q.join(done, "quote_id").select(F.col("quote_id").alias(id_col), F.col("quote").alias(said), F.col("aligned").alias(new)), id_col, "left")
+    cleaned = A.spliced(F.col(text), F.col(said), F.col(new))
+    return j.withColumn(free_name(rows, "cleaned"), cleaned).withColumn(free_name(rows, "is_cleaned"), F.col(new).isNotNull()).drop(said, new)

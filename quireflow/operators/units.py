@@ -12,6 +12,7 @@ from json import loads
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from ..functions import constants as C
 from ..functions import text as T
@@ -243,10 +244,41 @@ def sanitized(docs: DataFrame) -> DataFrame:
     return docs.withColumn("sections", sections)
 
 
+_FOUND = "array<struct<path:string,snippet:string>>"
+
+
+def _suspects(c: Column, kind: DataType, path: Column) -> Column | None:
+    """The texts in ``c`` that ``audit`` looks for, as an array of (path, snippet); null where the type has no text at all."""
+    none = F.array().cast(_FOUND)
+    if isinstance(kind, StringType):
+        return F.when(T.detached_or_lost(c), F.array(F.struct(path.alias("path"), F.substring(c, 1, 60).alias("snippet")))).otherwise(none)
+    if isinstance(kind, StructType):
+        parts = [_suspects(c.getField(f.name), f.dataType, F.concat(path, F.lit(f".{f.name}"))) for f in kind.fields]
+        parts = [p for p in parts if p is not None]
+        return F.concat(*parts) if parts else None
+    if isinstance(kind, ArrayType):
+        if _suspects(c, kind.elementType, path) is None:
+            return None
+        each = F.transform(c, lambda x, i: _suspects(x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        return F.coalesce(F.flatten(each), none)
+    if isinstance(kind, MapType):
+        if _suspects(c, kind.valueType, path) is None:
+            return None
+        each = F.transform(F.map_entries(c), lambda e: _suspects(e["value"], kind.valueType, F.concat(path, F.lit("."), e["key"].cast("string"))))
+        return F.coalesce(F.flatten(each), none)
+    return None
+
+
 def audit(docs: DataFrame, doc: Column, id_col: str) -> DataFrame:
-    """id, path, snippet (60 characters) of every text anywhere in ``doc`` with a detached mark or a lost character."""
-    walked = walk(docs.select(F.col(id_col), F.to_json(doc).alias("json")), id_col)
-    return walked.where(T.detached_or_lost(F.col("value"))).select(id_col, "path", F.substring("value", 1, 60).alias("snippet"))
+    """id, path, snippet (60 characters) of every text anywhere in ``doc`` with a detached mark or a lost character.
+
+    The type of ``doc`` says where texts are, so this is one expression in the JVM; arrays and maps may be of any length.
+    A JSON text without a type is walked by ``walk``.
+    """
+    typed = docs.select(F.col(id_col).alias("id"), doc.alias("doc"))
+    found = _suspects(F.col("doc"), typed.schema["doc"].dataType, F.lit(""))
+    each = typed.select("id", F.explode(F.array().cast(_FOUND) if found is None else found).alias("f"))
+    return each.select(F.col("id").alias(id_col), "f.path", "f.snippet")
 
 
 def _scalars(json: str | None) -> Iterator[tuple[str, str | None]]:

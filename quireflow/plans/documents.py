@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import booklets, emphasis, matching, processing, units
-from ..session import shared_dir
-from .base import UNITS_SQL, hebrew, query, quizzes, t
+from ..session import scratch
+from ..sources import store
+from .base import ORACLES, UNITS_SQL, hebrew, query, quizzes, t
 
 _MARK, _LOST = "[\\x{0591}-\\x{05C7}]", "\\x{FFFD}"
 _TEXTS = "list_filter(list_concat([prompt, narrative], list_transform(opts, lambda x: x.text), [answer]), lambda x: x is not null)"
@@ -107,6 +106,16 @@ def reclassified(spark, d):
     return out.select("o", "metadata.track", "metadata.stage", F.col("metadata.contest_year_civil").alias("year_civil"), "import_provenance.extraction_quality", F.col("metadata.contest_year_hebrew").isNotNull().alias("named"))
 
 
+@query(ORACLES["reclassified"])
+def reclassified_stored(spark, d):
+    """The same over a keyed store, in place: documents that change replace the old ones."""
+    to = scratch(spark, "documents")
+    store.upsert(quizzes(spark, d), to, "o", buckets=8)
+    processing.reclassify(spark, to, key="o")
+    out = store.read(spark, to)
+    return out.select("o", "metadata.track", "metadata.stage", F.col("metadata.contest_year_civil").alias("year_civil"), "import_provenance.extraction_quality", F.col("metadata.contest_year_hebrew").isNotNull().alias("named"))
+
+
 @query(f"""{UNITS_SQL} select track, {_QUALITY} extraction_quality, count(*) n, cast(sum(coalesce(n, 0)) as bigint) questions from d left join {_KEYED} on d.o = g.o group by all""")
 def quality_rollup(spark, d):
     all_ = units.units_of(F.col("sections"))
@@ -306,7 +315,7 @@ def processed(spark, d):
     kind = F.when(k == 3, "doc").otherwise("pdf")
     rows = p.select(F.col("p_partkey").cast("string").alias("doc_id"), kind.alias("kind"), texts.alias("pages"), F.when(k == 4, "boom").alias("error"), F.lit(0).alias("second_letters"), k.alias("k"))
     entries, done = rows.select(F.col("doc_id").alias("base")), rows.where("k = 7").select(F.col("doc_id").alias("base"))
-    to = f"{shared_dir(spark)}/parsed-{uuid.uuid4().hex}"
+    to = scratch(spark, "parsed")
     processing.parsed(rows.where("k < 6").drop("k"), "2026-01-01").write.parquet(to)
     docs = spark.read.parquet(to)
     out = processing.results(entries, docs, done)
@@ -315,22 +324,22 @@ def processed(spark, d):
     return j.withColumn("question_count", F.col("question_count").cast("long"))
 
 
-@query(f"""{UNITS_SQL}, g as (select id, unit_id, last(prompt order by pos) p, last(correct order by pos) c, count(*) n from u join d on u.o = d.o where id is not null and unit_id <> '' group by all),
-x as (select id || '/' || unit_id k, p, c from g), y as (select id || '/' || unit_id k, case when n > 1 then p || '!' else '<u>' || p || '</u> ' end p, case when c = 'ב' then null else c end c from g where unit_id <> 'q03'),
+@query(f"""{UNITS_SQL}, g as (select id, unit_id, last(prompt order by pos) p, last(correct order by pos) c, coalesce(last(n_sources order by pos), 0) s, count(*) n from u join d on u.o = d.o where id is not null and unit_id <> '' group by all),
+x as (select id || '/' || unit_id k, p, c, s from g), y as (select id || '/' || unit_id k, case when unit_id = 'q02' then 0 else s end s, case when n > 1 then p || '!' else '<u>' || p || '</u> ' end p, case when c = 'ב' then null else c end c from g where unit_id <> 'q03'),
 f as (select coalesce(x.k, y.k) k, case when y.k is null then 'missing' when x.k is null then 'extra' end issue, x.k is not null and y.k is not null and trim(regexp_replace(coalesce(x.p, ''), '</?[a-z]>', '', 'g')) <> trim(regexp_replace(coalesce(y.p, ''), '</?[a-z]>', '', 'g')) prompt_differs,
-x.k is not null and y.k is not null and x.c is distinct from y.c correct_differs from x full join y on x.k = y.k)
-select (select count(*) from x join y using (k)) questions_compared, count(*) questions_with_diffs, count(*) filter (where issue = 'missing') missing, count(*) filter (where prompt_differs) prompts, count(*) filter (where correct_differs) corrects
-from f where issue is not null or prompt_differs or correct_differs""")
+x.k is not null and y.k is not null and x.c is distinct from y.c correct_differs, x.k is not null and y.k is not null and x.s <> y.s sources_differs from x full join y on x.k = y.k)
+select (select count(*) from x join y using (k)) questions_compared, count(*) questions_with_diffs, count(*) filter (where issue = 'missing') missing, count(*) filter (where prompt_differs) prompts, count(*) filter (where correct_differs) corrects, count(*) filter (where sources_differs) sources
+from f where issue is not null or prompt_differs or correct_differs or sources_differs""")
 def evaluated(spark, d):
-    """Documents against a changed copy: units that go, prompts that change or only get tags, answers that go."""
+    """Documents against a changed copy: units that go, prompts that change or only get tags, answers and sources that go; the order of sources doesn't count."""
     rows = units.exploded_units(quizzes(spark, d)).where("doc_id is not null and unit.unit_id <> ''")
     key = F.concat("doc_id", F.lit("/"), F.col("unit.unit_id"))
-    mine = rows.select(key.alias("k"), "pos", F.col("unit.prompt").alias("prompt"), F.col("unit.correct_option").alias("correct"))
-    last = mine.groupBy("k").agg(F.max_by(F.struct("prompt", "correct"), "pos").alias("x"), F.count("*").alias("n"))
+    mine = rows.select(key.alias("k"), "pos", F.col("unit.prompt").alias("prompt"), F.col("unit.correct_option").alias("correct"), F.col("unit.primary_sources").alias("primary_sources"))
+    last = mine.groupBy("k").agg(F.max_by(F.struct("prompt", "correct", "primary_sources"), "pos").alias("x"), F.count("*").alias("n"))
     p = F.when(F.col("n") > 1, F.concat("x.prompt", F.lit("!"))).otherwise(F.concat(F.lit("<u>"), "x.prompt", F.lit("</u> ")))
-    copy = last.where("k not like '%/q03'").select("k", F.lit(0).alias("pos"), p.alias("prompt"), F.when(F.col("x.correct") != "ב", F.col("x.correct")).alias("correct"))
-    fields = {"prompt": T.comparable(F.col("prompt")), "correct": F.col("correct")}
+    copy = last.where("k not like '%/q03'").select("k", F.lit(0).alias("pos"), p.alias("prompt"), F.when(F.col("x.correct") != "ב", F.col("x.correct")).alias("correct"), F.when(~F.col("k").like("%/q02"), F.reverse("x.primary_sources")).alias("primary_sources"))
+    fields = {"prompt": T.comparable(F.col("prompt")), "correct": F.col("correct"), "sources": matching.sources_of({"primary_sources": F.col("primary_sources")})}
     both = matching.compared(mine, copy, "k", fields, order="pos")
     found = matching.diff(mine, copy, "k", fields, order="pos")
-    counts = found.agg(F.count_if(F.col("issue") == "missing").alias("missing"), F.count_if("prompt_differs").alias("prompts"), F.count_if("correct_differs").alias("corrects"))
+    counts = found.agg(F.count_if(F.col("issue") == "missing").alias("missing"), F.count_if("prompt_differs").alias("prompts"), F.count_if("correct_differs").alias("corrects"), F.count_if("sources_differs").alias("sources"))
     return both.crossJoin(counts)  # one row each

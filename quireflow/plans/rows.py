@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import re
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import arrow as A
 from ..functions import constants as C
 from ..functions import text as T
-from ..operators import folds, matching, processing, quotes, segments, units
-from ..session import shared_dir
-from ..sources import files
+from ..operators import emphasis, folds, matching, processing, quotes, segments, units
+from ..operators.verse_index import kept_index, opened_index
+from ..session import scratch
+from ..sources import drawn, files, store
 from ..streaming.incremental import process_new
-from .base import hebrew, query, t
+from .base import ORACLES, hebrew, query, t
 
 _ONES, _TENS = list("אבגדהוזחט"), list("יכלמנסעפצ")
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz"
@@ -95,6 +96,13 @@ def quote_locate(spark, d):
     return matching.contained(t(spark, d, "benchmark"), t(spark, d, "documents"), "item_id", "doc_id").select("item_id", "doc_id", F.col("at").cast("long").alias("at"))
 
 
+@query(ORACLES["quote_locate"])
+def quote_locate_indexed(spark, d):
+    """The same by the index of rare grams, which many or long needles take."""
+    out = matching.contained(t(spark, d, "benchmark"), t(spark, d, "documents"), "item_id", "doc_id", most=0)
+    return out.select("item_id", "doc_id", F.col("at").cast("long").alias("at"))
+
+
 @query("""select m.conv_id, m.turn, md5(string_agg(n.text, ' ' order by n.turn)) context from conversations m join conversations n on n.conv_id = m.conv_id and n.turn between m.turn - 1 and m.turn + 1
 where m.role = 'assistant' group by all""")
 def window_context(spark, d):
@@ -126,7 +134,18 @@ select n_nationkey left_id, r_regionkey right_id, cast(score as int) score, cast
 def lcs_pairing(spark, d):
     n = t(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.lower("n_name").alias("core"), F.lit(0).alias("block"), F.lit(None).cast("int").alias("year"), F.col("n_nationkey").alias("pos"))
     r = t(spark, d, "region").select(F.col("r_regionkey").alias("id"), F.lower("r_name").alias("core"), F.lit(0).alias("block"), F.lit(None).cast("int").alias("year"), F.col("r_regionkey").alias("pos"))
-    return matching.paired(n, r, least=1, share=0.0, gram=1)
+    return matching.paired(n, r, least=1, share=0.0, gram=1).drop("n_candidates")
+
+
+@query("""with c as (select p_partkey id, p_brand block, replace(p_name, ' ', '') core from part), l as (select *, length(core) m from c),
+s as (select distinct id, block, n, substr(core, i, n) x from l, lateral (select unnest(range(4, m + 1)) n), lateral (select unnest(range(1, m - n + 2)) i)),
+p as (select a.id left_id, b.id right_id, max(a.n) score from s a join s b on a.block = b.block and a.n = b.n and a.x = b.x group by all),
+g as (select p.* from p join l a on a.id = left_id join l b on b.id = right_id where score >= 0.4::double * least(a.m, b.m))
+select left_id, right_id, cast(score as int) score, cast(row_number() over (partition by left_id order by score desc, right_id) as int) place from g qualify place <= 3""")
+def names_paired(spark, d):
+    """Every part with the three of its brand whose names have the longest common substring with its own."""
+    n = t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.regexp_replace("p_name", " ", "").alias("core"), F.col("p_brand").alias("block"), F.lit(None).cast("int").alias("year"), F.col("p_partkey").alias("pos"))
+    return matching.paired(n, n, most=3).drop("n_candidates")
 
 
 @query("""select o_orderkey, coalesce(n, 0) n, cast(floor(o_totalprice / 50000) as int) + 1 expected,
@@ -360,7 +379,7 @@ def question_fold(spark, d):
 select idx, book, chapter, verse, h niqqud from v""")
 def verse_corpus(spark, d):
     """A corpus written as JSON lines, with empty lines and both names of the text, read back and numbered, and kept as Parquet."""
-    to = f"{shared_dir(spark)}/verses-{uuid.uuid4().hex}"
+    to = scratch(spark, "verses")
     h, k = F.expr(hebrew("p_name")), F.col("p_partkey")
     fields = F.to_json(F.struct(F.col("p_brand").alias("book"), F.col("p_size").alias("chapter"), (k % 100).cast("int").alias("verse"), F.when(k % 3 == 0, F.concat(h, F.lit("׃"))).otherwise("").alias("niqqud"), F.when(k % 3 != 0, F.concat(h, F.lit("׃"))).alias("text_with_niqqud")))
     lines = t(spark, d, "part").select(k, F.when(k % 10 == 9, " ").otherwise(fields).alias("value"))
@@ -370,7 +389,7 @@ def verse_corpus(spark, d):
 
 @query(f"""select p_brand book, p_size chapter, cast(p_partkey % 100 as int) verse, {hebrew('p_name')} niqqud from part where p_partkey % 3 <> 0""")
 def trimmed_verses(spark, d):
-    to = f"{shared_dir(spark)}/trim-{uuid.uuid4().hex}"
+    to = scratch(spark, "trim")
     h, k = F.expr(hebrew("p_name")), F.col("p_partkey")
     rows = t(spark, d, "part").select(F.col("p_brand").alias("book"), F.col("p_size").alias("chapter"), (k % 100).cast("int").alias("verse"), F.lit("x").alias("ref"), F.when(k % 3 == 0, "׃").otherwise(F.concat(h, F.lit("׃"))).alias("text_with_niqqud"))
     rows.write.json(f"{to}/in")
@@ -391,7 +410,10 @@ def quotes_resolved(spark, d):
     """Every passage looked up by its letters among all, with one more on either side of the same book."""
     v = t(spark, d, "benchmark").selectExpr(*[f"{e} as {n}" for n, e in _VERSE_COLUMNS])
     q = v.select(F.col("idx").alias("quote_id"), F.regexp_replace("niqqud", r"\s+", " ").alias("quote"))
-    found = quotes.located(q, v).join(quotes.resolved(q, v), "quote_id")
+    to = scratch(spark, "verses")
+    kept_index(v, f"{to}/index")
+    index = opened_index(spark, f"{to}/index")  # as any later session would
+    found = quotes.located(q, v, index=index).join(quotes.resolved(q, v, index=index), "quote_id")
     return found.select("quote_id", "first", "last", "book", "verse", F.md5("text").alias("text"))
 
 
@@ -428,7 +450,7 @@ def quotes_cleaned(spark, d):
 @query("""select event_id, cast(ts as timestamp) ts, event_type from events""")
 def incremental_stream(spark, d):
     """New files of the events table, those not written yet, by a stream that ends when it has all; a second run adds nothing."""
-    to = f"{shared_dir(spark)}/incremental-{uuid.uuid4().hex}"
+    to = scratch(spark, "incremental")
     schema = t(spark, d, "events").schema
     step = lambda rows: rows.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
     folder, _, pattern = f"{d}/events.parquet".rpartition("/")
@@ -437,16 +459,50 @@ def incremental_stream(spark, d):
     return spark.read.parquet(f"{to}/out").drop("batch")
 
 
+@query("""with w as (select (epoch_ms(max(ts)) - 2 * 86400000) * 1000 mark from events where event_id % 2 = 0)
+select event_id, case when event_id % 2 = 0 then event_type else 'again' end event_type from events, w where event_id % 2 = 0 or epoch_us(ts) > mark""")
+def keyed_stream(spark, d):
+    """Two runs over growing files: the second sees every event, and takes those whose key is new and that aren't over two days late."""
+    to, e = scratch(spark, "keyed"), t(spark, d, "events")
+    for rows in (e.where("event_id % 2 = 0"), e.withColumn("event_type", F.lit("again"))):
+        rows.write.mode("append").parquet(f"{to}/in")
+        process_new(spark, f"{to}/in", e.schema, f"{to}/out", f"{to}/checkpoint", "event_id", lambda x: x.select("event_id", "event_type"), event_time="ts", delay="2 days")
+    return spark.read.parquet(f"{to}/out").drop("batch")
+
+
 @query("""select o_orderkey, o_orderstatus, o_orderkey % 2 = 0 flag from orders""")
 def documents_written(spark, d):
     """Nested documents written as JSON and read with their schema."""
-    to = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    to = scratch(spark, "json")
     rows = t(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("questionnaire_id"), F.struct(F.col("o_orderstatus").alias("track")).alias("metadata"), (F.col("o_orderkey") % 2 == 0).alias("answer_key_present"))
     files.write_documents(rows, to)
     back = files.read_documents(spark, to, lines=True)
     return back.select(F.col("questionnaire_id").cast("long").alias("o_orderkey"), F.col("metadata.track").alias("o_orderstatus"), F.col("answer_key_present").alias("flag"))
 
 
+@query("""select lower(s_name) || chr(10) || 'x' || cast(s_nationkey as varchar) "text", 'x' || cast(s_nationkey as varchar) "line", s_nationkey % 2 = 0 bold, count(*) n from supplier group by all""")
+def drawn_files(spark, d):
+    """A file for each supplier, drawn by a parser character by character with a page number below; lines and emphasis read back."""
+    to = scratch(spark, "drawn")
+    rows = t(spark, d, "supplier").select(F.concat_ws("\n", F.lower("s_name"), F.concat(F.lit("x"), F.col("s_nationkey").cast("string"))).alias("value"), F.col("s_suppkey").alias("k"))
+    rows.repartition("k").write.partitionBy("k").text(f"{to}/in")
+
+    def parser(data: bytes) -> list[drawn.Page]:
+        """Lines of a text file, drawn from right to left, the last one bold where its number is even, else underlined; and a page number."""
+        lines = data.decode().strip().split("\n")
+        even = int(lines[-1][1:]) % 2 == 0
+        chars = [(c, 10.0 * i, 10.0 * i + 9, 20.0 * n + 100, 20.0 * n + 110, "Some-Bold" if even and n else "Some") for n, x in enumerate(lines) for i, c in enumerate(re.sub("[0-9]+", lambda m: m[0][::-1], x[::-1]))]
+        number = ("7", 50.0, 55.0, 980.0, 990.0)
+        return [drawn.Page(1000.0, [*chars, (*number, "Some")], [number], [(0.0, 200.0, 132.0, 133.0)] if not even else [])]
+
+    drawn.read_drawn(spark, f"{to}/in", {"txt": parser}, doc="regexp_extract(path, 'k=([0-9]+)', 1)").write.parquet(f"{to}/objects")
+    named = spark.read.parquet(f"{to}/objects")
+    texts = processing.drawn_texts(named).select("doc_id", F.element_at("pages", 1).alias("text"))
+    marked = emphasis.detected(drawn.part_of(named, "char"), drawn.part_of(named, "shape"))
+    both = texts.join(marked, "doc_id").select("text", "line", F.element_at("spans", 1)["bold"].alias("bold"))
+    return both.groupBy("text", "line", "bold").agg(F.count("*").alias("n"))
+
+
 @query()
 def repaired_text(spark, d):
     return t(spark, d, "documents").select("doc_id", F.md5(A.repaired(F.expr(hebrew("text")))).alias("repaired"), F.md5(A.nfkc(F.col("text"))).alias("nfkc"))
@@ -455,3 +511,18 @@ def repaired_text(spark, d):
 @query()
 def quote_anchors(spark, d):
     return t(spark, d, "benchmark").select("item_id", F.md5(F.array_join(A.quote_anchors(F.expr(hebrew("text"))), ",")).alias("anchors"))
+
+
+@query("""select o_orderkey, case when o_orderkey % 2 = 0 then lower(o_orderstatus) else o_orderstatus end status, o_totalprice, o_orderkey % 3 <> 0 and o_orderkey % 2 = 0 replaced
+from orders where o_orderkey % 3 <> 0 or o_orderkey % 2 = 0""")
+def stored_versions(spark, d):
+    """A keyed store: a first batch, then one that replaces some of its rows and adds others; an old version stays readable."""
+    to = scratch(spark, "store")
+    rows = t(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
+    first = store.upsert(rows.where("o_orderkey % 3 <> 0"), to, "o_orderkey", buckets=8)
+    twice = rows.where("o_orderkey % 2 = 0").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    last = twice.withColumn("status", F.when(F.col("n") == 2, F.lower("status")).otherwise("x"))  # of rows with one key the last holds
+    store.upsert(last, to, "o_orderkey", order="n")
+    was = store.read(spark, to, first).select(F.col("o_orderkey"), F.lit(True).alias("was"))
+    now = store.read(spark, to)
+    return now.join(was, "o_orderkey", "left").select("o_orderkey", "status", "o_totalprice", (F.col("was").isNotNull() & F.col("n").isNotNull()).alias("replaced"))

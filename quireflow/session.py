@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     path = "file://" + tempfile.mkdtemp(prefix="quireflow-shared-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder; it goes when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(place)
+    fs.deleteOnExit(place)  # only what is there can be marked
+    return path

@@ -15,6 +15,7 @@ from .. import schema
 from ..functions import arrow as A
 from ..functions import constants as C
 from ..functions import text as T
+from ..names import free_name
 
 
 def extension(path: Column) -> Column:
@@ -54,14 +55,14 @@ READERS: dict[str, Reader] = {"docx": docx_text, "doc": doc_text, "pdf": pdf_tex
 DRAWN = ("pdf",)
 
 
-def read_texts(spark: SparkSession, path: str, readers: dict[str, Reader] | None = None, second: dict[str, Reader] | None = None, drawn: tuple[str, ...] = DRAWN) -> DataFrame:
-    """doc_id, kind, pages, error, second_letters: a row for each file under ``path`` of a known kind.
+def read_texts(spark: SparkSession, path: str, readers: dict[str, Reader] | None = None, second: dict[str, Reader] | None = None, drawn: tuple[str, ...] = DRAWN, without: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, kind, pages, error, second_letters: a row for each file under ``path`` of a known kind that isn't in ``without``.
 
     ``readers`` replaces or adds what turns a file's bytes into page texts; lines of kinds in ``drawn`` are put
     in reading order. Where a page text has too few letters to be read (``text.readable``), the reader in
     ``second`` is asked as well, only for the number of letters it finds. A reader that fails gives no page and its message in ``error``.
     """
-    known, other = READERS | (readers or {}), second or {}
+    known, other = {k: r for k, r in (READERS | (readers or {})).items() if k not in without}, second or {}
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     files = files.select("path", "content", F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("kind")).where(F.col("kind").isin(*known))
 
@@ -193,6 +194,7 @@ def entries_for(ids: DataFrame, found: DataFrame, base_url: str = "") -> DataFra
 
 
 def planned(entries: DataFrame, done: DataFrame, key: str = "base") -> DataFrame:
-    """``entries`` with ``exists``: whether a result was written already. What a dry run shows; nothing is processed."""
-    seen = done.select(F.col(key)).distinct().withColumn("_seen", F.lit(True))
-    return entries.join(seen, key, "left").withColumn("exists", F.coalesce("_seen", F.lit(False))).drop("_seen")
+    """``entries`` with a last column, ``exists`` or a longer name that is free: whether a result was written already. What a dry run shows; nothing is processed."""
+    own = free_name(entries, "seen")
+    seen = done.select(F.col(key)).distinct().withColumn(own, F.lit(True))
+    return entries.join(seen, key, "left").withColumn(free_name(entries, "exists"), F.coalesce(own, F.lit(False))).drop(own)

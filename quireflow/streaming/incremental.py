@@ -1,4 +1,4 @@
-"""Incremental processing: files that came since the last run, and keys that aren't written yet."""
+"""Incremental processing: files that came since the last run, and keys that no run has had."""
 
 from __future__ import annotations
 
@@ -8,8 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.matching import not_yet_done
-from ..sources.files import exists
+from ..names import free_name
+
+
+def new_keys(stream: DataFrame, key: str, event_time: str | None = None, delay: str | None = None) -> DataFrame:
+    """The rows of a stream whose ``key`` hasn't come before, told by keyed state; null is no key, so such rows all stay.
+
+    With ``event_time`` and ``delay`` a key is remembered until the watermark is ``delay`` beyond its row, so
+    the state is bounded; a row at or under the watermark is late and left out, as its key may be forgotten. Without them
+    every key is remembered (the keys alone, spread over the state's partitions). Of rows with one key in a batch one is taken.
+    """
+    named, unnamed = stream.where(F.col(key).isNotNull()), stream.where(F.col(key).isNull())
+    if event_time is None:
+        return named.dropDuplicates([key]).unionByName(unnamed)
+    at = free_name(stream, "at")
+    marked = named.withColumn(at, F.col(event_time).cast("timestamp")).withWatermark(at, delay)
+    return marked.dropDuplicatesWithinWatermark([key]).drop(at).unionByName(unnamed)
 
 
 def process_new(
@@ -22,22 +36,20 @@ def process_new(
     step: Callable[[DataFrame], DataFrame],
     pattern: str = "*.parquet",
     force: bool = False,
+    event_time: str | None = None,
+    delay: str | None = None,
 ) -> None:
     """Run ``step`` over what is new under ``source`` and add its rows to ``to``, then stop.
 
-    The checkpoint remembers files; beyond that, rows whose key an earlier batch wrote are left out (with
-    ``force`` they are written again). Of rows with one key in a batch one is taken. A row with a null key
-    can't be known again by its key, only by its file. Each batch has its own folder ``batch=N`` under ``to`` and replaces
-    it, so a batch that is run again after a failure leaves its rows once; keys are compared with the batches before it.
+    The checkpoint remembers files, and in its state keys (``new_keys``); the output is never read, so a batch costs what is new in it.
+    With ``force`` keys don't count and all rows of new files are taken. Each batch has its own folder ``batch=N`` under
+    ``to`` and replaces it, so a batch that is run again after a failure leaves its rows once.
     """
     stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(source)
+    rows = stream if force else new_keys(stream, key, event_time, delay)
 
     def write(batch: DataFrame, number: int) -> None:
-        named, unnamed = batch.where(F.col(key).isNotNull()), batch.where(F.col(key).isNull())
-        before = [f"{to}/batch={i}" for i in range(number) if exists(spark, f"{to}/batch={i}")]
-        if before and not force:
-            named = not_yet_done(named, spark.read.parquet(*before).select(key), key)
-        step(named.dropDuplicates([key]).unionByName(unnamed)).write.mode("overwrite").parquet(f"{to}/batch={number}")
+        step(batch).write.mode("overwrite").parquet(f"{to}/batch={number}")
 
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from quireflow import schema
 from quireflow.operators import booklets, emphasis, folds, matching, processing, quotes, segments, units
-from quireflow.sources import files
+from quireflow.sources import files, store
 
 
 def lines_df(spark, text, doc="d"):
@@ -321,14 +321,21 @@ def test_process_files(spark, tmp_path):
     first = {r["id"]: r for r in processing.process(spark, str(tmp_path / "in"), to, "2026-01-01", readers={"pdf": pdf}, second={"pdf": lambda c: ["ab"]}).collect()}
     assert {k: r["status"] for k, r in first.items()} == dict.fromkeys(["mehozi_mm2024", "old", "scan", "broken"], "success")
     assert {k: r["extraction_quality"] for k, r in first.items()} == {"mehozi_mm2024": "manual_review_needed", "old": "unreadable", "scan": "unreadable", "broken": "unreadable"}
-    docs = spark.read.parquet(to)
+    docs = store.read(spark, to)
     notes = {r["questionnaire_id"]: r["n"] for r in docs.select("questionnaire_id", F.col("import_provenance.extraction_notes").alias("n")).collect()}
     assert notes["broken"] == "extraction error: no pdf" and notes["scan"] == "image-based PDF -- text layer empty"
     assert notes["mehozi_mm2024"] == "no question units parsed; validation: no question units"
     (tmp_path / "in" / "new.doc").write_bytes(b"z")
     again = {r["id"]: r["status"] for r in processing.process(spark, str(tmp_path / "in"), to, "2026-01-01", readers={"pdf": pdf}).collect()}
     assert again == dict.fromkeys(["mehozi_mm2024", "old", "scan", "broken"], "skipped_existing") | {"new": "success"}
-    assert spark.read.parquet(to).count() == 5
+    assert store.read(spark, to).count() == 5
+    # by force all are made again, and replace what is there
+    forced = processing.process(spark, str(tmp_path / "in"), to, "2026-02-02", readers={"pdf": pdf}, force=True)
+    assert {r["status"] for r in forced.collect()} == {"success"}
+    made = store.read(spark, to)
+    assert made.count() == made.select("questionnaire_id").distinct().count() == 5
+    assert {r[0] for r in made.select("import_provenance.fetch_date").collect()} == {"2026-02-02"}
+    assert processing.reclassify(spark, to).count() == processing.reclassify(spark, to).count() == 0
     log = units.run_log(processing.results(spark.createDataFrame([("x",)], "base string"), docs)).first()
     assert (log["total_files"], log["failed"]) == (1, 1)
 
