@@ -8,14 +8,14 @@ documents in key order while the running sum of sizes stays within the rest; the
 taken if that brings the sum nearer.
 
 Each document is measured once and what the rest needs is stored. The running sum doesn't need a source in
-one task: keys map to ranges by the exponential distribution function, about ``RANGE_ROWS`` rows each
-whatever the size of the table; sizes are summed by (source, range), and only these sums are
+one task: rows are dealt by ranges of (source, key, id, row) whose bounds Spark samples from the keys themselves, so
+ranges have about ``RANGE_ROWS`` rows each whatever the weights are; sizes are summed by (source, range), and only these sums are
 accumulated in order; within a range a window orders the documents. The sources' targets are found by
 windows over one row for each source, with nothing collected to the driver.
 
 Defined results: a null or empty text has size 0 and is never taken. A null source is a source of
 its own, last in order. Rows with one id and different texts have keys of their own; rows that agree in id and text are
-interchangeable and meet in one range. An empty table gives an empty result.
+interchangeable. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,14 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import quality
-from .common import free_name, stored, u_from
+from .common import free_name, partitions, stored, u_from
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_EPOCHS = 2.0
 SEED = 20
-#: Rows that a range of keys should hold, and the fewest ranges.
-RANGE_ROWS, FEWEST_RANGES = 4096, 256
+#: Rows that a range of keys should hold.
+RANGE_ROWS = 50_000
 
 
 def quality_weight(bits: Column) -> Column:
@@ -66,10 +66,18 @@ def _measured(docs: DataFrame, seed: int, weight: Column | None, keep: bool, lan
     m = m.withColumn("_size", F.col("_m.n_words")).withColumn("_bits", quality._bits("_m"))
     w = quality_weight(F.col("_bits")) if weight is None else weight
     u = u_from(F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.lit(":"), F.col("_tie")), seed)
-    return stored(m.select("_id", "_src", "_size", (-F.log(u) / w).alias("_key"), "_row"), "mix")
+    return stored(m.select("_id", "_src", "_size", (-F.log(u) / w).alias("_key"), F.monotonically_increasing_id().alias("_n"), "_row"), "mix")
 
 
-def mix(docs: DataFrame, seed: int = SEED, weight: Column | None = None, keep: bool = False, lang: str | None = "lang") -> DataFrame:
+def ranged(base: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """(_n, _id, _src, _size, _key, _range), stored: rows in order of source and key, in ranges of about ``range_rows``."""
+    ranges = max(partitions(base.sparkSession), -(-base.count() // range_rows))
+    order = [F.col("_src").asc_nulls_last(), F.col("_key").asc(), F.col("_id").asc_nulls_last(), F.col("_n").asc()]
+    rows = base.select("_n", "_id", "_src", "_size", "_key").repartitionByRange(ranges, *order)
+    return stored(rows.withColumn("_range", F.spark_partition_id()), "mix-ranges")
+
+
+def mix(docs: DataFrame, seed: int = SEED, weight: Column | None = None, keep: bool = False, lang: str | None = "lang", range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row for each row of ``docs``: id, source, size, source_size, target, taken, copies.
 
     ``copies`` says how often the mix holds the document; ``taken`` is ``copies * size``. With
@@ -77,25 +85,23 @@ def mix(docs: DataFrame, seed: int = SEED, weight: Column | None = None, keep: b
     ``weight`` is an expression over the columns ``_size`` and ``_bits`` (failed rules).
     """
     base = _measured(docs, seed, weight, keep, lang)
-    ranges = max(FEWEST_RANGES, 1 << (base.count() // RANGE_ROWS).bit_length())
     sizes = base.groupBy("_src").agg(F.sum("_size").alias("n")).withColumnRenamed("_src", "source")
     plan = targets(sizes).select(F.col("source").alias("_s"), F.col("n").alias("_source_size"), F.col("target").alias("_target"))
     epochs = F.when(F.col("_source_size") > 0, F.least(F.floor(F.col("_target") / F.col("_source_size")), F.lit(int(MOST_EPOCHS)))).otherwise(0)
     plan = plan.withColumn("_epochs", epochs.cast("int"))
-    # exp(-x) ranges the keys of weight 1 evenly
-    keyed = base.withColumn("_range", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * ranges).cast("long"))
+    keyed = ranged(base, range_rows)
     sums = keyed.groupBy("_src", "_range").agg(F.sum("_size").alias("_sum"))
     before = Window.partitionBy("_src").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(F.col("_src"), F.col("_range").alias("_r"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     offsets = offsets.join(plan, offsets["_src"].eqNullSafe(plan["_s"])).select("_s", "_r", "_before", "_source_size", "_target", "_epochs")
     joined = keyed.join(offsets, F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
-    within = Window.partitionBy("_src", "_range").orderBy("_key", F.col("_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("_src", "_range").orderBy("_key", F.col("_id").asc_nulls_last(), "_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.col("_before") + F.sum("_size").over(within)
     rest = F.col("_target") - F.col("_epochs") * F.col("_source_size")
     partly = (end - F.col("_size") / 2.0 <= rest) & (F.col("_epochs") < MOST_EPOCHS)
     out = joined.withColumn("_copies", F.when(F.col("_size") == 0, 0).otherwise(F.col("_epochs") + partly.cast("int")))
-    if keep:
-        return out.select("_row.*", F.col("_copies").alias(free_name(docs, "copies")))
+    if keep:  # the rows themselves join what was found for their numbers
+        return base.select("_n", "_row").join(out.select("_n", "_copies"), "_n").select("_row.*", F.col("_copies").alias(free_name(docs, "copies")))
     return out.select(
         F.col("_id").alias("id"), F.col("_src").alias("source"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"), F.col("_copies").alias("copies"),

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quireflow.llm import katz, mixing, pivots
 
@@ -214,6 +215,22 @@ def plain_targets(sizes):
     return goal
 
 
+def test_mixing_ranges_are_even_whatever_the_weights(spark):
+    """Sources whose documents fail none, three or four rules, one of copies of one row: no range is much over its size."""
+    u = (F.xxhash64("id").bitwiseAND((1 << 52) - 1).cast("double") + 0.5) / float(1 << 52)
+    rows = spark.range(60_000).select(F.col("id").alias("_n"), "id", F.element_at(F.array(*map(F.lit, ["a", "b", "c", None])), (F.col("id") % 4 + 1).cast("int")).alias("_src"), F.lit(1).alias("_size"), u.alias("u"))
+    weight = F.when(F.col("_src") == "a", 1.0).when(F.col("_src") == "b", 8.0).otherwise(16.0)
+    key = F.when(F.col("_src").isNull(), F.lit(0.7)).otherwise(-F.log("u") * weight)
+    base = rows.select("_n", F.when(F.col("_src").isNotNull(), F.col("id")).alias("_id"), "_src", "_size", key.alias("_key"))
+    sizes = [r["count"] for r in mixing.ranged(base, 4096).groupBy("_src", "_range").count().collect()]
+    assert sum(sizes) == 60_000 and max(sizes) <= 3 * 4096
+
+
+def test_mixing_is_the_same_over_many_ranges(documents):
+    once = sorted(map(str, mixing.mix(documents).collect()))
+    assert once == sorted(map(str, mixing.mix(documents, range_rows=7).collect()))
+
+
 @pytest.mark.parametrize("sizes", [{"b": 100, "a": 100, None: 100, "c": 1000}, {"a": 8, "b": 8, "c": 8}, {"a": 0}, {"é": 3, "z": 50, "Z": 7, "": 1, None: 0, "zz": 900}])
 def test_targets(spark, sizes):
     got = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, n long")).collect()}
