@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ..session import scratch
 
 GRAM = 8
-#: Bits of a histogram's bucket, and of the largest bit table (32 MB).
-HISTOGRAM_BITS, MOST_BITS = 16, 28
+#: Bits of a histogram's bucket, and of the smallest and the largest bit table (2 and 32 MB).
+HISTOGRAM_BITS, LEAST_BITS, MOST_BITS = 16, 24, 28
 
 
 def gram_hashes(text: str, n: int) -> np.ndarray:
@@ -108,7 +108,7 @@ def located(needles: DataFrame, hays: DataFrame) -> DataFrame:
         return spark.createDataFrame([], f"needle string, hay {kind}, at int")
     _chosen(needles, _histogram(hays, sizes)).write.parquet(f"{to}/chosen")
     chosen = spark.read.parquet(f"{to}/chosen")
-    bits = min(MOST_BITS, max(HISTOGRAM_BITS, (16 * chosen.count()).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (64 * chosen.count()).bit_length()))
     shared = spark.sparkContext.broadcast(_bit_table(chosen, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

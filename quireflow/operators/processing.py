@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..functions import text as T
 from ..names import free_name
-from ..sources import drawn, files, store
+from ..sources import drawn, files, store, transfer
 from . import booklets, emphasis, matching, units
 
 _DOCUMENT = ["questionnaire_id", "source_url", "metadata", "sections", "answer_key_present", "answer_key_location", "answer_key_source", "import_provenance"]
@@ -177,3 +177,30 @@ def reviewed(docs: DataFrame, review: DataFrame) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """The report of ``pilot`` documents: ``units.stats`` with quality and errors. ``units.batch_summary`` sums it up."""
     return units.stats(docs, F.col("import_provenance.extraction_quality").alias("extraction_quality"), F.col("errors"))
+
+
+def run_batch(
+    spark: SparkSession, ids: DataFrame, found: DataFrame, to: str, fetch_date: str, base_url: str = "", review: DataFrame | None = None, expected: int | None = None,
+    readers: dict[str, files.Reader] | None = None, parsers: dict[str, drawn.Parser] | None = None, force: bool = False, **fetching,
+) -> DataFrame:
+    """Fetch, parse and report the documents of ``ids`` (base): one row for each id, with its ``report`` columns and ``error``.
+
+    ``found`` are discovered files (``files.discovered``); ids that aren't there are tried under ``base_url``. Files go
+    to ``to/files``, documents to the store ``to/documents``, and each report to ``to/reports/<id>.report.json``. An id
+    whose file can't be fetched, or that gives no document, is a row with its error; it doesn't end the batch. Files are
+    read as they are drawn by ``parsers``, and a second reading in ``review`` is merged in. ``fetching`` goes to ``transfer.fetched``.
+    """
+    entries = files.entries_for(ids.select("base").distinct(), found, base_url)
+    told = transfer.download(entries, f"{to}/files", **fetching)
+    process(spark, f"{to}/files", f"{to}/documents", fetch_date, entries.select("base", "url"), readers, None, force, parsers)
+    mine = store.read(spark, f"{to}/documents").join(entries.select(F.col("base").alias("questionnaire_id")), "questionnaire_id", "left_semi")
+    made = report(pilot(mine, review=review, expected=expected)).withColumn("_made", F.lit(True))
+    failed = told.select("base", F.col("error").alias("_failed"))
+    j = entries.select("base").join(failed, "base", "left").join(made.withColumnRenamed("questionnaire_id", "base"), "base", "left")
+    error = F.when(F.col("_made").isNull(), F.coalesce("_failed", F.lit("no report produced")))
+    out = j.select(F.col("base").alias("questionnaire_id"), *[c for c in made.columns if c not in ("questionnaire_id", "_made")], error.alias("error"))
+    out.write.mode("overwrite").parquet(f"{to}/summary")
+    reports = spark.read.parquet(f"{to}/summary")
+    named = reports.where("error is null").select(F.concat("questionnaire_id", F.lit(".report.json")).alias("name"), F.to_json(F.struct("*")).cast("binary").alias("content"))
+    transfer.write_files(named, f"{to}/reports")
+    return reports

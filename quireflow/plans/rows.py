@@ -13,7 +13,7 @@ from ..functions import text as T
 from ..operators import emphasis, folds, matching, processing, quotes, segments, units
 from ..operators.verse_index import kept_index, opened_index
 from ..session import scratch
-from ..sources import drawn, files, store
+from ..sources import drawn, files, store, transfer
 from ..streaming.incremental import process_new
 from .base import ORACLES, hebrew, query, t
 
@@ -503,6 +503,21 @@ def drawn_files(spark, d):
     return both.groupBy("text", "line", "bold").agg(F.count("*").alias("n"))
 
 
+@query("""select s_suppkey, s_suppkey % 2 = 1 there, case when s_suppkey % 2 = 1 then 1 else 3 end attempts, case when s_suppkey % 2 = 1 then s_name end "name" from supplier""")
+def files_transferred(spark, d):
+    """A JSON file for every other supplier, written with commit; all are fetched by address, the missing ones in three attempts, and read back."""
+    to = scratch(spark, "transfer")
+    rows = t(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("base"), "s_name")
+    docs = rows.where("s_suppkey % 2 = 1").select(F.col("base").alias("questionnaire_id"), F.struct(F.col("s_name").alias("track")).alias("metadata"))
+    transfer.write_document_files(docs, f"{to}/out")
+    filename = F.concat("base", F.lit(".json"))
+    entries = rows.select("base", filename.alias("filename"), F.concat(F.lit(transfer.address(f"{to}/out/")), filename).alias("url"))
+    report = transfer.download(entries, f"{to}/in", pause=0.0)
+    back = files.read_documents(spark, f"{to}/in").select(F.col("questionnaire_id").alias("base"), F.col("metadata.track").alias("name"))
+    j = rows.select("s_suppkey", "base").join(report, "base").join(back, "base", "left")
+    return j.select("s_suppkey", F.col("error").isNull().alias("there"), "attempts", "name")
+
+
 @query()
 def repaired_text(spark, d):
     return t(spark, d, "documents").select("doc_id", F.md5(A.repaired(F.expr(hebrew("text")))).alias("repaired"), F.md5(A.nfkc(F.col("text"))).alias("nfkc"))
@@ -513,16 +528,15 @@ def quote_anchors(spark, d):
     return t(spark, d, "benchmark").select("item_id", F.md5(F.array_join(A.quote_anchors(F.expr(hebrew("text"))), ",")).alias("anchors"))
 
 
-@query("""select o_orderkey, case when o_orderkey % 2 = 0 then lower(o_orderstatus) else o_orderstatus end status, o_totalprice, o_orderkey % 3 <> 0 and o_orderkey % 2 = 0 replaced
-from orders where o_orderkey % 3 <> 0 or o_orderkey % 2 = 0""")
+@query("""select doc_id, case when doc_id % 2 = 0 or doc_id % 3 = 0 then upper(source) else source end status, n_chars, doc_id % 3 <> 0 and doc_id % 2 = 0 replaced from documents""")
 def stored_versions(spark, d):
     """A keyed store: a first batch, then one that replaces some of its rows and adds others; an old version stays readable."""
     to = scratch(spark, "store")
-    rows = t(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
-    first = store.upsert(rows.where("o_orderkey % 3 <> 0"), to, "o_orderkey", buckets=8)
-    twice = rows.where("o_orderkey % 2 = 0").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
-    last = twice.withColumn("status", F.when(F.col("n") == 2, F.lower("status")).otherwise("x"))  # of rows with one key the last holds
-    store.upsert(last, to, "o_orderkey", order="n")
-    was = store.read(spark, to, first).select(F.col("o_orderkey"), F.lit(True).alias("was"))
+    rows = t(spark, d, "documents").select("doc_id", F.col("source").alias("status"), "n_chars")
+    first = store.upsert(rows.where("doc_id % 3 <> 0"), to, "doc_id", buckets=8)
+    twice = rows.where("doc_id % 2 = 0 or doc_id % 3 = 0").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    last = twice.withColumn("status", F.when(F.col("n") == 2, F.upper("status")).otherwise("x"))  # of rows with one key the last holds
+    store.upsert(last, to, "doc_id", order="n")
+    was = store.read(spark, to, first).select(F.col("doc_id"), F.lit(True).alias("was"))
     now = store.read(spark, to)
-    return now.join(was, "o_orderkey", "left").select("o_orderkey", "status", "o_totalprice", (F.col("was").isNotNull() & F.col("n").isNotNull()).alias("replaced"))
+    return now.join(was, "doc_id", "left").select("doc_id", "status", "n_chars", (F.col("was").isNotNull() & F.col("n").isNotNull()).alias("replaced"))
