@@ -23,10 +23,11 @@ from .common import partitions, words_of
 BLOCK_WORDS = 200_000
 
 
-def chunked(docs: DataFrame, columns: dict[str, Column], chunks: int, tasks: int, id_col: str = "doc_id") -> DataFrame:
-    """``columns`` of ``docs`` and ``chunk``, dealt by chunk; exchanged once for all who read it."""
+def chunked(docs: DataFrame, columns: dict[str, Column], chunks: int, tasks: int | None, id_col: str = "doc_id") -> DataFrame:
+    """``columns`` of ``docs`` and ``chunk``, dealt by chunk to so many tasks, if told; exchanged once for all who read it."""
     chunk = F.pmod(F.xxhash64(F.col(id_col), F.spark_partition_id()), F.lit(chunks)).cast("int")
-    return docs.select(chunk.alias("chunk"), *[c.alias(k) for k, c in columns.items()]).repartition(tasks, "chunk")
+    out = docs.select(chunk.alias("chunk"), *[c.alias(k) for k, c in columns.items()])
+    return out if tasks is None else out.repartition(tasks, "chunk")
 
 
 #: The fewest parts, so that a small input has some work for many tasks.

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, words_of
+from .common import partitions, stored, words_of
 from .exchange import blocks, chunked, cuts, mixed, pack, pack_bits, parts_for, spread, unpack, unpack_bits
 
 WINDOW = 35
@@ -231,7 +231,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, keep: bool = False, id_col: s
     others = [F.col(c) for c in docs.columns if c != text]
     own = F.struct(*others) if keep and others else F.col(id_col)
     tasks = max(partitions(spark), size // TASK_BYTES)
-    dealt = chunked(docs, {"row": own, "text": F.col(text)}, chunks, tasks, id_col)
+    # which chunk a document is in is settled once: three stages have to agree on it, whatever is evaluated again
+    dealt = stored(chunked(docs, {"row": own, "text": F.col(text)}, chunks, None, id_col), "dealt").repartition(tasks, "chunk")
 
     def ask(t: pa.Table) -> pa.Table:
         chunk = t["chunk"][0].as_py()
