@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..names import free_name  # noqa: F401
 from ..session import shared_dir
 
 #: Rows in an Arrow batch that a Python operator gets; texts can be long, so few.
@@ -58,14 +59,6 @@ def dropped(table: DataFrame) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def free_name(df: DataFrame, wanted: str) -> str:
-    """``wanted`` or a longer name that no column of ``df`` has (names compare without case)."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
-
-
 def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``df.mapInArrow`` over batches of bounded size: long batches are sliced before ``f`` sees them."""
 
@@ -97,7 +90,7 @@ def u_from(col, seed: int):
 
 
 def put_file(spark: SparkSession, name: str, content: bytes) -> str:
-    """Write a file into the shared folder, whatever store that is; returns its URI."""
+    """Write a file into the shared folder, whatever store that is; returns its URI. It goes when the application ends."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     out = fs.create(path, True)
@@ -105,4 +98,5 @@ def put_file(spark: SparkSession, name: str, content: bytes) -> str:
         out.write(bytearray(content))
     finally:
         out.close()
+    fs.deleteOnExit(path)
     return fs.makeQualified(path).toString()

@@ -16,14 +16,14 @@ measured each for itself. Other columns pass through ``apply_policy`` untouched,
 from __future__ import annotations
 
 import re
-import uuid
 from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, shared_dir
+from ..session import scratch
+from .common import free_name
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -184,7 +184,7 @@ def ablations(ledger_rows: DataFrame, policy: str = PRODUCTION) -> DataFrame:
 
 
 def _stored_ledger(docs: DataFrame) -> DataFrame:
-    to = f"{shared_dir(docs.sparkSession)}/ledger-{uuid.uuid4().hex}"
+    to = scratch(docs.sparkSession, "ledger")
     write_ledger(docs, to)
     return read_ledger(docs.sparkSession, to)
 
