@@ -24,8 +24,14 @@ def located(quotes: DataFrame, verses: DataFrame, quote_id: str = "quote_id", qu
     """
     index = index or kept_index(verses, scratch(verses.sparkSession, "verse-index"))
     a = quotes.select(F.col(quote_id).alias("id"), F.posexplode(A.quote_anchors(F.col(quote))).alias("rank", "anchor"))
-    best = F.min_by(F.struct("first", "last"), F.struct("rank", "at"))
-    out = places(a, index, ["id", "rank"]).groupBy("id").agg(best.alias("b")).select(F.col("id").alias(quote_id), "b.*")
+
+    def best(anchors: DataFrame) -> DataFrame:
+        first = F.min_by(F.struct("first", "last"), F.struct("rank", "at"))
+        return places(anchors, index, ["id", "rank"]).groupBy("id").agg(first.alias("b"))
+
+    whole = best(a.where("rank = 0"))  # where that stands, no other anchor of the many counts
+    rest = best(a.where("rank > 0").join(whole.select("id"), "id", "left_anti"))
+    out = whole.unionByName(rest).select(F.col("id").alias(quote_id), "b.*")
     return out.where(F.col("last") - F.col("first") <= SPAN)
 
 

@@ -5,8 +5,8 @@ a table bucketed by the letters, so a probe moves only the quotations' grams, ne
 how often each gram comes, bucketed alike. ``cells`` has the letters themselves, cut into cells of ``CELL``, and ``spans``
 which verse has which letters of a cell; both are met only by the few places that a probe finds.
 
-An anchor is looked up by its rarest gram: a gram that half the verses share is chosen only by an anchor that has
-no other. An anchor with a gram that the corpus lacks can't stand in it and goes at once.
+An anchor is looked up by the rarest of up to ``PROBES`` of its grams, evenly spaced: a gram that half the verses share
+is chosen only where the others are no rarer. An anchor with a gram that the corpus lacks can't stand in it and goes at once.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from ..sources.files import exists
 GRAM, CELL = 6, 256
 #: Verses that are numbered together, and files of each bucketed table.
 BLOCK, BUCKETS = 4096, 16
+#: Grams of an anchor whose frequencies are looked up: a quotation of n words has some n * n / 2 anchors.
+PROBES = 8
 #: Verses from the first on that an anchor may reach over.
 REACH = 12
 
@@ -94,10 +96,11 @@ def places(anchors: DataFrame, index: VerseIndex, keys: list[str]) -> DataFrame:
     ``first`` and ``last`` are the verses of its first and last letter, at most ``REACH`` verses in all.
     """
     a = anchors.select(F.struct(*keys).alias("k"), "anchor").where(F.length("anchor") >= GRAM)
-    n_grams = F.length("anchor") - GRAM + 1
-    each = a.select("k", "anchor", F.explode(F.sequence(F.lit(1), n_grams)).alias("i")).withColumn("gram", F.expr(f"substring(anchor, i, {GRAM})"))
-    rare = each.join(index.counts, "gram").groupBy("k", "anchor").agg(F.min_by(F.struct("gram", "i"), F.struct("n", "i")).alias("rare"), F.count("*").alias("there"))
-    rare = rare.where(F.col("there") == n_grams).select("k", "anchor", "rare.*")
+    last = F.length("anchor") - GRAM  # of its grams, from 0
+    spaced = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda i: (F.floor(i * last / (PROBES - 1)) + 1).cast("int")))
+    each = a.select("k", "anchor", F.size(spaced).alias("asked"), F.explode(spaced).alias("i")).withColumn("gram", F.expr(f"substring(anchor, i, {GRAM})"))
+    rare = each.join(index.counts, "gram").groupBy("k", "anchor", "asked").agg(F.min_by(F.struct("gram", "i"), F.struct("n", "i")).alias("rare"), F.count("*").alias("there"))
+    rare = rare.where(F.col("there") == F.col("asked")).select("k", "anchor", "rare.*")
     met = rare.join(index.grams, "gram").select("k", "anchor", (F.col("at") - F.col("i") + 1).alias("at")).where("at >= 0").withColumn("to", F.col("at") + F.length("anchor") - 1)
     # letters join for these places only
     cell = lambda c: F.floor(F.col(c) / CELL)
