@@ -6,17 +6,15 @@ reads again as the next stage's ``docs``. All but the last return the columns of
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quireflow.llm.bpe import encoded
-from quireflow.llm.common import shared_dir
 from quireflow.llm.mixing import mixed
 from quireflow.llm.quality import apply_policy
 from quireflow.llm.similar import without_near_duplicates
 from quireflow.llm.substring import repeats
+from quireflow.session import scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +58,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    to = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    to = scratch(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if i == len(STAGES) - 1:
