@@ -27,3 +27,42 @@ def test_processed_keys_that_hold_a_year(spark, tmp_path):
     got = registry.QUERIES["processed"](spark, str(tmp_path)).collect()
     assert len(got) == 8 and all("out of range" not in (r["note"] or "") for r in got)
     assert {r["id"]: r["extraction_quality"] for r in got}["12001"] == "clean"
+
+
+def test_copies_are_compared_once(spark, monkeypatch):
+    """Rows with one core took part in every comparison of it; now only places are given to each."""
+    from quireflow.operators import matching
+
+    rows = spark.createDataFrame([(i, "abcdef" if i % 2 else "abcdxy", 0, None, i) for i in range(40)], "id int, core string, block int, year int, pos int")
+    met = []
+    real = matching.A.lcs
+    monkeypatch.setattr(matching.A, "lcs", lambda a, b: met.append(1) or real(a, b))
+    out = matching.paired(rows, rows, most=3)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    got = {(r["left_id"], r["place"]): (r["right_id"], r["score"], r["n_candidates"]) for r in out.collect()}
+    assert len(got) == 120 and got[(5, 1)] == (1, 6, 40) and got[(4, 3)] == (4, 6, 40)
+    assert met == [1] and "rows" in plan
+    every = matching.paired(rows, rows)
+    assert every.count() == 1600 and every.where("left_id = 5 and place = 40").first()["score"] == 4
+
+
+def test_emphasis_moves_no_units(spark):
+    """Whole documents were keyed by a digest of their sections and joined with their units by it."""
+    from quireflow.operators import emphasis
+    from quireflow.plans.base import quizzes
+
+    docs = quizzes(spark, SF).withColumn("questionnaire_id", F.col("o"))
+    lines = docs.limit(1).select(F.col("o").alias("doc_id"), F.lit(0).alias("page_no"), F.lit(0).alias("line_no"), F.lit("x").alias("line"), F.array().cast("array<struct<text:string,bold:boolean,underline:boolean>>").alias("spans"))
+    plan = emphasis.emphasized(docs, lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" not in plan and "posexplode" not in plan
+
+
+def test_quizzes_shuffle_no_units(spark):
+    """Whole units went through two exchanges; now lines do, and units are made afterwards."""
+    from quireflow.plans.base import quizzes
+
+    plan = quizzes(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Aggregate") :]
+    assert "whole_unit" not in below and "whole_unit" in plan
+    sorted_ = registry.QUERIES["manifest"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sections" not in sorted_.splitlines()[0]
