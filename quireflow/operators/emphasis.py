@@ -96,23 +96,20 @@ def emphasized(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Nested documents whose prompts and narratives carry the emphasis of ``detected`` lines; options never do.
 
     An emphasised option marks the right answer in solutions, so options are not even looked at.
-    Documents without emphasis, sections and units come through as they are; so do repeated rows.
+    Documents without emphasis, sections and units come through as they are; so do repeated rows. Documents meet their
+    lines once, and only the texts of those that have some go through Python.
     """
     order = F.array_sort(F.collect_list(F.struct("page_no", "line_no", "line", "spans")))
     of = lines.groupBy(F.col("doc_id").alias("questionnaire_id")).agg(F.transform(order, lambda x: F.struct(x["line"].alias("line"), x["spans"].alias("spans"))).alias("_lines"))
-    key, told = free_name(docs, "key"), free_name(docs, "new")
-    named = docs.withColumn(key, F.struct("questionnaire_id", F.xxhash64(F.to_json("sections")).alias("hash")))
-    touched = named.select(F.col(key).alias("_key"), "questionnaire_id", "sections").join(of, "questionnaire_id").dropDuplicates(["_key"])
-    units = touched.select("_key", "_lines", F.posexplode("sections").alias("s", "section")).select("_key", "_lines", "s", F.posexplode("section.question_units").alias("u", "unit"))
-    marked = units.select("_key", "s", "u", A.emphasized(F.col("unit.prompt"), F.col("_lines")).alias("prompt"), A.emphasized(F.col("unit.narrative_context"), F.col("_lines")).alias("narrative"))
-    new = marked.groupBy(F.col("_key").alias(key)).agg(F.map_from_entries(F.collect_list(F.struct(F.struct("s", "u"), F.struct("prompt", "narrative")))).alias(told))
+    own, told = free_name(docs, "lines"), free_name(docs, "told")
+    j = docs.join(of.withColumnRenamed("_lines", own), "questionnaire_id", "left")
+    texts = F.transform("sections", lambda s: F.transform(s["question_units"], lambda u: F.array(u["prompt"], u["narrative_context"])))
+    j = j.withColumn(told, A.emphasized_units(F.when(F.col(own).isNotNull(), texts), F.col(own)))
 
-    def unit(u: Column, place: Column) -> Column:
-        text = F.element_at(told, place)
-        return u.withField("prompt", text["prompt"]).withField("narrative_context", text["narrative"])
+    def unit(u: Column, text: Column) -> Column:
+        return u.withField("prompt", text[0]).withField("narrative_context", text[1])
 
     def section(s: Column, i: Column) -> Column:
-        return s.withField("question_units", F.transform(s["question_units"], lambda u, k: unit(u, F.struct(i.alias("s"), k.alias("u")))))
+        return s.withField("question_units", F.transform(s["question_units"], lambda u, k: unit(u, F.get(F.get(told, i), k))))
 
-    j = named.join(new, key, "left")
     return j.withColumn("sections", F.when(F.col(told).isNotNull(), F.transform("sections", section)).otherwise(F.col("sections"))).select(*docs.columns)
