@@ -103,3 +103,31 @@ def test_texts_become_objects_by_slices():
     got = A.by_slices(f, pa.array(["a", None, "b"] * 300))
     assert got.to_pylist() == ["A", None, "B"] * 300 and A.by_slices(f, pa.array([], pa.string())).to_pylist() == []
     assert max(sizes) <= 2 * A.AT_ONCE
+
+
+def test_questionnaires_move_pages_once(spark):
+    """Pages were read, grouped and joined in eight branches, each with all that made them."""
+    from quireflow.operators import booklets
+
+    pages = [("q", 1, "1. מי?\nא. דוד\nב. שאול\n2. מה?\nא. כן\nב. לא"), ("q", 2, "תשובון\nב. שאול\n1 שמות יד, כא\nא. דוד\n1 בראשית ה, ו\nא. כן\n2"), (None, 0, "דף")]
+    df = spark.createDataFrame(pages, "doc_id string, page_no int, text string").repartition(3)
+    out = booklets.questionnaires(df, "2026-01-01")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [doc_id") == 1 and "Join" not in plan and plan.count("Python [") == 1
+    got = {r["questionnaire_id"]: r for r in out.collect()}
+    first, second = got["q"]["sections"][0]["question_units"]
+    assert (first["correct_option"], first["primary_sources"][0]["book"], second["correct_option"]) == ("א", "בראשית", "א")
+    assert got[None]["sections"][0]["question_units"] == [] and got[None]["answer_key_location"] == "none"
+    given = spark.createDataFrame([("q", 2, "ב", [])], "doc_id string, qnum int, correct_option string, refs array<struct<book:string,chapter:string,verse:string>>")
+    units = {r["questionnaire_id"]: r for r in booklets.questionnaires(df, "2026-01-01", given).collect()}["q"]["sections"][0]["question_units"]
+    assert [u["correct_option"] for u in units] == [None, "ב"]
+
+
+def test_texts_in_lists_are_repaired():
+    import pyarrow as pa
+
+    from quireflow.functions import arrow as A
+
+    lists = pa.array([None, [], [["ִא  ב", None], None, []], [["x"]]], pa.list_(pa.list_(pa.string()))).slice(1)
+    assert A.over_lists(A.repair, lists).to_pylist() == [[], [["אִב", None], None, []], [["x"]]]
+    assert A.repair("  a \t b  [פ] ") == "a b"
