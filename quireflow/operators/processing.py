@@ -119,13 +119,15 @@ def process(spark: SparkSession, path: str, to: str, fetch_date: str, entries: D
 def reclassify(spark: SparkSession, to: str, key: str = "questionnaire_id") -> DataFrame:
     """Give the documents of the store ``to`` what their ids tell and their quality anew; returns the ids changed.
 
-    Only documents that differ from what is there go back, so a second run changes nothing.
+    Only buckets with a document that differs are written anew, each where it is, so a second run changes nothing.
     """
-    docs = store.read(spark, to)
-    was = free_name(docs, "was")
-    both = units.reclassified(docs.withColumn(was, F.struct("metadata", "import_provenance")))
-    changed = both.where(F.to_json(F.struct("metadata", "import_provenance")) != F.to_json(was)).drop(was)
-    version = store.upsert(changed, to, key)
+    mine = F.to_json(F.struct("metadata", "import_provenance"))
+    was = free_name(store.read(spark, to), "was")
+
+    def change(docs: DataFrame) -> DataFrame:
+        return units.reclassified(docs.withColumn(was, mine)).withColumn(was, mine != F.col(was))
+
+    version = store.rewrite(spark, to, change, was)
     told = lambda n, name: store.read(spark, to, n).select(key, F.to_json(F.struct("metadata", "import_provenance")).alias(name))
     return told(version, "now").join(told(version - 1, "was"), key).where("now <> was").select(key)
 

@@ -1,7 +1,7 @@
 """A keyed table in versions: rows with a key replace those that have it, and readers see whole versions.
 
-Rows are dealt into buckets by a hash of the key. An upsert reads and rewrites only the buckets that its keys fall
-into, as a new generation of folders beside the old ones; then a version file says which generation holds each
+Rows are dealt into buckets by a hash of the key, each task writing a file for each of its buckets, so whole rows don't
+move; only keys do, to tell which repeat. An upsert reads and rewrites only the buckets that its keys fall into, as a new generation of folders beside the old ones; then a version file says which generation holds each
 bucket. That file is put in place last, by one rename, so a run that ends early leaves the version before
 it, and readers under way keep theirs. ``vacuum`` deletes generations that no version kept needs.
 
@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -68,6 +69,32 @@ def _rows(spark: SparkSession, to: str, told: dict, buckets: list[int] | None =
     return spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
 
 
+def _bucket(key: str, told: dict) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(told["buckets"])).cast("int")
+
+
+def _numbers(rows: DataFrame, b: str) -> list[int]:
+    """The buckets of ``rows``: at most as many as the table has."""
+    return sorted(r[0] for r in rows.select(b).distinct().collect())
+
+
+def _at(spark: SparkSession, schema: StructType, of: dict[int, str], b: str) -> DataFrame:
+    """The rows of buckets in the folders that ``of`` tells."""
+    return spark.read.schema(schema).parquet(*[f"{at}/{b}={i}" for i, at in of.items()])
+
+
+def _write(rows: DataFrame, to: str, told: dict) -> None:
+    """``rows`` by bucket, as they lie. A task keeps a small row group open for each bucket, so that it needn't sort whole rows by bucket."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    conf = rows.sparkSession.conf
+    before = conf.get(setting, None)
+    conf.set(setting, str(told["buckets"]))
+    try:
+        rows.write.partitionBy(told["column"]).options(**{"compression": "zstd", "parquet.block.size": str(16 << 20)}).parquet(to)
+    finally:
+        conf.unset(setting) if before is None else conf.set(setting, before)
+
+
 def exists(spark: SparkSession, to: str) -> bool:
     return bool(versions(spark, to))
 
@@ -101,33 +128,58 @@ def upsert(rows: DataFrame, to: str, key: str, order: str | None = None, buckets
     if b in rows.columns:
         raise ValueError(f"the table keeps its buckets under the name {b}")
     generation = uuid.uuid4().hex
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(told["buckets"])).cast("int")
+    bucket = _bucket(key, told)
     # the batch is written once, by bucket; what the table has in these buckets and the batch hasn't joins it there
-    staged, home = f"{to}/rows/{generation}-new", f"{to}/rows/{generation}"
-    _one_each(rows, key, order).withColumn(b, bucket).repartition(b).write.partitionBy(b).parquet(staged)
+    staged, one, home = (f"{to}/rows/{generation}{part}" for part in ("-new", "-one", ""))
+    _write(rows.withColumn(b, bucket), staged, told)
+    kind = StructType([*rows.schema.fields]).add(b, "integer")
+    new = spark.read.schema(kind).parquet(staged)
+    touched = _numbers(new, b)
+    of = {i: staged for i in touched}
+    twice = _numbers(new.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").withColumn(b, bucket), b)
+    if twice:
+        _write(_one_each(_at(spark, rows.schema, {i: staged for i in twice}, b), key, order).withColumn(b, bucket), one, told)
+        of |= {i: one for i in twice}
+        new = _at(spark, rows.schema, of, b).withColumn(b, bucket)
     schema = rows.schema
-    new = spark.read.schema(StructType([*schema.fields]).add(b, "integer")).parquet(staged)
-    touched = sorted(r[0] for r in new.select(b).distinct().collect())  # at most the number of buckets
     if there and touched:
         old = _rows(spark, to, told, touched).withColumn(b, bucket)
         k = free_name(old, "replaced", new)
         kept = old.join(new.select(F.col(key).alias(k)), F.col(key).eqNullSafe(F.col(k)), "left_anti")
         merged = kept.unionByName(new, allowMissingColumns=True)
         schema = merged.drop(b).schema
-        merged.repartition(b).write.partitionBy(b).parquet(home)
+        _write(merged, home, told)
+        of = {i: home for i in touched}
     elif there:
         schema = StructType.fromJson(told["schema"])
-    else:
-        generation += "-new"
-    places = told["places"] | {str(i): generation for i in touched}
+    places = told["places"] | {str(i): at.rsplit("/", 1)[1] for i, at in of.items()}
     number = (there[-1] if there else 0) + 1
     _switch(spark, to, number, {**told, "schema": json.loads(schema.json()), "places": places})
-    if there:
-        place, fs = _fs(spark, staged)
+    for part in {staged, one} - set(of.values()):
+        place, fs = _fs(spark, part)
         fs.delete(place, True)
     return number
 
 
+def rewrite(spark: SparkSession, to: str, change: Callable[[DataFrame], DataFrame], changed: str) -> int:
+    """Put ``change`` of the rows in their place, in the buckets where its column ``changed`` holds for any; returns the new version.
+
+    ``change`` goes row by row and keeps keys and columns, but for ``changed``, which isn't stored. Each bucket is read and
+    written where it is: nothing moves.
+    """
+    there = versions(spark, to)
+    told = _version(spark, to, there[-1])
+    b, home = told["column"], f"{to}/rows/{uuid.uuid4().hex}"
+    rows = change(_rows(spark, to, told))
+    touched = _numbers(rows.where(changed).select(_bucket(told["key"], told).alias(b)), b)
+    schema = rows.drop(changed).schema
+    for i in touched:
+        change(_rows(spark, to, told, [i])).drop(changed).write.option("compression", "zstd").parquet(f"{home}/{b}={i}")
+    places = told["places"] | {str(i): home.rsplit("/", 1)[1] for i in touched}
+    _switch(spark, to, there[-1] + 1, {**told, "schema": json.loads(schema.json()), "places": places})
+    return there[-1] + 1
+
+
 def vacuum(spark: SparkSession, to: str, keep: int = 1) -> int:
     """Delete all but the last ``keep`` versions, and generations that none of these needs; returns how many. No upsert may be under way."""
     there = versions(spark, to)

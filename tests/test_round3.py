@@ -131,3 +131,34 @@ def test_texts_in_lists_are_repaired():
     lists = pa.array([None, [], [["ִא  ב", None], None, []], [["x"]]], pa.list_(pa.list_(pa.string()))).slice(1)
     assert A.over_lists(A.repair, lists).to_pylist() == [[], [["אִב", None], None, []], [["x"]]]
     assert A.repair("  a \t b  [פ] ") == "a b"
+
+
+def test_stored_rows_stay_where_they_are(spark, tmp_path, monkeypatch):
+    """Whole documents were sorted, dealt again and written twice for each upsert, and once more to be reclassified."""
+    from pyspark.sql import DataFrame
+
+    from quireflow.sources import store
+
+    to = str(tmp_path / "s")
+    monkeypatch.setattr(DataFrame, "repartition", lambda *a: pytest.fail("rows were dealt again"))
+    rows = spark.range(40).selectExpr("id as k", "'a' as v", "cast(1 as int) as n")
+    monkeypatch.setattr(store, "_one_each", lambda *a: pytest.fail("no key repeats"))
+    assert store.upsert(rows, to, "k", buckets=4) == 1
+    change = lambda df: df.withColumn("v", F.when(F.col("k") == 7, "b").otherwise(F.col("v"))).withColumn("new", F.col("k") == 7)
+    assert store.rewrite(spark, to, change, "new") == 2
+    got = store.read(spark, to)
+    assert got.columns == ["k", "v", "n"] and got.count() == 40 and [r["k"] for r in got.where("v = 'b'").collect()] == [7]
+    first, second = (store._version(spark, to, i)["places"] for i in (1, 2))
+    assert len(first) == 4 and sum(first[i] != second[i] for i in first) == 1
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+
+
+def test_repeated_keys_in_some_buckets(spark, tmp_path):
+    from quireflow.sources import store
+
+    to = str(tmp_path / "s")
+    rows = spark.range(20).selectExpr("id as k", "'a' as v", "1 as n").union(spark.createDataFrame([(3, "b", 2)], "k long, v string, n int"))
+    store.upsert(rows, to, "k", order="n", buckets=8)
+    assert len(set(store._version(spark, to, 1)["places"].values())) == 2
+    got = {r["k"]: r["v"] for r in store.read(spark, to).collect()}
+    assert len(got) == 20 and store.read(spark, to).count() == 20 and got[3] == "b"
