@@ -174,3 +174,21 @@ def test_drawn_files_lie_in_one_folder(spark, tmp_path, monkeypatch):
     registry.QUERIES["drawn_files"](spark, SF)
     inside = [p for p in (made / "in").iterdir() if p.suffix == ".txt"]
     assert len(inside) == spark.read.parquet(f"{SF}/supplier.parquet").count() and all(p.is_file() for p in inside)
+
+
+def test_staged_pages_move_once(spark):
+    """Lines of booklets met in windows, groups and joins, all held in one task; a null id had no sections, and lost those of others in its window."""
+    from quireflow.operators import booklets
+
+    text = "שלב א: בעקבות קטעי שירה\nדף\nממלכתי - דתי:\nשאלה 1\nשיר\nא. מי\nתשובות:\nא. דוד\nממלכתי:\nשאלה 2\nשיר\nא. מה\nתשובות:\nא. אור\nשלב ב: תשבצים\nתשבץ 1:\n1. (מאונך) מים (3)\nהתשובה: ים"
+    first, rest = text[: text.index("\nממלכתי:")], text[text.index("ממלכתי:") :]
+    rows = [("a", 0, "ב-5 נקודות"), ("a", 1, first), ("a", 2, rest), (None, 1, text), ("b", 0, "שלב א: בעקבות"), ("c", 0, None)]
+    docs = booklets.staged_documents(spark.createDataFrame(rows, "doc_id string, page_no int, text string"), "2026-01-01")
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "Join" not in plan and "Window" not in plan
+    got = {r["questionnaire_id"]: r["sections"] for r in docs.collect()}
+    names = [[(s["section_id"], [u["unit_id"] for u in s["question_units"]]) for s in got[i]] for i in ("a", None)]
+    assert names[0] == names[1] == [("stage_א_mamlachti-dati", ["q01"]), ("stage_א_mamlachti", ["q02"]), ("stage_ב_all", ["crossword01"])]
+    assert [s["live_stage_rules"] and s["live_stage_rules"]["points_per_correct"] for s in got["a"] + got[None]] == [5, 5, 5, None, None, None]
+    assert got["a"][1]["question_units"][0]["subquestions"][0]["acceptable_answers"][0]["answer_text"] == "אור"
+    assert got["b"] == [] and got["c"] == []
